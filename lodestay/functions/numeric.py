@@ -15,18 +15,28 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def rounded(c: str | Column, digits: int) -> Column:
+    """Half-up rounding of a double the way SQL engines do it: scale, round, scale back.
+
+    Spark's own ``round(x, d)`` works on the shortest decimal text of ``x`` and
+    so rounds 274564.975 up although the stored double is below the half.
+    """
+    scale = F.lit(float(10 ** digits))
+    return F.round(col(c).cast("double") * scale) / scale
+
+
 def ratio(numerator: str | Column, denominator: str | Column, digits: int | None = None) -> Column:
     """Quotient, NULL unless the denominator is present and positive."""
     n, d = col(numerator).cast("double"), col(denominator).cast("double")
     value = F.when(d > 0, n / d)
-    return value if digits is None else F.round(value, digits)
+    return value if digits is None else rounded(value, digits)
 
 
 def percentage(part: str | Column, whole: str | Column, digits: int, empty: float | None = 0.0) -> Column:
     """``100 * part / whole`` rounded; ``empty`` when the whole is zero."""
     p, w = col(part).cast("double"), col(whole).cast("double")
     fallback = F.lit(empty).cast("double")
-    return F.when(w > 0, F.round(p / w * F.lit(100.0), digits)).otherwise(fallback)
+    return F.when(w > 0, rounded(p / w * F.lit(100.0), digits)).otherwise(fallback)
 
 
 def row_fingerprint(columns: Sequence[str]) -> Column:

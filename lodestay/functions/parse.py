@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spellings accepted as booleans, and the date layout.
+# Spellings accepted as booleans.
 TRUE_WORDS = ("t", "true", "1", "yes", "y")
 FALSE_WORDS = ("f", "false", "0", "no", "n")
-DATE_FORMAT = "yyyy-MM-dd"
 
 # Spellings a delimited file may use for "no value".
 MISSING_TOKENS = (
@@ -21,8 +20,14 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Characters that count as surrounding whitespace.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.Z+-]*)?$"
 
 
 def col(c: str | Column) -> Column:
@@ -31,7 +36,7 @@ def col(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Trim every kind of surrounding whitespace, not only spaces."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -47,9 +52,9 @@ def missing_token_to_null(c: str | Column) -> Column:
 
 
 def finite(c: str | Column) -> Column:
-    """A double with NaN and the infinities replaced by NULL."""
+    """A double with NaN and the infinities replaced by NULL (NaN sorts above infinity)."""
     c = col(c).cast("double")
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), None).otherwise(c)
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
 def number(c: str | Column) -> Column:
@@ -77,19 +82,18 @@ def boolean(c: str | Column) -> Column:
 def date(c: str | Column) -> Column:
     """ISO calendar date, with or without a time part; partial dates are NULL."""
     text = strip(col(c).cast("string"))
-    return F.when(text.rlike(_DATE_SHAPE + r"$|" + _DATE_SHAPE + r"[ T]"),
-                  F.try_to_date(F.substring(text, 1, 10), DATE_FORMAT))
+    return F.when(text.rlike(_DATE), F.substring(text, 1, 10).try_cast("date"))
 
 
 def whole_number(c: str | Column) -> Column:
     """Text such as ``12`` or ``12.0`` -> 12; a fraction or overflow is NULL.
 
-    Goes through decimal, not double, so identifiers beyond 2**53 keep
-    every digit.
+    Plain digits are cast directly, so identifiers beyond 2**53 keep every
+    digit; only other spellings go through a double.
     """
     text = strip(col(c).cast("string"))
-    exact = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,6)"))
-    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    x = number(text)
+    return F.coalesce(text.try_cast("bigint"), F.when(x == F.floor(x), x.try_cast("bigint")))
 
 
 def yes_no_label(c: str | Column) -> Column:

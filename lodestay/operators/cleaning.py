@@ -57,29 +57,29 @@ def fractional_columns(df: DataFrame, policy: ColumnPolicy) -> frozenset:
         return frozenset()
     aggs = []
     for i, c in enumerate(names):
-        x = parse.number(_start(df, c))
+        x = parse.number(c)
         aggs += [F.count(x).alias(f"n{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}")]
     row = df.agg(*aggs).first()
     return frozenset(c for i, c in enumerate(names) if row[f"n{i}"] == 0 or row[f"f{i}"] > 0)
 
 
 def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
-    """Cleaned expression of every column that has a role."""
+    """Cleaned expression of every column that has a role (blank text parses to NULL by itself)."""
     out: dict[str, Column] = {}
     if policy.price and policy.price in df.columns:
-        out[policy.price] = parse.currency(_start(df, policy.price))
+        out[policy.price] = parse.currency(policy.price)
     for c in policy.present("dates", df):
-        out[c] = parse.date(_start(df, c))
+        out[c] = parse.date(c)
     for c in policy.present("categories", df):
         out[c] = parse.strip(_start(df, c).cast("string"))
     for c in policy.present("booleans", df):
-        out[c] = parse.boolean(_start(df, c))
+        out[c] = parse.boolean(c)
     for c in policy.present("percents", df):
-        out[c] = parse.percent(_start(df, c))
+        out[c] = parse.percent(c)
     for c in policy.present("integers", df):
-        out[c] = parse.number(_start(df, c)) if c in policy.fractional else parse.whole_number(_start(df, c))
+        out[c] = parse.number(c) if c in policy.fractional else parse.whole_number(c)
     for c in policy.present("floats", df):
-        out[c] = parse.number(_start(df, c))
+        out[c] = parse.number(c)
     return out
 
 

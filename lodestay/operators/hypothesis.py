@@ -35,7 +35,7 @@ def two_groups(df: DataFrame, column: str, measure: str, labels: dict) -> DataFr
 def describe_groups(population: DataFrame, digits: int | None = None) -> DataFrame:
     """n, mean, median, sample std, min, max, q1, q3, iqr per group."""
     def shown(c: Column) -> Column:
-        return c if digits is None else F.round(c, digits)
+        return c if digits is None else rounded(c, digits)
 
     out = group_summary(
         population,
@@ -61,7 +61,7 @@ def describe_groups(population: DataFrame, digits: int | None = None) -> DataFra
 
 def box_plot(population: DataFrame, digits: int | None = None, k: float = 1.5) -> DataFrame:
     """Box and whiskers per group; whiskers end at the last value inside the fences."""
-    from lodestay.functions.numeric import join_on_keys
+    from lodestay.functions.numeric import join_on_keys, rounded
 
     quartiles = group_summary(
         population, ["group"], {"n": F.count("value")},
@@ -78,7 +78,7 @@ def box_plot(population: DataFrame, digits: int | None = None, k: float = 1.5) -
     )
     if digits is None:
         return out
-    return out.select("group", *[F.round(c, digits).alias(c) for c in out.columns[1:]])
+    return out.select("group", *[rounded(c, digits).alias(c) for c in out.columns[1:]])
 
 
 def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:

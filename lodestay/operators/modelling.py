@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestay.functions.numeric import join_on_keys
+from lodestay.functions.numeric import join_on_keys, rounded
 from lodestay.operators.ordering import exact_quantiles
 from lodestay.operators.summaries import at_or_below_quantile
 
@@ -244,9 +244,9 @@ def score(predictions: DataFrame, actual: str, predicted: str, model: str) -> Da
     """One row: MAE, RMSE (2 digits) and R2 (4 digits)."""
     a, e = F.col(actual), F.col(actual) - F.col(predicted)
     return predictions.agg(
-        F.round(F.avg(F.abs(e)), 2).alias("mae_eur"),
-        F.round(F.sqrt(F.avg(e * e)), 2).alias("rmse_eur"),
-        F.round(1 - F.try_divide(F.avg(e * e), F.var_pop(a)), 4).alias("r2"),
+        rounded(F.avg(F.abs(e)), 2).alias("mae_eur"),
+        rounded(F.sqrt(F.avg(e * e)), 2).alias("rmse_eur"),
+        rounded(1 - F.try_divide(F.avg(e * e), F.var_pop(a)), 4).alias("r2"),
     ).select(F.lit(model).alias("model"), "*")
 
 
@@ -261,10 +261,10 @@ def compare_models(predictions: DataFrame, actual: str, models: dict, baseline:
     cells = [
         F.struct(
             F.lit(m).alias("model"),
-            F.round(f"mae{i}", 2).alias("mae_eur"),
-            F.round(F.sqrt(f"mse{i}"), 2).alias("rmse_eur"),
-            F.round(1 - F.try_divide(F.col(f"mse{i}"), F.col("v")), 4).alias("r2"),
-            F.round(F.try_divide(F.col(f"mae{base}") - F.col(f"mae{i}"), F.col(f"mae{base}")) * 100.0, 1)
+            rounded(f"mae{i}", 2).alias("mae_eur"),
+            rounded(F.sqrt(f"mse{i}"), 2).alias("rmse_eur"),
+            rounded(1 - F.try_divide(F.col(f"mse{i}"), F.col("v")), 4).alias("r2"),
+            rounded(F.try_divide(F.col(f"mae{base}") - F.col(f"mae{i}"), F.col(f"mae{base}")) * 100.0, 1)
             .alias("mae_improvement_pct"),
         )
         for i, m in enumerate(models)

@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestay.functions.numeric import join_on_keys
+from lodestay.functions.numeric import join_on_keys, rounded
 
 FAN = 16  # FAN * FAN value ranges
 _V, _N, _M, _R = "__value", "__n", "__measure", "__range"
@@ -38,24 +38,24 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[st
 def split_into_ranges(counts: DataFrame, measure: str | None = None) -> DataFrame:
     """Add the value range of every row: the number of cut points below it."""
     keys = [measure] if measure else []
-    probabilities = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
+    probabilities = ", ".join(f"{i / (FAN * FAN)!r}D" for i in range(1, FAN * FAN))
     # Reading the count keeps this branch identical to the others, so that all
     # of them share one shuffle.
     cuts = counts.where(F.col(_N) > 0).groupBy(*keys).agg(
-        F.percentile_approx(_V, F.array(*[F.lit(p) for p in probabilities]), F.lit(2000)).alias("__cuts")
+        F.expr(f"percentile_approx({_V}, array({probabilities}), 2000)").alias("__cuts")
     )
     # one row (per measure): a fixed, tiny side
     joined = counts.join(F.broadcast(cuts), keys, "inner") if keys else counts.crossJoin(F.broadcast(cuts))
     # Two short comparison sums (FAN + FAN instead of FAN * FAN), all code-generated.
-    joined = joined.withColumn("__block", _cuts_below(F.lit(0), FAN))
-    joined = joined.withColumn(_R, F.col("__block") * FAN + _cuts_below(F.col("__block") * FAN, 1))
+    joined = joined.withColumn("__block", _cuts_below("0", FAN))
+    joined = joined.withColumn(_R, F.col("__block") * FAN + _cuts_below(f"__block * {FAN}", 1))
     return joined.drop("__cuts", "__block")
 
 
-def _cuts_below(offset: Column, step: int) -> Column:
+def _cuts_below(offset: str, step: int) -> Column:
     """How many of the FAN - 1 cuts ``offset + step * i - 1`` are below the value."""
-    hits = [F.get("__cuts", offset + step * i - 1) < F.col(_V) for i in range(1, FAN)]
-    return sum((h.cast("int") for h in hits[1:]), hits[0].cast("int"))
+    hits = [f"CAST(get(__cuts, {offset} + {step * i - 1}) < {_V} AS INT)" for i in range(1, FAN)]
+    return F.expr(" + ".join(hits))
 
 
 def range_totals(ranged: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -82,17 +82,14 @@ def positions(ranged: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFr
     return placed.withColumn("__before", F.col("__before_range") + F.sum(_N).over(within) - F.col(_N))
 
 
-def _any_position_in(start: Column, count: Column, total: Column, probabilities: Sequence[float]) -> Column:
-    hit = F.lit(False)
-    for p in probabilities:
-        for pos in _wanted(total, p):
-            hit = hit | ((pos >= start) & (pos < start + count))
-    return hit
+def _wanted(p: float, total: str = "__total") -> tuple[str, str]:
+    """The two positions a linear-interpolated quantile lies between."""
+    at = f"CAST({total} - 1 AS DOUBLE) * {float(p)!r}D"
+    return f"floor({at})", f"ceil({at})"
 
 
-def _wanted(total: Column, p: float) -> tuple[Column, Column]:
-    at = (total - 1).cast("double") * F.lit(float(p))
-    return F.floor(at), F.ceil(at)
+def _holds(position: str, start: str, count: str) -> str:
+    return f"({position} >= {start} AND {position} < {start} + {count})"
 
 
 def exact_quantiles(
@@ -120,26 +117,22 @@ def exact_quantiles(
     keys = by if single else [*by, _M]
     ranged = split_into_ranges(value_counts(measures, keys, "__x"), None if single else _M)
     totals = range_totals(ranged, keys)
-    needed = totals.where(
-        _any_position_in(F.col("__before_range"), F.col("__in_range"), F.col("__total"), probabilities)
-    )
-    rows = positions(ranged, needed, keys)
+    held = [_holds(pos, "__before_range", "__in_range") for p in probabilities for pos in _wanted(p)]
+    rows = positions(ranged, totals.where(" OR ".join(held)), keys)
     picks = []
     for name, (column, p) in wanted.items():
-        low, high = _wanted(F.col("__total"), p)
-        start, stop = F.col("__before"), F.col("__before") + F.col(_N)
-        mine = F.lit(True) if single else F.col(_M) == columns.index(column)
-        picks += [
-            F.max(F.when(mine & (low >= start) & (low < stop), F.col(_V))).alias(f"{name}__lo"),
-            F.max(F.when(mine & (high >= start) & (high < stop), F.col(_V))).alias(f"{name}__hi"),
-            F.max(F.when(mine, (F.col("__total") - 1) * F.lit(float(p)))).alias(f"{name}__at"),
-        ]
+        low, high = _wanted(p)
+        mine = "TRUE" if single else f"{_M} = {columns.index(column)}"
+        for end, pos in (("lo", low), ("hi", high)):
+            picks.append(F.expr(f"max(CASE WHEN {mine} AND {_holds(pos, '__before', _N)} THEN {_V} END)")
+                         .alias(f"{name}__{end}"))
+        picks.append(F.expr(f"max(CASE WHEN {mine} THEN CAST(__total - 1 AS DOUBLE) * {float(p)!r}D END)")
+                     .alias(f"{name}__at"))
     ends = rows.groupBy(*by).agg(*picks)
     out = []
     for name in wanted:
-        lo, hi, at = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__at")
-        value = lo + (hi - lo) * (at - F.floor(at))
-        out.append((value if digits is None else F.round(value, digits)).alias(name))
+        value = F.expr(f"`{name}__lo` + (`{name}__hi` - `{name}__lo`) * (`{name}__at` - floor(`{name}__at`))")
+        out.append((value if digits is None else rounded(value, digits)).alias(name))
     return ends.select(*by, *out)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions import parse
-from lodestay.functions.numeric import percentage
+from lodestay.functions.numeric import percentage, rounded
 from lodestay.operators.duplicates import duplicate_rows_exact, duplicate_rows_hashed
 
 DISTINCTS_PER_PASS = 12
@@ -190,7 +190,7 @@ def numeric_range_report(df: DataFrame, columns: Sequence[str], digits: int = 4)
             "distinct_count": F.count_distinct("value"),
             "minimum": F.min("value"),
             "maximum": F.max("value"),
-            "average": F.round(F.avg("value"), digits),
+            "average": rounded(F.avg("value"), digits),
         },
         {"median": ("value", 0.5, digits)},
     )
@@ -208,7 +208,7 @@ def text_length_report(df: DataFrame, text: str, digits: int = 2) -> DataFrame:
             "text_count": F.count("len"),
             "min_length": F.min("len").cast("bigint"),
             "max_length": F.max("len").cast("bigint"),
-            "avg_length": F.round(F.avg("len"), digits),
+            "avg_length": rounded(F.avg("len"), digits),
             "blank_count": F.count_if("blank"),
         },
         {"median_length": ("len", 0.5, digits)},

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestay.functions.numeric import rounded
 from lodestay.functions import parse
 
 DAYS_PER_YEAR = 365.25
@@ -19,7 +20,7 @@ FULL_WINDOW_DAYS = 365
 def events_per_year(count: str, span: str, minimum_span: int = MINIMUM_SPAN_DAYS, digits: int = 4):
     """Events per active year; NULL for a span too short to say."""
     rate = F.col(count) * F.lit(DAYS_PER_YEAR) / F.col(span)
-    return F.when(F.col(span) >= minimum_span, F.round(rate, digits))
+    return F.when(F.col(span) >= minimum_span, rounded(rate, digits))
 
 
 def event_rollup(
@@ -94,7 +95,7 @@ def calendar_rollup(normalised: DataFrame, full_window: int = FULL_WINDOW_DAYS)
     weekday = F.coalesce(~dow.isin(1, 7), F.lit(False))
 
     def rate(part: str, whole: str):
-        return F.round(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), 6)
+        return rounded(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), 6)
 
     out = normalised.groupBy("listing_id").agg(
         F.count(F.lit(1)).alias("calendar_days_observed"),
@@ -106,10 +107,10 @@ def calendar_rollup(normalised: DataFrame, full_window: int = FULL_WINDOW_DAYS)
         F.count_if(weekend & yes).alias("available_weekend_days"),
         F.count_if(weekday).alias("weekday_days_observed"),
         F.count_if(weekday & yes).alias("available_weekday_days"),
-        F.round(F.avg("min_nights"), 4).alias("calendar_avg_minimum_nights"),
+        rounded(F.avg("min_nights"), 4).alias("calendar_avg_minimum_nights"),
         F.min("min_nights").alias("calendar_minimum_nights_min"),
         F.max("min_nights").alias("calendar_minimum_nights_max"),
-        F.round(F.avg("max_nights"), 4).alias("calendar_avg_maximum_nights"),
+        rounded(F.avg("max_nights"), 4).alias("calendar_avg_maximum_nights"),
     )
     return out.select(
         "listing_id",

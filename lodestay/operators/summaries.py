@@ -8,12 +8,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestay.functions.numeric import join_on_keys
+from lodestay.functions.numeric import join_on_keys, rounded
 from lodestay.operators.ordering import approximate_quantiles, exact_quantiles
 
 
 def rounded_avg(column: str, digits: int) -> Column:
-    return F.round(F.avg(column), digits)
+    return rounded(F.avg(column), digits)
 
 
 def group_summary(
@@ -40,7 +40,7 @@ def group_summary(
     wanted = {k: (c, p) for k, (c, p, _) in quantiles.items()}
     q = exact_quantiles(df, by, wanted) if exact else approximate_quantiles(df, by, wanted)
     q = q.select(*by, *[
-        (F.col(k) if d is None else F.round(k, d)).alias(k) for k, (_, _, d) in quantiles.items()
+        (F.col(k) if d is None else rounded(k, d)).alias(k) for k, (_, _, d) in quantiles.items()
     ])
     if not by:
         # both sides are exactly one row, also for an empty input
@@ -53,7 +53,7 @@ def with_share(df: DataFrame, count: str, name: str, digits: int | None = 2) ->
     total = df.agg(F.sum(count).alias("__total"))
     share = F.lit(100.0) * F.col(count) / F.col("__total")
     out = df.crossJoin(F.broadcast(total))  # one row
-    return out.withColumn(name, share if digits is None else F.round(share, digits)).drop("__total")
+    return out.withColumn(name, share if digits is None else rounded(share, digits)).drop("__total")
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -86,7 +86,7 @@ def distribution(
 ) -> DataFrame:
     """count, min, max, average and (optionally) q1, median, q3 of one column."""
     def shown(c: Column) -> Column:
-        return c if digits is None else F.round(c, digits)
+        return c if digits is None else rounded(c, digits)
 
     aggs = {
         f"{prefix}count": F.count(column),
@@ -120,7 +120,7 @@ def iqr_outliers(df: DataFrame, column: str, digits: int = 2, k: float = 1.5) ->
         )
         .withColumn(
             "outlier_percentage",
-            F.round(F.lit(100.0) * F.col("outlier_count") / F.nullif("value_count", F.lit(0)), 2),
+            rounded(F.lit(100.0) * F.col("outlier_count") / F.nullif("value_count", F.lit(0)), 2),
         )
     )
 
@@ -149,8 +149,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         )
         .select(
             "bin",
-            F.round(F.col("lo") + F.col("bin") * width, 6).alias("bin_start"),
-            F.round(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("bin_end"),
+            rounded(F.col("lo") + F.col("bin") * width, 6).alias("bin_start"),
+            rounded(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("bin_end"),
             "row_count",
         )
     )
@@ -186,7 +186,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int | None
     for i, (a, b) in enumerate(pairs):
         varies = (F.col(f"x0{i}") < F.col(f"x1{i}")) & (F.col(f"y0{i}") < F.col(f"y1{i}"))
         r = F.when(varies, F.try_divide(F.col(f"c{i}"), F.col(f"sx{i}") * F.col(f"sy{i}")))
-        r = r if digits is None else F.round(r, digits)
+        r = r if digits is None else rounded(r, digits)
         for left, right in ((a, b), (b, a)):
             cells.append(F.struct(F.lit(left).alias("column_1"), F.lit(right).alias("column_2"), r.alias("correlation")))
     for i, c in enumerate(columns):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestay.functions.numeric import rounded
 from lodestay.operators import summaries as S
 from lodestay.plans.warehouse import PRICE
 
@@ -131,9 +132,9 @@ def rows_per_key_summary(df: DataFrame, key: str, distinct: str) -> DataFrame:
     return per_key.agg(
         F.count(F.lit(1)).alias("keys"),
         F.min("row_count").alias("min_rows"), F.max("row_count").alias("max_rows"),
-        F.round(F.avg("row_count"), 4).alias("avg_rows"),
+        rounded(F.avg("row_count"), 4).alias("avg_rows"),
         F.min("distinct_count").alias("min_distinct"), F.max("distinct_count").alias("max_distinct"),
-        F.round(F.avg("distinct_count"), 4).alias("avg_distinct"),
+        rounded(F.avg("distinct_count"), 4).alias("avg_distinct"),
     )
 
 
@@ -158,11 +159,11 @@ def per_key_flag_summary(df: DataFrame, key: str, flag: str) -> DataFrame:
     ).withColumn("share", F.col("yes") / F.col("rows"))
     return per_key.agg(
         F.min("yes").alias("min_available"), F.max("yes").alias("max_available"),
-        F.round(F.avg("yes"), 4).alias("avg_available"),
+        rounded(F.avg("yes"), 4).alias("avg_available"),
         F.min("no").alias("min_unavailable"), F.max("no").alias("max_unavailable"),
-        F.round(F.avg("no"), 4).alias("avg_unavailable"),
-        F.round(F.min("share"), 6).alias("min_rate"), F.round(F.max("share"), 6).alias("max_rate"),
-        F.round(F.avg("share"), 6).alias("avg_rate"),
+        rounded(F.avg("no"), 4).alias("avg_unavailable"),
+        rounded(F.min("share"), 6).alias("min_rate"), rounded(F.max("share"), 6).alias("max_rate"),
+        rounded(F.avg("share"), 6).alias("avg_rate"),
     )
 
 

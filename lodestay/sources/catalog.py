@@ -18,21 +18,18 @@ class Dataset:
     file_name: str
     kind: str  # csv, geojson or parquet
     description: str = ""
-    columns: tuple[str, ...] | None = None
     # listing tables spell "no value" in many ways; fact tables leave it empty
     missing_tokens: bool = False
 
 
 # Logical dataset names and the files behind them.
 LISTING_MARKET = (
-    Dataset("detailed_listings", "listings.csv.gz", "csv", "Listing attributes, one row per listing", None, True),
-    Dataset("summary_listings", "listings.csv", "csv", "Canonical listing population",
-            schemas.SUMMARY_LISTING_COLUMNS, True),
-    Dataset("calendar", "calendar.csv.gz", "csv", "One row per listing and day", schemas.CALENDAR_COLUMNS),
-    Dataset("detailed_reviews", "reviews.csv.gz", "csv", "One row per review", schemas.DETAILED_REVIEW_COLUMNS),
-    Dataset("summary_reviews", "reviews.csv", "csv", "Listing and date of every review",
-            schemas.SUMMARY_REVIEW_COLUMNS, True),
-    Dataset("neighbourhoods", "neighbourhoods.csv", "csv", "Area names", schemas.NEIGHBOURHOOD_COLUMNS, True),
+    Dataset("detailed_listings", "listings.csv.gz", "csv", "Listing attributes, one row per listing", True),
+    Dataset("summary_listings", "listings.csv", "csv", "Canonical listing population", True),
+    Dataset("calendar", "calendar.csv.gz", "csv", "One row per listing and day"),
+    Dataset("detailed_reviews", "reviews.csv.gz", "csv", "One row per review"),
+    Dataset("summary_reviews", "reviews.csv", "csv", "Listing and date of every review", True),
+    Dataset("neighbourhoods", "neighbourhoods.csv", "csv", "Area names", True),
     Dataset("neighbourhoods_geojson", "neighbourhoods.geojson", "geojson", "Area boundaries"),
 )
 
@@ -57,7 +54,7 @@ class Catalog:
     def load(self, name: str, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
         d = self.dataset(name)
         if d.kind == "csv":
-            df = read_csv(self.spark, self.path(name), d.columns, d.missing_tokens)
+            df = read_csv(self.spark, self.path(name), d.missing_tokens)
         elif d.kind == "geojson":
             df = read_areas(self.spark, self.path(name))
         else:
@@ -77,22 +74,15 @@ class Catalog:
         return self.spark.read.parquet(target)
 
 
-def read_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, missing_tokens: bool = False
-) -> DataFrame:
-    """Delimited text with a header as text columns; quoted line breaks are part of a value.
+def read_csv(spark: SparkSession, path: str, missing_tokens: bool = False) -> DataFrame:
+    """Delimited text with a header, every column as text; quoted line breaks are part of a value.
 
-    Only the header is read for the column list unless it is declared; a
-    declared column that the file lacks is an error at the scan.
+    Columns are found by name, so an added or moved column does no harm; the
+    only inference is reading the header line.
     """
-    reader = spark.read.options(
-        header=True, multiLine=True, quote='"', escape='"', enforceSchema=False, inferSchema=False
-    )
-    if columns is not None:
-        reader = reader.schema(schemas.text_schema(columns))
-    df = reader.csv(path)
+    df = spark.read.options(header=True, multiLine=True, quote='"', escape='"', inferSchema=False).csv(path)
     if missing_tokens:
-        df = df.select(*[parse.missing_token_to_null(c).alias(c) for c in df.columns])
+        df = df.select(*[parse.missing_token_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
     return df
 
 

@@ -1,4 +1,4 @@
-"""Declared layout of the seven source datasets.
+"""Column roles of the listing tables and the layout of area files.
 
 Delimited sources are read as text and typed by the cleaning policy, so that
 an unparseable value is counted instead of failing a read.
@@ -10,17 +10,6 @@ from pyspark.sql import types as T
 
 from lodestay.operators.cleaning import ColumnPolicy
 
-# Source column names, in file order.
-SUMMARY_LISTING_COLUMNS = (
-    "id", "name", "host_id", "host_profile_id", "host_name", "neighbourhood_group", "neighbourhood", "latitude",
-    "longitude", "room_type", "price", "minimum_nights", "number_of_reviews", "last_review", "reviews_per_month",
-    "calculated_host_listings_count", "availability_365", "number_of_reviews_ltm", "license",
-)
-SUMMARY_REVIEW_COLUMNS = ("listing_id", "date")
-CALENDAR_COLUMNS = ("listing_id", "date", "available", "minimum_nights", "maximum_nights")
-DETAILED_REVIEW_COLUMNS = ("listing_id", "id", "date", "reviewer_id", "reviewer_name", "comments")
-NEIGHBOURHOOD_COLUMNS = ("neighbourhood_group", "neighbourhood")
-
 # Columns by role.
 SUMMARY_POLICY = ColumnPolicy(
     key="id",
@@ -67,10 +56,6 @@ DETAIL_RENAMES = {
 }
 
 
-def text_schema(columns) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
 # Geometry is carried, never computed with: only its type and presence matter.
 AREA_COLLECTION_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
