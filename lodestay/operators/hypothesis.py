@@ -9,17 +9,25 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lodestay.functions.numeric import join_on_keys, rounded
 from lodestay.operators.ordering import positions, range_totals, split_into_ranges, value_counts
 from lodestay.operators.summaries import group_summary
 
 ALPHA = 0.05
 
 
-@F.pandas_udf("double")
-def _two_sided_p(z: pd.Series) -> pd.Series:
-    """Normal tail probability; runs on one result row per test (Spark has no erfc)."""
-    return z.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))) if v is not None and v == v else float("nan"))
+def two_sided_p(z: Column) -> Column:
+    """Normal tail probability of ``|z|``.
+
+    Spark has no erfc; this runs on one result row per test. The function is
+    local so that it travels to the workers by value.
+    """
+    def tail(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))))
+
+    return F.pandas_udf(tail, T.DoubleType())(z)
 
 
 def two_groups(df: DataFrame, column: str, measure: str, labels: dict) -> DataFrame:
@@ -61,8 +69,6 @@ def describe_groups(population: DataFrame, digits: int | None = None) -> DataFra
 
 def box_plot(population: DataFrame, digits: int | None = None, k: float = 1.5) -> DataFrame:
     """Box and whiskers per group; whiskers end at the last value inside the fences."""
-    from lodestay.functions.numeric import join_on_keys, rounded
-
     quartiles = group_summary(
         population, ["group"], {"n": F.count("value")},
         {"q1": ("value", 0.25, None), "median": ("value", 0.5, None), "q3": ("value", 0.75, None)},
@@ -118,7 +124,7 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
             F.col("n2").cast("bigint").alias("group_2_n"),
             F.col("u").alias("test_statistic"),
             "z",
-            _two_sided_p("z").alias("p_value"),
+            two_sided_p(F.col("z")).alias("p_value"),
             (F.try_divide(2.0 * F.col("u"), pairs) - 1.0).alias("effect_size_rank_biserial"),
         )
     )

@@ -209,13 +209,15 @@ def repeated_text(spark, sf):
     return duplicates.repeated_text_summary(table(spark, sf, "documents"), "text")
 
 
-@register("repeated_text_top", """SELECT row_count, left(text, 120) AS preview, length(text) AS text_length, distinct_conversations
-FROM (SELECT text, COUNT(*) AS row_count, COUNT(DISTINCT conv_id) AS distinct_conversations FROM conversations
+@register("repeated_text_top", """SELECT row_count, left(text, 120) AS preview, length(text) AS text_length,
+  distinct_documents, distinct_sources
+FROM (SELECT text, COUNT(*) AS row_count, COUNT(DISTINCT doc_id) AS distinct_documents,
+    COUNT(DISTINCT source) AS distinct_sources FROM documents
   WHERE text IS NOT NULL GROUP BY text HAVING COUNT(*) > 1)
 ORDER BY row_count DESC, preview, text_length LIMIT 20""")
 def repeated_text_top(spark, sf):
     return duplicates.top_repeated_texts(
-        table(spark, sf, "conversations"), "text", {"distinct_conversations": "conv_id"}, 20
+        table(spark, sf, "documents"), "text", {"distinct_documents": "doc_id", "distinct_sources": "source"}, 20
     )
 
 
