@@ -12,9 +12,10 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestay.functions.numeric import join_on_keys, rounded
+from lodestay.functions.numeric import rounded
 from lodestay.operators.ordering import exact_quantiles
 from lodestay.operators.summaries import at_or_below_quantile
+from lodestay.session import durable
 
 SEED = 42
 TEST_PERCENT = 20
@@ -22,6 +23,7 @@ MINIMUM_CATEGORY_ROWS = 10
 MISSING_CATEGORY = "Missing"
 RARE_CATEGORY = "__rare__"
 BROADCAST_CATEGORY_ROWS = 100_000
+NORMAL_EQUATION_FEATURES = 4096  # more need the iterative solver
 
 # The default target, features and the columns that would leak the target.
 TARGET = "price_best_available"
@@ -146,7 +148,7 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     stats = train.agg(
         *[F.avg(filled[c]).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(filled[c]).alias(f"s_{c}") for c in numeric]
     ).first()
-    categories = rare_category_map(train, spec.categorical).persist()
+    categories = durable(rare_category_map(train, spec.categorical))
     fitted = FittedFeatures(
         spec, medians, {c: stats[f"m_{c}"] for c in numeric}, {c: stats[f"s_{c}"] for c in numeric},
         categories, categories.count() <= BROADCAST_CATEGORY_ROWS,
@@ -170,15 +172,18 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     return fitted
 
 
-def fit_ridge(train: DataFrame, alpha: float) -> object:
+def fit_ridge(train: DataFrame, alpha: float, features: int) -> object:
     """Least squares + alpha * |w|^2 on ``features`` -> ``label``.
 
     Spark minimises the mean squared error on a label scaled by its standard
-    deviation, so the same penalty is alpha / n times that deviation.
+    deviation (population for the normal equations, sample for L-BFGS), so the
+    same penalty is alpha / n times that deviation.
     """
-    row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("s")).first()
+    normal = features <= NORMAL_EQUATION_FEATURES
+    spread = F.stddev_pop("label") if normal else F.stddev_samp("label")
+    row = train.agg(F.count(F.lit(1)).alias("n"), spread.alias("s")).first()
     return LinearRegression(
-        featuresCol="features", labelCol="label", elasticNetParam=0.0,
+        featuresCol="features", labelCol="label", elasticNetParam=0.0, solver="normal" if normal else "l-bfgs",
         regParam=alpha / row.n * (row.s or 1.0), standardization=False,
     ).fit(train)
 
@@ -213,14 +218,12 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
     """Split, fit the three models on log1p(target), score on the original scale."""
     spec = spec or ModelSpec()
     frame = with_split(modelling_frame(df, spec), spec.key, spec.seed).withColumn("label", F.log1p(spec.target))
-    # Read many times while fitting; lost blocks are recomputed from the plan.
-    frame = frame.persist()
+    frame = durable(frame)  # read many times while fitting
     train, test = frame.where(~F.col("is_test")), frame.where("is_test")
     features = fit_features(train, spec)
-    ready = features.transform(train).select("features", "label").persist()
+    ready = durable(features.transform(train).select("features", "label"))
     baseline = exact_quantiles(train, [], {"median": ("label", 0.5)}).first()
-    ridge, forest = fit_ridge(ready, spec.alpha), fit_forest(ready, spec)
-    ready.unpersist()
+    ridge, forest = fit_ridge(ready, spec.alpha, len(features.names)), fit_forest(ready, spec)
     scored = features.transform(test)
     scored = ridge.setPredictionCol("__ridge").transform(scored)
     scored = forest.setPredictionCol("__forest").transform(scored)

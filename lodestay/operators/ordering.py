@@ -8,7 +8,7 @@ third of a very large table. Here instead:
    so a hot group is spread out, and repeated values are combined map-side.
 2. value ranges are cut at approximate percentiles of those *distinct* rows
    (one bounded sketch, one row). Cut quality affects balance only.
-3. running totals are taken over (group, range) sums (at most ``FAN**2`` rows
+3. running totals are taken over (group, range) sums (at most ``RANGES`` rows
    per group) and then inside each range, never over a whole group.
 
 Quantiles read only the ranges that hold a wanted position. Steps 2 and 3 read
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import join_on_keys, rounded
 
-FAN = 16  # FAN * FAN value ranges
+FAN, LEVELS = 16, 2  # FAN ** LEVELS value ranges
+RANGES = FAN ** LEVELS
 _V, _N, _M, _R = "__value", "__n", "__measure", "__range"
 
 
@@ -38,31 +39,33 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[st
 def split_into_ranges(counts: DataFrame, measure: str | None = None) -> DataFrame:
     """Add the value range of every row: the number of cut points below it."""
     keys = [measure] if measure else []
-    probabilities = ", ".join(f"{i / (FAN * FAN)!r}D" for i in range(1, FAN * FAN))
+    probabilities = ", ".join(f"{i / RANGES!r}D" for i in range(1, RANGES))
     # Reading the count keeps this branch identical to the others, so that all
     # of them share one shuffle.
     cuts = counts.where(F.col(_N) > 0).groupBy(*keys).agg(
-        F.expr(f"percentile_approx({_V}, array({probabilities}), 2000)").alias("__cuts")
+        F.expr(f"percentile_approx({_V}, array({probabilities}), {4 * RANGES})").alias("__cuts")
     )
     # one row (per measure): a fixed, tiny side
     joined = counts.join(F.broadcast(cuts), keys, "inner") if keys else counts.crossJoin(F.broadcast(cuts))
-    # Two short comparison sums (FAN + FAN instead of FAN * FAN), all code-generated.
-    joined = joined.withColumn("__block", _cuts_below("0", FAN))
-    joined = joined.withColumn(_R, F.col("__block") * FAN + _cuts_below(f"__block * {FAN}", 1))
-    return joined.drop("__cuts", "__block")
+    # A search in LEVELS steps of FAN comparisons each. All of it is generated
+    # code, and short enough to be compiled (one long sum is not).
+    joined = joined.withColumn(_R, F.lit(0))
+    for level in reversed(range(LEVELS)):
+        joined = joined.withColumn(_R, F.expr(_deeper(FAN ** level)))
+    return joined.drop("__cuts")
 
 
-def _cuts_below(offset: str, step: int) -> Column:
-    """How many of the FAN - 1 cuts ``offset + step * i - 1`` are below the value."""
-    hits = [f"CAST(get(__cuts, {offset} + {step * i - 1}) < {_V} AS INT)" for i in range(1, FAN)]
-    return F.expr(" + ".join(hits))
+def _deeper(step: int) -> str:
+    """Advance the range start by ``step`` for every cut at that distance below the value."""
+    hits = [f"CAST(get(__cuts, {_R} + {step * i - 1}) < {_V} AS INT)" for i in range(1, FAN)]
+    return f"{_R} + {step} * ({' + '.join(hits)})"
 
 
 def range_totals(ranged: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows per (group, range), rows before the range, rows in the group."""
     sums = ranged.groupBy(*by, _R).agg(F.sum(_N).alias("__in_range"))
-    # Few rows per group (at most FAN * FAN). Without ``by`` there is one group,
-    # hence one partition of at most FAN * FAN rows.
+    # Few rows per group (at most RANGES). Without ``by`` there is one group,
+    # hence one partition of at most RANGES rows.
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     upto = whole.orderBy(_R).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return sums.select(

@@ -48,11 +48,18 @@ def group_summary(
     return join_on_keys(base, q, by, "left")
 
 
-def with_share(df: DataFrame, count: str, name: str, digits: int | None = 2) -> DataFrame:
-    """Share of each (already aggregated) row in the grand total."""
-    total = df.agg(F.sum(count).alias("__total"))
-    share = F.lit(100.0) * F.col(count) / F.col("__total")
-    out = df.crossJoin(F.broadcast(total))  # one row
+def with_share(df: DataFrame, count: str, name: str, digits: int | None = 2, labels_fixed: bool = False) -> DataFrame:
+    """Share of each (already aggregated) row in the grand total.
+
+    ``labels_fixed`` says that the groups are a fixed list of labels, so that
+    one task may see all of them; otherwise the total is a one-row join.
+    """
+    if labels_fixed:
+        total, out = F.sum(count).over(Window.partitionBy(F.lit(0))), df
+    else:
+        total = F.col("__total")
+        out = df.crossJoin(F.broadcast(df.agg(F.sum(count).alias("__total"))))  # one row
+    share = F.lit(100.0) * F.col(count) / total
     return out.withColumn(name, share if digits is None else rounded(share, digits)).drop("__total")
 
 

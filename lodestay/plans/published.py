@@ -22,7 +22,7 @@ def area_pricing(master: DataFrame, minimum: int = MINIMUM_AREA_LISTINGS) -> Dat
 
 
 def portfolio_concentration(master: DataFrame) -> DataFrame:
-    shares = with_share(host_portfolio_performance(master), "listing_count", "market_supply_percentage", 2)
+    shares = with_share(host_portfolio_performance(master), "listing_count", "market_supply_percentage", 2, labels_fixed=True)
     return shares.orderBy(F.desc("listing_count"))
 
 

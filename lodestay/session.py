@@ -6,7 +6,7 @@ deployment should start from.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED_CONF = {
     # AQE picks the number of reducers, splits skewed join partitions and
@@ -28,3 +28,16 @@ def build_session(app_name: str = "lodestay", master: str | None = None, conf: d
     for key, value in {**RECOMMENDED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` for repeated reading, cut off from its lineage where the cluster allows it.
+
+    With ``spark.checkpoint.dir`` set by the cluster the rows are checkpointed
+    there and survive lost executors. Without it they are only cached, and a
+    lost block is computed again from the plan.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    return df.persist()

@@ -63,14 +63,14 @@ class Catalog:
             df = df.select(*columns)
         return df if limit is None else df.limit(limit)
 
-    def land(self, name: str, target: str, partitions: int | None = None) -> DataFrame:
+    def land(self, name: str, target: str) -> DataFrame:
         """Write a source once as Parquet and read it back.
 
-        A gzip file is one task however large, so it is spread out before it
-        is written and every later job starts from splittable files.
+        A gzip or multi-line file is one task however large, so its rows are
+        rebalanced into even partitions before they are written, and every
+        later job starts from splittable files.
         """
-        df = self.load(name)
-        write_parquet(df.repartition(partitions) if partitions else df.repartition(), target)
+        write_parquet(self.load(name).hint("rebalance"), target)
         return self.spark.read.parquet(target)
 
 
