@@ -26,8 +26,10 @@ WHITESPACE = (
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.Z+-]*)?$"
+# Letters with which a cast would accept more than a plain number: type
+# suffixes (1.5d), nan, inf, hexadecimal floats. They are made unparseable.
+_LETTERS, _BLOCKED = "aAdDfFpP", "________"
+_DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.Z+-]*)?\s*$"
 
 
 def col(c: str | Column) -> Column:
@@ -57,20 +59,25 @@ def finite(c: str | Column) -> Column:
     return F.when(F.abs(c) < F.lit(float("inf")), c)
 
 
+def _number_without(c: str | Column, dropped: str) -> Column:
+    """Finite double of the text with the ``dropped`` characters taken out."""
+    plain = F.translate(col(c).cast("string"), _LETTERS + dropped, _BLOCKED)
+    return finite(plain.try_cast("double"))
+
+
 def number(c: str | Column) -> Column:
     """Text or numeric column -> finite double, NULL when not a number."""
-    text = strip(col(c).cast("string"))
-    return finite(F.when(text.rlike(_NUMBER), text.try_cast("double")))
+    return _number_without(c, "")
 
 
 def currency(c: str | Column) -> Column:
     """``$1,250.00`` -> 1250.0."""
-    return number(F.regexp_replace(col(c).cast("string"), r"[$,]", ""))
+    return _number_without(c, "$,")
 
 
 def percent(c: str | Column) -> Column:
     """``95%`` -> 95.0 (points on a 0-100 scale)."""
-    return number(F.regexp_replace(col(c).cast("string"), "%", ""))
+    return _number_without(c, "%")
 
 
 def boolean(c: str | Column) -> Column:
@@ -81,8 +88,8 @@ def boolean(c: str | Column) -> Column:
 
 def date(c: str | Column) -> Column:
     """ISO calendar date, with or without a time part; partial dates are NULL."""
-    text = strip(col(c).cast("string"))
-    return F.when(text.rlike(_DATE), F.substring(text, 1, 10).try_cast("date"))
+    text = col(c).cast("string")
+    return F.when(text.rlike(_DATE), text.try_cast("date"))
 
 
 def whole_number(c: str | Column) -> Column:
@@ -91,9 +98,8 @@ def whole_number(c: str | Column) -> Column:
     Plain digits are cast directly, so identifiers beyond 2**53 keep every
     digit; only other spellings go through a double.
     """
-    text = strip(col(c).cast("string"))
-    x = number(text)
-    return F.coalesce(text.try_cast("bigint"), F.when(x == F.floor(x), x.try_cast("bigint")))
+    x = number(c)
+    return F.coalesce(col(c).cast("string").try_cast("bigint"), F.when(x == F.floor(x), x.try_cast("bigint")))
 
 
 def yes_no_label(c: str | Column) -> Column:

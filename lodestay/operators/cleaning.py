@@ -101,26 +101,33 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     actions always do.
     """
     exprs = _cleaned(df, policy)
-    lines: list[tuple[str, str, Column, bool, str]] = []
+    text = _text_columns(df)
+    # Every value is parsed once, in a projection; the aggregate only counts.
+    seen, lines = [], []
+
+    def line(c: str, action: str, counter: Column, always: bool, note: str) -> None:
+        lines.append((c, action, counter, always, note))
 
     def parsed(c: str, action: str, failure: str, note: str) -> None:
-        before, after = _start(df, c), exprs[c]
-        lines.append((c, action, F.count(after), True, note))
-        lines.append((c, failure, F.count_if(before.isNotNull() & after.isNull()), False,
-                      "Present but unparseable values became NULL."))
-
-    for c in _text_columns(df):
-        lines.append((c, "blank_string_to_null", F.count_if(F.col(c).isNotNull() & parse.blank_to_null(c).isNull()),
-                      False, "Whitespace-only text became NULL; other text is unchanged."))
+        i = len(seen)
+        seen.extend([_start(df, c).isNotNull().alias(f"p{i}"), exprs[c].isNotNull().alias(f"p{i + 1}")])
+        line(c, action, F.count_if(f"p{i + 1}"), True, note)
+        line(c, failure, F.count_if(F.col(f"p{i}") & ~F.col(f"p{i + 1}")), False,
+             "Present but unparseable values became NULL.")
+
+    for c in text:
+        i = len(seen)
+        seen.append((F.col(c).isNotNull() & parse.blank_to_null(c).isNull()).alias(f"p{i}"))
+        line(c, "blank_string_to_null", F.count_if(f"p{i}"), False, "Whitespace-only text became NULL; other text is unchanged.")
     if policy.price and policy.price in df.columns:
         parsed(policy.price, "currency_to_numeric", "unparseable_price_to_null",
                f"Missing stays NULL; the original is kept in '{policy.price}_raw'.")
     for c in policy.present("dates", df):
         parsed(c, "parse_datetime", "invalid_date_to_nat", "Values in ISO form became dates.")
     for c in policy.present("categories", df):
-        before = _start(df, c).cast("string")
-        lines.append((c, "trim_category_whitespace", F.count_if(before != exprs[c]), True,
-                      "Surrounding whitespace removed; labels are not remapped."))
+        i = len(seen)
+        seen.append(F.coalesce(_start(df, c).cast("string") != exprs[c], F.lit(False)).alias(f"p{i}"))
+        line(c, "trim_category_whitespace", F.count_if(f"p{i}"), True, "Surrounding whitespace removed; labels are not remapped.")
     for c in policy.present("booleans", df):
         parsed(c, "normalize_boolean", "unknown_boolean_to_null", "Known spellings became true or false.")
     for c in policy.present("percents", df):
@@ -132,8 +139,8 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
         parsed(c, "convert_numeric", "unparseable_numeric_to_null", "Converted to nullable Float64.")
 
     rows = F.count(F.lit(1))
-    row = df.agg(rows.alias("rows"), *[counter.alias(f"a{i}") for i, (_, _, counter, _, _) in enumerate(lines)])
-    extra = len(clean(df, policy).columns) - len(df.columns)
+    row = df.select(*seen).agg(rows.alias("rows"), *[counter.alias(f"a{i}") for i, (_, _, counter, _, _) in enumerate(lines)])
+    extra = int(policy.price in df.columns and f"{policy.price}_raw" not in df.columns)
 
     def cell(column: str, action: str, affected: Column, keep: Column, note: Column) -> Column:
         return F.struct(

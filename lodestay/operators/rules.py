@@ -113,7 +113,7 @@ def _one(row: DataFrame, rule: Rule, dataset: str) -> DataFrame:
     return row.select(F.inline(F.array(cell)))
 
 
-def check_columns(df: DataFrame, dataset: str, required: Sequence[str], prefix: str) -> DataFrame:
+def column_rules(df: DataFrame, required: Sequence[str], prefix: str) -> list[tuple[Rule, Column]]:
     """One rule per required column; all rows are invalid when it is absent.
 
     An empty table therefore passes, whatever its columns.
@@ -124,7 +124,11 @@ def check_columns(df: DataFrame, dataset: str, required: Sequence[str], prefix:
         rule = Rule(f"{prefix}_{i:03d}", f"Required column '{name}' must exist", name,
                     notes="Later steps may not run without it.")
         rules.append((rule, F.lit(name not in present)))
-    return check_rows(df, dataset, rules)
+    return rules
+
+
+def check_columns(df: DataFrame, dataset: str, required: Sequence[str], prefix: str) -> DataFrame:
+    return check_rows(df, dataset, column_rules(df, required, prefix))
 
 
 def check_unique(df: DataFrame, dataset: str, rule: Rule, keys: Sequence[str]) -> DataFrame:

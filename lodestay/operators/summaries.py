@@ -45,7 +45,9 @@ def group_summary(
     if not by:
         # both sides are exactly one row, also for an empty input
         return base.crossJoin(q)
-    return join_on_keys(base, q, by, "left")
+    # Without NULL groups a plain equality does, and a query that asks for no
+    # quantile drops the join altogether.
+    return base.join(q, by, "left") if drop_null_groups else join_on_keys(base, q, by, "left")
 
 
 def with_share(df: DataFrame, count: str, name: str, digits: int | None = 2, labels_fixed: bool = False) -> DataFrame:

@@ -35,10 +35,9 @@ class _Sheet:
 
     def __init__(self, df: DataFrame, dataset: str, prefix: str, required=()):
         self.df, self.dataset, self.prefix = df, dataset, prefix
-        self.rows: list[tuple[Rule, Column]] = []
+        # column rules are counted in the same pass as the row rules
+        self.rows: list[tuple[Rule, Column]] = R.column_rules(df, required, f"{prefix}_SCHEMA")
         self.parts: list[DataFrame] = []
-        if required:
-            self.parts.append(R.check_columns(df, dataset, required, f"{prefix}_SCHEMA"))
 
     def has(self, *columns: str) -> bool:
         return all(c in self.df.columns for c in columns)
