@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ class FacetSpec:
 def facet_condition(df: DataFrame, spec: FacetSpec) -> Column:
     """The selections as one predicate, over the columns that exist.
 
-    Text facets compare the bare column, so the predicate reaches the scan.
+    Text and boolean facets compare the bare column, so they reach the scan.
     """
     condition = F.lit(True)
     types = dict(df.dtypes)
@@ -40,13 +41,20 @@ def facet_condition(df: DataFrame, spec: FacetSpec) -> Column:
             condition = condition & shown.isin(*values)
     for c, labels in spec.flags.items():
         if labels and c in types:
-            condition = condition & parse.yes_no_label(c).isin(*labels)
+            condition = condition & _flag_is(c, types[c], labels)
     for c, (low, high) in spec.ranges.items():
         if low is not None and high is not None and c in types:
             condition = condition & F.col(c).between(low, high)
     return condition
 
 
+def _flag_is(c: str, data_type: str, labels: Sequence[str]) -> Column:
+    if data_type != "boolean":
+        return parse.yes_no_label(c).isin(*labels)
+    wanted = {"Yes": F.col(c), "No": ~F.col(c), "Missing": F.col(c).isNull()}
+    return reduce(lambda a, b: a | b, [wanted[x] for x in labels if x in wanted], F.lit(False))
+
+
 def facet_filter(df: DataFrame, spec: FacetSpec) -> DataFrame:
     return df.where(facet_condition(df, spec))
 

@@ -134,7 +134,9 @@ def exact_quantiles(
     ends = rows.groupBy(*by).agg(*picks)
     out = []
     for name in wanted:
-        value = F.expr(f"`{name}__lo` + (`{name}__hi` - `{name}__lo`) * (`{name}__at` - floor(`{name}__at`))")
+        lo, hi, part = f"`{name}__lo`", f"`{name}__hi`", f"(`{name}__at` - floor(`{name}__at`))"
+        # the weighted form SQL engines use; equal ends need no arithmetic
+        value = F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {part}) + {hi} * {part} END")
         out.append((value if digits is None else rounded(value, digits)).alias(name))
     return ends.select(*by, *out)
 

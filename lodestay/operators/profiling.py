@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,19 +97,24 @@ def column_profile(
 def sample_values(df: DataFrame, columns: Sequence[str], n: int = 3) -> DataFrame:
     """The ``n`` smallest distinct non-NULL values of every column, as one line each.
 
-    One scan: columns are unpivoted, combined map-side, and a rank limit keeps
-    ``n`` rows per column on every partition before anything is gathered.
+    The k-th value is the minimum above the (k-1)-th: ``n`` scans that each
+    reduce to one row, and no value is shuffled, however long or repeated.
     """
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-    values = (
-        df.select(F.explode(F.array(*pairs)).alias("p"))
-        .select("p.column_name", "p.value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-    )
-    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
-    kept = values.withColumn("rank", rank).where(F.col("rank") <= n)
-    return kept.select("column_name", "rank", parse.one_line("value").alias("sample_value"))
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    row = texts.agg(*[F.min(f"c{i}").alias(f"v{i}_1") for i in range(len(columns))])
+    for k in range(2, n + 1):
+        above = [
+            F.min(F.when(F.col(f"c{i}") > F.col(f"v{i}_{k - 1}"), F.col(f"c{i}"))).alias(f"v{i}_{k}")
+            for i in range(len(columns))
+        ]
+        row = texts.crossJoin(F.broadcast(row)).agg(*[F.max(c).alias(c) for c in row.columns], *above)  # one row
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(k).alias("rank"), parse.one_line(f"v{i}_{k}").alias("sample_value")
+        )
+        for i, c in enumerate(columns) for k in range(1, n + 1)
+    ]
+    return row.select(F.inline(F.array(*cells))).where(F.col("sample_value").isNotNull())
 
 
 def joined_samples(samples: DataFrame, n: int = 3) -> DataFrame:

@@ -61,6 +61,7 @@ def refresh(spark: SparkSession, root: str, city: str, out: str) -> DataFrame:
     built = enrichment.build_master(canonical, detail, review_fact, calendar_fact, verify=True)
     C.write_parquet(built, f"{out}/enriched_listing_master")
     master = spark.read.parquet(f"{out}/enriched_listing_master")
+    cleaning.require_grain(master, "saved listing master", "id", canonical.count())
     metrics = enrichment.enrichment_metrics(canonical, detail, review_fact, calendar_fact, master)
     C.write_report(metrics, f"{out}/reports/enrichment_summary")
 
