@@ -41,3 +41,39 @@ def test_entry_is_lazy_and_keeps_the_population(spark, sf):
 def test_matches_sql(spark, con, sf, name):
     text, _, fine = compare(spark, con, name, entry_points.queries()[name], entry_points.oracle_sql()[name], sf)
     assert fine, text
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facets_and_columns_reach_the_scan(spark, sf, tmp_path):
+    from lodestay.operators.facets import FacetSpec, facet_filter
+
+    path = str(tmp_path / "master")
+    entry_points.queries()["enriched_master"](spark, sf).write.parquet(path)
+    spec = FacetSpec(choices={"neighbourhood": ["NATION_1"]}, flags={"host_is_superhost": ["Yes"]},
+                     ranges={"price_best_available": (10.0, 1e6)})
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # show the whole scan line
+    plan = final_plan(facet_filter(spark.read.parquet(path), spec).select("id"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    for part in ("EqualTo(neighbourhood,NATION_1)", "EqualTo(host_is_superhost,true)", "GreaterThanOrEqual(price_best_available"):
+        assert part in pushed
+    assert "room_type" not in pushed  # not read
+
+
+def test_quantiles_share_one_shuffle_of_the_input(spark, sf):
+    from lodestay.operators.ordering import exact_quantiles
+
+    lineitem = spark.read.parquet(f"{sf}/lineitem.parquet")
+    plan = final_plan(exact_quantiles(lineitem, ["l_returnflag"], {"m": ("l_extendedprice", 0.5)}))
+    current = plan.split("== Initial Plan ==")[0]
+    assert current.count("FileScan") == 1 and "ReusedExchange" in current and "CartesianProduct" not in current
+
+
+def test_unused_joins_are_dropped(spark, sf):
+    """Rollups are unique by construction, so a question that needs none of them joins none of them."""
+    plan = final_plan(entry_points.queries()["portfolio_segment"](spark, sf)).split("== Initial Plan ==")[0]
+    assert "lineitem.parquet" not in plan
