@@ -108,7 +108,8 @@ def check_rows(df: DataFrame, dataset: str, rules: Sequence[tuple[Rule, Column]]
     return df.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
-def _one(row: DataFrame, rule: Rule, dataset: str) -> DataFrame:
+def one_check(row: DataFrame, rule: Rule, dataset: str) -> DataFrame:
+    """Report row of a rule from a one-row table with ``invalid`` and ``total``."""
     cell = _report_row(rule, dataset, F.col("invalid"), F.col("total"))
     return row.select(F.inline(F.array(cell)))
 
@@ -138,7 +139,7 @@ def check_unique(df: DataFrame, dataset: str, rule: Rule, keys: Sequence[str]) -
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("invalid"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
     )
-    return _one(row, rule, dataset)
+    return one_check(row, rule, dataset)
 
 
 def check_no_extra_rows(df: DataFrame, dataset: str, rule: Rule, keys: Sequence[str]) -> DataFrame:
@@ -156,7 +157,7 @@ def check_no_extra_rows(df: DataFrame, dataset: str, rule: Rule, keys: Sequence[
     row = groups.agg(
         F.coalesce(F.sum(extra), F.lit(0)).alias("invalid"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")
     )
-    return _one(row, rule, dataset)
+    return one_check(row, rule, dataset)
 
 
 def check_reference(
@@ -187,7 +188,7 @@ def check_reference(
         F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("invalid"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
     )
-    return _one(row, rule, dataset)
+    return one_check(row, rule, dataset)
 
 
 def check_key_cover(

@@ -120,7 +120,7 @@ def summary_review_rules(df: DataFrame, listings: DataFrame, dataset: str = FILE
     )
     rule = s.rule(5, "Report repeated rows", ",".join(df.columns), WARNING,
                   "Several reviews of one listing on one day are genuine and are kept.")
-    s.parts.append(R._one(dup, rule, dataset))
+    s.parts.append(R.one_check(dup, rule, dataset))
     return s.report()
 
 
