@@ -233,12 +233,13 @@ def load(path: str, pattern: str) -> ByteBPE:
 
 def encode_documents(
     docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", digests_only: bool = False,
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document: its ids, the bytes that these decode to, and the digests of both.
 
     ``path`` is a rank file that every executor has. A null text counts as
-    empty: no ids, and the digests of nothing. Repeated rows are encoded each;
-    other columns are not read. ``digests_only`` leaves ids and bytes out.
+    empty: no ids, and the digests of nothing. Repeated rows are encoded each. ``digests_only`` leaves ids and bytes out;
+    with ``carry`` the other columns follow in the struct ``row``.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = load(path, pattern)
@@ -259,4 +260,4 @@ def encode_documents(
         return pa.RecordBatch.from_arrays(columns, names)
 
     schema = SCHEMA.rsplit(", ids", 1)[0] if digests_only else SCHEMA
-    return map_slices(texts(docs, doc_id, text), "text", schema, work)
+    return map_slices(texts(docs, doc_id, text, carry), "text", schema, work)

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text handled at a time inside a task; a longer text is handled alone.
 SLICE_BYTES = 4 << 20
@@ -42,17 +43,37 @@ def map_slices(
     df: DataFrame, column: str, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """``work`` over bounded slices of each partition; rows of ``df`` are not gathered anywhere."""
+    """``work`` over bounded slices of each partition; rows of ``df`` are not gathered anywhere.
+
+    A column ``row`` of ``df`` is handed on beside what ``work`` returns for each row.
+    """
+    carried = "row" in df.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, column, limit):
-                yield work(piece)
-    return df.mapInArrow(run, schema)
+                out = work(piece)
+                yield out.append_column("row", piece.column("row")) if carried else out
+
+    kind = StructType.fromDDL(schema)
+    return df.mapInArrow(run, kind.add(df.schema["row"]) if carried else kind)
+
+
+def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """Only the id and the UTF-8 bytes of the text, under fixed names, whatever else ``docs`` holds.
+
+    With ``carry`` all other columns follow in the struct ``row``, where no name of theirs can clash.
+    """
+    columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")]
+    if carry:
+        columns.append(F.struct(*(F.col(c) for c in docs.columns if c != text)).alias("row"))
+    return docs.select(*columns)
 
 
-def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the id and the UTF-8 bytes of the text, under fixed names, whatever else ``docs`` holds."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+def uncarried(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` again, their values from ``row``, with the new text and its length."""
+    fresh = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
+    return found.select(*(fresh.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
@@ -103,12 +124,12 @@ class Memo:
     memory begins anew.
     """
 
-    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int):
-        self.learn, self.limit = learn, limit
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int, dtype=np.int32):
+        self.learn, self.limit, self.dtype = learn, limit, dtype
         self._reset()
 
     def _reset(self) -> None:
-        self.places, self.codes, self.starts = _Places(), np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.places, self.codes, self.starts = _Places(), np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
     def __call__(self, groups: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Flat codes of all keys of all groups in order, and how many codes each group has."""
@@ -122,7 +143,7 @@ class Memo:
         if self.places.new:
             codes, counts = self.learn(self.places.new)
             self.places.new = []
-            self.codes = np.concatenate([self.codes, codes]).astype(np.int32)
+            self.codes = np.concatenate([self.codes, codes])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)]).astype(np.int64)
         at = np.fromiter(which, np.int64, len(which))
         n = self.starts[at + 1] - self.starts[at]

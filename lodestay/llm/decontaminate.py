@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import LOWER_ASCII, map_slices
+from lodestay.llm.common import LOWER_ASCII, map_slices, texts
 
 #: Words of items in one automaton; more items make more automata, one scan of the documents each.
 BLOCK_WORDS = 500_000
@@ -22,7 +22,7 @@ BLOCK_WORDS = 500_000
 _NO_WORD = bytes(c for c in range(0x80) if not (0x30 <= c <= 0x39 or 0x61 <= c | 0x20 <= 0x7A))
 _TO_WORDS = LOWER_ASCII.translate(bytes.maketrans(_NO_WORD, b" " * len(_NO_WORD)))
 
-SPANS = "doc_id long, text binary, spans array<int>, items array<string>"
+SPANS = "doc_id long, text binary, spans array<int>, items array<string>"  # of a scan that others follow
 SCHEMA = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, clean_text string"
 )
@@ -187,7 +187,7 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, window: int = 13, one_in: int = 20, doc_id: str = "doc_id",
-    text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    text: str = "text", item_id: str = "item_id", item_text: str = "text", carry: bool = False,
 ) -> DataFrame:
     """One row per document: words hit by windows of items, the items, the verdict, the text without the spans.
 
@@ -196,12 +196,12 @@ def decontaminate(
     of its words is. Null and empty texts have no words and
     are not contaminated; items without words or without an id have no window.
     Repeated rows are judged each, an item_id that occurs twice counts once,
-    and other columns are not read.
+    and other columns are not read, or with ``carry`` handed on in the struct
+    ``row``.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"),
-        F.lit(None).cast("array<int>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+    rows = texts(docs, doc_id, text, carry).withColumns(
+        {"spans": F.lit(None).cast("array<int>"), "items": F.lit(None).cast("array<string>")})
     blocks = [
         (uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in item_blocks(items, item_id, item_text)
     ] or [(uuid.uuid4().hex, spark.sparkContext.broadcast([]))]

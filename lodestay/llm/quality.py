@@ -29,7 +29,7 @@ class LineRules:
 
     ``punctuation``: a line fails if it has no letter, if it holds
     ``symbols_per_word`` or more characters of ``SYMBOLS`` for each word, or if
-    it has ``long_line`` words and no mark of ``ends`` at its end.
+    it has ``long_line`` words and none ends with a mark of ``ends``.
     ``navigation``: ``min_separators`` or more words are single separators and
     these are ``separator_share`` of all its words.
     ``boilerplate``: a line of up to ``boilerplate_words`` words holds one of
@@ -47,7 +47,7 @@ class LineRules:
     phrases: tuple[bytes, ...] = (
         b"all rights reserved", b"cookie", b"privacy policy", b"terms of use", b"terms of service",
         b"enable javascript", b"subscribe to our newsletter", b"sign up for our newsletter", b"skip to content",
-        b"click here to", b"licensed under", b"released under the", b"powered by",
+        b"click here to", b"powered by",
     )
     max_removed: float = 0.5
 
@@ -77,7 +77,7 @@ def failing_rule(line: bytes, words: list[bytes], rules: LineRules) -> str | Non
         return "navigation"
     if symbols >= rules.symbols_per_word * n:
         return "punctuation"
-    if n >= rules.long_line and not words[-1].endswith(rules.ends):
+    if n >= rules.long_line and not any(w.endswith(rules.ends) for w in words):
         return "punctuation"
     if not any(c >= 0x80 or 0x61 <= c | 0x20 <= 0x7A for c in words[0]) and not line.translate(
             None, bytes(c for c in range(0x80) if not 0x61 <= c | 0x20 <= 0x7A)):
@@ -123,12 +123,14 @@ def judge(text: bytes | None, rules: LineRules) -> tuple:
 
 def quality_rules(
     docs: DataFrame, rules: LineRules = LineRules(), doc_id: str = "doc_id", text: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document with its figures, the lines failed by rule, the verdict and the remaining text.
 
     A null or empty text has no words: it fails the base rule and is not kept.
     Repeated rows are judged each. Lines without a word are neither judged nor
-    removed. Other columns of ``docs`` are not read, whatever their names.
+    removed. Other columns of ``docs``, whatever
+    their names, are not read, or with ``carry`` handed on in the struct ``row``.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [judge(t, rules) for t in batch.column("text").to_pylist()]
@@ -137,4 +139,4 @@ def quality_rules(
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], _NAMES)
 
-    return map_slices(texts(docs, doc_id, text), "text", SCHEMA, work)
+    return map_slices(texts(docs, doc_id, text, carry), "text", SCHEMA, work)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.llm import (
-    byte_bpe, decontaminate, html_text, language, quality, token_counts, token_files, url_filter,
+    byte_bpe, decontaminate, html_text, language, quality, simhash, token_counts, token_files, url_filter,
 )
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -80,3 +80,8 @@ def op9_decontaminate(spark, sf_dir):
 def op10_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return html_text.extract_text(pages, html_text.learn_weights(pages))
+
+
+@register
+def op6_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
