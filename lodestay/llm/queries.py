@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.llm import (
-    byte_bpe, decontaminate, html_text, language, quality, simhash, token_counts, token_files, url_filter,
+    byte_bpe, decontaminate, html_text, language, quality, simhash, substrings, token_counts,
+    token_files, url_filter,
 )
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -85,3 +86,8 @@ def op10_main_text(spark, sf_dir):
 @register
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_repeated_passages(spark, sf_dir):
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text")
