@@ -133,19 +133,37 @@ class Memo:
 
     def __call__(self, groups: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Flat codes of all keys of all groups in order, and how many codes each group has."""
-        if len(self.places) > self.limit:
-            self._reset()
+        places = self._room()
         which: list[int] = []
         edges = [0]
         for keys in groups:
-            which.extend(map(self.places.__getitem__, keys))
+            which.extend(map(places.__getitem__, keys))
             edges.append(len(which))
+        return self._codes_of(np.fromiter(which, np.int64, len(which)), np.array(edges))
+
+    def of_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the words of each text, which Arrow splits at the six ASCII white spaces."""
+        places = self._room()
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), "").cast(pa.large_string()))
+        words = split.flatten()
+        some = pc.not_equal(pc.binary_length(words), 0)  # ends of a text that begins or ends with white space
+        filled = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))]).astype(np.int64)
+        offsets = split.offsets.to_numpy()
+        table = words.filter(some).dictionary_encode()
+        known = np.fromiter(map(places.__getitem__, table.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(table.dictionary))
+        return self._codes_of(known[table.indices.to_numpy()], filled[offsets - offsets[0]])
+
+    def _room(self) -> _Places:
+        if len(self.places) > self.limit:
+            self._reset()
+        return self.places
+
+    def _codes_of(self, at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.places.new:
             codes, counts = self.learn(self.places.new)
             self.places.new = []
             self.codes = np.concatenate([self.codes, codes])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)]).astype(np.int64)
-        at = np.fromiter(which, np.int64, len(which))
         n = self.starts[at + 1] - self.starts[at]
         ends = np.concatenate([[0], np.cumsum(n)])
-        return self.codes[ranges(self.starts[at], n)], np.diff(ends[np.array(edges)])
+        return self.codes[ranges(self.starts[at], n)], np.diff(ends[edges])

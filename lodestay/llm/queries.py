@@ -90,4 +90,4 @@ def op6_simhash(spark, sf_dir):
 
 @register
 def op1_repeated_passages(spark, sf_dir):
-    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text", "text_hash")

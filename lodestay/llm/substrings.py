@@ -63,9 +63,9 @@ def _word_codes() -> Memo:
     return Memo(learn, MEMO_WORDS, np.int64)
 
 
-def codes_of(texts_words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def codes_of(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit code of every word of all texts, flat, and the number of words of each."""
-    codes, lengths = _word_codes()(texts_words)
+    codes, lengths = _word_codes().of_words(texts_)
     return codes.view(np.uint64), lengths
 
 
@@ -133,16 +133,15 @@ def _lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
 def sketch(docs: DataFrame, spec: PassageSpec) -> DataFrame:
     """doc_id, n_words, SHA-256 of the words joined by blanks, and the distinct anchors of the text."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [words_of(t) for t in batch.column("text").to_pylist()]
-        codes, lengths = codes_of(words)
+        codes, lengths = codes_of(batch.column("text"))
         phrases, least = window_anchors(codes, lengths, spec)
         at = anchor_places(phrases, least, spec)
-        doc = np.repeat(np.arange(len(words)), lengths)[at]
+        doc = np.repeat(np.arange(len(lengths)), lengths)[at]
         pairs = np.unique(np.stack([doc.astype(np.uint64), phrases[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.uint64)
-        counts = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(words))
+        counts = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(lengths))
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(lengths, pa.int64()),
-             pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary()),
+             pa.array([hashlib.sha256(b" ".join(words_of(t))).digest() for t in batch.column("text").to_pylist()], pa.binary()),
              _lists(np.ascontiguousarray(pairs[:, 1]).view(np.int64), counts, pa.int64())],
             ["doc_id", "n_words", "sha", "anchors"])
 
@@ -169,7 +168,7 @@ def candidates(docs: DataFrame, hits: DataFrame) -> DataFrame:
 def windows(texts_: DataFrame, spec: PassageSpec) -> DataFrame:
     """(w1, w2, doc_id) of every window whose anchor is among the text's ``hits``."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, lengths = codes_of([words_of(t) for t in batch.column("text").to_pylist()])
+        codes, lengths = codes_of(batch.column("text"))
         _, least = window_anchors(codes, lengths, spec)
         some = _with_anchor(least, lengths, batch.column("hits"))
         w1, w2 = (gram_hashes(codes, spec.window, b)[some].view(np.int64) for b in _BASES)
@@ -198,7 +197,7 @@ def passages(owned: DataFrame, spec: PassageSpec) -> DataFrame:
         owners, pieces, anchors = [], [], []
         for owner, t, confirmed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "confirmed"))):
             words = words_of(t)
-            codes, _ = codes_of([words])
+            codes, _ = codes_of(pa.array([t], pa.binary()))
             found = gram_hashes(codes, spec.window).view(np.int64)
             places = np.flatnonzero(np.isin(found, np.array(confirmed, np.int64)))
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else []:
@@ -320,7 +319,8 @@ def without_spans(found: DataFrame) -> DataFrame:
 def repeated_passages(
     docs: DataFrame, spec: PassageSpec = PassageSpec(), doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """One row per document: n_words, n_removed, kept_sha256 and kept_text (null where nothing is removed).
+    """One row per document: n_words, n_removed, kept_sha256, kept_text (null where nothing is removed), and
+    the XXH64 of the text, which tells rows with one doc_id apart.
 
     A word goes if a window of ``spec.window`` words that covers it begins in
     a document with a smaller doc_id too; windows are judged on the input.
@@ -330,8 +330,9 @@ def repeated_passages(
     read.
     """
     rows = texts(docs, doc_id, text)
-    known = stored(sketch(rows, spec), "sketch")
-    slim = known.select("doc_id", "n_words", "sha")
+    hashed = rows.withColumn("row", F.struct(F.xxhash64("text").alias("text_hash")))
+    known = stored(sketch(hashed, spec), "sketch")
+    slim = known.select("doc_id", "n_words", "sha", F.col("row.text_hash").alias("text_hash"))
     firsts = slim.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first")).withColumnRenamed("sha", "key")
 
     # anchors that two different texts have; copies of a text do not count
@@ -371,4 +372,17 @@ def repeated_passages(
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(nothing)).when(F.col("rest").isNotNull(), F.sha2("rest", 256)).otherwise(
             F.lower(F.hex("sha"))).alias("kept_sha256"),
-        F.when(copy, F.lit("")).otherwise(F.col("rest")).alias("kept_text"))
+        F.when(copy, F.lit("")).otherwise(F.col("rest")).alias("kept_text"), "text_hash")
+
+
+def without_repeated_passages(
+    docs: DataFrame, spec: PassageSpec = PassageSpec(), doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``docs`` without the repeated passages. A text that loses nothing stays to the letter, one that loses words
+    has the others joined by blanks, and rows of which no word is left go."""
+    found = repeated_passages(docs, spec, doc_id, text).where("kept_text is not null").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept_text").alias("_kept"))
+    found = found.dropDuplicates(["_id", "_hash"])
+    same_row = (F.col(doc_id) == F.col("_id")) & (F.xxhash64(F.col(text).cast("binary")) == F.col("_hash"))
+    joined = docs.join(found, same_row, "left").where("_kept is null or _kept <> ''")
+    return joined.select(*(F.coalesce("_kept", text).alias(text) if c == text else docs[c] for c in docs.columns))

@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lodestay.llm.common import Memo, map_slices, texts, words_of
+from lodestay.llm.common import Memo, map_slices, texts
 
 SCHEMA = "doc_id long, n_words long, n_tokens long"
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 WORD_START = "▁"
 
 
@@ -102,8 +102,8 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     columns are not read.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, n_words = load(path)([words_of(t) for t in batch.column("text").to_pylist()])
-        sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        counts, n_words = load(path).of_words(batch.column("text"))
+        sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])  # one code a word: its pieces
         ends = np.cumsum(n_words)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(sums[ends] - sums[ends - n_words], pa.int64())],
