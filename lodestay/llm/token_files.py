@@ -16,37 +16,77 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import Memo, map_slices, shared_folder, slices, texts, words_of
+from lodestay.llm.common import Memo, map_slices, shared_folder, slices, texts
 
 #: Ids in a part, about; the number of parts follows the number of documents and tokens.
 PART_BYTES = 64 << 20
 #: Distinct words a task remembers.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 
 MANIFEST = "part int, n_docs long, n_tokens long, width int, ids_file string, offsets_file string, docs_file string"
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Memo:
-    """Encoder of words by the tokenizers library, once for each worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of words by the tokenizers library.
 
-    tokenizer = Tokenizer.from_file(path)
+    Most words are lower-case letters of the Latin blocks with perhaps a mark
+    at the end. The vocabulary's normaliser leaves those as they are and its
+    splitter makes one piece of the letters and one of the mark, so they go to
+    the library's merges at once. All others go through all of its steps.
+    """
 
-    def learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    MARKS = ".,;:!?"
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.of_mark = {m: self.encode(m) for m in self.MARKS}
+        # the visible characters that stand for bytes, by the library's own splitter
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = [chr(c) for c in range(0x80, 0x250) if chr(c).isalpha()]
+        self.visible = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in latin})
+
+    def encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def of_word(self, word: str) -> list[int]:
+        mark = self.of_mark.get(word[-1])
+        letters = word[:-1] if mark else word
+        if not (letters.isalpha() and max(letters) < "\u0250" and letters == letters.lower()):
+            return self.encode(word)
+        if not letters.isascii():
+            letters = letters.translate(self.visible)
+        ids = [t.id for t in self.merge(letters)]
+        return ids + mark if mark else ids
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.of_word(w.decode()) for w in words]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+
+
+@lru_cache(maxsize=2)
+def load(path: str) -> Memo:
+    """Once for each worker process."""
+    return Memo(WordEncoder(path), MEMO_WORDS)
+
 
-    return Memo(learn, MEMO_WORDS)
+def plain(texts_: pa.Array) -> pa.Array:
+    """The texts as the memory has their words: the vocabulary is lower-case, its special tokens are not."""
+    values = texts_.cast(pa.string())
+    return pc.if_else(pc.match_substring(values, "<|"), values, pc.ascii_lower(values))
 
 
 def vocabulary_size(path: str) -> int:
@@ -62,7 +102,7 @@ def encoded(docs: DataFrame, path: str, width: int, end_id: int, doc_id: str = "
     so that the ids of a text are those of its words, one after another.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts = load(path)([words_of(t) for t in batch.column("text").to_pylist()])
+        ids, counts = load(path).of_words(plain(batch.column("text")))
         ends = np.cumsum(counts)
         flat = np.insert(ids.astype(f"<u{width}"), ends, end_id).tobytes()
         offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * width
