@@ -29,6 +29,8 @@ WHITESPACE = (
 # Letters with which a cast would accept more than a plain number: type
 # suffixes (1.5d), nan, inf, hexadecimal floats. They are made unparseable.
 _LETTERS, _BLOCKED = "aAdDfFpP", "________"
+_NOT_WHITE = "[^" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]"
+_DIGITS = "^-?[0-9]{1,18}$"
 _DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.Z+-]*)?\s*$"
 
 
@@ -41,10 +43,15 @@ def strip(c: str | Column) -> Column:
     return F.trim(col(c), F.lit(WHITESPACE))
 
 
+def has_text(c: str | Column) -> Column:
+    """Whether a character other than ``WHITESPACE`` stands in the text (a search that stops at the first)."""
+    return col(c).rlike(_NOT_WHITE)
+
+
 def blank_to_null(c: str | Column) -> Column:
     """Whitespace-only text becomes NULL; other text is left as it is."""
     c = col(c)
-    return F.when(strip(c) != "", c)
+    return F.when(has_text(c), c)
 
 
 def missing_token_to_null(c: str | Column) -> Column:
@@ -98,8 +105,12 @@ def whole_number(c: str | Column) -> Column:
     Plain digits are cast directly, so identifiers beyond 2**53 keep every
     digit; only other spellings go through a double.
     """
+    text = col(c).cast("string")
     x = number(c)
-    return F.coalesce(col(c).cast("string").try_cast("bigint"), F.when(x == F.floor(x), x.try_cast("bigint")))
+    # beyond 2**53 a double is not exact, so longer numerals get a cast of their own; it is tried on these only
+    longer = F.when(F.abs(x) >= 2.0**53, text.try_cast("bigint"))
+    return F.when(text.rlike(_DIGITS), text.cast("bigint")).otherwise(
+        F.coalesce(longer, F.when(x == F.floor(x), x.try_cast("bigint"))))
 
 
 def yes_no_label(c: str | Column) -> Column:

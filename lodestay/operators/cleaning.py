@@ -7,7 +7,7 @@ exist. Cleaning is one projection; the audit is one aggregate over the input.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,8 +29,8 @@ class ColumnPolicy:
     percents: Sequence[str] = ()
     integers: Sequence[str] = ()
     floats: Sequence[str] = ()
-    # integer-role columns known to hold fractions (see ``fractional_columns``)
-    fractional: frozenset = field(default_factory=frozenset)
+    # integer-role columns stored as doubles; None: decided from the data (see ``fractional_columns``)
+    fractional: frozenset | None = None
 
     def present(self, role: str, df: DataFrame) -> list[str]:
         return sorted(c for c in getattr(self, role) if c in df.columns)
@@ -50,19 +50,25 @@ def fractional_columns(df: DataFrame, policy: ColumnPolicy) -> frozenset:
 
     A column is an integer column only if it has a value and all of them are
     whole. This decides the output schema, so it runs one aggregate (one row)
-    when called; pass the answer on as ``ColumnPolicy.fractional``.
+    when called; ``clean`` and ``audit`` call it unless the answer is passed on
+    as ``ColumnPolicy.fractional``.
     """
     names = policy.present("integers", df)
     if not names:
         return frozenset()
+    numbers = df.select(*[parse.number(c).alias(f"x{i}") for i, c in enumerate(names)])  # each parsed once
     aggs = []
-    for i, c in enumerate(names):
-        x = parse.number(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x != F.floor(x)).alias(f"f{i}")]
-    row = df.agg(*aggs).first()
+    for i in range(len(names)):
+        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.count_if(F.col(f"x{i}") != F.floor(f"x{i}")).alias(f"f{i}")]
+    row = numbers.agg(*aggs).first()
     return frozenset(c for i, c in enumerate(names) if row[f"n{i}"] == 0 or row[f"f{i}"] > 0)
 
 
+def decided(df: DataFrame, policy: ColumnPolicy) -> ColumnPolicy:
+    """``policy`` with its fractional columns known, so that no fraction is lost by default."""
+    return policy if policy.fractional is not None else replace(policy, fractional=fractional_columns(df, policy))
+
+
 def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
     """Cleaned expression of every column that has a role (blank text parses to NULL by itself)."""
     out: dict[str, Column] = {}
@@ -85,6 +91,7 @@ def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
 
 def clean(df: DataFrame, policy: ColumnPolicy) -> DataFrame:
     """The cleaned table: same rows, one extra column ``<price>_raw`` before the price."""
+    policy = decided(df, policy)
     exprs = _cleaned(df, policy)
     out = []
     for c in df.columns:
@@ -100,6 +107,7 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     Failure and blank actions appear only where they happened; parse and trim
     actions always do.
     """
+    policy = decided(df, policy)
     exprs = _cleaned(df, policy)
     text = _text_columns(df)
     # Every value is parsed once, in a projection; the aggregate only counts.
@@ -108,16 +116,17 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     def line(c: str, action: str, counter: Column, always: bool, note: str) -> None:
         lines.append((c, action, counter, always, note))
 
-    def parsed(c: str, action: str, failure: str, note: str) -> None:
+    def parsed(c: str, action: str, failure: str, note: str, value: Column | None = None) -> None:
         i = len(seen)
-        seen.extend([_start(df, c).isNotNull().alias(f"p{i}"), exprs[c].isNotNull().alias(f"p{i + 1}")])
+        value = exprs[c] if value is None else value
+        seen.extend([_start(df, c).isNotNull().alias(f"p{i}"), value.isNotNull().alias(f"p{i + 1}")])
         line(c, action, F.count_if(f"p{i + 1}"), True, note)
         line(c, failure, F.count_if(F.col(f"p{i}") & ~F.col(f"p{i + 1}")), False,
              "Present but unparseable values became NULL.")
 
     for c in text:
         i = len(seen)
-        seen.append((F.col(c).isNotNull() & parse.blank_to_null(c).isNull()).alias(f"p{i}"))
+        seen.append((~parse.has_text(c)).alias(f"p{i}"))
         line(c, "blank_string_to_null", F.count_if(f"p{i}"), False, "Whitespace-only text became NULL; other text is unchanged.")
     if policy.price and policy.price in df.columns:
         parsed(policy.price, "currency_to_numeric", "unparseable_price_to_null",
@@ -134,7 +143,10 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
         parsed(c, "percentage_to_numeric", "unparseable_percentage_to_null", "Points on a 0-100 scale.")
     for c in policy.present("integers", df):
         kind = "Float64" if c in policy.fractional else "Int64"
-        parsed(c, "convert_numeric", "unparseable_numeric_to_null", f"Converted to nullable {kind}.")
+        # an integer column holds no fraction, so what is a number converts (or is out of range)
+        x = parse.number(c)
+        value = x if c in policy.fractional else F.when(F.abs(x) < 2.0**63, x)
+        parsed(c, "convert_numeric", "unparseable_numeric_to_null", f"Converted to nullable {kind}.", value)
     for c in policy.present("floats", df):
         parsed(c, "convert_numeric", "unparseable_numeric_to_null", "Converted to nullable Float64.")
 

@@ -25,7 +25,7 @@ def two_sided_p(z: Column) -> Column:
     local so that it travels to the workers by value.
     """
     def tail(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))))
+        return values.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))), na_action="ignore")
 
     return F.pandas_udf(tail, T.DoubleType())(z)
 
@@ -102,13 +102,15 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
     counts = value_counts(rows, [], "value", {"__n1": F.count_if("in_first")})
     ranged = split_into_ranges(counts)
     placed = positions(ranged, range_totals(ranged, []), [])
-    n = F.col("__n").cast("double")
-    rank = F.col("__before") + (n + 1) / 2
+    n = F.col("__n")
+    # Twice a tie-averaged rank is a whole number: sums of these are exact in any order, whatever their size.
+    twice_rank = (F.col("__before") * 2 + n + 1).cast("decimal(19,0)") * F.col("__n1").cast("decimal(19,0)")
+    cubed = n.cast("double") * n * n - n  # a share of n**3 below, where a double's 16 digits do
     sums = placed.agg(
         F.sum("__n").cast("double").alias("n"),
         F.sum("__n1").cast("double").alias("n1"),
-        F.sum(rank * F.col("__n1")).alias("r1"),
-        F.sum(n * n * n - n).alias("ties"),
+        (F.sum(twice_rank) / 2).cast("decimal(38,1)").cast("double").alias("r1"),
+        F.sum(cubed).alias("ties"),
     ).withColumn("n2", F.col("n") - F.col("n1"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
     pairs = F.col("n1") * F.col("n2")
@@ -147,7 +149,7 @@ def hypothesis_row(
         F.max(F.when(F.col("group") == first, F.col("median"))).alias("group_1_median"),
         F.max(F.when(F.col("group") == second, F.col("median"))).alias("group_2_median"),
     )
-    reject = F.col("p_value") < alpha
+    reject = F.col("p_value") < alpha  # NULL where a group has no rows: no decision then
     return test.crossJoin(medians).select(  # one row each
         F.lit(name).alias("hypothesis"),
         F.lit(question).alias("business_question"),
@@ -162,9 +164,9 @@ def hypothesis_row(
         "p_value",
         "effect_size_rank_biserial",
         F.lit(alpha).alias("alpha"),
-        F.when(reject, "Reject H0").otherwise("Fail to reject H0").alias("decision"),
+        F.when(reject, "Reject H0").when(~reject, "Fail to reject H0").alias("decision"),
         F.when(reject, f"Significant evidence that {subject} differ.")
-        .otherwise(f"Insufficient evidence that {subject} differ.")
+        .when(~reject, f"Insufficient evidence that {subject} differ.")
         .alias("conclusion"),
     )
 

@@ -21,8 +21,6 @@ TEST_PERCENT = 20
 MINIMUM_CATEGORY_ROWS = 10
 MISSING_CATEGORY = "Missing"
 RARE_CATEGORY = "__rare__"
-BROADCAST_CATEGORY_ROWS = 100_000
-NORMAL_EQUATION_FEATURES = 4096  # more need the iterative solver
 
 # The default target, features and the columns that would leak the target.
 TARGET = "price_best_available"
@@ -54,6 +52,12 @@ class ModelSpec:
     trees: int = 200
     depth: int = 18
     minimum_leaf: int = 3
+    max_bins: int = 256  # values a continuous feature is cut into
+    ridge_iterations: int = 1000  # of the iterative solver; an error if it has not converged by then
+    ridge_tolerance: float = 1e-10
+    max_encoded_categories: int = 10_000  # one-hot columns; more are an error, as their labels live on the driver
+    # The models learn from about this many rows, chosen by a hash of the key; every test row is scored.
+    training_rows: int = 200_000
     seed: int = SEED
 
 
@@ -85,6 +89,12 @@ def with_split(df: DataFrame, key: str, seed: int = SEED, test_percent: int = TE
     return df.withColumn("is_test", split_bucket(key, seed) < test_percent)
 
 
+def training_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
+    """About ``spec.training_rows`` labelled rows, the same ones on every run; all of them if there are no more."""
+    share = min(1.0, spec.training_rows / max(1, train.count()))
+    return train.where(F.pmod(F.xxhash64(F.col(spec.key).cast("string"), F.lit(spec.seed)), F.lit(1 << 30)) < share * (1 << 30))
+
+
 def category_counts(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, category, rows) over the training rows, in one scan."""
     pairs = [
@@ -111,7 +121,6 @@ class FittedFeatures:
     means: dict
     deviations: dict
     categories: DataFrame
-    small_categories: bool
     encoder: PipelineModel | None = None
     names: list = field(default_factory=list)
 
@@ -129,8 +138,6 @@ class FittedFeatures:
             side = self.categories.where(F.col("feature") == c).select(
                 F.col("category").alias(f"__cat_{c}"), F.col("encoded_as").alias(f"__enc_{c}")
             )
-            if self.small_categories:  # counted when fitted
-                side = F.broadcast(side)
             df = df.join(side, F.col(c) == F.col(f"__cat_{c}"), "left").drop(f"__cat_{c}")
         return df.withColumns({f"__enc_{c}": F.coalesce(f"__enc_{c}", F.lit("__unseen__")) for c in spec.categorical})
 
@@ -150,8 +157,13 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     categories = durable(rare_category_map(train, spec.categorical))
     fitted = FittedFeatures(
         spec, medians, {c: stats[f"m_{c}"] for c in numeric}, {c: stats[f"s_{c}"] for c in numeric},
-        categories, categories.count() <= BROADCAST_CATEGORY_ROWS,
+        categories,
     )
+    encoded = categories.select("feature", "encoded_as").distinct().count()
+    if encoded > spec.max_encoded_categories:
+        raise ValueError(
+            f"{encoded} categories with {MINIMUM_CATEGORY_ROWS} rows or more; one-hot encoding takes up to "
+            f"{spec.max_encoded_categories} (ModelSpec.max_encoded_categories)")
     indexer = StringIndexer(
         inputCols=[f"__enc_{c}" for c in spec.categorical],
         outputCols=[f"__idx_{c}" for c in spec.categorical],
@@ -171,26 +183,28 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     return fitted
 
 
-def fit_ridge(train: DataFrame, alpha: float, features: int) -> object:
-    """Least squares + alpha * |w|^2 on ``features`` -> ``label``.
+def fit_ridge(train: DataFrame, spec: ModelSpec) -> object:
+    """Least squares + alpha * |w|^2 on ``features`` -> ``label``, by the same iterative solver at every size.
 
-    Spark minimises the mean squared error on a label scaled by its standard
-    deviation (population for the normal equations, sample for L-BFGS), so the
-    same penalty is alpha / n times that deviation.
+    Spark minimises the mean squared error on a label scaled by its sample
+    standard deviation, so the same penalty is alpha / n times that deviation.
     """
-    normal = features <= NORMAL_EQUATION_FEATURES
-    spread = F.stddev_pop("label") if normal else F.stddev_samp("label")
-    row = train.agg(F.count(F.lit(1)).alias("n"), spread.alias("s")).first()
-    return LinearRegression(
-        featuresCol="features", labelCol="label", elasticNetParam=0.0, solver="normal" if normal else "l-bfgs",
-        regParam=alpha / row.n * (row.s or 1.0), standardization=False,
+    row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("s")).first()
+    model = LinearRegression(
+        featuresCol="features", labelCol="label", elasticNetParam=0.0, solver="l-bfgs",
+        maxIter=spec.ridge_iterations, tol=spec.ridge_tolerance, regParam=spec.alpha / row.n * (row.s or 1.0),
+        standardization=False,
     ).fit(train)
+    if model.summary.totalIterations > spec.ridge_iterations:
+        raise RuntimeError("ridge regression has not converged (ModelSpec.ridge_iterations)")
+    return model
 
 
 def fit_forest(train: DataFrame, spec: ModelSpec) -> object:
     return RandomForestRegressor(
         featuresCol="features", labelCol="label", numTrees=spec.trees, maxDepth=spec.depth,
-        minInstancesPerNode=spec.minimum_leaf, featureSubsetStrategy="all", seed=spec.seed, maxMemoryInMB=512,
+        minInstancesPerNode=spec.minimum_leaf, maxBins=spec.max_bins, featureSubsetStrategy="all", seed=spec.seed,
+        maxMemoryInMB=512,
     ).fit(train)
 
 
@@ -211,6 +225,12 @@ class PriceExperiment:
     features: FittedFeatures
     ridge: object
     forest: object
+    held: Sequence[DataFrame] = ()
+
+    def close(self) -> None:
+        """Release what was kept for fitting; the result tables are computed anew if read later."""
+        for df in self.held:
+            df.unpersist()
 
 
 def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceExperiment:
@@ -218,11 +238,13 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
     spec = spec or ModelSpec()
     frame = with_split(modelling_frame(df, spec), spec.key, spec.seed).withColumn("label", F.log1p(spec.target))
     frame = durable(frame)  # read many times while fitting
-    train, test = frame.where(~F.col("is_test")), frame.where("is_test")
+    train, test = training_sample(frame.where(~F.col("is_test")), spec), frame.where("is_test")
     features = fit_features(train, spec)
-    ready = durable(features.transform(train).select("features", "label"))
+    # every tree level and every ridge iteration passes over these rows, so they are spread over all cores once
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    ready = durable(features.transform(train).select("features", "label").repartition(cores))
     baseline = exact_quantiles(train, [], {"median": ("label", 0.5)}).first()
-    ridge, forest = fit_ridge(ready, spec.alpha, len(features.names)), fit_forest(ready, spec)
+    ridge, forest = fit_ridge(ready, spec), fit_forest(ready, spec)
     scored = features.transform(test)
     scored = ridge.setPredictionCol("__ridge").transform(scored)
     scored = forest.setPredictionCol("__forest").transform(scored)
@@ -238,7 +260,7 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
         predictions,
         compare_models(predictions, "actual_price", models),
         feature_importance(df.sparkSession, features.names, forest),
-        features, ridge, forest,
+        features, ridge, forest, (frame, ready, features.categories),
     )
 
 

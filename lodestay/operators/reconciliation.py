@@ -90,16 +90,17 @@ def join_back_proof(df: DataFrame, keys: Sequence[str], identity: str) -> DataFr
 
 
 def group_examples(df: DataFrame, keys: Sequence[str], columns: Sequence[str], groups: int = 5) -> DataFrame:
-    """All rows of the ``groups`` most repeated keys."""
+    """All rows of the ``groups`` most repeated keys; a key with a NULL is no key."""
+    keyed = df.dropna(subset=list(keys))
     top = (
-        df.groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("group_size"))
         .where(F.col("group_size") > 1)
         .orderBy(F.desc("group_size"), *[F.asc(k) for k in keys])
         .limit(groups)
     )
     # at most ``groups`` rows on the right: a fixed, tiny side
-    return df.select(*keys, *columns).join(F.broadcast(top), list(keys), "inner")
+    return keyed.select(*keys, *columns).join(F.broadcast(top), list(keys), "inner")
 
 
 def structure_comparison(tables: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:

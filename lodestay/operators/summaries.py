@@ -180,21 +180,13 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int | None
     aggs, pairs = [], list(combinations(columns, 2))
     for i, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        aggs += [
-            F.regr_count(y, x).alias(f"n{i}"),
-            F.min(F.when(both, x)).alias(f"x0{i}"), F.max(F.when(both, x)).alias(f"x1{i}"),
-            F.min(F.when(both, y)).alias(f"y0{i}"), F.max(F.when(both, y)).alias(f"y1{i}"),
-            F.covar_pop(x, y).alias(f"c{i}"),
-            F.stddev_pop(F.when(both, x)).alias(f"sx{i}"), F.stddev_pop(F.when(both, y)).alias(f"sy{i}"),
-        ]
+        aggs += [F.regr_sxy(y, x).alias(f"xy{i}"), F.regr_sxx(y, x).alias(f"xx{i}"), F.regr_syy(y, x).alias(f"yy{i}")]
     for i, c in enumerate(columns):
         aggs += [F.min(F.col(c).cast("double")).alias(f"d0{i}"), F.max(F.col(c).cast("double")).alias(f"d1{i}")]
     row = df.agg(*aggs)
     cells = []
     for i, (a, b) in enumerate(pairs):
-        varies = (F.col(f"x0{i}") < F.col(f"x1{i}")) & (F.col(f"y0{i}") < F.col(f"y1{i}"))
-        r = F.when(varies, F.try_divide(F.col(f"c{i}"), F.col(f"sx{i}") * F.col(f"sy{i}")))
+        r = F.try_divide(F.col(f"xy{i}"), F.sqrt(F.col(f"xx{i}") * F.col(f"yy{i}")))  # no variance: 0, hence NULL
         r = r if digits is None else rounded(r, digits)
         for left, right in ((a, b), (b, a)):
             cells.append(F.struct(F.lit(left).alias("column_1"), F.lit(right).alias("column_2"), r.alias("correlation")))

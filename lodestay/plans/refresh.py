@@ -6,8 +6,6 @@ later stage never repeats an earlier one.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,18 +21,27 @@ def detail_attributes(cleaned_detail: DataFrame) -> DataFrame:
     return out.withColumn("detailed_source_available", F.lit(True))
 
 
-def refresh(spark: SparkSession, root: str, city: str, out: str) -> DataFrame:
-    """Run every stage; reports go to ``out/reports``. Returns the enriched master."""
+def refresh(spark: SparkSession, root: str, city: str, out: str, database: str | None = None) -> DataFrame:
+    """Run every stage; reports go to ``out/reports``. Returns the enriched master.
+
+    With ``database`` the dimensions and facts are also published as its tables.
+    """
     sources = C.Catalog(spark, root, city)
     raw = {}
     for name, dataset in sources.datasets.items():
         # gzip and multi-line text are read once, by one task per file, then land as Parquet
         raw[name] = sources.land(name, f"{out}/landed/{name}") if dataset.kind == "csv" else sources.load(name)
 
-    profiles = [profiling.column_profile(df, name) for name, df in raw.items()]
+    profiles = []
+    for name, df in raw.items():
+        samples = profiling.joined_samples(profiling.sample_values(df, df.columns))
+        profiles.append(profiling.column_profile(df, name).join(samples, "column_name", "left"))
     C.write_report(rules.combine(profiles), f"{out}/reports/column_profile")
-    tables = [profiling.table_profile(df, n, sources.dataset(n).file_name, sources.dataset(n).kind, exact=False)
-              for n, df in raw.items()]
+    tables = [
+        profiling.table_profile(df, n, sources.dataset(n).file_name, sources.dataset(n).kind, exact=False)
+        .crossJoin(sources.file_size(n))  # one row each
+        for n, df in raw.items()
+    ]
     C.write_report(rules.combine(tables), f"{out}/reports/dataset_summary")
 
     C.write_parquet(rulebook.full_report(raw), f"{out}/validation")
@@ -44,7 +51,7 @@ def refresh(spark: SparkSession, root: str, city: str, out: str) -> DataFrame:
 
     audits = []
     for name, policy in (("summary_listings", schemas.SUMMARY_POLICY), ("detailed_listings", schemas.DETAILED_POLICY)):
-        decided = replace(policy, fractional=cleaning.fractional_columns(raw[name], policy))
+        decided = cleaning.decided(raw[name], policy)
         C.write_parquet(cleaning.clean(raw[name], decided), f"{out}/cleaned/{name}")
         cleaning.require_grain(spark.read.parquet(f"{out}/cleaned/{name}"), name, policy.key, raw[name].count())
         audits.append(cleaning.audit(raw[name], decided, sources.dataset(name).file_name))
@@ -67,6 +74,10 @@ def refresh(spark: SparkSession, root: str, city: str, out: str) -> DataFrame:
 
     C.write_parquet(warehouse.dim_listings(master), f"{out}/dim_listings")
     C.write_parquet(warehouse.dim_neighbourhoods(master), f"{out}/dim_neighbourhoods")
+    if database:
+        for name in ("enriched_listing_master", "dim_listings", "dim_neighbourhoods", "review_listing_aggregates",
+                     "calendar_listing_aggregates"):
+            C.replace_table(spark.read.parquet(f"{out}/{name}"), f"{database}.{name}")
     warehouse.register_views(master)
     checks = warehouse.reconcile(master, review_fact, calendar_fact, canonical, reviews, calendar)
     C.write_report(checks, f"{out}/reports/warehouse_summary")

@@ -20,16 +20,18 @@ class Dataset:
     description: str = ""
     # listing tables spell "no value" in many ways; fact tables leave it empty
     missing_tokens: bool = False
+    # values may hold quoted line breaks; such a file cannot be split between tasks
+    multi_line: bool = True
 
 
 # Logical dataset names and the files behind them.
 LISTING_MARKET = (
     Dataset("detailed_listings", "listings.csv.gz", "csv", "Listing attributes, one row per listing", True),
     Dataset("summary_listings", "listings.csv", "csv", "Canonical listing population", True),
-    Dataset("calendar", "calendar.csv.gz", "csv", "One row per listing and day"),
+    Dataset("calendar", "calendar.csv.gz", "csv", "One row per listing and day", multi_line=False),
     Dataset("detailed_reviews", "reviews.csv.gz", "csv", "One row per review"),
-    Dataset("summary_reviews", "reviews.csv", "csv", "Listing and date of every review", True),
-    Dataset("neighbourhoods", "neighbourhoods.csv", "csv", "Area names", True),
+    Dataset("summary_reviews", "reviews.csv", "csv", "Listing and date of every review", True, multi_line=False),
+    Dataset("neighbourhoods", "neighbourhoods.csv", "csv", "Area names", True, multi_line=False),
     Dataset("neighbourhoods_geojson", "neighbourhoods.geojson", "geojson", "Area boundaries"),
 )
 
@@ -54,7 +56,7 @@ class Catalog:
     def load(self, name: str, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
         d = self.dataset(name)
         if d.kind == "csv":
-            df = read_csv(self.spark, self.path(name), d.missing_tokens)
+            df = read_csv(self.spark, self.path(name), d.missing_tokens, d.multi_line)
         elif d.kind == "geojson":
             df = read_areas(self.spark, self.path(name))
         else:
@@ -63,6 +65,11 @@ class Catalog:
             df = df.select(*columns)
         return df if limit is None else df.limit(limit)
 
+    def file_size(self, name: str) -> DataFrame:
+        """One row: bytes of the dataset's files, as the scan itself reports them."""
+        files = self.spark.read.format("binaryFile").load(self.path(name)).select("path", "length")
+        return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("file_size_bytes"))
+
     def land(self, name: str, target: str) -> DataFrame:
         """Write a source once as Parquet and read it back.
 
@@ -74,13 +81,13 @@ class Catalog:
         return self.spark.read.parquet(target)
 
 
-def read_csv(spark: SparkSession, path: str, missing_tokens: bool = False) -> DataFrame:
-    """Delimited text with a header, every column as text; quoted line breaks are part of a value.
+def read_csv(spark: SparkSession, path: str, missing_tokens: bool = False, multi_line: bool = True) -> DataFrame:
+    """Delimited text with a header, every column as text; with ``multi_line`` quoted line breaks are part of a value.
 
     Columns are found by name, so an added or moved column does no harm; the
     only inference is reading the header line.
     """
-    df = spark.read.options(header=True, multiLine=True, quote='"', escape='"', inferSchema=False).csv(path)
+    df = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False).csv(path)
     if missing_tokens:
         df = df.select(*[parse.missing_token_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
     return df

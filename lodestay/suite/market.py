@@ -12,7 +12,6 @@ dialect differences.
 
 from __future__ import annotations
 
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +82,7 @@ RAW_DETAIL = {
     "accommodates": "CASE WHEN o_orderkey % 23 = 0 THEN '0' ELSE CAST(month(o_orderdate) AS TEXT) END",
     "bathrooms": "concat(CAST(day(o_orderdate) % 4 AS TEXT), '.5')",
     "bedrooms": "CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE CAST(quarter(o_orderdate) - 1 AS TEXT) END",
-    "beds": "CAST(day(o_orderdate) % 5 AS TEXT)",
+    "beds": "concat(CAST(day(o_orderdate) % 5 AS TEXT), CASE WHEN o_orderkey % 7 = 0 THEN '.5' ELSE '' END)",
     "price": (
         "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('$', MONEY(o_totalprice)) END"
     ),
@@ -161,22 +160,18 @@ def _orders_with_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@cache  # the plan, not the data
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_orders_with_hosts(spark, sf_dir), RAW_LISTINGS)
 
 
-@cache  # the plan, not the data
 def raw_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_orders_with_hosts(spark, sf_dir).where("o_orderstatus <> 'P'"), RAW_DETAIL)
 
 
-@cache  # the plan, not the data
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "lineitem"), RAW_REVIEWS)
 
 
-@cache  # the plan, not the data
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "lineitem"), RAW_CALENDAR)
 
@@ -186,29 +181,24 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select(F.lit(None).cast("string").alias("neighbourhood_group"), F.col("n_name").alias("neighbourhood"))
 
 
-@cache  # the plan, not the data
 def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(raw_listings(spark, sf_dir), SUMMARY_POLICY)
 
 
-@cache  # the plan, not the data
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail_attributes(cleaning.clean(raw_detail(spark, sf_dir), DETAILED_POLICY))
 
 
-@cache  # the plan, not the data
 def review_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews without a listing cannot be joined to one and are left to the validation report."""
     rows = raw_reviews(spark, sf_dir).where(F.col("listing_id").isNotNull())
     return rollups.event_rollup(rows)
 
 
-@cache  # the plan, not the data
 def calendar_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.calendar_rollup(rollups.normalised_calendar(raw_calendar(spark, sf_dir)), FULL_WINDOW)
 
 
-@cache  # the plan, not the data
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.build_master(
         canonical(spark, sf_dir), detail(spark, sf_dir), review_fact(spark, sf_dir), calendar_fact(spark, sf_dir)

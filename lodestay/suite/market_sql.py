@@ -57,7 +57,7 @@ listings AS (SELECT
 detail AS (SELECT
     CAST(id AS BIGINT) AS listing_id, NULLIF(trim(property_type), '') AS detailed_property_type,
     {_whole('accommodates')} AS accommodates, TRY_CAST(bathrooms AS DOUBLE) AS bathrooms,
-    {_whole('bedrooms')} AS bedrooms, {_whole('beds')} AS beds,
+    {_whole('bedrooms')} AS bedrooms, TRY_CAST(beds AS DOUBLE) AS beds,
     {_blank('price')} AS detailed_price_raw, {_money('price')} AS detailed_price,
     {_whole('maximum_nights')} AS maximum_nights,
     {_flag('host_is_superhost')} AS host_is_superhost, {_flag('host_has_profile_pic')} AS host_has_profile_pic,

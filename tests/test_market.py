@@ -199,7 +199,7 @@ def test_ridge_equals_closed_form(spark):
     df = modelling.modelling_frame(model_rows(spark), SPEC).withColumn("label", F.log1p("y"))
     fitted = modelling.fit_features(df, SPEC)
     ready = fitted.transform(df).select("features", "label")
-    model = modelling.fit_ridge(ready, 1.0, len(fitted.names))
+    model = modelling.fit_ridge(ready, modelling.ModelSpec(alpha=1.0))
     rows = ready.collect()
     x = np.array([r.features.toArray() for r in rows])
     y = np.array([r.label for r in rows])

@@ -91,3 +91,13 @@ def test_two_groups_labels(spark):
     df = spark.createDataFrame([(True, 1.0), (False, 2.0), (None, 3.0), (True, None)], "f boolean, v double")
     rows = H.two_groups(df, "f", "v", {True: "yes", False: "no"}).collect()
     assert sorted((r.group, r.value) for r in rows) == [("no", 2.0), ("yes", 1.0)]
+
+
+def test_no_decision_without_rows(spark):
+    """An empty group, or no rows at all: the figures are unknown, and nothing is decided."""
+    for first in ([], [1.0, 2.0]):
+        rows = population(spark, first, [])
+        row = H.hypothesis_row(rows, "a", "b", "h", "q", "prices").first()
+        assert row.p_value is None and row.decision is None and row.conclusion is None
+    tied = H.hypothesis_row(population(spark, [1.0, 1.0], [1.0]), "a", "b", "h", "q", "prices").first()
+    assert tied.group_1_n == 2

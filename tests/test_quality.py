@@ -108,11 +108,9 @@ def dirty(spark):
 
 
 def test_clean_and_audit(spark):
-    from dataclasses import replace
-
     df = dirty(spark)
     assert cleaning.fractional_columns(df, POLICY) == {"beds", "empty"}
-    policy = replace(POLICY, fractional=frozenset({"beds", "empty"}))
+    policy = POLICY  # decides by itself
     out = cleaning.clean(df, policy)
     assert out.columns == ["id", "price_raw", "price", "day", "room", "flag", "rate", "beds", "empty", "score", "text"]
     types = dict(out.dtypes)
@@ -172,3 +170,22 @@ def test_profile(spark):
     assert (empty.missing_percentage, empty.minimum) == (0.0, None)
     lines = profiling.joined_samples(profiling.sample_values(df, ["id", "comments"])).collect()
     assert {r.column_name: r.sample_values for r in lines} == {"id": "1 | 2 | 3", "comments": "a"}
+
+
+def test_fractions_are_kept_by_default(spark):
+    df = spark.createDataFrame([("1", "2.5"), ("2", "3"), ("12345678901234567", "x")], "id string, beds string")
+    policy = cleaning.ColumnPolicy(key="id", integers=("id", "beds"))
+    out = cleaning.clean(df, policy)
+    assert dict(out.dtypes) == {"id": "bigint", "beds": "double"}
+    assert {r.id: r.beds for r in out.collect()} == {1: 2.5, 2: 3.0, 12345678901234567: None}
+    log = {(r.column_name, r.action): (r.affected_rows, r.notes) for r in cleaning.audit(df, policy, "f").collect()}
+    assert log["beds", "convert_numeric"][0] == 2 and "Float64" in log["beds", "convert_numeric"][1]
+    assert log["beds", "unparseable_numeric_to_null"][0] == 1 and "Int64" in log["id", "convert_numeric"][1]
+
+
+def test_examples_leave_out_keys_with_null(spark):
+    from lodestay.operators.reconciliation import group_examples
+
+    rows = [(None, i) for i in range(9)] + [("a", 1), ("a", 2), ("b", 3)]
+    got = group_examples(spark.createDataFrame(rows, "k string, v int"), ["k"], ["v"], groups=1).collect()
+    assert sorted((r.k, r.v, r.group_size) for r in got) == [("a", 1, 2), ("a", 2, 2)]

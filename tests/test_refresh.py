@@ -65,7 +65,7 @@ def make_city(root, latitude="52.1"):
 def test_full_run(spark, tmp_path):
     make_city(tmp_path / "raw" / "town")
     out = str(tmp_path / "out")
-    master = refresh(spark, str(tmp_path / "raw"), "Town ", out)
+    master = refresh(spark, str(tmp_path / "raw"), "Town ", out, database="default")
     rows = {r.id: r for r in master.collect()}
     assert sorted(rows) == list(range(1, 9))
     assert rows[1].price is None and rows[1].price_best_available == 1100.0 and rows[1].price_source == "detailed_listings"
@@ -83,6 +83,12 @@ def test_full_run(spark, tmp_path):
     assert len(metrics) == 15 and metrics["total_calendar_rows_aggregated"] == 8 * 365
     assert [r.neighbourhood_key for r in spark.read.parquet(f"{out}/dim_neighbourhoods").orderBy("neighbourhood").collect()] == [1, 2]
     assert len(spark.read.parquet(f"{out}/dim_listings").columns) == len(warehouse.DIM_LISTING_COLUMNS)
+    assert spark.table("default.dim_listings").count() == spark.table("default.enriched_listing_master").count() == 8
+    profile = spark.read.option("header", True).csv(f"{out}/reports/column_profile")
+    samples = {(r.dataset_name, r.column_name): r.sample_values for r in profile.collect()}
+    assert samples["neighbourhoods", "neighbourhood"] == "North | South"
+    sizes = {r.dataset_name: int(r.file_size_bytes) for r in spark.read.option("header", True).csv(f"{out}/reports/dataset_summary").collect()}
+    assert sizes["calendar"] == (tmp_path / "raw" / "town" / "calendar.csv.gz").stat().st_size and len(sizes) == 7
     via_sql = run_sql(spark, "SELECT * FROM vw_room_type_performance WHERE listing_count > :n", {"n": 1}).collect()
     assert [tuple(r) for r in via_sql] == [tuple(r) for r in published.room_type_pricing(master).collect()]
 
