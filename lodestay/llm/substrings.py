@@ -149,9 +149,10 @@ def sketch(docs: DataFrame, spec: PassageSpec) -> DataFrame:
 
 
 def candidates(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Texts with recurring anchors: doc_id (the first of the text), sha, the words joined by blanks, the anchors."""
+    """Texts with recurring anchors: doc_id (the first of the text), sha, the words joined by blanks, the anchors, and
+    the text's ``home``."""
     joined = docs.join(hits.withColumnRenamed("doc_id", "first"), F.col("doc_id") == F.col("first")).select(
-        "doc_id", "text", "sha", "hits")
+        "doc_id", "text", "sha", "hits", "home")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         lines = [b" ".join(words_of(t)) for t in batch.column("text").to_pylist()]
@@ -160,9 +161,9 @@ def candidates(docs: DataFrame, hits: DataFrame) -> DataFrame:
         rows = batch.filter(pa.array(same, pa.bool_()))
         return pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), rows.column("sha"), pa.array([x for x, k in zip(lines, same) if k], pa.binary()),
-             rows.column("hits")], ["doc_id", "sha", "text", "hits"])
+             rows.column("hits"), rows.column("home")], ["doc_id", "sha", "text", "hits", "home"])
 
-    return map_slices(joined, "text", "doc_id long, sha binary, text binary, hits array<long>", work)
+    return map_slices(joined, "text", "doc_id long, sha binary, text binary, hits array<long>, home long", work)
 
 
 def windows(texts_: DataFrame, spec: PassageSpec) -> DataFrame:
@@ -189,13 +190,13 @@ def _with_anchor(least: np.ndarray, lengths: np.ndarray, hits: pa.Array) -> np.n
 
 
 def passages(owned: DataFrame, spec: PassageSpec) -> DataFrame:
-    """Runs of confirmed windows in their owner, in pieces: owner, text, and the piece's own anchors.
+    """Runs of confirmed windows in their owner, in pieces: owner, its home, text, and the piece's own anchors.
 
-    ``owned``: doc_id, text, and ``confirmed``, first hashes of the windows that belong to the document.
+    ``owned``: doc_id, home, text, and ``confirmed``, first hashes of the windows that belong to the document.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owners, pieces, anchors = [], [], []
-        for owner, t, confirmed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "confirmed"))):
+        owners, homes, pieces, anchors = [], [], [], []
+        for owner, home, t, confirmed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "home", "text", "confirmed"))):
             words = words_of(t)
             codes, _ = codes_of(pa.array([t], pa.binary()))
             found = gram_hashes(codes, spec.window).view(np.int64)
@@ -206,14 +207,26 @@ def passages(owned: DataFrame, spec: PassageSpec) -> DataFrame:
                     b = min(a + PIECE_WORDS, int(run[-1]) + spec.window)
                     phrases, least = window_anchors(codes[a:b], np.array([b - a]), spec)
                     owners.append(owner)
+                    homes.append(home)
                     pieces.append(b" ".join(words[a:b]))
                     anchors.append(np.unique(phrases[anchor_places(phrases, least, spec)]).view(np.int64))
         flat = np.concatenate([*anchors, np.zeros(0, np.int64)])
         return pa.RecordBatch.from_arrays(
-            [pa.array(owners, pa.int64()), pa.array(pieces, pa.binary()),
-             _lists(flat, np.array([len(x) for x in anchors], np.int64), pa.int64())], ["owner", "text", "anchors"])
+            [pa.array(owners, pa.int64()), pa.array(homes, pa.int64()), pa.array(pieces, pa.binary()),
+             _lists(flat, np.array([len(x) for x in anchors], np.int64), pa.int64())], ["owner", "home", "text", "anchors"])
 
-    return map_slices(owned, "text", "owner long, text binary, anchors array<long>", work)
+    return map_slices(owned, "text", "owner long, home long, text binary, anchors array<long>", work)
+
+
+def sharded(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with a shard of about ``SHARD_BYTES``. Pieces of one home stay together as far as they fit, so that
+    a document that is like others needs few automata."""
+    sizes = pieces.groupBy("home").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    n_shards = 1 + (sizes.agg(F.sum("bytes")).first()[0] or 0) // SHARD_BYTES
+    parts = sizes.select(F.col("home").alias("of_home"), F.ceil(F.col("bytes") / SHARD_BYTES).alias("parts"))
+    part = F.pmod(F.xxhash64("owner", "text"), F.col("parts"))
+    return pieces.join(parts, F.col("home") == F.col("of_home")).select(
+        "owner", "text", "anchors", F.pmod(F.xxhash64("home", part), F.lit(n_shards)).alias("shard"))
 
 
 class Automaton:
@@ -261,18 +274,19 @@ class Automaton:
         return out
 
 
-def located(routed: DataFrame, pieces: DataFrame, spec: PassageSpec) -> DataFrame:
-    """(doc_id, sha, spans): ``routed`` documents streamed through the automata of their shards."""
-    tasks = routed.groupBy("shard").agg(F.ceil(F.count("*") / DOCS_PER_TASK).cast("int").alias("n")).select(
+def located(texts_: DataFrame, routes: DataFrame, pieces: DataFrame, spec: PassageSpec) -> DataFrame:
+    """(doc_id, sha, spans): documents streamed through the automata of the shards that ``routes`` names (d, k, shard)."""
+    tasks = routes.groupBy("shard").agg(F.ceil(F.count("*") / DOCS_PER_TASK).cast("int").alias("n")).select(
         F.col("shard").alias("s"), "n")
     none = F.lit(None)
     of_pieces = pieces.join(tasks, F.col("shard") == F.col("s")).select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("task"), F.lit(0).alias("kind"),
         F.col("owner").alias("doc_id"), none.cast("binary").alias("sha"), "text")
-    of_docs = routed.join(tasks, F.col("shard") == F.col("s")).select(
-        "shard", F.pmod(F.xxhash64("doc_id", "sha"), F.col("n")).cast("int").alias("task"), F.lit(1).alias("kind"),
-        "doc_id", "sha", "text")
-    n_parts = int(routed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = routes.join(tasks, F.col("shard") == F.col("s")).select(
+        "d", "k", "shard", F.pmod(F.xxhash64("d", "k"), F.col("n")).cast("int").alias("task"))
+    of_docs = texts_.join(dealt, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select(
+        "shard", "task", F.lit(1).alias("kind"), "doc_id", "sha", "text")
+    n_parts = int(texts_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = of_pieces.union(of_docs).repartition(n_parts, "shard", "task").sortWithinPartitions("shard", "task", "kind")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,32 +350,32 @@ def repeated_passages(
     firsts = slim.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first")).withColumnRenamed("sha", "key")
 
     # anchors that two different texts have; copies of a text do not count
-    of_text = known.where("doc_id is not null").select(F.explode("anchors").alias("h"), F.xxhash64("sha").alias("t"))
-    recurring = of_text.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select(F.col("h").alias("r"))
+    of_text = known.where("doc_id is not null").select(F.explode("anchors").alias("h"), F.xxhash64("sha").alias("t"), "doc_id")
+    recurring = of_text.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b"), F.min("doc_id").alias("home")).where(
+        "a <> b").select(F.col("h").alias("r"), "home")
     of_first = known.join(firsts, (F.col("sha") == F.col("key")) & (F.col("doc_id") == F.col("first"))).select(
         "doc_id", "sha", F.explode("anchors").alias("h"))
-    hits = of_first.join(recurring, F.col("h") == F.col("r")).groupBy("doc_id", "sha").agg(F.collect_set("h").alias("hits"))
+    # a text's home is the document that most of its anchors were first seen in: near copies have one home
+    hits = of_first.join(recurring, F.col("h") == F.col("r")).groupBy("doc_id", "sha").agg(
+        F.collect_set("h").alias("hits"), F.mode("home", True).alias("home"))
     texts_ = stored(candidates(rows, hits), "candidates")
 
     owned = windows(texts_, spec).groupBy("w1", "w2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("b"))
     owned = owned.where("owner <> b").groupBy("owner").agg(F.collect_list("w1").alias("confirmed"))
-    found = texts_.join(owned, F.col("doc_id") == F.col("owner")).select("doc_id", "text", "confirmed")
-    pieces = stored(passages(found, spec), "passages")
-    size = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_shards = 1 + size // SHARD_BYTES
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("owner", "text"), F.lit(n_shards)))
+    found = texts_.join(owned, F.col("doc_id") == F.col("owner")).select("doc_id", "home", "text", "confirmed")
+    pieces = stored(sharded(stored(passages(found, spec), "passages")), "shards")
 
     in_shard = pieces.select("shard", "owner", F.explode("anchors").alias("r")).groupBy("shard", "r").agg(F.min("owner").alias("owner"))
-    routes = texts_.select("doc_id", "sha", F.explode("hits").alias("h")).join(
+    routes = stored(texts_.select("doc_id", "sha", F.explode("hits").alias("h")).join(
         in_shard, (F.col("h") == F.col("r")) & (F.col("owner") < F.col("doc_id"))).select(
-        F.col("doc_id").alias("d"), F.col("sha").alias("k"), "shard").distinct()
-    routed = stored(texts_.drop("hits").dropDuplicates(["doc_id", "sha"]).join(
-        routes, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select("shard", "doc_id", "sha", "text"), "routed")
-
-    spans = located(routed, pieces, spec).groupBy("doc_id", "sha").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
-        F.col("doc_id").alias("d"), F.col("sha").alias("k"), "spans")
-    changed = without_spans(texts_.dropDuplicates(["doc_id", "sha"]).join(
-        spans, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select("doc_id", "sha", "text", "spans"))
+        F.col("doc_id").alias("d"), F.col("sha").alias("k"), "shard").distinct(), "routes")
+
+    slim_texts = texts_.select("doc_id", "sha", "text")
+    spans = located(slim_texts, routes, pieces, spec).groupBy("doc_id", "sha").agg(
+        F.flatten(F.collect_list("spans")).alias("spans")).select(F.col("doc_id").alias("d"), F.col("sha").alias("k"), "spans")
+    # rows that repeat a text under one doc_id have come along until here
+    changed = without_spans(slim_texts.join(spans, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select(
+        "doc_id", "sha", "text", "spans")).dropDuplicates(["first", "key"])
 
     copy = (F.col("doc_id") > F.col("first0")) & (F.col("n_words") >= spec.window)
     judged = slim.join(firsts.select(F.col("key").alias("key0"), F.col("first").alias("first0")), F.col("sha") == F.col("key0"), "left")
