@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.llm import (
-    byte_bpe, decontaminate, html_text, language, quality, simhash, substrings, token_counts,
+    byte_bpe, decontaminate, html_text, language, quality, simhash, sql, substrings, token_counts,
     token_files, url_filter,
 )
 
@@ -91,3 +91,11 @@ def op6_simhash(spark, sf_dir):
 @register
 def op1_repeated_passages(spark, sf_dir):
     return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text", "text_hash")
+
+
+ORACLES |= {
+    "op1_repeated_passages": sql.PASSAGES,
+    "op5_quality_rules": sql.quality(),
+    "op7_url_filter": sql.url_rules(URL_RULES, "allow"),
+    "op9_decontaminate": sql.CONTAMINATION,
+}
