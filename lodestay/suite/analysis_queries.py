@@ -459,7 +459,7 @@ def diagnostic_subset(spark, sf):
 
 
 #: Labelled rows the registered model queries learn from, about.
-TRAINING_ROWS = 2000
+TRAINING_ROWS = 1000
 _held: dict[tuple[str, str], modelling.PriceExperiment] = {}
 
 
