@@ -56,8 +56,6 @@ class ModelSpec:
     ridge_iterations: int = 1000  # of the iterative solver; an error if it has not converged by then
     ridge_tolerance: float = 1e-10
     max_encoded_categories: int = 10_000  # one-hot columns; more are an error, as their labels live on the driver
-    # The models learn from about this many rows, chosen by a hash of the key; every test row is scored.
-    training_rows: int = 200_000
     seed: int = SEED
 
 
@@ -89,12 +87,6 @@ def with_split(df: DataFrame, key: str, seed: int = SEED, test_percent: int = TE
     return df.withColumn("is_test", split_bucket(key, seed) < test_percent)
 
 
-def training_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
-    """About ``spec.training_rows`` labelled rows, the same ones on every run; all of them if there are no more."""
-    share = min(1.0, spec.training_rows / max(1, train.count()))
-    return train.where(F.pmod(F.xxhash64(F.col(spec.key).cast("string"), F.lit(spec.seed)), F.lit(1 << 30)) < share * (1 << 30))
-
-
 def category_counts(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, category, rows) over the training rows, in one scan."""
     pairs = [
@@ -234,11 +226,11 @@ class PriceExperiment:
 
 
 def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceExperiment:
-    """Split, fit the three models on log1p(target), score on the original scale."""
+    """Split, fit the three models on log1p(target) of all training rows, score all test rows on the original scale."""
     spec = spec or ModelSpec()
     frame = with_split(modelling_frame(df, spec), spec.key, spec.seed).withColumn("label", F.log1p(spec.target))
     frame = durable(frame)  # read many times while fitting
-    train, test = training_sample(frame.where(~F.col("is_test")), spec), frame.where("is_test")
+    train, test = frame.where(~F.col("is_test")), frame.where("is_test")
     features = fit_features(train, spec)
     # every tree level and every ridge iteration passes over these rows, so they are spread over all cores once
     cores = df.sparkSession.sparkContext.defaultParallelism

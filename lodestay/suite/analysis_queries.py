@@ -458,20 +458,18 @@ def diagnostic_subset(spark, sf):
     return modelling.diagnostic_rows(rows, "actual_price").select("id", "actual_price")
 
 
-#: Labelled rows the registered model queries learn from, about.
-TRAINING_ROWS = 1000
 _held: dict[tuple[str, str], modelling.PriceExperiment] = {}
 
 
 def _experiment(spark, sf):
-    """The full models (200 trees of depth 18) on a bounded sample of the training rows, all test rows scored; kept until another table or application asks; three queries read parts of it."""
+    """The full models (200 trees of depth 18) on all training rows, all test rows scored; kept until another table or application asks; three queries read parts of it."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _held:
         for (application, _), old in _held.items():
             if application == key[0]:
                 old.close()
         _held.clear()
-        _held[key] = modelling.run_price_experiment(M.master(spark, sf), modelling.ModelSpec(training_rows=TRAINING_ROWS))
+        _held[key] = modelling.run_price_experiment(M.master(spark, sf), modelling.ModelSpec())
     return _held[key]
 
 

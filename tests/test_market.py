@@ -1,6 +1,7 @@
 """Enrichment semantics, warehouse reconciliation, facets and price models on small fixtures."""
 
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from lodestay.operators import enrichment, facets, modelling, reconciliation, ro
 from lodestay.operators import summaries as S
 from lodestay.operators.cleaning import GrainError
 from lodestay.plans import warehouse
+from lodestay.suite import analysis_queries
 
 
 def test_derived_features(spark):
@@ -218,3 +220,22 @@ def test_price_experiment(spark):
     assert result.predictions.count() == result.predictions.select("id").distinct().count()
     scored = modelling.score(result.predictions, "actual_price", modelling.prediction_column(modelling.RIDGE), "r").first()
     assert scored.mae_eur == table[modelling.RIDGE].mae_eur
+
+
+def test_model_queries_learn_from_all_training_rows(spark, sf, monkeypatch):
+    """The tables of the queries agree with those over all rows; the forest is small here, its rows are not."""
+    fit, learned = modelling.fit_forest, []
+
+    def small(train, spec):
+        learned.append(train.count())
+        return fit(train, replace(spec, trees=2, depth=2))
+
+    monkeypatch.setattr(modelling, "fit_forest", small)
+    monkeypatch.setattr(analysis_queries, "_held", {})
+    dummy = analysis_queries.ridge_rf_compare(spark, sf).where(F.col("model") == modelling.DUMMY).drop("mae_improvement_pct")
+    assert dummy.collect() == analysis_queries.dummy_metrics(spark, sf).collect()
+    used = next(iter(analysis_queries._held.values())).features.categories
+    assert sorted(used.collect()) == sorted(analysis_queries.rare_category_map(spark, sf).collect())
+    frame = analysis_queries.model_frame(spark, sf)
+    assert learned == [frame.where("not is_test").count()] and learned[0] > 1000
+    assert analysis_queries.model_predictions(spark, sf).count() == frame.where("is_test").count()
