@@ -5,9 +5,11 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +25,9 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that are never part of an article, by name, by a word of class or id, and by role.
+#: Elements that are never part of an article, by name, by a word of class or id, and by role. Those of NEVER show no
+#: text of their own; the others may wrap an article.
+NEVER = frozenset("head title button select textarea noscript template iframe object svg canvas audio video".split())
 OUTSIDE = frozenset(
     "nav header footer aside form head title button select textarea noscript template iframe object svg canvas "
     "audio video dialog menu".split())
@@ -48,19 +52,27 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 LABEL = ("article", "main")
 
 
-def outside(name: str, attributes: str) -> bool:
-    """Whether an element is one that no article consists of."""
+def outside(name: str, attributes: str) -> str:
+    """What speaks against an element being part of an article, or an empty text.
+
+    ``never``: it shows no text, or is hidden. ``named``: it is by name or role
+    one that no article consists of. ``worded``: it is a form, or a word of its
+    class or id says so; such words may also tell what a page's wrapper has.
+    """
+    if name in NEVER:
+        return "never"
     if name in OUTSIDE:
-        return True
-    if not attributes.strip() or name in ("html", "body", *LABEL):
-        return False
+        return "worded" if name == "form" else "named"
+    if not attributes.strip() or name in ("html", "body"):
+        return ""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
-    if found.get("role", "").lower() in OUTSIDE_ROLES or "hidden" in found:
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
+    if "hidden" in found or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
+        return "never"
+    role = found.get("role", "").lower()
+    if role in OUTSIDE_ROLES and role != "form":
+        return "named"
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    return any(p.lower() in OUTSIDE_WORDS for p in _PARTS.findall(names))
+    return "worded" if role == "form" or any(p.lower() in OUTSIDE_WORDS for p in _PARTS.findall(names)) else ""
 
 
 @dataclass
@@ -74,25 +86,79 @@ class Run:
     labelled: bool = False
 
 
+@dataclass
+class Element:
+    """One that may be outside, or an ``article`` or ``main``: what ``outside`` says, and its bounds in runs."""
+
+    name: str
+    says: str
+    start: int
+    end: int = 0
+    in_article: bool = False
+
+
+def hide(out: list[Run], elements: list[Element]) -> None:
+    """Turns the words of elements that are outside into ``w:outside``.
+
+    One that wraps an ``article`` or ``main`` is not outside, unless it is
+    itself in an article or never shows text; nor is, on a page without
+    these, a ``worded`` one that holds most of the words that are no links.
+    An ``article`` that its own class or id marks, as that of a comment does,
+    only counts where there is no other.
+    """
+    def cover(which: list[Element]) -> list[int]:
+        steps = [0] * (len(out) + 1)
+        for e in which:
+            steps[e.start] += 1
+            steps[e.end] -= 1
+        return list(accumulate(steps))
+
+    off = [e for e in elements if e.says and e.name not in LABEL]
+    if not off:
+        return
+    never = cover([e for e in off if e.says == "never"])
+    labels = [e for e in elements if e.name in LABEL and not never[e.start]]
+    labels = [e for e in labels if e.name == "main" or not e.says] or labels
+    starts = [e.start for e in labels]  # ascending, as elements are in page order
+    words = [0, *accumulate(0 if never[i] or r.kind != "w:text" else r.words for i, r in enumerate(out))]
+
+    def wraps(e: Element) -> bool:
+        if labels:
+            return not e.in_article and bisect_right(starts, e.start) < bisect_left(starts, e.end)
+        return e.says == "worded" and 2 * (words[e.end] - words[e.start]) > words[-1]
+
+    for run, hidden in zip(out, cover([e for e in off if e.says == "never" or not wraps(e)])):
+        if hidden and run.kind[0] == "w":
+            run.kind = "w:outside"
+
+
 def runs_of(page: str) -> list[Run]:
     """The page in order. Elements are closed as far as tags tell; what is never closed ends with the page."""
+    return parsed(page)[0]
+
+
+def parsed(page: str) -> tuple[list[Run], list[Element]]:
+    """The runs of ``runs_of``, and the elements that decide what of them is outside."""
     out: list[Run] = []
-    stack: list[tuple[str, bool]] = []
-    hidden = links = labels = 0
+    elements: list[Element] = []
+    stack: list[tuple[str, Element | None]] = []
+    links = labels = articles = 0
     at = 0
 
     def text(upto: int) -> None:
         if upto > at:
             value = html.unescape(page[at:upto])
-            kind = "w:outside" if hidden else "w:link" if links else "w:text"
+            kind = "w:link" if links else "w:text"
             out.append(Run(kind, len(value.split()), value, labelled=labels > 0))
 
     def pop_to(k: int) -> None:
-        nonlocal hidden, links, labels
-        for name, off in stack[k:]:
-            hidden -= off
+        nonlocal links, labels, articles
+        for name, element in stack[k:]:
+            if element:
+                element.end = len(out)
             links -= name == "a"
             labels -= name in LABEL
+            articles -= name == "article"
         del stack[k:]
 
     for m in _TOKEN.finditer(page):
@@ -122,13 +188,18 @@ def runs_of(page: str) -> list[Run]:
                     break
         out.append(Run("t:" + name, breaks=block, labelled=labels > 0))
         if name not in VOID and not m["attributes"].endswith("/"):
-            off = outside(name, m["attributes"])
-            stack.append((name, off))
-            hidden += off
+            says = outside(name, m["attributes"])
+            element = Element(name, says, len(out), in_article=articles > 0) if says or name in LABEL else None
+            if element:
+                elements.append(element)
+            stack.append((name, element))
             links += name == "a"
             labels += name in LABEL
+            articles += name == "article"
     text(len(page))
-    return out
+    pop_to(0)
+    hide(out, elements)
+    return out, elements
 
 
 @dataclass(frozen=True)

@@ -323,6 +323,29 @@ def test_main_text_of_labelled_layouts(spark):
     assert html_text.extract_text(pages.limit(0), html_text.learn_weights(pages.limit(0))).count() == 0
 
 
+WRAPPED = [
+    *[(f"<html><body><nav><a href='/'>Home</a></nav>{start}{inner}{end}<footer>Someone or other</footer></body></html>", want)
+      for start, end in (("<div class='layout has-sidebar'>", "</div>"), ("<div id='page-with-comments'>", "</div>"),
+                         ("<div class='no-footer'><div class=x>", "</div></div>"), ("<form id='aspnetForm'>", "</form>"))
+      for inner, want in (
+          ("<article><p>A text of some words.</p></article><div class='sidebar'>So many other words stand here</div>", "A text of some words."),
+          ("<main><p>A text of some words.</p></main><div class='comments'><article class='comment'>Great</article></div>", "A text of some words."),
+          ("<p>A text of some words without an article.</p><div class='sidebar'>Other words</div>", "A text of some words without an article."))],
+    ("<article><p>A text of some words.</p><div class='comments'><article><p>A reader has many words to say here</p></article></div></article>",
+     "A text of some words."),
+]
+
+
+def test_main_text_in_wrappers(spark):
+    for p, want in WRAPPED:
+        assert html_text.main_text(p, html_text.Weights()) == want, p
+    pages = spark.createDataFrame([(i, "u", p) for i, (p, _) in enumerate(WRAPPED)], "page_id long, url string, html string")
+    weights = html_text.learn_weights(pages)
+    assert weights.words["w:text"] > weights.words["w:outside"]
+    got = {r.page_id: r.text for r in html_text.extract_text(pages, weights).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(WRAPPED)}
+
+
 def test_main_text_of_the_table(spark, sf):
     for r in queries.op10_main_text(spark, sf).join(spark.read.parquet(f"{sf}/pages.parquet").drop("url"), "page_id").collect():
         inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
