@@ -229,10 +229,31 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def whole_region(runs: list[Run], elements: list[Element], a: int, b: int) -> tuple[int, int]:
+    """The region ``runs[a:b]`` with all of the blocks at its ends.
+
+    Where the page has one ``article``, or without any one ``main``, and the
+    region lies in it in part, all of that element is in the region too.
+    """
+    if a == b:
+        return a, b
+    for name in LABEL:
+        found = [e for e in elements if e.name == name]
+        if len(found) == 1 and found[0].start < b and a < found[0].end:
+            a, b = min(a, found[0].start), max(b, found[0].end)
+        if found:
+            break
+    while a and not runs[a].breaks and not runs[a - 1].breaks:
+        a -= 1
+    while b < len(runs) and not runs[b - 1].breaks and not runs[b].breaks:
+        b += 1
+    return a, b
+
+
 def main_text(page: str | None, weights: Weights) -> str:
-    """Blocks of the best region, in page order, with two line ends between them."""
-    runs = runs_of(page or "")
-    a, b = best_region([weights.of(r) for r in runs])
+    """Whole blocks of the best region, in page order, with two line ends between them."""
+    runs, elements = parsed(page or "")
+    a, b = whole_region(runs, elements, *best_region([weights.of(r) for r in runs]))
     blocks: list[str] = []
     now: list[str] = []
     for run in runs[a:b]:

@@ -346,6 +346,18 @@ def test_main_text_in_wrappers(spark):
     assert got == {i: want for i, (_, want) in enumerate(WRAPPED)}
 
 
+@pytest.mark.parametrize("around", [("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")])
+def test_links_at_the_edges_stay(around):
+    text = "<p><a href='/b'>Some place</a> has a text of some words, and more of them.<p>The last words. Source: <a href='/s'>a name</a></p>"
+    want = "Some place has a text of some words, and more of them.\n\nThe last words. Source: a name"
+    nav, foot = "<nav><a href='/'>Home</a></nav>", "<footer><a href='/f'>Someone</a></footer>"
+    title = "" if around[0] == "<div>" else "<h1><a href='/t'>Title</a></h1>"
+    end = "" if around[0] == "<div>" else "<p><a href='/e'>At the end</a></p>"
+    for weights in (html_text.Weights(), html_text.Weights({"w:text": 0.6, "w:link": -4.0, "w:outside": -5.0}, {}, -0.5)):
+        got = html_text.main_text(f"<body>{nav}{around[0]}{title}{text}{end}{around[1]}{foot}</body>", weights)
+        assert got == (f"Title\n\n{want}\n\nAt the end" if title else want), weights
+
+
 def test_main_text_of_the_table(spark, sf):
     for r in queries.op10_main_text(spark, sf).join(spark.read.parquet(f"{sf}/pages.parquet").drop("url"), "page_id").collect():
         inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
