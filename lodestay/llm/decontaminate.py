@@ -22,7 +22,7 @@ BLOCK_WORDS = 500_000
 _NO_WORD = bytes(c for c in range(0x80) if not (0x30 <= c <= 0x39 or 0x61 <= c | 0x20 <= 0x7A))
 _TO_WORDS = LOWER_ASCII.translate(bytes.maketrans(_NO_WORD, b" " * len(_NO_WORD)))
 
-SPANS = "doc_id long, text binary, spans array<int>, items array<string>"  # of a scan that others follow
+SPANS = "doc_id long, text binary, spans array<int>, full array<int>, items array<string>"  # of a scan that others follow
 SCHEMA = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, clean_text string"
 )
@@ -131,8 +131,11 @@ class SuffixAutomaton:
             if length >= shortest[state]:
                 yield state, length, i
 
-    def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Spans of words inside occurrences of windows, merged, and the items that have occurrences."""
+    def hits(self, words: list[bytes], full: list[tuple[int, int]] | None = None) -> tuple[list[tuple[int, int]], set[str]]:
+        """Spans of words inside occurrences of windows, merged, and the items that have occurrences.
+
+        ``full`` gets the occurrences of windows of ``window`` words.
+        """
         spans: list[list[int]] = []
         items: set[str] = set()
         for state, length, i in self.matches(words):
@@ -145,6 +148,8 @@ class SuffixAutomaton:
                 s = self.suffix[s]
             if not longest:
                 continue
+            if longest == self.window and full is not None:
+                full.append((i - longest, i))
             start = i - longest
             while spans and spans[-1][0] >= start:
                 spans.pop()
@@ -195,13 +200,16 @@ def decontaminate(
     A document is contaminated if a word is hit and at least one of ``one_in``
     of its words is. Null and empty texts have no words and
     are not contaminated; items without words or without an id have no window.
+    From a document that is not contaminated only windows of ``window`` words
+    are cut: a shorter item may be a common phrase.
     Repeated rows are judged each, an item_id that occurs twice counts once,
     and other columns are not read, or with ``carry`` handed on in the struct
     ``row``.
     """
     spark = docs.sparkSession
     rows = texts(docs, doc_id, text, carry).withColumns(
-        {"spans": F.lit(None).cast("array<int>"), "items": F.lit(None).cast("array<string>")})
+        {"spans": F.lit(None).cast("array<int>"), "full": F.lit(None).cast("array<int>"),
+         "items": F.lit(None).cast("array<string>")})
     blocks = [
         (uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in item_blocks(items, item_id, item_text)
     ] or [(uuid.uuid4().hex, spark.sparkContext.broadcast([]))]
@@ -228,24 +236,28 @@ def _scan(rows: DataFrame, block, window: int, one_in: int | None = None) -> Dat
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         automaton = _automaton(key, words_sent, window)
         out: list[tuple] = []
-        before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
-        for t, (spans, names) in zip(batch.column("text").to_pylist(), before):
+        before = zip(*(batch.column(c).to_pylist() for c in ("spans", "full", "items")))
+        for t, (spans, whole, names) in zip(batch.column("text").to_pylist(), before):
             words = normal_words(t)
-            found, items = automaton.hits(words)
+            full: list[tuple[int, int]] = []
+            found, items = automaton.hits(words, full)
+            full = merged([*zip((whole or [])[::2], (whole or [])[1::2]), *full])
             if spans or names:
                 found = merged([*zip((spans or [])[::2], (spans or [])[1::2]), *found])
                 items = items | set(names or ())
             if one_in is None:
-                out.append((t, [x for span in found for x in span], sorted(items)))
+                out.append((t, [x for span in found for x in span], [x for span in full for x in span], sorted(items)))
                 continue
             hit = sum(b - a for a, b in found)
             joined = ",".join(sorted(items)).encode()
+            contaminated = hit > 0 and one_in * hit >= len(words)
+            cut = found if contaminated else full
             out.append((
-                len(words), hit, len(items), hashlib.sha256(joined).hexdigest(),
-                hit > 0 and one_in * hit >= len(words),
-                (without(t, found) if found else t or b"").decode() if t is not None else None))
+                len(words), hit, len(items), hashlib.sha256(joined).hexdigest(), contaminated,
+                (without(t, cut) if cut else t or b"").decode() if t is not None else None))
         if one_in is None:
-            names, kinds = ("text", "spans", "items"), (pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string()))
+            names = ("text", "spans", "full", "items")
+            kinds = (pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
         else:
             names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text")
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string())

@@ -287,6 +287,20 @@ def test_decontamination_by_blocks_of_items(spark, monkeypatch):
     assert decontaminate.decontaminate(doc_rows, item_rows.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_clean_documents_lose_full_windows_only(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "by the way"), (2, " ".join(f"w{k}" for k in range(14)))], "item_id long, text string")
+    filler = " ".join(f"x{k}" for k in range(400))
+    long = " ".join(f"w{k}" for k in range(13))
+    docs = spark.createDataFrame(
+        [(1, f"By the way, {filler}"), (2, f"By the way, {filler} {long} end"), (3, "by the way it goes")], "doc_id long, text string")
+    for block in (1 << 20, 3):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+        got = {r.doc_id: r for r in decontaminate.decontaminate(docs, items).collect()}
+        assert {i: (r.n_hit, r.contaminated) for i, r in got.items()} == {1: (3, False), 2: (16, False), 3: (3, True)}
+        assert got[1].clean_text == f"By the way, {filler}" and got[2].clean_text == f"By the way, {filler}  end"
+        assert got[3].clean_text == " it goes"
+
+
 def test_spans_are_cut_out():
     text = "Keep THIS, but not-these four words; and that.".encode()
     assert decontaminate.without(text, [(3, 7)]) == b"Keep THIS, but ; and that."
