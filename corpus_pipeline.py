@@ -48,7 +48,7 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates, without the few words that still occur in an item's window of 13 words."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    judged = decontaminate.decontaminate(docs, items, carry=True).where("not contaminated")
+    judged = decontaminate.decontaminate(docs, items, carry=True, unnamed=True).where("not contaminated")
     return uncarried(judged, docs, "clean_text")
 
 

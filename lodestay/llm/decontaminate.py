@@ -40,7 +40,7 @@ class SuffixAutomaton:
     words of an item are a window, and so is a whole item of fewer words.
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -160,11 +160,14 @@ class SuffixAutomaton:
         return [(a, b) for a, b in spans], items
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of about ``BLOCK_WORDS`` words; the driver holds one block at a time."""
+def item_blocks(
+    items: DataFrame, item_id: str, text: str, unnamed: bool = False,
+) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items in blocks of about ``BLOCK_WORDS`` words, with ``unnamed`` also those without an id; the driver
+    holds one block at a time."""
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
     block, n = [], 0
-    for row in rows.where("i is not null and t is not null").toLocalIterator():
+    for row in rows.where("t is not null" if unnamed else "i is not null and t is not null").toLocalIterator():
         words = normal_words(bytes(row.t))
         if not words:
             continue
@@ -193,13 +196,16 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def decontaminate(
     docs: DataFrame, items: DataFrame, window: int = 13, one_in: int = 20, doc_id: str = "doc_id",
     text: str = "text", item_id: str = "item_id", item_text: str = "text", carry: bool = False,
+    unnamed: bool = False,
 ) -> DataFrame:
     """One row per document: words hit by windows of items, the items, the verdict, the text without the spans.
 
     A window is ``window`` consecutive words of an item, or an item of fewer.
     A document is contaminated if a word is hit and at least one of ``one_in``
     of its words is. Null and empty texts have no words and
-    are not contaminated; items without words or without an id have no window.
+    are not contaminated; items without words have no window, and those
+    without an id only with ``unnamed``: then they count for ``n_hit`` and the
+    verdict, all as one item in ``n_items``, and are left out of the digest.
     From a document that is not contaminated only windows of ``window`` words
     are cut: a shorter item may be a common phrase.
     Repeated rows are judged each, an item_id that occurs twice counts once,
@@ -211,7 +217,7 @@ def decontaminate(
         {"spans": F.lit(None).cast("array<int>"), "full": F.lit(None).cast("array<int>"),
          "items": F.lit(None).cast("array<string>")})
     blocks = [
-        (uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in item_blocks(items, item_id, item_text)
+        (uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in item_blocks(items, item_id, item_text, unnamed)
     ] or [(uuid.uuid4().hex, spark.sparkContext.broadcast([]))]
     for block in blocks[:-1]:  # each scan adds its hits to those found so far; no rows are shuffled
         rows = _scan(rows, block, window)
@@ -246,10 +252,10 @@ def _scan(rows: DataFrame, block, window: int, one_in: int | None = None) -> Dat
                 found = merged([*zip((spans or [])[::2], (spans or [])[1::2]), *found])
                 items = items | set(names or ())
             if one_in is None:
-                out.append((t, [x for span in found for x in span], [x for span in full for x in span], sorted(items)))
+                out.append((t, [x for span in found for x in span], [x for span in full for x in span], list(items)))
                 continue
             hit = sum(b - a for a, b in found)
-            joined = ",".join(sorted(items)).encode()
+            joined = ",".join(sorted(x for x in items if x is not None)).encode()
             contaminated = hit > 0 and one_in * hit >= len(words)
             cut = found if contaminated else full
             out.append((

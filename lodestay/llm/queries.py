@@ -74,7 +74,7 @@ def op8_language(spark, sf_dir):
 @register
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("clean_text")
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True).drop("clean_text")
 
 
 @register

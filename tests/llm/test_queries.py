@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check import compare
-from lodestay.llm import queries
+from lodestay.llm import decontaminate, queries
 from lodestay.suite.registry import TABLES
 
 
@@ -23,3 +23,21 @@ def test_matches_sql(spark, sf, name):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     text, _, fine = compare(spark, con, name, queries.QUERIES[name], queries.ORACLES[name], sf)
     assert fine, text
+
+
+def test_items_without_id_match_sql(spark, tmp_path, monkeypatch):
+    words = [f"w{k}" for k in range(15)]
+    docs = [(1, " ".join(words)), (2, "a " + " ".join(words[:13]) + " z"), (3, "it is short"), (4, "nothing here"), (5, None)]
+    items = [(None, " ".join(words)), (None, "is short"), (7, " ".join(words[1:])), (8, None), (None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    for block in (1 << 20, 3):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+        query = queries.QUERIES["op9_decontaminate"]
+        text, _, fine = compare(spark, con, "op9_decontaminate", query, queries.ORACLES["op9_decontaminate"], str(tmp_path))
+        assert fine, text
+        got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in query(spark, str(tmp_path)).collect()}
+        assert got == {1: (15, 2, True), 2: (13, 1, True), 3: (2, 1, True), 4: (0, 0, False), 5: (0, 0, False)}
