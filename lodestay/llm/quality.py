@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +23,25 @@ WHITE = b" \t\n\x0b\x0c\r"
 _CONTINUED = bytes(range(0x80, 0xC0))
 _NON_CHARS = WHITE + _CONTINUED
 
+#: Unicode's sentence ends (Sentence_Terminal) of all scripts besides those that ``LineRules.ends`` names itself, the
+#: Greek question mark, the Arabic semicolon and the Tibetan shads.
+SENTENCE_ENDS = (
+    "\u037e\u0589\u061b\u061d\u061e\u061f\u06d4\u0700\u0701\u0702\u07f9\u0837\u0839\u083d\u083e\u0964"
+    "\u0965\u0f0d\u0f0e\u104a\u104b\u1362\u1367\u1368\u166e\u1735\u1736\u17d4\u17d5\u1803\u1809\u1944"
+    "\u1945\u1aa8\u1aa9\u1aaa\u1aab\u1b4e\u1b4f\u1b5a\u1b5b\u1b5e\u1b5f\u1b7d\u1b7e\u1b7f\u1c3b\u1c3c"
+    "\u1c7e\u1c7f\u2024\u203c\u203d\u2047\u2048\u2049\u2cf9\u2cfa\u2cfb\u2e2e\u2e3c\u2e53\u2e54\u2e60"
+    "\u2e61\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9\uaa5d\uaa5e\uaa5f"
+    "\uaaf0\uaaf1\uabeb\ufe12\ufe15\ufe16\ufe52\ufe56\ufe57\uff0e\uff61\U00010a56\U00010a57\U00010f55"
+    "\U00010f56\U00010f57\U00010f58\U00010f59\U00010f86\U00010f87\U00010f88\U00010f89\U00011047\U00011048"
+    "\U000110be\U000110bf\U000110c0\U000110c1\U00011141\U00011142\U00011143\U000111c5\U000111c6\U000111cd"
+    "\U000111de\U000111df\U00011238\U00011239\U0001123b\U0001123c\U000112a9\U000113d4\U000113d5\U0001144b"
+    "\U0001144c\U000115c2\U000115c3\U000115c9\U000115ca\U000115cb\U000115cc\U000115cd\U000115ce\U000115cf"
+    "\U000115d0\U000115d1\U000115d2\U000115d3\U000115d4\U000115d5\U000115d6\U000115d7\U00011641\U00011642"
+    "\U0001173c\U0001173d\U0001173e\U00011944\U00011946\U00011a42\U00011a43\U00011a9b\U00011a9c\U00011c41"
+    "\U00011c42\U00011ef7\U00011ef8\U00011f43\U00011f44\U00016a6e\U00016a6f\U00016af5\U00016b37\U00016b38"
+    "\U00016b44\U00016d6e\U00016d6f\U00016e98\U0001bc9f\U0001da88"
+)
+
 
 @dataclass(frozen=True)
 class LineRules:
@@ -39,7 +59,7 @@ class LineRules:
 
     symbols_per_word: float = 1.0
     long_line: int = 12
-    ends: tuple[bytes, ...] = tuple(x.encode() for x in ".!?:;…\"'»”’)]。！？")
+    ends: tuple[bytes, ...] = tuple(x.encode() for x in ".!?:;…\"'»”’)]。！？" + SENTENCE_ENDS)
     separators: frozenset[bytes] = frozenset(x.encode() for x in ("|", "•", "·", "»", "›", ">", "/", "-", "–"))
     min_separators: int = 3
     separator_share: float = 0.25
@@ -51,6 +71,11 @@ class LineRules:
     )
     max_removed: float = 0.5
 
+    @cached_property
+    def last_bytes(self) -> frozenset[int]:
+        """Of the marks in ``ends``: few words need to be compared with all of them."""
+        return frozenset(x[-1] for x in self.ends)
+
 
 def repeated_words(words: list[bytes], n: int = 5) -> int:
     """Words inside windows of ``n`` words that occur twice or more, the first occurrence included."""
@@ -77,7 +102,8 @@ def failing_rule(line: bytes, words: list[bytes], rules: LineRules) -> str | Non
         return "navigation"
     if symbols >= rules.symbols_per_word * n:
         return "punctuation"
-    if n >= rules.long_line and not any(w.endswith(rules.ends) for w in words):
+    if n >= rules.long_line and not any(
+            w[-1] in rules.last_bytes and w.endswith(rules.ends) for w in words):
         return "punctuation"
     if not any(c >= 0x80 or 0x61 <= c | 0x20 <= 0x7A for c in words[0]) and not line.translate(
             None, bytes(c for c in range(0x80) if not 0x61 <= c | 0x20 <= 0x7A)):

@@ -5,8 +5,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check import compare
-from lodestay.llm import decontaminate, queries
+from lodestay.llm import decontaminate, quality, queries
 from lodestay.suite.registry import TABLES
+from tests.llm import test_text_operators as text_operators
 
 
 def test_every_operator_has_a_query():
@@ -41,3 +42,15 @@ def test_items_without_id_match_sql(spark, tmp_path, monkeypatch):
         assert fine, text
         got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in query(spark, str(tmp_path)).collect()}
         assert got == {1: (15, 2, True), 2: (13, 1, True), 3: (2, 1, True), 4: (0, 0, False), 5: (0, 0, False)}
+
+
+def test_sentence_ends_match_sql(spark, tmp_path):
+    lines = [*text_operators.SENTENCES.values(), *(f"one two three four five six seven eight nine ten eleven twelve {{}}{m}" for m in quality.SENTENCE_ENDS)]
+    rows = [(i, line.format("one")) for i, line in enumerate([*lines, lines[0][:-1]])]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    query = queries.QUERIES["op5_quality_rules"]
+    text, _, fine = compare(spark, con, "op5_quality_rules", query, queries.ORACLES["op5_quality_rules"], str(tmp_path))
+    assert fine, text
+    assert [r.doc_id for r in query(spark, str(tmp_path)).where("not kept").collect()] == [len(lines)]

@@ -264,6 +264,27 @@ def test_suffix_automaton_finds_every_window():
             assert ({x for a, b in spans for x in range(a, b)}, names) == brute_hits(items, words, window)
 
 
+SENTENCES = {  # of twelve words or more without any other mark
+    "Hindi": "यह एक साफ वाक्य है जिसमें बारह से अधिक शब्द हैं और कुछ नहीं {}।",
+    "Urdu": "یہ ایک صاف جملہ ہے جس میں بارہ سے زیادہ الفاظ ہیں اور کچھ نہیں {}۔",
+    "Arabic": "هل هذه جملة نظيفة فيها أكثر من اثنتي عشرة كلمة ولا شيء غير ذلك {}؟",
+    "Armenian": "Սա մաքուր նախադասություն է որի մեջ տասներկու բառից ավելի կա և ուրիշ ոչինչ {}։",
+    "Amharic": "ይህ ንጹህ ዓረፍተ ነገር ነው ከአሥራ ሁለት ቃላት በላይ አለው እና ሌላ ምንም {}።",
+    "Burmese": "ဤ သည် သန့်ရှင်း သော ဝါကျ ဖြစ် ပြီး စကားလုံး ဆယ့်နှစ် လုံး ထက် ပို {}။",
+    "Khmer": "នេះ ជា ប្រយោគ ស្អាត មួយ ដែល មាន ពាក្យ លើស ពី ដប់ ពីរ {}។",
+    "Greek": "είναι αυτή μια καθαρή πρόταση με περισσότερες από δώδεκα λέξεις και τίποτα άλλο {}\u037e",
+    "Tibetan": "བོད ཡིག གི ཚིག གྲུབ འདི ལ ཚིག བཅུ གཉིས ལྷག ཙམ {}།",
+}
+
+
+@pytest.mark.parametrize("script", SENTENCES)
+def test_prose_of_all_scripts_is_kept(script):
+    text = SENTENCES[script].format("one")
+    assert len(text.split()) >= 12
+    found = dict(zip(quality._NAMES[1:], quality.judge(text.encode(), quality.LineRules())))
+    assert not found["base_failed"] and found["kept"] and found["n_words_removed"] == 0 and found["clean_text"] == text
+
+
 def test_decontamination_by_blocks_of_items(spark, monkeypatch):
     rng = random.Random(6)
     vocabulary = [f"w{k}" for k in range(6)]
