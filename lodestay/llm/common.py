@@ -80,15 +80,27 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     """A new folder that the driver and all executors see.
 
     It lies below ``spark.checkpoint.dir`` as the cluster names it. Only a
-    session without that setting, such as a local test, gets one of its own.
+    local session without that setting, such as a test, gets one of its own;
+    on a cluster the executors would not see it, so that is an error.
     """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         set_by_code = spark.sparkContext._jsc.sc().getCheckpointDir()
-        top = set_by_code.get() if set_by_code.isDefined() else f"file://{tempfile.mkdtemp(prefix='shared-')}"
+        if set_by_code.isDefined():
+            top = set_by_code.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            top = f"file://{tempfile.mkdtemp(prefix='shared-')}"
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
     return f"{top.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def discarded(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``shared_folder`` that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps do not compute it anew,
     and a lost executor takes none of it along."""

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.llm import (
-    byte_bpe, decontaminate, html_text, language, quality, simhash, sql, substrings, token_counts,
-    token_files, url_filter,
+    byte_bpe, decontaminate, html_text, language, prefix_trie, quality, simhash, sql, substrings, token_counts,
+    token_files, url_filter, vector_codes, warc,
 )
+from lodestay.llm.common import stored
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -93,9 +94,28 @@ def op1_repeated_passages(spark, sf_dir):
     return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text", "text_hash")
 
 
+@register
+def op11_prefix_trie(spark, sf_dir):
+    turns = stored(prefix_trie.turns_of(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt_paths(turns)).drop("key", "parent_key")
+
+
+@register
+def op12_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@register
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES |= {
     "op1_repeated_passages": sql.PASSAGES,
     "op5_quality_rules": sql.quality(),
     "op7_url_filter": sql.url_rules(URL_RULES, "allow"),
     "op9_decontaminate": sql.CONTAMINATION,
+    "op11_prefix_trie": sql.PREFIX_TRIE,
+    "op12_warc": sql.ARCHIVE,
+    "op13_vector_codes": sql.vector_codes(),
 }

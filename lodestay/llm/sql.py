@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lodestay.llm.quality import LineRules
+from lodestay.llm.vector_codes import CodeSpec
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -81,3 +82,60 @@ t AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 r AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id)
 SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"""
+
+
+#: crc32 bit by bit: 32 bits of register, a byte of the decimal id every eight steps. A node is counted in the path of its
+#: smallest member, all of whose beginnings are above it.
+PREFIX_TRIE = """WITH RECURSIVE r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place,
+  md5(strlen(role) || ':' || role || text) AS digest, strlen(text) AS n_bytes FROM r),
+crc AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM t WHERE place = 0
+  UNION ALL SELECT conv_id, s, i + 1, xor(x >> 1, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)
+  FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE c END AS x FROM crc) WHERE i < 8 * length(s)),
+f AS (SELECT conv_id, conv_id - conv_id % 5 AS source, xor(c, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE i = 8 * length(s)),
+g AS (SELECT f.*, coalesce(n, 0) AS n FROM f LEFT JOIN (SELECT conv_id, COUNT(*) AS n FROM t GROUP BY conv_id) k ON k.conv_id = source),
+p AS (SELECT conv_id, 0 AS depth, '' AS digest, 0 AS n_bytes FROM f
+  UNION ALL SELECT g.conv_id, place + 1, digest, n_bytes FROM g JOIN t ON t.conv_id = source WHERE place < h
+  UNION ALL SELECT g.conv_id, least(h, n) + place - h + 1, digest, n_bytes FROM g JOIN t ON t.conv_id = g.conv_id WHERE place >= h),
+q AS (SELECT *, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth) AS node, COUNT(*) OVER (PARTITION BY conv_id) - 1 AS length FROM p),
+v AS (SELECT node, MAX(depth) AS depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, MAX(n_bytes) AS n_bytes,
+  coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE depth = length), '') AS ends FROM q GROUP BY node),
+u AS (SELECT *, CASE WHEN depth > 0 THEN left(node, 32 * (depth - 1)) END AS parent FROM v),
+c AS (SELECT parent AS node, COUNT(*) AS n_children FROM u WHERE parent IS NOT NULL GROUP BY parent),
+w AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN c ON u.node = c.node),
+s AS (SELECT q.node, SUM((w.n_convs - 1) * w.n_bytes) AS saved, COUNT(*) FILTER (WHERE w.n_children = 0) AS n_leaves
+  FROM w JOIN q ON q.conv_id = w.conv_id AND q.depth <= w.depth GROUP BY q.node)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, o.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM w JOIN s ON w.node = s.node LEFT JOIN u AS o ON w.parent = o.node"""
+
+ARCHIVE = """WITH p AS (SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+q AS (SELECT *, ROW_NUMBER() OVER w AS k, FIRST_VALUE(page_id) OVER w AS first FROM p
+  WINDOW w AS (PARTITION BY digest ORDER BY page_id NULLS LAST, url NULLS LAST))
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n < 100 OR k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n >= 100 AND k > 1 THEN first END AS refers_to FROM q"""
+
+
+def vector_codes(spec: CodeSpec = CodeSpec()) -> str:
+    """Every round written out; integers throughout, floors rounding down."""
+    distance = "list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - b.x[i]) * (v.x[i] - b.x[i])))"
+    steps = [
+        f"""kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({spec.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (SELECT vec_id, label, p, x[p * (len(x) // {spec.parts}) + 1:(p + 1) * (len(x) // {spec.parts})] AS x
+  FROM kept, (SELECT unnest(range({spec.parts})) AS p))""",
+        f"""b0 AS MATERIALIZED (SELECT p, ROW_NUMBER() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {spec.entries}))"""]
+    for k in range(spec.rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT v.vec_id, v.label, v.p, v.x, MIN({distance} * {spec.entries} + b.e) AS best
+  FROM parts v JOIN b{k} b ON v.p = b.p GROUP BY ALL)""")
+        if k < spec.rounds:
+            steps.append(f"""m{k} AS (SELECT p, best % {spec.entries} AS e, i, SUM(x[i]) AS s, COUNT(*) AS n
+  FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY ALL)""")
+            steps.append(f"""b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(y, b.x) AS x FROM b{k} b LEFT JOIN
+  (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS y FROM m{k} GROUP BY p, e) n ON b.p = n.p AND b.e = n.e)""")
+    return f"""WITH {", ".join(steps)},
+c AS (SELECT vec_id, label, string_agg(printf('%02x', CAST(best % {spec.entries} AS INTEGER)), '' ORDER BY p) AS code,
+  CAST(SUM(best // {spec.entries}) AS BIGINT) AS error FROM a{spec.rounds} GROUP BY vec_id, label),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{spec.rounds})
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, books"""
