@@ -38,79 +38,83 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def named(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+# A cleaned table has some hundred parsed columns, so the builders below write each as one expression text: a plan
+# of many columns is then put together by one call a column instead of one an operator.
+
 def strip(c: str | Column) -> Column:
     """Trim every kind of surrounding whitespace, not only spaces."""
     return F.trim(col(c), F.lit(WHITESPACE))
 
 
-def has_text(c: str | Column) -> Column:
+def has_text(c: str) -> Column:
     """Whether a character other than ``WHITESPACE`` stands in the text (a search that stops at the first)."""
-    return col(c).rlike(_NOT_WHITE)
+    return F.expr(f"{named(c)} RLIKE {literal(_NOT_WHITE)}")
 
 
-def blank_to_null(c: str | Column) -> Column:
+def blank_to_null(c: str) -> Column:
     """Whitespace-only text becomes NULL; other text is left as it is."""
-    c = col(c)
-    return F.when(has_text(c), c)
+    return F.expr(f"CASE WHEN {named(c)} RLIKE {literal(_NOT_WHITE)} THEN {named(c)} END")
 
 
-def missing_token_to_null(c: str | Column) -> Column:
+def missing_token_to_null(c: str) -> Column:
     """The usual spellings of "no value" become NULL."""
-    c = col(c)
-    return F.when(~c.isin(*MISSING_TOKENS), c)
-
-
-def finite(c: str | Column) -> Column:
-    """A double with NaN and the infinities replaced by NULL (NaN sorts above infinity)."""
-    c = col(c).cast("double")
-    return F.when(F.abs(c) < F.lit(float("inf")), c)
+    return F.expr(f"CASE WHEN {named(c)} NOT IN ({', '.join(map(literal, MISSING_TOKENS))}) THEN {named(c)} END")
 
 
-def _number_without(c: str | Column, dropped: str) -> Column:
-    """Finite double of the text with the ``dropped`` characters taken out."""
-    plain = F.translate(col(c).cast("string"), _LETTERS + dropped, _BLOCKED)
-    return finite(plain.try_cast("double"))
+def _number_text(c: str, dropped: str = "") -> str:
+    """Finite double of the text with the ``dropped`` characters taken out (NaN sorts above infinity)."""
+    plain = f"try_cast(translate(CAST({named(c)} AS STRING), {literal(_LETTERS + dropped)}, {literal(_BLOCKED)}) AS DOUBLE)"
+    return f"CASE WHEN abs({plain}) < CAST('Infinity' AS DOUBLE) THEN {plain} END"
 
 
-def number(c: str | Column) -> Column:
+def number(c: str) -> Column:
     """Text or numeric column -> finite double, NULL when not a number."""
-    return _number_without(c, "")
+    return F.expr(_number_text(c))
 
 
-def currency(c: str | Column) -> Column:
+def currency(c: str) -> Column:
     """``$1,250.00`` -> 1250.0."""
-    return _number_without(c, "$,")
+    return F.expr(_number_text(c, "$,"))
 
 
-def percent(c: str | Column) -> Column:
+def percent(c: str) -> Column:
     """``95%`` -> 95.0 (points on a 0-100 scale)."""
-    return _number_without(c, "%")
+    return F.expr(_number_text(c, "%"))
 
 
-def boolean(c: str | Column) -> Column:
+def boolean(c: str) -> Column:
     """Known spellings only; anything else is NULL, never a guess."""
-    word = F.lower(strip(col(c).cast("string")))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+    word = f"lower(trim(BOTH {literal(WHITESPACE)} FROM CAST({named(c)} AS STRING)))"
+    yes, no = (", ".join(map(literal, words)) for words in (TRUE_WORDS, FALSE_WORDS))
+    return F.expr(f"CASE WHEN {word} IN ({yes}) THEN TRUE WHEN {word} IN ({no}) THEN FALSE END")
 
 
-def date(c: str | Column) -> Column:
+def date(c: str) -> Column:
     """ISO calendar date, with or without a time part; partial dates are NULL."""
-    text = col(c).cast("string")
-    return F.when(text.rlike(_DATE), text.try_cast("date"))
+    text = f"CAST({named(c)} AS STRING)"
+    return F.expr(f"CASE WHEN {text} RLIKE {literal(_DATE)} THEN try_cast({text} AS DATE) END")
 
 
-def whole_number(c: str | Column) -> Column:
+def whole_number(c: str) -> Column:
     """Text such as ``12`` or ``12.0`` -> 12; a fraction or overflow is NULL.
 
     Plain digits are cast directly, so identifiers beyond 2**53 keep every
-    digit; only other spellings go through a double.
+    digit; only other spellings go through a double. Beyond 2**53 a double is
+    not exact, so longer numerals get a cast of their own, tried on these only.
     """
-    text = col(c).cast("string")
-    x = number(c)
-    # beyond 2**53 a double is not exact, so longer numerals get a cast of their own; it is tried on these only
-    longer = F.when(F.abs(x) >= 2.0**53, text.try_cast("bigint"))
-    return F.when(text.rlike(_DIGITS), text.cast("bigint")).otherwise(
-        F.coalesce(longer, F.when(x == F.floor(x), x.try_cast("bigint"))))
+    text, x = f"CAST({named(c)} AS STRING)", _number_text(c)
+    return F.expr(
+        f"CASE WHEN {text} RLIKE {literal(_DIGITS)} THEN CAST({text} AS BIGINT) ELSE coalesce("
+        f"CASE WHEN abs({x}) >= {2.0 ** 53!r}D THEN try_cast({text} AS BIGINT) END, "
+        f"CASE WHEN ({x}) = floor({x}) THEN try_cast(({x}) AS BIGINT) END) END")
 
 
 def yes_no_label(c: str | Column) -> Column:

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions.numeric import join_on_keys, rounded
-from lodestay.operators.ordering import positions, range_totals, split_into_ranges, value_counts
-from lodestay.operators.summaries import group_summary
+from lodestay.operators.ordering import counted, positions, value_counts
+from lodestay.operators.summaries import group_summary, known
 
 ALPHA = 0.05
 
@@ -70,7 +70,7 @@ def describe_groups(population: DataFrame, digits: int | None = None) -> DataFra
 def box_plot(population: DataFrame, digits: int | None = None, k: float = 1.5) -> DataFrame:
     """Box and whiskers per group; whiskers end at the last value inside the fences."""
     quartiles = group_summary(
-        population, ["group"], {"n": F.count("value")},
+        population, ["group"], {"n": known("value")},
         {"q1": ("value", 0.25, None), "median": ("value", 0.5, None), "q3": ("value", 0.75, None)},
     )
     # values are combined first, so a hot group is not shuffled row by row
@@ -100,8 +100,7 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
         F.col("value"), in_first.alias("in_first")
     )
     counts = value_counts(rows, [], "value", {"__n1": F.count_if("in_first")})
-    ranged = split_into_ranges(counts)
-    placed = positions(ranged, range_totals(ranged, []), [])
+    placed = positions(counted(counts, ["__n1"]), ["__n1"])
     n = F.col("__n")
     # Twice a tie-averaged rank is a whole number: sums of these are exact in any order, whatever their size.
     twice_rank = (F.col("__before") * 2 + n + 1).cast("decimal(19,0)") * F.col("__n1").cast("decimal(19,0)")
@@ -144,7 +143,7 @@ def hypothesis_row(
     """One fifteen-column result row: sizes, medians, U, p, effect, decision, conclusion."""
     test = mann_whitney(population, first, second)
     medians = group_summary(
-        population, ["group"], {"n": F.count("value")}, {"median": ("value", 0.5, None)}
+        population, ["group"], {"n": known("value")}, {"median": ("value", 0.5, None)}
     ).agg(
         F.max(F.when(F.col("group") == first, F.col("median"))).alias("group_1_median"),
         F.max(F.when(F.col("group") == second, F.col("median"))).alias("group_2_median"),

@@ -1,4 +1,4 @@
-"""Exact order statistics without putting a group into one task.
+"""Exact order statistics by radix selection, without putting a group into one task.
 
 ``percentile``/``median`` keep a value -> count map per group in one task, and
 a rank window sorts a whole group in one task. Both fail when one group holds a
@@ -6,17 +6,21 @@ third of a very large table. Here instead:
 
 1. ``value_counts``: (group, value) -> n. The shuffle key includes the value,
    so a hot group is spread out, and repeated values are combined map-side.
-2. value ranges are cut at approximate percentiles of those *distinct* rows
-   (one bounded sketch, one row). Cut quality affects balance only.
-3. running totals are taken over (group, range) sums (at most ``RANGES`` rows
-   per group) and then inside each range, never over a whole group.
-
-Quantiles read only the ranges that hold a wanted position. Steps 2 and 3 read
-the same shuffle of step 1 (exchange reuse), so the input is scanned once.
+2. every value has a 64-bit image that keeps the order of doubles. A round
+   counts rows per (group, prefix of the image), combined map-side, and a
+   running total over a group's prefixes finds the one that holds a wanted
+   position. The next round looks into that prefix only, ``LEVELS`` bits deeper.
+3. after the last round a prefix is one value.
+
+A running total orders at most 2 ** max(LEVELS) rows whatever the data, cuts
+are exact, and nothing is sampled. All rounds, and all probabilities and
+measures, read the same shuffle of step 1 (exchange reuse), so the input is
+scanned once.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,65 +28,59 @@ from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import join_on_keys, rounded
 
-FAN, LEVELS = 16, 2  # FAN ** LEVELS value ranges
-RANGES = FAN ** LEVELS
-_V, _N, _M, _R = "__value", "__n", "__measure", "__range"
+LEVELS = (22, 21, 21)  # bits a round looks at, 64 together
+COUNT = "__n"  # rows of a value, in ``value_counts``
+_V, _N, _M, _K, _P = "__value", COUNT, "__measure", "__image", "__prefix"
+
+
+def image(value: str) -> Column:
+    """A long in the order of the doubles: exponent and mantissa of the magnitude, negated below zero.
+
+    The exponent from the logarithm may be one off next to a power of two; the
+    comparison puts it right. Powers of two and quotients by them are exact.
+    Below the normal doubles the image counts the smallest steps.
+    """
+    a = f"least(abs({value}), {sys.float_info.max!r}D)"
+    guess = f"floor(log2({a}))"
+    exponent = f"({guess} - CASE WHEN {a} < pow(2D, {guess}) THEN 1 ELSE 0 END + CASE WHEN {a} >= pow(2D, {guess} + 1) THEN 1 ELSE 0 END)"
+    mantissa = f"CAST(({a} / pow(2D, {exponent}) - 1D) * {2.0 ** 52!r}D AS BIGINT)"
+    magnitude = (
+        f"CASE WHEN abs({value}) > {sys.float_info.max!r}D THEN {2047 << 52}L "
+        f"WHEN {a} < {2.0 ** -1022!r}D THEN CAST({a} * {2.0 ** 537!r}D * {2.0 ** 537!r}D AS BIGINT) "
+        f"ELSE ({exponent} + 1023) * {1 << 52}L + {mantissa} END")
+    return F.expr(f"CASE WHEN {value} < 0 THEN -1L ELSE 1L END * ({magnitude})")
+
+
+def prefix(level: int) -> Column:
+    """The leading bits of the image that ``level`` rounds have looked at."""
+    rest = 64 - sum(LEVELS[:level])
+    return F.shiftright(_K, rest) if rest else F.col(_K)
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Distinct non-NULL values per group with their number of rows."""
-    usable = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    aggs = [F.count(F.lit(1)).alias(_N)] + [c.alias(k) for k, c in (extra or {}).items()]
-    return usable.groupBy(*by, F.col(value).cast("double").alias(_V)).agg(*aggs)
-
-
-def split_into_ranges(counts: DataFrame, measure: str | None = None) -> DataFrame:
-    """Add the value range of every row: the number of cut points below it."""
-    keys = [measure] if measure else []
-    probabilities = ", ".join(f"{i / RANGES!r}D" for i in range(1, RANGES))
-    # Reading the count keeps this branch identical to the others, so that all
-    # of them share one shuffle.
-    cuts = counts.where(F.col(_N) > 0).groupBy(*keys).agg(
-        F.expr(f"percentile_approx({_V}, array({probabilities}), {4 * RANGES})").alias("__cuts")
-    )
-    # one row (per measure): a fixed, tiny side
-    joined = counts.join(F.broadcast(cuts), keys, "inner") if keys else counts.crossJoin(F.broadcast(cuts))
-    # A search in LEVELS steps of FAN comparisons each. All of it is generated
-    # code, and short enough to be compiled (one long sum is not).
-    joined = joined.withColumn(_R, F.lit(0))
-    for level in reversed(range(LEVELS)):
-        joined = joined.withColumn(_R, F.expr(_deeper(FAN ** level)))
-    return joined.drop("__cuts")
-
-
-def _deeper(step: int) -> str:
-    """Advance the range start by ``step`` for every cut at that distance below the value."""
-    hits = [f"CAST(get(__cuts, {_R} + {step * i - 1}) < {_V} AS INT)" for i in range(1, FAN)]
-    return f"{_R} + {step} * ({' + '.join(hits)})"
-
-
-def range_totals(ranged: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per (group, range), rows before the range, rows in the group."""
-    sums = ranged.groupBy(*by, _R).agg(F.sum(_N).alias("__in_range"))
-    # Few rows per group (at most RANGES). Without ``by`` there is one group,
-    # hence one partition of at most RANGES rows.
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    upto = whole.orderBy(_R).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sums.select(
-        *by,
-        _R,
-        "__in_range",
-        (F.sum("__in_range").over(upto) - F.col("__in_range")).alias("__before_range"),
-        F.sum("__in_range").over(whole).alias("__total"),
-    )
-
-
-def positions(ranged: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``__before``: number of rows of the group with a smaller value."""
-    keys = [*by, _R]
-    placed = join_on_keys(ranged, totals, keys, "inner")
-    within = Window.partitionBy(*keys).orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.withColumn("__before", F.col("__before_range") + F.sum(_N).over(within) - F.col(_N))
+    """Distinct values per group with their number of rows, the image, and aggregates ``extra`` of the same rows.
+
+    NULL and NaN are one value without rows to count (``__n`` is 0), so that
+    ``extra`` covers all rows; ``counted`` leaves it out.
+    """
+    x = F.col(value).cast("double")
+    known = df.select("*", F.when(~F.isnan(x), x).alias(_V))
+    aggs = [F.count(_V).alias(_N)] + [c.alias(k) for k, c in (extra or {}).items()]
+    return known.groupBy(*by, _V).agg(*aggs)
+
+
+def all_read(counts: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """``counts`` as every branch over it has to begin.
+
+    The condition always holds and reads every figure: a branch that left one
+    out would be another aggregate, with a scan and a shuffle of its own.
+    """
+    return counts.where(F.size(F.array(*[F.col(c).cast("double") for c in [_N, *extra]])) > 0)
+
+
+def counted(counts: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The values with rows, and their images."""
+    return all_read(counts, extra).where(F.col(_N) > 0).withColumn(_K, image(_V))
 
 
 def _wanted(p: float, total: str = "__total") -> tuple[str, str]:
@@ -95,6 +93,85 @@ def _holds(position: str, start: str, count: str) -> str:
     return f"({position} >= {start} AND {position} < {start} + {count})"
 
 
+def _running(keys: Sequence[str]) -> tuple[Window, Window]:
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    return whole, whole.orderBy(_P).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def selected(values: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """The values of each group that hold a position of one of the quantiles, with rows before and rows in all."""
+    held, keys = None, list(keys)
+    wanted = " OR ".join(_holds(at, "__before", _N) for p in probabilities for at in _wanted(p))
+    for level in range(1, len(LEVELS) + 1):
+        figures = [F.sum(_N).alias(_N), F.max(_V).alias(_V)]  # at the last level one value
+        if held is None:
+            whole, upto = _running(keys)
+            sums = values.groupBy(*keys, prefix(level).alias(_P)).agg(*figures)
+            sums = sums.select("*", (F.sum(_N).over(upto) - F.col(_N)).alias("__before"), F.sum(_N).over(whole).alias("__total"))
+        else:
+            _, upto = _running([*keys, "__outer"])
+            sums = _inside(values, held, keys, level - 1).groupBy(*keys, "__outer", prefix(level).alias(_P)).agg(
+                *figures, F.max("__base").alias("__base"), F.max("__total").alias("__total"))
+            sums = sums.withColumn("__before", F.col("__base") + F.sum(_N).over(upto) - F.col(_N))
+        held = sums.where(wanted)
+    return held
+
+
+def _inside(values: DataFrame, held: DataFrame, keys: Sequence[str], level: int) -> DataFrame:
+    """The values within the held prefixes of a round, which come along as ``__outer`` with the rows before them."""
+    outer = held.select(*keys, F.col(_P).alias("__outer"), F.col("__before").alias("__base"), "__total")
+    if not keys:  # two positions for each probability, no more
+        outer = F.broadcast(outer)
+    return join_on_keys(values.withColumn("__outer", prefix(level)), outer, [*keys, "__outer"], "inner")
+
+
+def positions(values: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """All values of one group with ``__before``, the number of rows with a smaller value.
+
+    Rows before a prefix are running totals inside the prefix one round
+    shorter, so a total orders at most 2 ** max(LEVELS) rows at every depth.
+    """
+    before = None
+    for level in range(1, len(LEVELS)):
+        sums = values.select(_N, prefix(level).alias(_P), prefix(level - 1).alias("__outer")) if level > 1 else values.select(
+            _N, prefix(level).alias(_P), F.lit(0).alias("__outer"))
+        sums = sums.groupBy("__outer", _P).agg(F.sum(_N).alias(_N))
+        _, upto = _running(["__outer"])
+        sums = sums.withColumn("__before", F.sum(_N).over(upto) - F.col(_N))
+        if before is not None:
+            sums = sums.join(before, "__outer").withColumn("__before", F.col("__before") + F.col("__base"))
+        before = sums.select(F.col(_P).alias("__outer"), F.col("__before").alias("__base"))
+    placed = values.select(_V, _N, *carried, prefix(len(LEVELS)).alias(_P), prefix(len(LEVELS) - 1).alias("__outer")).join(before, "__outer")
+    _, upto = _running(["__outer"])
+    return placed.withColumn("__before", F.col("__base") + F.sum(_N).over(upto) - F.col(_N)).select(_V, _N, *carried, "__before")
+
+
+def _interpolated(held: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[int | None, float]]) -> DataFrame:
+    """One row per group from the held values; ``wanted`` maps a name to (measure number or None, probability)."""
+    picks = []
+    for name, (measure, p) in wanted.items():
+        low, high = _wanted(p)
+        mine = "TRUE" if measure is None else f"{_M} = {measure}"
+        for end, at in (("lo", low), ("hi", high)):
+            picks.append(F.expr(f"max(CASE WHEN {mine} AND {_holds(at, '__before', _N)} THEN {_V} END)").alias(f"{name}__{end}"))
+        picks.append(F.expr(f"max(CASE WHEN {mine} THEN CAST(__total - 1 AS DOUBLE) * {float(p)!r}D END)").alias(f"{name}__at"))
+    ends = held.groupBy(*by).agg(*picks)
+    out = []
+    for name in wanted:
+        lo, hi, part = f"`{name}__lo`", f"`{name}__hi`", f"(`{name}__at` - floor(`{name}__at`))"
+        # the weighted form SQL engines use; equal ends need no arithmetic
+        out.append(F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {part}) + {hi} * {part} END").alias(name))
+    return ends.select(*by, *out)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, by: Sequence[str], wanted: Mapping[str, float], extra: Sequence[str] = (),
+) -> DataFrame:
+    """Linear-interpolated quantiles, name -> probability, from the ``value_counts`` of one measure."""
+    held = selected(counted(counts, extra), by, sorted(set(wanted.values())))
+    return _interpolated(held, by, {k: (None, p) for k, p in wanted.items()})
+
+
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -108,37 +185,18 @@ def exact_quantiles(
     """
     by = list(by)
     columns = sorted({c for c, _ in wanted.values()})
-    probabilities = sorted({p for _, p in wanted.values()})
-    single = len(columns) == 1
-    if single:
+    if len(columns) == 1:
         measures = df.select(*by, F.col(columns[0]).cast("double").alias("__x"))
+        out = quantiles_of_counts(value_counts(measures, by, "__x"), by, {k: p for k, (_, p) in wanted.items()})
     else:
         pairs = [F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)]
         measures = df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(
             *by, F.col("p.x").alias("__x"), F.col("p.m").alias(_M)
         )
-    keys = by if single else [*by, _M]
-    ranged = split_into_ranges(value_counts(measures, keys, "__x"), None if single else _M)
-    totals = range_totals(ranged, keys)
-    held = [_holds(pos, "__before_range", "__in_range") for p in probabilities for pos in _wanted(p)]
-    rows = positions(ranged, totals.where(" OR ".join(held)), keys)
-    picks = []
-    for name, (column, p) in wanted.items():
-        low, high = _wanted(p)
-        mine = "TRUE" if single else f"{_M} = {columns.index(column)}"
-        for end, pos in (("lo", low), ("hi", high)):
-            picks.append(F.expr(f"max(CASE WHEN {mine} AND {_holds(pos, '__before', _N)} THEN {_V} END)")
-                         .alias(f"{name}__{end}"))
-        picks.append(F.expr(f"max(CASE WHEN {mine} THEN CAST(__total - 1 AS DOUBLE) * {float(p)!r}D END)")
-                     .alias(f"{name}__at"))
-    ends = rows.groupBy(*by).agg(*picks)
-    out = []
-    for name in wanted:
-        lo, hi, part = f"`{name}__lo`", f"`{name}__hi`", f"(`{name}__at` - floor(`{name}__at`))"
-        # the weighted form SQL engines use; equal ends need no arithmetic
-        value = F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {part}) + {hi} * {part} END")
-        out.append((value if digits is None else rounded(value, digits)).alias(name))
-    return ends.select(*by, *out)
+        keys = [*by, _M]
+        held = selected(counted(value_counts(measures, keys, "__x")), keys, sorted({p for _, p in wanted.values()}))
+        out = _interpolated(held, by, {k: (columns.index(c), p) for k, (c, p) in wanted.items()})
+    return out if digits is None else out.select(*by, *[rounded(k, digits).alias(k) for k in wanted])
 
 
 def approximate_quantiles(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lodestay.functions import parse
 from lodestay.functions.numeric import percentage, rounded
 from lodestay.operators.duplicates import duplicate_rows_exact, duplicate_rows_hashed
-from lodestay.operators.summaries import group_summary
+from lodestay.operators.summaries import average, greatest, group_summary, known, least, rows_where
 
 DISTINCTS_PER_PASS = 12
 # Free-text columns whose exact distinct count is skipped, with a note.
@@ -202,16 +202,13 @@ def numeric_range_report(df: DataFrame, columns: Sequence[str], digits: int = 4)
 
 def text_length_report(df: DataFrame, text: str, digits: int = 2) -> DataFrame:
     """One row: non-NULL texts with minimum, maximum, median and average length, and blank texts."""
-    lengths = df.select(F.length(text).alias("len"), blank_but_present(text).alias("blank"))
+    lengths = df.select(F.length(text).cast("bigint").alias("len"), blank_but_present(text).alias("blank"))
     return group_summary(
         lengths,
         [],
         {
-            "text_count": F.count("len"),
-            "min_length": F.min("len").cast("bigint"),
-            "max_length": F.max("len").cast("bigint"),
-            "avg_length": rounded(F.avg("len"), digits),
-            "blank_count": F.count_if("blank"),
+            "text_count": known("len"), "min_length": least("len"), "max_length": greatest("len"),
+            "avg_length": average("len", digits), "blank_count": rows_where(F.col("blank")),
         },
         {"median_length": ("len", 0.5, digits)},
     )

@@ -2,24 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import join_on_keys, rounded
-from lodestay.operators.ordering import approximate_quantiles, exact_quantiles
+from lodestay.operators.ordering import all_read, approximate_quantiles, exact_quantiles, quantiles_of_counts, value_counts
 
 
-def rounded_avg(column: str, digits: int) -> Column:
-    return rounded(F.avg(column), digits)
+@dataclass(frozen=True)
+class Fold:
+    """An aggregate that can also be had from aggregates of parts of the rows.
+
+    ``parts`` are taken over each part, ``merged`` puts the parts' figures, given by column name, together.
+    """
+
+    plain: Column
+    parts: tuple[Column, ...]
+    merged: Callable[..., Column]
+
+
+def row_count() -> Fold:
+    return Fold(F.count(F.lit(1)), (F.count(F.lit(1)),), lambda n: F.coalesce(F.sum(n), F.lit(0)))
+
+
+def known(column: str) -> Fold:
+    """Rows with a value."""
+    return Fold(F.count(column), (F.count(column),), lambda n: F.coalesce(F.sum(n), F.lit(0)))
+
+
+def rows_where(condition: Column) -> Fold:
+    return Fold(F.count_if(condition), (F.count_if(condition),), lambda n: F.coalesce(F.sum(n), F.lit(0)))
+
+
+def total(column: str) -> Fold:
+    return Fold(F.sum(column), (F.sum(column),), F.sum)
+
+
+def least(column: str) -> Fold:
+    return Fold(F.min(column), (F.min(column),), F.min)
+
+
+def greatest(column: str) -> Fold:
+    return Fold(F.max(column), (F.max(column),), F.max)
+
+
+def average(column: str, digits: int | None = None) -> Fold:
+    def shown(c: Column) -> Column:
+        return c if digits is None else rounded(c, digits)
+
+    x = F.col(column).cast("double")
+    return Fold(
+        shown(F.avg(column)), (F.sum(x), F.count(column)),
+        lambda s, n: shown(F.try_divide(F.sum(s), F.sum(n))))
 
 
 def group_summary(
     df: DataFrame,
     by: Sequence[str],
-    aggs: Mapping[str, Column],
+    aggs: Mapping[str, Column | Fold],
     quantiles: Mapping[str, tuple[str, float, int | None]] | None = None,
     drop_null_groups: bool = False,
     exact: bool = True,
@@ -27,18 +71,30 @@ def group_summary(
     """Ordinary aggregates plus exact quantiles per group.
 
     ``quantiles`` maps an output name to ``(column, probability, digits)``.
-    The ordinary part is a map-side combined aggregate; the quantile part never
+    If they are of one column and all aggregates are folds, everything comes
+    from one scan and one shuffle: the folds' parts are taken per distinct
+    value beside its count. Other aggregates are a pass of their own. Nothing
     gathers a group in one task (see ``ordering``). ``by`` may be empty.
     """
     by = list(by)
     if drop_null_groups:
         for k in by:
             df = df.where(F.col(k).isNotNull())
-    base = df.groupBy(*by).agg(*[c.alias(k) for k, c in aggs.items()])
+    plain = [(a.plain if isinstance(a, Fold) else a).alias(k) for k, a in aggs.items()]
     if not quantiles:
-        return base
-    wanted = {k: (c, p) for k, (c, p, _) in quantiles.items()}
-    q = exact_quantiles(df, by, wanted) if exact else approximate_quantiles(df, by, wanted)
+        return df.groupBy(*by).agg(*plain)
+    measured = {c for c, _, _ in quantiles.values()}
+    if exact and len(measured) == 1 and all(isinstance(a, Fold) for a in aggs.values()):
+        parts = {f"__{i}_{j}": c for i, a in enumerate(aggs.values()) for j, c in enumerate(a.parts)}
+        counts = value_counts(df, by, measured.pop(), parts)
+        base = all_read(counts, list(parts)).groupBy(*by).agg(*[
+            a.merged(*[f"__{i}_{j}" for j in range(len(a.parts))]).alias(k) for i, (k, a) in enumerate(aggs.items())
+        ])
+        q = quantiles_of_counts(counts, by, {k: p for k, (_, p, _) in quantiles.items()}, list(parts))
+    else:
+        base = df.groupBy(*by).agg(*plain)
+        wanted = {k: (c, p) for k, (c, p, _) in quantiles.items()}
+        q = exact_quantiles(df, by, wanted) if exact else approximate_quantiles(df, by, wanted)
     q = q.select(*by, *[
         (F.col(k) if d is None else rounded(k, d)).alias(k) for k, (_, _, d) in quantiles.items()
     ])
@@ -94,14 +150,10 @@ def distribution(
     df: DataFrame, column: str, prefix: str = "", quantiles: bool = True, digits: int | None = None
 ) -> DataFrame:
     """count, min, max, average and (optionally) q1, median, q3 of one column."""
-    def shown(c: Column) -> Column:
-        return c if digits is None else rounded(c, digits)
-
+    df = df.select(F.col(column).cast("double").alias(column))
     aggs = {
-        f"{prefix}count": F.count(column),
-        f"{prefix}min": F.min(column).cast("double"),
-        f"{prefix}max": F.max(column).cast("double"),
-        f"{prefix}avg": shown(F.avg(column)),
+        f"{prefix}count": known(column), f"{prefix}min": least(column), f"{prefix}max": greatest(column),
+        f"{prefix}avg": average(column, digits),
     }
     q = {
         f"{prefix}q1": (column, 0.25, digits),

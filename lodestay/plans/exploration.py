@@ -39,9 +39,9 @@ def price_summary(master: DataFrame, group: str = "neighbourhood", minimum: int
         master.select(group, PRICE),
         [group],
         {
-            "total_listings": F.count(F.lit(1)),
-            "listings_with_price": F.count(PRICE),
-            "avg_price": S.rounded_avg(PRICE, 2),
+            "total_listings": S.row_count(),
+            "listings_with_price": S.known(PRICE),
+            "avg_price": S.average(PRICE, 2),
         },
         {"median_price": (PRICE, 0.5, 2), "price_q1": (PRICE, 0.25, 2), "price_q3": (PRICE, 0.75, 2)},
         drop_null_groups=True,
@@ -54,10 +54,10 @@ def review_activity(master: DataFrame, group: str = "neighbourhood", n: int | No
         master.select(group, "detailed_review_count", "has_review_history"),
         [group],
         {
-            "listing_count": F.count(F.lit(1)),
-            "total_review_events": F.sum("detailed_review_count"),
-            "avg_reviews_per_listing": S.rounded_avg("detailed_review_count", 2),
-            "listings_with_reviews": F.count_if("has_review_history"),
+            "listing_count": S.row_count(),
+            "total_review_events": S.total("detailed_review_count"),
+            "avg_reviews_per_listing": S.average("detailed_review_count", 2),
+            "listings_with_reviews": S.rows_where(F.col("has_review_history")),
         },
         {"median_reviews_per_listing": ("detailed_review_count", 0.5, 2)},
         drop_null_groups=True,
@@ -71,9 +71,9 @@ def availability_proxy(master: DataFrame, group: str = "neighbourhood") -> DataF
         master.select(group, "availability_rate_observed", "unavailability_rate_proxy"),
         [group],
         {
-            "listing_count": F.count(F.lit(1)),
-            "avg_availability_rate": S.rounded_avg("availability_rate_observed", 4),
-            "avg_unavailability_rate_proxy": S.rounded_avg("unavailability_rate_proxy", 4),
+            "listing_count": S.row_count(),
+            "avg_availability_rate": S.average("availability_rate_observed", 4),
+            "avg_unavailability_rate_proxy": S.average("unavailability_rate_proxy", 4),
         },
         {"median_unavailability_rate_proxy": ("unavailability_rate_proxy", 0.5, 4)},
         drop_null_groups=True,
@@ -86,9 +86,9 @@ def price_by_capacity(master: DataFrame, minimum: int = 0) -> DataFrame:
         master.where(F.col("accommodates") > 0).select("accommodates", PRICE),
         ["accommodates"],
         {
-            "total_listings": F.count(F.lit(1)),
-            "listings_with_price": F.count(PRICE),
-            "avg_price": S.rounded_avg(PRICE, 2),
+            "total_listings": S.row_count(),
+            "listings_with_price": S.known(PRICE),
+            "avg_price": S.average(PRICE, 2),
         },
         {"median_price": (PRICE, 0.5, 2)},
     )
@@ -100,10 +100,10 @@ def price_distribution(master: DataFrame) -> DataFrame:
         master.select(PRICE),
         [],
         {
-            "non_null_price_count": F.count(PRICE),
-            "min_price": F.min(PRICE),
-            "max_price": F.max(PRICE),
-            "avg_price": S.rounded_avg(PRICE, 2),
+            "non_null_price_count": S.known(PRICE),
+            "min_price": S.least(PRICE),
+            "max_price": S.greatest(PRICE),
+            "avg_price": S.average(PRICE, 2),
         },
         {"q1": (PRICE, 0.25, 2), "median_price": (PRICE, 0.5, 2), "q3": (PRICE, 0.75, 2)},
     )
@@ -178,8 +178,8 @@ def events_per_key(df: DataFrame, key: str, digits: int = 2) -> DataFrame:
     return S.group_summary(
         per_key, [],
         {
-            "keys": F.count(F.lit(1)), "min_events": F.min("row_count"), "max_events": F.max("row_count"),
-            "avg_events": S.rounded_avg("row_count", digits),
+            "keys": S.row_count(), "min_events": S.least("row_count"), "max_events": S.greatest("row_count"),
+            "avg_events": S.average("row_count", digits),
         },
         {"median_events": ("row_count", 0.5, digits)},
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestay.operators.summaries import group_summary, rounded_avg, with_share
+from lodestay.operators.summaries import average, group_summary, known, row_count, total, with_share
 from lodestay.plans.warehouse import PRICE, host_portfolio_performance, neighbourhood_performance, room_type_performance
 
 MINIMUM_AREA_LISTINGS = 100
@@ -33,14 +33,14 @@ def superhost_comparison(master: DataFrame) -> DataFrame:
         rows,
         ["superhost_status"],
         {
-            "listing_count": F.count(F.lit(1)),
-            "listings_with_price": F.count(PRICE),
-            "average_price": rounded_avg(PRICE, 2),
-            "listings_with_review_score": F.count("review_scores_rating"),
-            "average_review_score": rounded_avg("review_scores_rating", 3),
-            "total_review_events": F.sum("detailed_review_count"),
-            "average_reviews_per_listing": rounded_avg("detailed_review_count", 2),
-            "average_unavailability_rate_proxy": rounded_avg("unavailability_rate_proxy", 4),
+            "listing_count": row_count(),
+            "listings_with_price": known(PRICE),
+            "average_price": average(PRICE, 2),
+            "listings_with_review_score": known("review_scores_rating"),
+            "average_review_score": average("review_scores_rating", 3),
+            "total_review_events": total("detailed_review_count"),
+            "average_reviews_per_listing": average("detailed_review_count", 2),
+            "average_unavailability_rate_proxy": average("unavailability_rate_proxy", 4),
         },
         {"median_price": (PRICE, 0.5, 2)},
     )
@@ -82,9 +82,9 @@ def capacity_pricing(master: DataFrame, minimum: int = MINIMUM_CAPACITY_PRICES)
         rows,
         ["accommodates"],
         {
-            "listing_count": F.count(F.lit(1)),
-            "listings_with_price": F.count(PRICE),
-            "average_price": rounded_avg(PRICE, 2),
+            "listing_count": row_count(),
+            "listings_with_price": known(PRICE),
+            "average_price": average(PRICE, 2),
         },
         {"median_price": (PRICE, 0.5, 2), "price_q1": (PRICE, 0.25, 2), "price_q3": (PRICE, 0.75, 2)},
     )

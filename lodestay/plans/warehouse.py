@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestay.operators.enrichment import tolerant_select
-from lodestay.operators.summaries import group_summary, rounded_avg, surrogate_key
+from lodestay.operators.summaries import average, group_summary, known, row_count, surrogate_key, total
 
 # Columns of the listing dimension and the names they get.
 DIM_LISTING_COLUMNS = (
@@ -35,9 +35,9 @@ def dim_neighbourhoods(master: DataFrame) -> DataFrame:
         master.select("neighbourhood", PRICE),
         ["neighbourhood"],
         {
-            "listing_count": F.count(F.lit(1)),
-            "listings_with_price": F.count(PRICE),
-            "avg_price_best_available": rounded_avg(PRICE, 2),
+            "listing_count": row_count(),
+            "listings_with_price": known(PRICE),
+            "avg_price_best_available": average(PRICE, 2),
         },
         {"median_price_best_available": (PRICE, 0.5, 2)},
         drop_null_groups=True,
@@ -49,14 +49,14 @@ def dim_neighbourhoods(master: DataFrame) -> DataFrame:
 def _performance(master: DataFrame, group: str, *extra: str) -> DataFrame:
     """The measures the three performance views share, plus the ones asked for."""
     aggs = {
-        "listing_count": F.count(F.lit(1)),
-        "listings_with_price": F.count(PRICE),
-        "avg_price": rounded_avg(PRICE, 2),
-        "avg_review_score": rounded_avg("review_scores_rating", 3),
-        "total_review_events": F.sum("detailed_review_count"),
-        "avg_reviews_per_listing": rounded_avg("detailed_review_count", 2),
-        "avg_availability_rate": rounded_avg("availability_rate_observed", 4),
-        "avg_unavailability_rate_proxy": rounded_avg("unavailability_rate_proxy", 4),
+        "listing_count": row_count(),
+        "listings_with_price": known(PRICE),
+        "avg_price": average(PRICE, 2),
+        "avg_review_score": average("review_scores_rating", 3),
+        "total_review_events": total("detailed_review_count"),
+        "avg_reviews_per_listing": average("detailed_review_count", 2),
+        "avg_availability_rate": average("availability_rate_observed", 4),
+        "avg_unavailability_rate_proxy": average("unavailability_rate_proxy", 4),
     }
     names = ["listing_count", "listings_with_price", "avg_price", "avg_review_score", *extra,
              "avg_unavailability_rate_proxy"]

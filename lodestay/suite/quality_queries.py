@@ -569,7 +569,7 @@ def _parsed(column: str, expression: str, good: str, bad: str) -> list[str]:
     ]
 
 
-_POLICY = schemas.DETAILED_POLICY
+_POLICY = M.DETAIL_POLICY
 
 
 def _audit_sql() -> str:

@@ -239,3 +239,13 @@ def test_model_queries_learn_from_all_training_rows(spark, sf, monkeypatch):
     frame = analysis_queries.model_frame(spark, sf)
     assert learned == [frame.where("not is_test").count()] and learned[0] > 1000
     assert analysis_queries.model_predictions(spark, sf).count() == frame.where("is_test").count()
+
+
+def test_declared_fractions_are_those_of_the_data(spark, sf):
+    """The derived tables pass their fractional columns on, so that no job runs while a plan is put together."""
+    from lodestay.operators import cleaning
+    from lodestay.sources import schemas
+    from lodestay.suite import market as M
+
+    assert cleaning.fractional_columns(M.raw_listings(spark, sf), schemas.SUMMARY_POLICY) == M.LISTING_POLICY.fractional
+    assert cleaning.fractional_columns(M.raw_detail(spark, sf), schemas.DETAILED_POLICY) == M.DETAIL_POLICY.fractional

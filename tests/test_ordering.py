@@ -9,6 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lodestay.operators import hypothesis as H
+from lodestay.operators import ordering
+from lodestay.operators import summaries as S
 from lodestay.operators.ordering import exact_quantiles
 from lodestay.operators.summaries import group_summary
 
@@ -101,3 +103,42 @@ def test_no_decision_without_rows(spark):
         assert row.p_value is None and row.decision is None and row.conclusion is None
     tied = H.hypothesis_row(population(spark, [1.0, 1.0], [1.0]), "a", "b", "h", "q", "prices").first()
     assert tied.group_1_n == 2
+
+
+def test_image_has_the_order_of_the_bits(spark):
+    rng = np.random.default_rng(3)
+    powers = 2.0 ** np.arange(-1074, 1024)
+    values = np.concatenate([
+        rng.integers(0, 2**64, 2000, dtype=np.uint64).view(np.float64), powers, -powers, np.nextafter(powers[100:], 0),
+        np.nextafter(powers[:-1], np.inf), [0.0, -0.0, np.inf, -np.inf, 1.7976931348623157e308]])
+    rows = spark.createDataFrame([(float(v),) for v in values if not np.isnan(v)], "v double").select("v", ordering.image("v").alias("k")).collect()
+    bits = np.array([r.v for r in rows]).view(np.int64)
+    assert [r.k for r in rows] == np.where(bits < 0, -(bits & 0x7FFFFFFFFFFFFFFF), bits).tolist()
+
+
+def test_a_million_distinct_values_never_meet_in_one_running_total(spark):
+    """Every window orders a bounded number of rows; the values themselves are never sorted together."""
+    rows = spark.range(1_000_000).select(F.expr("(id * 7919 % 1000003) / 1000.0 - 300").alias("v"))
+    assert exact_quantiles(rows, [], {"a": ("v", 0.5), "b": ("v", 0.999)}).first().asDict() == pytest.approx(
+        dict(zip("ab", np.quantile(np.arange(1_000_000) * 7919 % 1000003 / 1000.0 - 300, [0.5, 0.999]))))
+    values = ordering.counted(ordering.value_counts(rows, [], "v"))
+    per_round = [
+        values.groupBy(ordering.prefix(k - 1) if k > 1 else F.lit("all")).agg(F.count_distinct(ordering.prefix(k)).alias("n")).agg(F.max("n")).first()[0]
+        for k in (1, 2, 3)]
+    assert max(per_round) < 20_000 and max(ordering.LEVELS) <= 22 and sum(ordering.LEVELS) == 64
+
+
+def test_folds_and_quantiles_read_the_input_once(spark, sf):
+    lineitem = spark.read.parquet(f"{sf}/lineitem.parquet")
+    out = group_summary(
+        lineitem, ["l_returnflag"],
+        {"n": S.row_count(), "k": S.known("l_tax"), "a": S.average("l_discount", 4), "s": S.total("l_linenumber"),
+         "lo": S.least("l_tax"), "hi": S.greatest("l_tax"), "w": S.rows_where(F.col("l_tax") > 0.04)},
+        {"m": ("l_extendedprice", 0.5, 2)})
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    plain = lineitem.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.count("l_tax").alias("k"), S.rounded(F.avg("l_discount"), 4).alias("a"),
+        F.sum("l_linenumber").alias("s"), F.min("l_tax").alias("lo"), F.max("l_tax").alias("hi"), F.count_if(F.col("l_tax") > 0.04).alias("w"))
+    assert sorted(map(tuple, out.drop("m").collect())) == sorted(map(tuple, plain.collect()))
