@@ -17,8 +17,6 @@ from lodestay.llm.common import Memo, map_slices, ranges, texts
 NONE = np.int32(2**31 - 1)
 #: White space of Unicode, stated since libraries differ on the control characters.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Distinct chunks a task remembers between slices before it begins anew.
-MEMO_CHUNKS = 400_000
 #: Cells of one matrix.
 MATRIX_CELLS = 1 << 20
 
@@ -88,7 +86,7 @@ class ByteBPE:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.memo = Memo(self.encode_chunks, MEMO_CHUNKS)
+        self.memo = Memo(self.encode_chunks)
 
     def merge_rows(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each row of a padded matrix (-1 after the end), flat, and how many each row has."""

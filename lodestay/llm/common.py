@@ -115,6 +115,12 @@ def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - n), n) + np.arange(int(n.sum()))
 
 
+#: Bytes that a task's memory of frequent words may take, about.
+MEMO_BYTES = 32 << 20
+#: Of them for a key beside its own: the object, its place in the table, its number, where its codes begin.
+KEY_BYTES = 170
+
+
 class _Places(dict):
     """The place of each key, new keys being numbered as they are asked for."""
 
@@ -132,15 +138,16 @@ class Memo:
     """Integer codes of the keys seen lately, so that a task computes those of a frequent word once.
 
     ``learn`` returns the flat codes of a list of keys and how many each has.
-    Results do not depend on ``limit``, the number of keys after which the
-    memory begins anew.
+    Results do not depend on ``limit``, the bytes of keys and codes after which
+    the memory begins anew; a slice of text may exceed it once.
     """
 
-    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int, dtype=np.int32):
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = MEMO_BYTES, dtype=np.int32):
         self.learn, self.limit, self.dtype = learn, limit, dtype
         self._reset()
 
     def _reset(self) -> None:
+        self.held = 0
         self.places, self.codes, self.starts = _Places(), np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
     def __call__(self, groups: list[list]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,13 +173,14 @@ class Memo:
         return self._codes_of(known[table.indices.to_numpy()], filled[offsets - offsets[0]])
 
     def _room(self) -> _Places:
-        if len(self.places) > self.limit:
+        if self.held > self.limit:
             self._reset()
         return self.places
 
     def _codes_of(self, at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.places.new:
             codes, counts = self.learn(self.places.new)
+            self.held += sum(map(len, self.places.new)) + KEY_BYTES * len(self.places.new) + codes.nbytes
             self.places.new = []
             self.codes = np.concatenate([self.codes, codes])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)]).astype(np.int64)

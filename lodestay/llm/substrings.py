@@ -38,7 +38,6 @@ SHARD_BYTES = 1 << 20
 DOCS_PER_TASK = 2000
 #: Words of a passage in one piece. Neighbouring pieces share all words but one of a window.
 PIECE_WORDS = 2000
-MEMO_WORDS = 400_000
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -60,7 +59,7 @@ def _word_codes() -> Memo:
     def learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         return codes.view(np.int64), np.ones(len(words), np.int64)
-    return Memo(learn, MEMO_WORDS, np.int64)
+    return Memo(learn, dtype=np.int64)
 
 
 def codes_of(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from lodestay.llm.common import Memo, map_slices, texts
 
 SCHEMA = "doc_id long, n_words long, n_tokens long"
-MEMO_WORDS = 400_000
 WORD_START = "▁"
 
 
@@ -92,7 +91,7 @@ def load(path: str) -> Memo:
         counts = [automaton.count(WORD_START + w.decode()) for w in words]
         return np.array(counts, np.int32), np.ones(len(words), np.int64)
 
-    return Memo(learn, MEMO_WORDS)
+    return Memo(learn)
 
 
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,6 @@
 """Token ids in flat files of unsigned integers with 64-bit offsets of the documents, memory-mapped to read.
 
-A data set is a folder of parts in ascending order of doc_id. Part k has
+A data set is a folder of parts, ranges of doc_id in ascending order. Part k has
 ``ids-k-*.bin``, the ids of its documents one after another as little-endian
 unsigned integers, and ``offsets-k-*.bin``, for each document and for the end
 the number of ids before it in the part, as little-endian 64-bit integers.
@@ -22,15 +22,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import Memo, map_slices, shared_folder, slices, texts
+from lodestay.llm.common import Memo, shared_folder, slices, texts
 
 #: Ids in a part, about; the number of parts follows the number of documents and tokens.
 PART_BYTES = 64 << 20
-#: Distinct words a task remembers.
-MEMO_WORDS = 400_000
 
 MANIFEST = "part int, n_docs long, n_tokens long, width int, ids_file string, offsets_file string, docs_file string"
 
@@ -80,7 +79,7 @@ class WordEncoder:
 @lru_cache(maxsize=2)
 def load(path: str) -> Memo:
     """Once for each worker process."""
-    return Memo(WordEncoder(path), MEMO_WORDS)
+    return Memo(WordEncoder(path))
 
 
 def plain(texts_: pa.Array) -> pa.Array:
@@ -95,22 +94,18 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def encoded(docs: DataFrame, path: str, width: int, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_batch(batch: pa.RecordBatch, path: str, width: int, end_id: int) -> pa.RecordBatch:
     """doc_id and the ids as bytes of ``width`` each, ``end_id`` last.
 
     The vocabulary ends words at white space and no special token holds any,
     so that the ids of a text are those of its words, one after another.
     """
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts = load(path).of_words(plain(batch.column("text")))
-        ends = np.cumsum(counts)
-        flat = np.insert(ids.astype(f"<u{width}"), ends, end_id).tobytes()
-        offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * width
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([flat[a:b] for a, b in zip(offsets, offsets[1:])], pa.binary())],
-            ["doc_id", "ids"])
-
-    return map_slices(texts(docs, doc_id, text), "text", "doc_id long, ids binary", work)
+    ids, counts = load(path).of_words(plain(batch.column("text")))
+    ends = np.cumsum(counts)
+    flat = np.insert(ids.astype(f"<u{width}"), ends, end_id).tobytes()
+    offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * width
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.array([flat[a:b] for a, b in zip(offsets, offsets[1:])], pa.binary())], ["doc_id", "ids"])
 
 
 def _open(folder: str, name: str):
@@ -118,38 +113,26 @@ def _open(folder: str, name: str):
     return fs, path
 
 
-def write_files(tokens: DataFrame, folder: str, width: int, bounds: list[int]) -> DataFrame:
+def write_files(docs: DataFrame, folder: str, path: str, width: int, end_id: int, n_parts: int) -> DataFrame:
     """Write the parts and return the manifest's rows.
 
-    ``bounds`` are ascending doc_ids at which a new part begins. Rows without
-    a doc_id come first. Each part is sorted by Spark, which spills, and
-    written as it streams by, so a task holds one Arrow batch at a time.
+    Spark deals the documents to ``n_parts`` ranges of doc_id, rows without
+    one first, and sorts each range, spilling where it must. One Python worker
+    a task then encodes and writes the documents as they stream by, a slice of
+    text at a time. A part is a range, numbered in their order.
     """
-    starts = np.array(bounds, np.int64)
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            part = np.searchsorted(starts, ids.fill_null(np.iinfo(np.int64).min).to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *batch.columns], ["part", *batch.schema.names])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_part: _Part | None = None
+        part: _Part | None = None
         for batch in batches:
-            parts = batch.column("part").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1), len(parts)] if len(parts) else []
-            for a, b in zip(cuts, cuts[1:]):
-                if open_part is None or open_part.part != parts[a]:
-                    if open_part:
-                        yield open_part.close()
-                    open_part = _Part(int(parts[a]), folder, width)
-                for piece in slices(batch.slice(a, b - a), "ids"):
-                    open_part.add(piece)
-        if open_part:
-            yield open_part.close()
-
-    rows = tokens.mapInArrow(dealt, "part int, doc_id long, ids binary")
-    rows = rows.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "ids")
+            for piece in slices(batch, "text"):
+                part = part or _Part(TaskContext.get().partitionId(), folder, width)
+                part.add(encode_batch(piece, path, width, end_id))
+        if part:
+            yield part.close()
+
+    # texts of one doc_id stand in a fixed order, that of their bytes
+    ranged = docs.repartitionByRange(n_parts, F.col("doc_id").asc_nulls_first())
+    rows = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     return rows.mapInArrow(write, MANIFEST)
 
 
@@ -184,16 +167,6 @@ class _Part:
             [pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in MANIFEST.split(", ")])
 
 
-def part_bounds(docs: DataFrame, n_parts: int, doc_id: str = "doc_id") -> list[int]:
-    """Ascending doc_ids that cut the documents into about even parts; only the ids are read."""
-    if n_parts < 2:
-        return []
-    shares = [k / n_parts for k in range(1, n_parts)]
-    found = docs.select(F.col(doc_id).cast("long").alias("i")).where("i is not null").select(
-        F.percentile_approx("i", F.array(*map(F.lit, shares)), 10 * n_parts).alias("q")).first()
-    return sorted(set(found.q or []))
-
-
 def write_tokens(
     docs: DataFrame, folder: str, path: str, end_id: int, n_parts: int, doc_id: str = "doc_id", text: str = "text",
 ) -> None:
@@ -202,8 +175,7 @@ def write_tokens(
     16-bit integers serve a vocabulary of up to 65,536 tokens, 32-bit ones a larger.
     """
     width = 2 if max(vocabulary_size(path), end_id + 1) <= 1 << 16 else 4
-    tokens = encoded(docs, path, width, end_id, doc_id, text)
-    write_files(tokens, folder, width, part_bounds(docs, n_parts, doc_id)).write.parquet(f"{folder}/manifest")
+    write_files(texts(docs, doc_id, text), folder, path, width, end_id, n_parts).write.parquet(f"{folder}/manifest")
 
 
 def mapped(folder: str, name: str, dtype: str) -> np.ndarray:
@@ -254,8 +226,9 @@ def round_trip(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id",
     """Write the documents' ids to files in the shared folder and read these back, one row per document.
 
     A null text has the end id alone; an empty table writes no part. Documents
-    with one doc_id stand together, ordered by their ids. Other columns are
-    not read.
+    with one doc_id stand together, ordered by their texts. A very long text
+    is encoded alone; its ids are one binary value, so that it may have up to
+    2 GB of them. Other columns are not read.
     """
     spark = docs.sparkSession
     size = docs.select(F.sum(F.coalesce(F.octet_length(F.col(text)), F.lit(0))).alias("n")).first().n or 0
