@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,10 +53,13 @@ class ModelSpec:
     trees: int = 200
     depth: int = 18
     minimum_leaf: int = 3
-    max_bins: int = 256  # values a continuous feature is cut into
+    max_bins: int = 64  # values a continuous feature is cut into by the forest
+    forest_rows: int = 2_000  # labelled rows the forest is grown on, a sample by key hash; all else uses all rows
+    histogram_mb: int = 512  # node statistics a task gathers in one pass of the forest
     ridge_iterations: int = 1000  # of the iterative solver; an error if it has not converged by then
     ridge_tolerance: float = 1e-10
     max_encoded_categories: int = 10_000  # one-hot columns; more are an error, as their labels live on the driver
+    hashed_buckets: int | None = None  # instead of one-hot columns: so many signed hash buckets a categorical column
     seed: int = SEED
 
 
@@ -112,20 +116,16 @@ class FittedFeatures:
     medians: dict
     means: dict
     deviations: dict
-    categories: DataFrame
+    categories: DataFrame | None  # None with hashed buckets, which need no table
     encoder: PipelineModel | None = None
     names: list = field(default_factory=list)
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Impute, standardise and group categories; unseen categories become NULL."""
+        """Impute, standardise and encode: unseen categories become a label of their own, or every category a sign."""
         spec = self.spec
-        out = {}
-        for c in spec.numerical:
-            filled = F.coalesce(F.col(c), F.lit(self.medians[c]))
-            out[c] = (filled - F.lit(self.means[c])) / F.lit(self.deviations[c] or 1.0)
-        for c in spec.categorical:
-            out[c] = F.coalesce(F.col(c), F.lit(MISSING_CATEGORY))
-        df = df.withColumns(out)
+        df = self.standardised(df)
+        if spec.hashed_buckets:
+            return df.withColumns({f"__hot_{c}": signed_buckets(c, spec.hashed_buckets) for c in spec.categorical})
         for c in spec.categorical:
             side = self.categories.where(F.col("feature") == c).select(
                 F.col("category").alias(f"__cat_{c}"), F.col("encoded_as").alias(f"__enc_{c}")
@@ -133,6 +133,16 @@ class FittedFeatures:
             df = df.join(side, F.col(c) == F.col(f"__cat_{c}"), "left").drop(f"__cat_{c}")
         return df.withColumns({f"__enc_{c}": F.coalesce(f"__enc_{c}", F.lit("__unseen__")) for c in spec.categorical})
 
+    def standardised(self, df: DataFrame) -> DataFrame:
+        """Impute and standardise the numbers, fill in missing categories."""
+        spec, out = self.spec, {}
+        for c in spec.numerical:
+            filled = F.coalesce(F.col(c), F.lit(self.medians[c]))
+            out[c] = (filled - F.lit(self.means[c])) / F.lit(self.deviations[c] or 1.0)
+        for c in spec.categorical:
+            out[c] = F.coalesce(F.col(c), F.lit(MISSING_CATEGORY))
+        return df.withColumns(out)
+
     def transform(self, df: DataFrame) -> DataFrame:
         return self.encoder.transform(self.prepare(df))
 
@@ -146,16 +156,17 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     stats = train.agg(
         *[F.avg(filled[c]).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(filled[c]).alias(f"s_{c}") for c in numeric]
     ).first()
+    means, deviations = {c: stats[f"m_{c}"] for c in numeric}, {c: stats[f"s_{c}"] for c in numeric}
+    if spec.hashed_buckets:
+        fitted = FittedFeatures(spec, medians, means, deviations, None)
+        return _hashed(fitted, train)
     categories = durable(rare_category_map(train, spec.categorical))
-    fitted = FittedFeatures(
-        spec, medians, {c: stats[f"m_{c}"] for c in numeric}, {c: stats[f"s_{c}"] for c in numeric},
-        categories,
-    )
+    fitted = FittedFeatures(spec, medians, means, deviations, categories)
     encoded = categories.select("feature", "encoded_as").distinct().count()
     if encoded > spec.max_encoded_categories:
         raise ValueError(
             f"{encoded} categories with {MINIMUM_CATEGORY_ROWS} rows or more; one-hot encoding takes up to "
-            f"{spec.max_encoded_categories} (ModelSpec.max_encoded_categories)")
+            f"{spec.max_encoded_categories} (ModelSpec.max_encoded_categories); ModelSpec.hashed_buckets takes any number")
     indexer = StringIndexer(
         inputCols=[f"__enc_{c}" for c in spec.categorical],
         outputCols=[f"__idx_{c}" for c in spec.categorical],
@@ -175,6 +186,31 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
     return fitted
 
 
+def signed_buckets(column: str, n: int) -> Column:
+    """A vector with 1 or -1 in the bucket of the value's hash. The sign is another hash, so that categories that share
+    a bucket cancel out on average."""
+    bucket = f"pmod(xxhash64('{column}', `{column}`), {n})"
+    sign = f"CASE WHEN xxhash64('sign of {column}', `{column}`) % 2 = 0 THEN 1D ELSE -1D END"
+    return array_to_vector(F.expr(f"transform(sequence(0, {n - 1}), k -> CASE WHEN k = {bucket} THEN {sign} ELSE 0D END)"))
+
+
+def _hashed(fitted: FittedFeatures, train: DataFrame) -> FittedFeatures:
+    """Signed hash buckets for each categorical column, whatever the number of its categories.
+
+    Nothing is learnt and no label reaches the driver. Rare categories are not
+    set apart, an unseen one has the bucket and sign of its hash. A bucket is
+    named after its source column, so importance is had per bucket and column.
+    """
+    spec, stages = fitted.spec, []
+    for c in spec.categorical:
+        stages.append(VectorSizeHint(inputCol=f"__hot_{c}", size=spec.hashed_buckets, handleInvalid="optimistic"))
+    numeric = list(spec.numerical)
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"__hot_{c}" for c in spec.categorical]], outputCol="features"))
+    fitted.encoder = Pipeline(stages=stages).fit(fitted.prepare(train))
+    fitted.names = numeric + [f"{c}_bucket_{k}" for c in spec.categorical for k in range(spec.hashed_buckets)]
+    return fitted
+
+
 def fit_ridge(train: DataFrame, spec: ModelSpec) -> object:
     """Least squares + alpha * |w|^2 on ``features`` -> ``label``, by the same iterative solver at every size.
 
@@ -187,17 +223,26 @@ def fit_ridge(train: DataFrame, spec: ModelSpec) -> object:
         maxIter=spec.ridge_iterations, tol=spec.ridge_tolerance, regParam=spec.alpha / row.n * (row.s or 1.0),
         standardization=False,
     ).fit(train)
-    if model.summary.totalIterations > spec.ridge_iterations:
+    if model.summary.totalIterations >= spec.ridge_iterations:  # Spark counts up to the bound, never beyond
         raise RuntimeError("ridge regression has not converged (ModelSpec.ridge_iterations)")
     return model
 
 
+def forest_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
+    """The ``forest_rows`` training rows with the smallest key hashes: the same whatever the partitions."""
+    order = F.xxhash64(F.lit(spec.seed), F.col(spec.key).cast("string"))
+    return train.orderBy(order, F.col(spec.key)).limit(spec.forest_rows)
+
+
 def fit_forest(train: DataFrame, spec: ModelSpec) -> object:
+    """A forest on ``forest_sample``. The rows are few and the node statistics many, so that these, gathered in every
+    task that holds rows, are kept to few tasks; row to node assignments are cached and checkpointed."""
+    few = durable(forest_sample(train, spec).select("features", "label").repartition(max(1, spec.forest_rows // 1000)))
     return RandomForestRegressor(
         featuresCol="features", labelCol="label", numTrees=spec.trees, maxDepth=spec.depth,
         minInstancesPerNode=spec.minimum_leaf, maxBins=spec.max_bins, featureSubsetStrategy="all", seed=spec.seed,
-        maxMemoryInMB=512,
-    ).fit(train)
+        maxMemoryInMB=spec.histogram_mb, cacheNodeIds=True, checkpointInterval=10,
+    ).fit(few)
 
 
 def original_scale(c: str) -> Column:
@@ -225,19 +270,40 @@ class PriceExperiment:
             df.unpersist()
 
 
-def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceExperiment:
-    """Split, fit the three models on log1p(target) of all training rows, score all test rows on the original scale."""
-    spec = spec or ModelSpec()
+@dataclass
+class Prepared:
+    """Split rows, what was learnt from the training rows, and these as vectors."""
+
+    frame: DataFrame
+    test: DataFrame
+    train: DataFrame
+    features: FittedFeatures
+    ready: DataFrame
+
+
+def prepare_price_experiment(df: DataFrame, spec: ModelSpec) -> Prepared:
     frame = with_split(modelling_frame(df, spec), spec.key, spec.seed).withColumn("label", F.log1p(spec.target))
     frame = durable(frame)  # read many times while fitting
     train, test = frame.where(~F.col("is_test")), frame.where("is_test")
     features = fit_features(train, spec)
-    # every tree level and every ridge iteration passes over these rows, so they are spread over all cores once
+    # every ridge iteration passes over these rows, so they are spread over all cores once, but not in crumbs
     cores = df.sparkSession.sparkContext.defaultParallelism
-    ready = durable(features.transform(train).select("features", "label").repartition(cores))
-    baseline = exact_quantiles(train, [], {"median": ("label", 0.5)}).first()
-    ridge, forest = fit_ridge(ready, spec), fit_forest(ready, spec)
-    scored = features.transform(test)
+    parts = max(1, min(cores, train.count() // 5_000))
+    ready = durable(features.transform(train).select(spec.key, "features", "label").repartition(parts))
+    return Prepared(frame, test, train, features, ready)
+
+
+def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceExperiment:
+    """Split, fit the three models on log1p(target), score all test rows on the original scale.
+
+    Medians, deviations, categories, the ridge model and the baseline come from all training rows, the forest from
+    a documented sample (``ModelSpec.forest_rows``).
+    """
+    spec = spec or ModelSpec()
+    p = prepare_price_experiment(df, spec)
+    baseline = exact_quantiles(p.train, [], {"median": ("label", 0.5)}).first()
+    ridge, forest = fit_ridge(p.ready, spec), fit_forest(p.ready, spec)
+    scored = p.features.transform(p.test)
     scored = ridge.setPredictionCol("__ridge").transform(scored)
     scored = forest.setPredictionCol("__forest").transform(scored)
     predictions = scored.select(
@@ -251,11 +317,18 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
     return PriceExperiment(
         predictions,
         compare_models(predictions, "actual_price", models),
-        feature_importance(df.sparkSession, features.names, forest),
-        features, ridge, forest, (frame, ready, features.categories),
+        feature_importance(df.sparkSession, p.features.names, forest),
+        p.features, ridge, forest, [x for x in (p.frame, p.ready, p.features.categories) if x is not None],
     )
 
 
+def forest_importance(df: DataFrame, spec: ModelSpec | None = None) -> DataFrame:
+    """The importance table alone, without the other models."""
+    spec = spec or ModelSpec()
+    p = prepare_price_experiment(df, spec)
+    return feature_importance(df.sparkSession, p.features.names, fit_forest(p.ready, spec))
+
+
 def score(predictions: DataFrame, actual: str, predicted: str, model: str) -> DataFrame:
     """One row: MAE, RMSE (2 digits) and R2 (4 digits)."""
     a, e = F.col(actual), F.col(actual) - F.col(predicted)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from lodestay.functions.numeric import percentage, rounded
 from lodestay.operators.duplicates import duplicate_rows_exact, duplicate_rows_hashed
 from lodestay.operators.summaries import average, greatest, group_summary, known, least, rows_where
 
-DISTINCTS_PER_PASS = 12
 # Free-text columns whose exact distinct count is skipped, with a note.
 FREE_TEXT = frozenset({"comments"})
 SKIPPED_NOTE = "Exact distinct count skipped for a free-text column."
@@ -46,6 +44,28 @@ def table_profile(
     )
 
 
+# How values with a range travel beside those of other columns, and back: whole numbers, days and instants as longs,
+# floating point as doubles, decimals as the widest decimals. Types without a range have none.
+_CARRIED = (
+    (T.IntegralType, "long", lambda c, t: F.col(c).cast("bigint"), lambda x, t: x.cast(t)),
+    (T.DateType, "long", lambda c, t: F.unix_date(c).cast("bigint"), lambda x, t: F.date_from_unix_date(x.cast("int"))),
+    (T.TimestampType, "long", lambda c, t: F.unix_micros(c), lambda x, t: F.timestamp_micros(x)),
+    (T.TimestampNTZType, "long", lambda c, t: F.unix_micros(F.to_utc_timestamp(F.col(c).cast("timestamp"), "UTC")),
+     lambda x, t: F.timestamp_micros(x).cast(t)),
+    (T.FractionalType, "double", lambda c, t: F.col(c).cast("double"), lambda x, t: x.cast(t)),
+)
+
+
+def _carried(t: T.DataType):
+    if isinstance(t, T.DecimalType):
+        wide = f"decimal(38,{t.scale})"
+        return wide, lambda c, _: F.col(c).cast(wide), lambda x, _: x.cast(t)
+    for kind, slot, there, back in _CARRIED:
+        if isinstance(t, kind):
+            return slot, there, back
+    return None
+
+
 def column_profile(
     df: DataFrame,
     dataset: str,
@@ -55,44 +75,77 @@ def column_profile(
 ) -> DataFrame:
     """One row per column: type, missing, distinct, minimum, maximum, note.
 
-    One aggregate pass for all columns. Each exact distinct count multiplies
-    the rows of its pass, so wide tables are cut into passes of
-    ``DISTINCTS_PER_PASS`` columns, each reading only its own columns.
+    One scan, however many columns: each row gives a (column, 128-bit hash of
+    the value) pair per column, combined map-side to the distinct ones, and
+    every figure comes from those. ``approximate`` takes a sketch per column
+    instead, also in one scan.
     """
     fields = {f.name: f for f in df.schema.fields}
     wanted = list(columns or df.columns)
     skipped = {c.lower() for c in skip_distinct}
-    passes = [wanted[i:i + DISTINCTS_PER_PASS] for i in range(0, len(wanted), DISTINCTS_PER_PASS)]
-    parts = []
-    for names in passes:
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        for i, c in enumerate(names):
-            aggs.append(F.count(c).alias(f"n{i}"))
-            if c.lower() not in skipped:
-                counted = F.approx_count_distinct(c) if approximate else F.count_distinct(c)
-                aggs.append(counted.alias(f"u{i}"))
-            if has_range(fields[c].dataType):
-                aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
-        row = df.agg(*aggs)
-        cells = []
-        for i, c in enumerate(names):
-            counted, ranged = c.lower() not in skipped, has_range(fields[c].dataType)
-            none = F.lit(None).cast("string")
-            missing = F.col("rows") - F.col(f"n{i}")
-            cells.append(F.struct(
-                F.lit(dataset).alias("dataset_name"),
-                F.lit(c).alias("column_name"),
-                F.lit(fields[c].dataType.simpleString()).alias("data_type"),
-                missing.alias("missing_count"),
-                percentage(missing, F.col("rows"), 4).alias("missing_percentage"),
-                (F.col(f"u{i}") if counted else F.lit(None).cast("bigint")).alias("unique_count"),
-                (F.col(f"lo{i}") if ranged else none).alias("minimum"),
-                (F.col(f"hi{i}") if ranged else none).alias("maximum"),
-                (none if counted else F.lit(SKIPPED_NOTE)).alias("profile_note"),
-                F.col("rows").alias("row_count"),
-            ))
-        parts.append(row.select(F.inline(F.array(*cells))))
-    return reduce(DataFrame.unionByName, parts)
+    row = (_sketched if approximate else _counted)(df, wanted, fields, skipped)
+    cells = []
+    for i, c in enumerate(wanted):
+        counted, kind = c.lower() not in skipped, fields[c].dataType
+        none = F.lit(None).cast("string")
+        missing = F.col("rows") - F.col(f"n{i}")
+        cells.append(F.struct(
+            F.lit(dataset).alias("dataset_name"),
+            F.lit(c).alias("column_name"),
+            F.lit(kind.simpleString()).alias("data_type"),
+            missing.alias("missing_count"),
+            percentage(missing, F.col("rows"), 4).alias("missing_percentage"),
+            (F.col(f"u{i}") if counted else F.lit(None).cast("bigint")).alias("unique_count"),
+            (F.col(f"lo{i}") if has_range(kind) else none).alias("minimum"),
+            (F.col(f"hi{i}") if has_range(kind) else none).alias("maximum"),
+            (none if counted else F.lit(SKIPPED_NOTE)).alias("profile_note"),
+            F.col("rows").alias("row_count"),
+        ))
+    return row.select(F.inline(F.array(*cells)))
+
+
+def _sketched(df: DataFrame, wanted: Sequence[str], fields: dict, skipped: set) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(wanted):
+        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"u{i}")]
+        if has_range(fields[c].dataType):
+            aggs += [F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
+    return df.agg(*aggs)
+
+
+def _counted(df: DataFrame, wanted: Sequence[str], fields: dict, skipped: set) -> DataFrame:
+    """One row: rows, and of column i the values n, the distinct ones u, and lo and hi as text."""
+    carried = {c: _carried(fields[c].dataType) for c in wanted if has_range(fields[c].dataType)}
+    slots = sorted({slot for slot, _, _ in carried.values()})
+    pairs = []
+    for i, c in enumerate(wanted):
+        # a missing value has no hash; a column that is not counted has one for all values
+        first = F.lit(0).cast("bigint") if c.lower() in skipped else F.xxhash64(c)
+        second = F.lit(0).cast("bigint") if c.lower() in skipped else F.xxhash64(F.lit("second"), c)
+        here = F.col(c).isNotNull()
+        parts = [F.lit(i).alias("c"), F.when(here, first).alias("a"), F.when(here, second).alias("b")]
+        for k, slot in enumerate(slots):
+            mine = c in carried and carried[c][0] == slot
+            parts.append((carried[c][1](c, None) if mine else F.lit(None)).cast(slot).alias(f"x{k}"))
+        pairs.append(F.struct(*parts))
+    ends = [f(f"x{k}").alias(f"{name}{k}") for k in range(len(slots)) for name, f in (("l", F.min), ("h", F.max))]
+    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+    distinct = long.groupBy("c", "a", "b").agg(F.count(F.lit(1)).alias("n"), *ends)
+    each = distinct.groupBy("c").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(F.col("a").isNotNull(), F.col("n")).otherwise(0)).alias("n"),
+        F.count("a").alias("u"), *[f(f"{name}{k}").alias(f"{name}{k}") for k in range(len(slots)) for name, f in (("l", F.min), ("h", F.max))])
+    # one row for each column: a row of all figures, zeros for an empty table
+    aggs = [F.coalesce(F.max("rows"), F.lit(0)).alias("rows")]
+    for i, c in enumerate(wanted):
+        def own(name: str, i=i) -> Column:
+            return F.max(F.when(F.col("c") == i, F.col(name)))
+
+        aggs += [F.coalesce(own("n"), F.lit(0)).alias(f"n{i}"), F.coalesce(own("u"), F.lit(0)).alias(f"u{i}")]
+        if c in carried:
+            slot, _, back = carried[c]
+            k = slots.index(slot)
+            aggs += [back(own(f"{end}{k}"), fields[c].dataType).cast("string").alias(f"{name}{i}") for end, name in (("l", "lo"), ("h", "hi"))]
+    return each.agg(*aggs)
 
 
 def sample_values(df: DataFrame, columns: Sequence[str], n: int = 3) -> DataFrame:
@@ -149,9 +202,16 @@ def property_profile(df: DataFrame, json_column: str) -> DataFrame:
 
 
 def canonical_json_duplicates(df: DataFrame, json_column: str) -> DataFrame:
-    """Extra copies of records that are equal whatever the order of their properties."""
-    entries = F.array_sort(F.map_entries(F.from_json(json_column, "map<string,string>")))
-    return duplicate_rows_hashed(df.select(F.to_json(entries).alias("record")))
+    """Extra copies of records that are equal whatever the order of their properties, at every depth.
+
+    A VARIANT keeps the keys of each of its objects in order, so its text is
+    the same for records that differ in key order, white space or number
+    spelling only. Text that is no JSON is compared as it is.
+    """
+    parsed = F.to_json(F.try_parse_json(F.col(json_column).cast("string")))
+    kind = F.when(parsed.isNull(), "text").otherwise("json")
+    record = F.coalesce(parsed, F.col(json_column).cast("string"))
+    return duplicate_rows_hashed(df.select(kind.alias("kind"), record.alias("record")))
 
 
 def date_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import join_on_keys, rounded
 from lodestay.operators.ordering import all_read, approximate_quantiles, exact_quantiles, quantiles_of_counts, value_counts
+from lodestay.session import durable
 
 
 @dataclass(frozen=True)
@@ -268,6 +269,17 @@ def ranked_ends(df: DataFrame, measure: str, tie: str, n: int, support: str, min
 
 
 def surrogate_key(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Dense 1..n key by ``order``; for aggregated, dimension-sized input."""
-    w = Window.partitionBy(F.lit(0)).orderBy(F.asc(order))
-    return df.withColumn(name, F.row_number().over(w))
+    """Dense 1..n key in the order of the unique column ``order``, NULL first.
+
+    Rows are dealt to ranges of ``order`` and numbered inside their range; a
+    prefix sum over the ranges' sizes, one row each, gives where a range
+    begins. No task orders the whole table.
+    """
+    here = Window.partitionBy("__range").orderBy(F.col(order).asc_nulls_first())
+    dealt = df.repartitionByRange(F.col(order).asc_nulls_first()).withColumn("__range", F.spark_partition_id())
+    numbered = durable(dealt.withColumn("__place", F.row_number().over(here)))  # ranges must not be drawn twice
+    before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    starts = sizes.select(F.col("__range"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
+    keyed = numbered.join(F.broadcast(starts), "__range")  # one row a range
+    return keyed.withColumn(name, (F.col("__start") + F.col("__place")).cast("bigint")).drop("__range", "__place", "__start")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,8 +125,40 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
+class PublishError(RuntimeError):
+    """A table was not published; the one before it is as it was."""
+
+
+def replace_table(df: DataFrame, table: str, check: Callable[[DataFrame], None] | None = None) -> None:
+    """Publish ``df`` as ``table``: write a staging table, look at it, then swap the names.
+
+    Overwriting a table drops the old rows first, so that a job that fails half
+    way leaves nothing. Here the old table is there until the new one is whole
+    and ``check`` has seen it; only then are names changed, and if the second
+    change fails the first is taken back. A staging table of a failed run is dropped.
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    fresh, old = f"{table}__new_{tag}", f"{table}__old_{tag}"
+    try:
+        df.write.mode("errorifexists").saveAsTable(fresh)
+        if check:
+            check(spark.table(fresh))
+    except Exception as failed:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise PublishError(f"{table} was not published") from failed
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception as failed:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise PublishError(f"{table} was not published") from failed
+    if had:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def replace_view(df: DataFrame, view: str) -> None:

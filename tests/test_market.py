@@ -223,22 +223,54 @@ def test_price_experiment(spark):
 
 
 def test_model_queries_learn_from_all_training_rows(spark, sf, monkeypatch):
-    """The tables of the queries agree with those over all rows; the forest is small here, its rows are not."""
-    fit, learned = modelling.fit_forest, []
+    """The tables of the queries agree with those over all rows; only the forest has a sample, and few trees here."""
+    fit, learned, seen = modelling.fit_forest, [], []
 
     def small(train, spec):
-        learned.append(train.count())
+        learned.append((train.count(), modelling.forest_sample(train, spec).count(), spec.trees, spec.depth))
         return fit(train, replace(spec, trees=2, depth=2))
 
+    run = modelling.run_price_experiment
     monkeypatch.setattr(modelling, "fit_forest", small)
-    monkeypatch.setattr(analysis_queries, "_held", {})
+    monkeypatch.setattr(modelling, "run_price_experiment", lambda *a: seen.append(run(*a)) or seen[-1])
     dummy = analysis_queries.ridge_rf_compare(spark, sf).where(F.col("model") == modelling.DUMMY).drop("mae_improvement_pct")
     assert dummy.collect() == analysis_queries.dummy_metrics(spark, sf).collect()
-    used = next(iter(analysis_queries._held.values())).features.categories
-    assert sorted(used.collect()) == sorted(analysis_queries.rare_category_map(spark, sf).collect())
+    assert sorted(seen[0].features.categories.collect()) == sorted(analysis_queries.rare_category_map(spark, sf).collect())
     frame = analysis_queries.model_frame(spark, sf)
-    assert learned == [frame.where("not is_test").count()] and learned[0] > 1000
-    assert analysis_queries.model_predictions(spark, sf).count() == frame.where("is_test").count()
+    n = frame.where("not is_test").count()
+    assert learned == [(n, min(n, modelling.ModelSpec().forest_rows), 200, 18)] and n > 1000
+    assert seen[0].predictions.count() == frame.where("is_test").count()
+
+
+def test_ridge_that_has_not_converged_is_an_error(spark):
+    df = modelling.modelling_frame(model_rows(spark), SPEC).withColumn("label", F.log1p("y"))
+    ready = modelling.fit_features(df, SPEC).transform(df).select("features", "label")
+    with pytest.raises(RuntimeError, match="converged"):
+        modelling.fit_ridge(ready, replace(SPEC, ridge_iterations=2))
+
+
+def test_forest_sample_does_not_depend_on_partitions(spark):
+    rows, spec = spark.range(5000), replace(SPEC, forest_rows=300)
+    first = {r.id for r in modelling.forest_sample(rows, spec).collect()}
+    assert len(first) == 300 and first == {r.id for r in modelling.forest_sample(rows.repartition(9), spec).collect()}
+
+
+def test_a_million_categories_in_signed_buckets(spark):
+    rows = spark.range(1_000_000).select(
+        F.col("id").cast("string").alias("id"), F.rand(1).alias("x"), F.rand(2).alias("w"), F.concat(F.lit("c"), "id").alias("c"),
+        (F.rand(3) + 1).alias("y"))
+    spec = replace(SPEC, hashed_buckets=32, ridge_iterations=200, ridge_tolerance=1e-4)
+    frame = modelling.modelling_frame(rows, spec).withColumn("label", F.log1p("y"))
+    fitted = modelling.fit_features(frame, spec)
+    assert fitted.categories is None and fitted.names == ["x", "w", *(f"c_bucket_{k}" for k in range(32))]
+    vectors = [r.features.toArray()[2:] for r in fitted.transform(frame.limit(200)).select("features").collect()]
+    assert all(sorted(set(abs(v))) == [0.0, 1.0] and abs(v).sum() == 1 for v in vectors)
+    assert {float(v.sum()) for v in vectors} == {-1.0, 1.0}
+    again = fitted.transform(frame.where("id = 7")).first().features
+    assert again == fitted.transform(frame.where("id = 7").repartition(3)).first().features
+    assert len(modelling.fit_ridge(fitted.transform(frame).select("features", "label"), spec).coefficients) == 34
+    with pytest.raises(ValueError, match="hashed_buckets"):
+        modelling.fit_features(frame.where("id < 40").crossJoin(spark.range(10)).drop("id"), replace(SPEC, max_encoded_categories=5))
 
 
 def test_declared_fractions_are_those_of_the_data(spark, sf):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodestay.operators import cleaning, duplicates, profiling, rules
+from lodestay.operators import cleaning, duplicates, profiling, rules, summaries
 from lodestay.operators.cleaning import ColumnPolicy, GrainError
 from lodestay.operators.rules import Rule
 from lodestay.plans import rulebook
@@ -189,3 +189,45 @@ def test_examples_leave_out_keys_with_null(spark):
     rows = [(None, i) for i in range(9)] + [("a", 1), ("a", 2), ("b", 3)]
     got = group_examples(spark.createDataFrame(rows, "k string, v int"), ["k"], ["v"], groups=1).collect()
     assert sorted((r.k, r.v, r.group_size) for r in got) == [("a", 1, 2), ("a", 2, 2)]
+
+
+def test_json_duplicates_at_every_depth(spark):
+    rows = [
+        ('{"type":"Feature","properties":{"a":1,"b":{"x":[1,2],"y":null}}}',),
+        ('{"properties":{"b":{"y":null,"x":[1, 2]},"a":1}, "type":"Feature"}',),
+        ('{"type":"Feature","properties":{"a":1,"b":{"x":[2,1],"y":null}}}',), ("not json",), ("not json",), (None,),
+        ('"not json"',)]
+    row = profiling.canonical_json_duplicates(spark.createDataFrame(rows, "j string"), "j").first()
+    assert (row.row_count, row.duplicate_count) == (7, 2)
+
+
+def test_profile_of_ninety_columns_is_one_scan(spark, tmp_path):
+    import datetime as dt
+    from decimal import Decimal
+
+    rows = [(1, 1.5, Decimal("2.50"), dt.date(2025, 1, 2), dt.datetime(2025, 1, 2, 3, 4, 5, 6), True, "x", "long text"),
+            (2, None, Decimal("-2.50"), dt.date(1969, 1, 2), dt.datetime(1960, 1, 2, 3, 4, 5), False, "x", "long text"),
+            (2, -1.5, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "i int, d double, m decimal(9,2), t date, s timestamp, f boolean, c string, comments string")
+    wide = df.select("*", *[F.col("i").alias(f"i{k}") for k in range(82)])
+    path = str(tmp_path / "wide")
+    wide.write.parquet(path)
+    out = profiling.column_profile(spark.read.parquet(path), "wide")
+    got = {r.column_name: r for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and len(got) == 90
+    assert [(got[c].missing_count, got[c].unique_count, got[c].minimum, got[c].maximum) for c in ("i", "d", "m", "t", "s", "f", "c", "comments", "i81")] == [
+        (0, 2, "1", "2"), (1, 2, "-1.5", "1.5"), (1, 2, "-2.50", "2.50"), (1, 2, "1969-01-02", "2025-01-02"),
+        (1, 2, "1960-01-02 03:04:05", "2025-01-02 03:04:05.000006"), (1, 2, None, None), (1, 1, None, None), (1, None, None, None), (0, 2, "1", "2")]
+    empty = profiling.column_profile(df.limit(0), "none").collect()
+    assert {(r.row_count, r.missing_count, r.unique_count) for r in empty} == {(0, 0, 0), (0, 0, None)}
+    rough = {r.column_name: r.unique_count for r in profiling.column_profile(df, "rough", approximate=True).collect()}
+    assert rough["i"] == 2 and rough["comments"] is None
+
+
+def test_surrogate_keys_are_dense_without_one_task(spark):
+    names = [f"n{(k * 7919) % 1000:04d}" for k in range(1000)] + [None]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
+    out = summaries.surrogate_key(df, "name", "key")
+    assert [(r.name, r.key) for r in out.orderBy("key").collect()] == [(n, i) for i, n in enumerate([None, *sorted(names[:-1])], 1)]
+    assert summaries.surrogate_key(df.limit(0), "name", "key").count() == 0

@@ -111,3 +111,25 @@ def test_catalog_and_areas(spark, tmp_path):
         ("North", "MultiPolygon", True), ("South", "MultiPolygon", True)]
     with pytest.raises(ValueError, match="empty"):
         run_sql(spark, "  ")
+
+
+def test_a_failed_publication_leaves_the_old_table(spark):
+    from pyspark.sql import functions as F
+
+    from lodestay.sources.catalog import PublishError, replace_table
+
+    replace_table(spark.range(3), "default.published")
+    replace_table(spark.range(5), "default.published")
+    assert spark.table("default.published").count() == 5
+    broken = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("midway"))).cast("bigint").alias("id"))
+    with pytest.raises(PublishError):
+        replace_table(broken, "default.published")
+
+    def too_few(df):
+        if df.count() < 5:
+            raise ValueError("rows are missing")
+
+    with pytest.raises(PublishError):
+        replace_table(spark.range(2), "default.published", too_few)
+    assert spark.table("default.published").count() == 5
+    assert [t.name for t in spark.catalog.listTables("default") if t.name.startswith("published")] == ["published"]
