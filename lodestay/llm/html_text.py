@@ -42,9 +42,10 @@ OUTSIDE_ROLES = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>script|style|xmp|noembed|noframes)\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|xmp|noembed|noframes)\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+>(?P<content>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*>", re.S | re.I)
+_DECLARATION = re.compile("<[!?]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:@][\w:.-]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -137,13 +138,21 @@ def runs_of(page: str) -> list[Run]:
     return parsed(page)[0]
 
 
+def _open_ended(m: re.Match) -> bool:
+    """Whether a comment, script or style was ended by the page alone."""
+    if m["raw"]:
+        return m.end("content") == m.end()
+    return m[0].startswith("<!--") and not (m[0].endswith("-->") and len(m[0]) >= 7)
+
+
 def parsed(page: str) -> tuple[list[Run], list[Element]]:
     """The runs of ``runs_of``, and the elements that decide what of them is outside."""
     out: list[Run] = []
     elements: list[Element] = []
     stack: list[tuple[str, Element | None]] = []
-    links = labels = articles = 0
-    at = 0
+    held: Counter = Counter()  # open elements by name, so that an end tag without one searches nothing
+    blocks: list[int] = []  # places of open blocks in the stack
+    links = labels = articles = at = 0
 
     def text(upto: int) -> None:
         if upto > at:
@@ -156,47 +165,53 @@ def parsed(page: str) -> tuple[list[Run], list[Element]]:
         for name, element in stack[k:]:
             if element:
                 element.end = len(out)
+            held[name] -= 1
             links -= name == "a"
             labels -= name in LABEL
             articles -= name == "article"
         del stack[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
 
-    for m in _TOKEN.finditer(page):
+    end = page.rfind(">") + 1  # no tag ends behind it, and none is looked for there
+    unclosed = False
+    for m in _TOKEN.finditer(page, 0, end):
         text(m.start())
         at = m.end()
         name = m["name"]
-        if not name:
-            continue  # a comment, a declaration, a script, a style, or a broken tag
+        if not name:  # a comment, a declaration, a script, a style, or a broken tag
+            unclosed = at == end and _open_ended(m)
+            continue
         name = name.lower()
         block = name in BLOCKS
         if m["end"]:
             out.append(Run("t:/" + name, breaks=block, labelled=labels > 0))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop_to(k)
-                    break
+            if held[name]:  # what is searched is closed, so all searches together are as long as the page
+                pop_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name == "br":
             out.append(Run("t:br", text="\n", labelled=labels > 0))
             continue
-        if block and stack:  # a block ends an open paragraph, an item an open item
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or name == stack[k][0] == "li":
-                    pop_to(k)
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+        if block and blocks:  # a block ends a paragraph, an item an item, if that is the innermost open block
+            inner = stack[blocks[-1]][0]
+            if inner == "p" or name == inner == "li":
+                pop_to(blocks[-1])
         out.append(Run("t:" + name, breaks=block, labelled=labels > 0))
         if name not in VOID and not m["attributes"].endswith("/"):
             says = outside(name, m["attributes"])
             element = Element(name, says, len(out), in_article=articles > 0) if says or name in LABEL else None
             if element:
                 elements.append(element)
+            if block:
+                blocks.append(len(stack))
             stack.append((name, element))
+            held[name] += 1
             links += name == "a"
             labels += name in LABEL
             articles += name == "article"
-    text(len(page))
+    if not unclosed:  # the rest is text, up to a comment or declaration that nothing closes
+        rest = _DECLARATION.search(page, end)
+        text(rest.start() if rest else len(page))
     pop_to(0)
     hide(out, elements)
     return out, elements
@@ -267,14 +282,15 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def learn_weights(
-    pages: DataFrame, sample: int = 5000, page_id: str = "page_id", page: str = "html",
+    pages: DataFrame, sample: int = 5000, page_id: str = "page_id", page: str = "html", max_kinds: int = 10_000,
 ) -> Weights:
     """Weights from labelled pages, those with just one ``article`` or ``main`` element.
 
     A kind of word or tag weighs the logarithm of how much more frequent it is
     inside than outside. Words of text are kept positive, tags negative. About
     ``sample`` pages, chosen by hash of the id, are learned from; the counts
-    that reach the driver are one for each kind. Without labelled pages the
+    that reach the driver are one for each kind, for the ``max_kinds`` most
+    frequent kinds; rarer tags weigh ``other_tag``. Without labelled pages the
     defaults of ``Weights`` hold.
     """
     rows = pages.select(F.xxhash64(F.col(page_id)).alias("h"), F.col(page).cast("string").alias("html"))
@@ -294,8 +310,7 @@ def learn_weights(
              pa.array(list(sums.values()), pa.int64())], ["kind", "inside", "n"])
 
     counted = map_slices(rows, "html", "kind string, inside boolean, n long", count)
-    most = 10_000  # kinds; pages invent few element names, and rare ones may as well be `other_tag`
-    found = counted.groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind").limit(most).collect()
+    found = counted.groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind", "inside").limit(max_kinds).collect()
     if not found:
         return Weights()
     inside = {r.kind: r.n for r in found if r.inside}
@@ -317,6 +332,7 @@ def extract_text(
     """One row per page with its main text and the text's length in code points.
 
     A null or empty page and one without words of text give an empty text.
+    Reading takes time in proportion to the page, also of long and broken ones.
     Repeated rows are treated each; other columns are not read.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -405,3 +406,34 @@ def test_best_region(scores):
     a, b = html_text.best_region(scores)
     best = max([0, *(sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))])
     assert sum(scores[a:b]) == best
+
+
+def test_broken_pages_are_read_in_time():
+    """A megabyte of tags that are never closed, never ended or never opened."""
+    n = 80_000
+    for page in ("<a " * 330_000, "<b>" * n + "</i>" * n, '<a "x' * n, "<b>" * n + "<hr>" * n, "<script " * n + ">", "<!--" * n, "<p>" * n + "</div>" * n):
+        start = time.perf_counter()
+        html_text.main_text(page, html_text.Weights())
+        assert time.perf_counter() - start < 8
+
+
+def test_unclosed_ends_of_pages():
+    for page, text in (("one two <b>three</b> four <a", "one two three four <a"), ("one <i>two</i> three <!-- four", "one two three"),
+                       ("one <i>two</i><script>x = 1; y > 2", "one two"), ("one <i>two</i><!-- a > b", "one two"),
+                       ("one <i>two</i> three <? four", "one two three"), ("one <b>two</b><script></script> three", "one two three")):
+        assert html_text.main_text(page, html_text.Weights()) == text
+
+
+def test_pages_without_article_or_main(spark, sf):
+    """The scan alone finds the text where no element names it; weights are learned from the pages of the table."""
+    weights = html_text.learn_weights(queries.table(spark, sf, "pages"))
+    rng = random.Random(11)
+    menu = "<ul class=nav>" + "".join(f"<li><a href=/{k}>item {k}</a></li>" for k in range(9)) + "</ul>"
+    for k in range(24):
+        paragraphs = [" ".join(rng.choice(["water", "stone", "river", "<b>old</b>", "a <a href=x>bridge</a> of"]) for _ in range(rng.randint(25, 60)))
+                      for _ in range(rng.randint(2, 6))]
+        wrap = rng.choice([("<div>", "</div>"), ("<section>", "</section>"), ("<table><tr><td>", "</td></tr></table>"), ("<div><div id=c>", "</div></div>")])
+        page = (f"<html><head><title>t {k}</title></head><body><div class=header><h2>Site</h2>{menu}</div>{wrap[0]}"
+                + "".join(f"<p>{p}</p>\n" for p in paragraphs) + f"{wrap[1]}<div class=sidebar>{menu}</div><div id=footer>all rights {menu}</div></body></html>")
+        want = "\n\n".join(" ".join(re.sub("<[^>]*>", "", p).split()) for p in paragraphs)
+        assert html_text.main_text(page, weights) == want

@@ -162,7 +162,7 @@ def test_predicates_are_pushed_and_payloads_left_alone(spark, tmp_path):
             return got
 
     big = b"".join(warc.packed(warc.record_bytes(
-        [("WARC-Type", "response"), ("WARC-Page-ID", k)], random.Random(k).randbytes(2_000_000), None), 1) for k in range(3))
+        [("WARC-Type", "response"), ("Content-Type", "application/http; msgtype=response")], random.Random(k).randbytes(2_000_000), None), 1) for k in range(3))
     assert [r.payload_length for r in warc.records(Seen(big), True)] == [2_000_000] * 3
     assert sum(read) < 3 * 4 * warc.READ_BYTES  # three of some thirty blocks a record
 
