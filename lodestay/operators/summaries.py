@@ -282,4 +282,4 @@ def surrogate_key(df: DataFrame, order: str, name: str) -> DataFrame:
     sizes = numbered.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
     starts = sizes.select(F.col("__range"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"))
     keyed = numbered.join(F.broadcast(starts), "__range")  # one row a range
-    return keyed.withColumn(name, (F.col("__start") + F.col("__place")).cast("bigint")).drop("__range", "__place", "__start")
+    return keyed.withColumn(name, (F.col("__start") + F.col("__place")).cast("int")).drop("__range", "__place", "__start")

@@ -87,6 +87,12 @@ VIEWS = {
 }
 
 
+def view_readouts(master: DataFrame) -> DataFrame:
+    """The rows of all three views under their names; a column that a view lacks is NULL there."""
+    parts = [build(master).select(F.lit(name).alias("view_name"), "*") for name, build in VIEWS.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def register_views(master: DataFrame) -> None:
     """The master and the three views as temporary views for SQL questions."""
     master.createOrReplaceTempView("enriched_listing_master")

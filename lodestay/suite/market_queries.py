@@ -60,10 +60,20 @@ WITH days AS (SELECT user_id, CAST(ts AS DATE) AS day,
     CASE event_type WHEN 'view' THEN TRUE WHEN 'click' THEN TRUE WHEN 'error' THEN FALSE END AS ok FROM events)
 SELECT user_id AS listing_id, COUNT(*) AS calendar_days_observed, COUNT(*) FILTER (WHERE ok) AS available_days,
   COUNT(*) FILTER (WHERE NOT ok) AS unavailable_days,
+  ROUND(COUNT(*) FILTER (WHERE ok)::DOUBLE / COUNT(*), 6) AS availability_rate_observed,
   ROUND(COUNT(*) FILTER (WHERE NOT ok)::DOUBLE / COUNT(*), 6) AS unavailability_rate_proxy,
+  MIN(day) AS calendar_start_date, MAX(day) AS calendar_end_date,
   COUNT(*) FILTER (WHERE extract(dow FROM day) IN (0, 6)) AS weekend_days_observed,
+  COUNT(*) FILTER (WHERE extract(dow FROM day) IN (0, 6) AND ok) AS available_weekend_days,
   ROUND(COUNT(*) FILTER (WHERE extract(dow FROM day) IN (0, 6) AND ok)::DOUBLE
-    / NULLIF(COUNT(*) FILTER (WHERE extract(dow FROM day) IN (0, 6)), 0), 6) AS weekend_availability_rate
+    / NULLIF(COUNT(*) FILTER (WHERE extract(dow FROM day) IN (0, 6)), 0), 6) AS weekend_availability_rate,
+  COUNT(*) FILTER (WHERE extract(dow FROM day) NOT IN (0, 6)) AS weekday_days_observed,
+  COUNT(*) FILTER (WHERE extract(dow FROM day) NOT IN (0, 6) AND ok) AS available_weekday_days,
+  ROUND(COUNT(*) FILTER (WHERE extract(dow FROM day) NOT IN (0, 6) AND ok)::DOUBLE
+    / NULLIF(COUNT(*) FILTER (WHERE extract(dow FROM day) NOT IN (0, 6)), 0), 6) AS weekday_availability_rate,
+  NULL::DOUBLE AS calendar_avg_minimum_nights, NULL::DOUBLE AS calendar_minimum_nights_min,
+  NULL::DOUBLE AS calendar_minimum_nights_max, NULL::DOUBLE AS calendar_avg_maximum_nights,
+  COUNT(*) = 365 AS calendar_complete_365_day_window
 FROM days GROUP BY user_id""")
 def daily_calendar_rollup(spark, sf):
     rows = table(spark, sf, "events").select(
@@ -74,10 +84,7 @@ def daily_calendar_rollup(spark, sf):
         F.lit(None).cast("double").alias("min_nights"),
         F.lit(None).cast("double").alias("max_nights"),
     )
-    return rollups.calendar_rollup(rows).select(
-        "listing_id", "calendar_days_observed", "available_days", "unavailable_days", "unavailability_rate_proxy",
-        "weekend_days_observed", "weekend_availability_rate",
-    )
+    return rollups.calendar_rollup(rows)
 
 
 @register("price_coalesce", with_market("SELECT id, price, detailed_price, price_best_available, price_source FROM master"))
@@ -105,7 +112,7 @@ def orphan_keys(spark, sf):
 
 _METRICS = """
 SELECT 'detailed_listing_rows' AS metric, (SELECT COUNT(*) FROM detail)::DOUBLE AS value
-UNION ALL SELECT 'detailed_listing_selected_columns', 16
+UNION ALL SELECT 'detailed_listing_selected_columns', (SELECT len(json_keys(to_json(d))) FROM detail d LIMIT 1)
 UNION ALL SELECT 'review_aggregate_rows', (SELECT COUNT(*) FROM review_fact)
 UNION ALL SELECT 'total_detailed_reviews_aggregated', (SELECT SUM(detailed_review_count) FROM review_fact)
 UNION ALL SELECT 'calendar_aggregate_rows', (SELECT COUNT(*) FROM calendar_fact)
@@ -116,7 +123,7 @@ UNION ALL SELECT 'canonical_input_rows', (SELECT COUNT(*) FROM listings)
 UNION ALL SELECT 'detailed_listing_matches', (SELECT COUNT(*) FROM master WHERE detailed_source_available)
 UNION ALL SELECT 'summary_only_listings_preserved', (SELECT COUNT(*) FROM master WHERE NOT detailed_source_available)
 UNION ALL SELECT 'final_enriched_rows', (SELECT COUNT(*) FROM master)
-UNION ALL SELECT 'final_enriched_columns', 68
+UNION ALL SELECT 'final_enriched_columns', (SELECT len(json_keys(to_json(m))) FROM master m LIMIT 1)
 UNION ALL SELECT 'price_best_available_non_null', (SELECT COUNT(price_best_available) FROM master)
 UNION ALL SELECT 'listings_with_review_history', (SELECT COUNT(*) FROM master WHERE has_review_history)
 UNION ALL SELECT 'listings_with_calendar_data', (SELECT COUNT(*) FROM master WHERE calendar_data_available)"""
@@ -334,9 +341,13 @@ def group_price_quartiles(spark, sf):
     return X.price_summary(M.master(spark, sf), minimum=20)
 
 
-@register("view_readout", with_market(f"{_ROOM_VIEW} ORDER BY listing_count DESC"))
+_READOUT = "\nUNION ALL BY NAME ".join(
+    f"SELECT '{name}' AS view_name, * FROM ({sql})" for name, sql in zip(W.VIEWS, (_AREA_VIEW, _ROOM_VIEW, _HOST_VIEW)))
+
+
+@register("view_readout", with_market(_READOUT))
 def view_readout(spark, sf):
-    return W.room_type_performance(M.master(spark, sf)).orderBy(F.desc("listing_count"))
+    return W.view_readouts(M.master(spark, sf))
 
 
 @register("group_activity", with_market("""SELECT neighbourhood, COUNT(*) AS listing_count,
