@@ -2,7 +2,8 @@
 
 Row rules of a table are all evaluated in one aggregate pass. Key and
 reference rules first count rows per key (map-side combined), so that a hot
-key is one row by the time it is joined.
+key is one row by the time it is joined. A ``RuleBook`` goes further: the key
+rules of all its tables are sums over one ledger of keys, joined by nothing.
 """
 
 from __future__ import annotations
@@ -224,6 +225,145 @@ def check_key_cover(
     return row.select(F.inline(F.array(*cells)))
 
 
+# ---- many rules at once ------------------------------------------------------
+
+@dataclass(frozen=True)
+class _KeyUse:
+    """A table's key as one ledger holds it."""
+
+    df: DataFrame
+    columns: tuple[str, ...]
+    trim: bool = False
+    hashed: bool = False  # the columns as a whole, NULLs equal
+
+    def same(self, other: _KeyUse) -> bool:
+        return self.df is other.df and (self.columns, self.trim, self.hashed) == (other.columns, other.trim, other.hashed)
+
+    def type_name(self) -> str:
+        return "string" if self.trim else self.df.schema[self.columns[0]].dataType.typeName()
+
+    def image(self, whole_numbers: bool) -> Column:
+        """The key as bytes: NULL for a NULL key, 128 bits for columns as a whole."""
+        if self.hashed:
+            mark = row_fingerprint(self.columns)
+            return F.concat(*[F.unhex(F.lpad(F.hex(mark.getField(x)), 16, "0")) for x in ("a", "b")])
+        text = F.col(self.columns[0]).cast("string")
+        text = parse.strip(text) if self.trim else text
+        if whole_numbers:  # '007' is 7 where the key it is compared with is a number; other text stays what it is
+            text = F.coalesce(text.try_cast("bigint").cast("string"), text)
+        return text.cast("binary")
+
+
+class RuleBook:
+    """Rules of several tables, counted together.
+
+    Every table is read once for its row rules and once for all rules on keys.
+    A key rule belongs to a ledger: the keys of the table it refers to (its own
+    table for uniqueness). All tables hand their keys to all ledgers they occur
+    in, as (ledger, key, place) rows, which are combined map-side into one row
+    per ledger and key with a count for each place. Uniqueness, extra rows,
+    references and covers are then sums over these rows: no join, one shuffle,
+    and a hot key is one row however many rows have it.
+
+    Keys are compared as text, and as whole numbers where text meets an integer
+    column. Tables are told apart by being the same DataFrame object.
+    """
+
+    _INTEGERS = ("byte", "short", "integer", "long")
+
+    def __init__(self) -> None:
+        self._row_parts: list[DataFrame] = []
+        self._ledgers: list[list[_KeyUse]] = []  # the first use names the ledger
+        self._questions: list[tuple[str, Rule, Column, Column]] = []
+
+    def _place(self, home: _KeyUse, use: _KeyUse) -> tuple[int, Column]:
+        """Number of the ledger and the count of ``use`` in it."""
+        at = next((i for i, uses in enumerate(self._ledgers) if uses[0].same(home)), None)
+        if at is None:
+            at = len(self._ledgers)
+            self._ledgers.append([home])
+        uses = self._ledgers[at]
+        place = next((i for i, u in enumerate(uses) if u.same(use)), None)
+        if place is None:
+            place = len(uses)
+            uses.append(use)
+        return at, F.col(f"n{place}")
+
+    def _ask(self, rule: Rule, dataset: str, ledger: int, invalid: Column, total: Column) -> None:
+        here = F.col("ledger") == ledger
+        self._questions.append((dataset, rule, F.when(here, invalid), F.when(here, total)))
+
+    def rows(self, df: DataFrame, dataset: str, rules: Sequence[tuple[Rule, Column]]) -> None:
+        """As ``check_rows``."""
+        if rules:
+            self._row_parts.append(check_rows(df, dataset, rules))
+
+    def unique(self, df: DataFrame, dataset: str, rule: Rule, key: str) -> None:
+        """As ``check_unique`` of one key."""
+        use = _KeyUse(df, (key,))
+        ledger, n = self._place(use, use)
+        self._ask(rule, dataset, ledger, F.when(n > 1, n), n)
+
+    def no_extra_rows(self, df: DataFrame, dataset: str, rule: Rule, keys: Sequence[str] | None = None) -> None:
+        """As ``check_no_extra_rows``: a single key ignores its NULLs, several, or all columns, are compared as a whole."""
+        use = _KeyUse(df, tuple(keys or df.columns), hashed=keys is None or len(keys) > 1)
+        ledger, n = self._place(use, use)
+        self._ask(rule, dataset, ledger, F.when(F.col("key").isNotNull() & (n > 1), n - 1), n)
+
+    def reference(
+        self, df: DataFrame, dataset: str, rule: Rule, key: str, reference: DataFrame, reference_key: str,
+        trim: bool = False, null_is_orphan: bool = False,
+    ) -> None:
+        """As ``check_reference``."""
+        home = _KeyUse(reference, (reference_key,), trim)
+        ledger, known = self._place(home, home)
+        _, n = self._place(home, _KeyUse(df, (key,), trim))
+        orphan = F.when(F.col("key").isNull(), F.lit(null_is_orphan)).otherwise(known == 0)
+        self._ask(rule, dataset, ledger, F.when(orphan, n), n)
+
+    def cover(
+        self, df: DataFrame, dataset: str, key: str, other: DataFrame, other_key: str, forward: Rule, backward: Rule,
+        trim_other: bool = False,
+    ) -> None:
+        """As ``check_key_cover`` with totals of rows and of distinct keys of ``other``."""
+        home = _KeyUse(other, (other_key,), trim_other)
+        ledger, there = self._place(home, home)
+        _, here = self._place(home, _KeyUse(df, (key,)))
+        present = F.col("key").isNotNull()
+        self._ask(forward, dataset, ledger, (present & (here > 0) & (there == 0)).cast("bigint"), here)
+        self._ask(backward, dataset, ledger, (present & (here == 0) & (there > 0)).cast("bigint"),
+                  (present & (there > 0)).cast("bigint"))
+
+    def _keys(self) -> DataFrame:
+        """(ledger, key, place) of every row of every table; a table is read once for all its keys."""
+        tables: list[tuple[DataFrame, list[Column]]] = []
+        for number, uses in enumerate(self._ledgers):
+            kinds = {u.type_name() for u in uses if not u.hashed}
+            whole = "string" in kinds and not kinds.isdisjoint(self._INTEGERS)
+            for place, use in enumerate(uses):
+                cell = F.struct(F.lit(number).alias("ledger"), use.image(whole).alias("key"), F.lit(place).alias("place"))
+                held = next((cells for df, cells in tables if df is use.df), None)
+                if held is None:
+                    tables.append((use.df, [cell]))
+                else:
+                    held.append(cell)
+        return combine([df.select(F.inline(F.array(*cells))) for df, cells in tables])
+
+    def report(self) -> DataFrame:
+        """One row per rule."""
+        parts = list(self._row_parts)
+        if self._questions:
+            places = range(max(len(uses) for uses in self._ledgers))
+            counts = self._keys().groupBy("ledger", "key").agg(
+                *[F.count_if(F.col("place") == i).alias(f"n{i}") for i in places])
+            sums, cells = [], []
+            for i, (dataset, rule, invalid, total) in enumerate(self._questions):
+                sums += [F.coalesce(F.sum(x), F.lit(0)).alias(f"{name}{i}") for name, x in (("bad", invalid), ("all", total))]
+                cells.append(_report_row(rule, dataset, F.col(f"bad{i}"), F.col(f"all{i}")))
+            parts.append(counts.agg(*sums).select(F.inline(F.array(*cells))))
+        return combine(parts)
+
+
 # ---- report -----------------------------------------------------------------
 
 def combine(parts: Sequence[DataFrame]) -> DataFrame:

@@ -79,7 +79,9 @@ def refresh(spark: SparkSession, root: str, city: str, out: str, database: str |
                      "calendar_listing_aggregates"):
             C.replace_table(spark.read.parquet(f"{out}/{name}"), f"{database}.{name}")
     warehouse.register_views(master)
-    checks = warehouse.reconcile(master, review_fact, calendar_fact, canonical, reviews, calendar)
+    checks = warehouse.reconcile(
+        master, review_fact, calendar_fact, canonical, reviews, calendar,
+        listing_dim=spark.read.parquet(f"{out}/dim_listings"), area_dim=spark.read.parquet(f"{out}/dim_neighbourhoods"))
     C.write_report(checks, f"{out}/reports/warehouse_summary")
     warehouse.require_reconciled(checks)
     return master

@@ -1,4 +1,8 @@
-"""The rule catalogue of the seven source datasets."""
+"""The rule catalogue of the seven source datasets.
+
+A ``…_sheet`` enters the rules of one table into a ``RuleBook``, which counts
+those of all tables together; ``…_rules`` is the report of one table alone.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,6 @@ from pyspark.sql import functions as F
 
 from lodestay.functions import parse
 from lodestay.operators import rules as R
-from lodestay.operators.duplicates import duplicate_rows_hashed
 from lodestay.operators.rules import ERROR, INFO, WARNING, Rule
 
 # Accepted categories and required columns.
@@ -31,13 +34,12 @@ FILES = {
 
 
 class _Sheet:
-    """Collects the checks of one table; a check on an absent column is skipped."""
+    """Enters the checks of one table; a check on an absent column is skipped."""
 
-    def __init__(self, df: DataFrame, dataset: str, prefix: str, required=()):
-        self.df, self.dataset, self.prefix = df, dataset, prefix
+    def __init__(self, book: R.RuleBook, df: DataFrame, dataset: str, prefix: str, required=()):
+        self.book, self.df, self.dataset, self.prefix = book, df, dataset, prefix
         # column rules are counted in the same pass as the row rules
         self.rows: list[tuple[Rule, Column]] = R.column_rules(df, required, f"{prefix}_SCHEMA")
-        self.parts: list[DataFrame] = []
 
     def has(self, *columns: str) -> bool:
         return all(c in self.df.columns for c in columns)
@@ -54,12 +56,20 @@ class _Sheet:
 
     def key(self, number: int, text: str, c: str) -> None:
         if self.has(c):
-            self.parts.append(R.check_unique(self.df, self.dataset, self.rule(number, text, c), [c]))
+            self.book.unique(self.df, self.dataset, self.rule(number, text, c), c)
+
+    def close(self) -> None:
+        self.book.rows(self.df, self.dataset, self.rows)
+
+
+def _alone(sheet):
+    """The report of one sheet."""
+    def report(*args, **options) -> DataFrame:
+        book = R.RuleBook()
+        sheet(book, *args, **options)
+        return book.report()
 
-    def report(self) -> DataFrame:
-        if self.rows:
-            self.parts.append(R.check_rows(self.df, self.dataset, self.rows))
-        return R.combine(self.parts)
+    return report
 
 
 def _location(s: _Sheet, lat: int, lon: int) -> None:
@@ -81,18 +91,18 @@ def _stay(s: _Sheet, nights: int, availability: int) -> None:
           lambda: R.out_of_range("minimum_nights", 0))
 
 
-def neighbourhood_rules(df: DataFrame, dataset: str = FILES["neighbourhoods"]) -> DataFrame:
-    s = _Sheet(df, dataset, "N", REQUIRED["neighbourhoods"])
+def neighbourhood_sheet(book: R.RuleBook, df: DataFrame, dataset: str = FILES["neighbourhoods"]) -> None:
+    s = _Sheet(book, df, dataset, "N", REQUIRED["neighbourhoods"])
     s.null(1, "Area name must not be null", "neighbourhood")
     s.key(2, "Area name must be unique", "neighbourhood")
     s.null(3, "Report missing area groups", "neighbourhood_group", INFO)
-    return s.report()
+    s.close()
 
 
-def summary_listing_rules(
-    df: DataFrame, areas: DataFrame, dataset: str = FILES["summary_listings"], room_types=ROOM_TYPES
-) -> DataFrame:
-    s = _Sheet(df, dataset, "SL", REQUIRED["summary_listings"])
+def summary_listing_sheet(
+    book: R.RuleBook, df: DataFrame, areas: DataFrame, dataset: str = FILES["summary_listings"], room_types=ROOM_TYPES
+) -> None:
+    s = _Sheet(book, df, dataset, "SL", REQUIRED["summary_listings"])
     s.null(1, "Listing id must not be null", "id")
     s.key(2, "Listing id must be unique", "id")
     s.null(3, "Report missing host ids", "host_id", WARNING)
@@ -103,40 +113,37 @@ def summary_listing_rules(
           WARNING, "New source values are to be reviewed, not rejected.")
     if s.has("neighbourhood"):
         rule = s.rule(12, "Area must exist in the area list", "neighbourhood")
-        s.parts.append(R.check_reference(df, dataset, rule, "neighbourhood", areas, "neighbourhood", trim=True))
-    return s.report()
+        book.reference(df, dataset, rule, "neighbourhood", areas, "neighbourhood", trim=True)
+    s.close()
 
 
-def summary_review_rules(df: DataFrame, listings: DataFrame, dataset: str = FILES["summary_reviews"]) -> DataFrame:
-    s = _Sheet(df, dataset, "SR", REQUIRED["summary_reviews"])
+def summary_review_sheet(book: R.RuleBook, df: DataFrame, listings: DataFrame, dataset: str = FILES["summary_reviews"]) -> None:
+    s = _Sheet(book, df, dataset, "SR", REQUIRED["summary_reviews"])
     s.null(1, "Review listing id must not be null", "listing_id")
     if s.has("listing_id"):
         rule = s.rule(2, "Review listing id must be canonical", "listing_id")
-        s.parts.append(R.check_reference(df, dataset, rule, "listing_id", listings, "id"))
+        book.reference(df, dataset, rule, "listing_id", listings, "id")
     s.null(3, "Review date must not be null", "date")
     s.row(4, "A present review date must parse", ("date",), lambda: R.unparseable_date("date"))
-    dup = duplicate_rows_hashed(df).select(
-        F.col("duplicate_count").alias("invalid"), F.col("row_count").alias("total")
-    )
     rule = s.rule(5, "Report repeated rows", ",".join(df.columns), WARNING,
                   "Several reviews of one listing on one day are genuine and are kept.")
-    s.parts.append(R.one_check(dup, rule, dataset))
-    return s.report()
+    book.no_extra_rows(df, dataset, rule)
+    s.close()
 
 
-def detailed_listing_rules(
-    df: DataFrame, listings: DataFrame, areas: DataFrame, dataset: str = FILES["detailed_listings"],
+def detailed_listing_sheet(
+    book: R.RuleBook, df: DataFrame, listings: DataFrame, areas: DataFrame, dataset: str = FILES["detailed_listings"],
     room_types=ROOM_TYPES,
-) -> DataFrame:
-    s = _Sheet(df, dataset, "DL", REQUIRED["detailed_listings"])
+) -> None:
+    s = _Sheet(book, df, dataset, "DL", REQUIRED["detailed_listings"])
     s.null(1, "Detailed listing id must not be null", "id")
     s.key(2, "Detailed listing id must be unique", "id")
     if s.has("id"):
-        s.parts.append(R.check_key_cover(
+        book.cover(
             df, dataset, "id", listings, "id",
             s.rule(3, "Detailed listings must be canonical", "id"),
             s.rule(4, "Report canonical listings without detail", "id", WARNING),
-        ))
+        )
     s.null(5, "Report missing host ids", "host_id", WARNING)
     _location(s, 6, 7)
     _prices(s, 8)
@@ -144,75 +151,87 @@ def detailed_listing_rules(
     s.row(13, "Room type must be a known category", ("room_type",), lambda: R.not_in_set("room_type", room_types), WARNING)
     if s.has("neighbourhood_cleansed"):
         rule = s.rule(14, "Area must exist in the area list", "neighbourhood_cleansed")
-        s.parts.append(R.check_reference(df, dataset, rule, "neighbourhood_cleansed", areas, "neighbourhood", trim=True))
-    return s.report()
+        book.reference(df, dataset, rule, "neighbourhood_cleansed", areas, "neighbourhood", trim=True)
+    s.close()
 
 
-def area_rules(features: DataFrame, areas: DataFrame, dataset: str = FILES["geojson"]) -> DataFrame:
+def area_sheet(book: R.RuleBook, features: DataFrame, areas: DataFrame, dataset: str = FILES["geojson"]) -> None:
     """``features`` as read by ``sources.catalog.read_areas``."""
-    s = _Sheet(features, dataset, "GJ")
+    s = _Sheet(book, features, dataset, "GJ")
     name = "neighbourhood"
     s.null(1, "Boundary area name must not be null", name)
     s.key(2, "Boundary area name must be unique", name)
-    s.parts.append(R.check_key_cover(
-        features, dataset, name, areas.select(parse.strip(name).alias(name)), name,
+    book.cover(
+        features, dataset, name, areas, name,
         s.rule(3, "Boundary areas must be in the area list", name),
         s.rule(4, "Every listed area must have a boundary", name),
-    ))
+        trim_other=True,
+    )
     s.row(5, "Geometry must be present", ("has_geometry",), lambda: ~F.col("has_geometry"))
     s.row(6, "Geometry must be a polygon or multipolygon", ("geometry_type",),
           lambda: F.col("has_geometry") & F.coalesce(~F.col("geometry_type").isin(*GEOMETRY_TYPES), F.lit(True)))
-    return s.report()
+    s.close()
 
 
-def calendar_rules(df: DataFrame, listings: DataFrame, dataset: str = FILES["calendar"]) -> DataFrame:
-    s = _Sheet(df, dataset, "CAL", REQUIRED["calendar"])
+def calendar_sheet(book: R.RuleBook, df: DataFrame, listings: DataFrame, dataset: str = FILES["calendar"]) -> None:
+    s = _Sheet(book, df, dataset, "CAL", REQUIRED["calendar"])
     s.null(1, "Calendar listing id must not be null", "listing_id")
     if s.has("listing_id"):
         rule = s.rule(2, "Calendar listing id must be canonical", "listing_id")
-        s.parts.append(R.check_reference(df, dataset, rule, "listing_id", listings, "id", null_is_orphan=True))
+        book.reference(df, dataset, rule, "listing_id", listings, "id", null_is_orphan=True)
     s.null(3, "Calendar date must not be null", "date")
     s.row(4, "A present calendar date must parse", ("date",), lambda: R.unparseable_date("date"))
     if s.has("listing_id", "date"):
         rule = s.rule(5, "Listing and day must be unique together", "listing_id,date")
-        s.parts.append(R.check_no_extra_rows(df, dataset, rule, ["listing_id", "date"]))
+        book.no_extra_rows(df, dataset, rule, ["listing_id", "date"])
     s.row(6, "Availability must be a flag", ("available",), lambda: R.not_a_flag("available"))
     for number, c in ((7, "minimum_nights"), (8, "maximum_nights")):
         s.row(number, f"{c} must not be negative", (c,), lambda c=c: R.out_of_range(c, 0))
     s.row(9, "maximum_nights must not be below minimum_nights", ("minimum_nights", "maximum_nights"),
           lambda: R.wrong_order("minimum_nights", "maximum_nights"))
-    return s.report()
+    s.close()
 
 
-def detailed_review_rules(df: DataFrame, listings: DataFrame, dataset: str = FILES["detailed_reviews"]) -> DataFrame:
-    s = _Sheet(df, dataset, "DR", REQUIRED["detailed_reviews"])
+def detailed_review_sheet(book: R.RuleBook, df: DataFrame, listings: DataFrame, dataset: str = FILES["detailed_reviews"]) -> None:
+    s = _Sheet(book, df, dataset, "DR", REQUIRED["detailed_reviews"])
     s.null(1, "Review id must not be null", "id")
     if s.has("id"):
-        s.parts.append(R.check_no_extra_rows(df, dataset, s.rule(2, "Review id must be unique", "id"), ["id"]))
+        book.no_extra_rows(df, dataset, s.rule(2, "Review id must be unique", "id"), ["id"])
     s.null(3, "Review listing id must not be null", "listing_id")
     if s.has("listing_id"):
         rule = s.rule(4, "Review listing id must be canonical", "listing_id")
-        s.parts.append(R.check_reference(df, dataset, rule, "listing_id", listings, "id", null_is_orphan=True))
+        book.reference(df, dataset, rule, "listing_id", listings, "id", null_is_orphan=True)
     s.null(5, "Review date must not be null", "date")
     s.row(6, "A present review date must parse", ("date",), lambda: R.unparseable_date("date"))
     s.null(7, "Report missing reviewer ids", "reviewer_id", WARNING)
     s.row(8, "Report missing reviewer names", ("reviewer_name",), lambda: parse.is_blank("reviewer_name"), WARNING)
     s.row(9, "Report missing or empty comments", ("comments",), lambda: parse.is_blank("comments"), INFO)
-    return s.report()
+    s.close()
+
+
+neighbourhood_rules = _alone(neighbourhood_sheet)
+summary_listing_rules = _alone(summary_listing_sheet)
+summary_review_rules = _alone(summary_review_sheet)
+detailed_listing_rules = _alone(detailed_listing_sheet)
+area_rules = _alone(area_sheet)
+calendar_rules = _alone(calendar_sheet)
+detailed_review_rules = _alone(detailed_review_sheet)
 
 
-def full_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """All rules over ``tables`` (logical name -> DataFrame); absent tables are skipped."""
+def full_report(tables: dict[str, DataFrame], room_types=ROOM_TYPES) -> DataFrame:
+    """All rules over ``tables`` (logical name -> DataFrame) in one book; absent tables are skipped."""
+    book = R.RuleBook()
     listings, areas = tables["summary_listings"], tables["neighbourhoods"]
-    parts = [neighbourhood_rules(areas), summary_listing_rules(listings, areas)]
+    neighbourhood_sheet(book, areas)
+    summary_listing_sheet(book, listings, areas, room_types=room_types)
     if "summary_reviews" in tables:
-        parts.append(summary_review_rules(tables["summary_reviews"], listings))
+        summary_review_sheet(book, tables["summary_reviews"], listings)
     if "detailed_listings" in tables:
-        parts.append(detailed_listing_rules(tables["detailed_listings"], listings, areas))
+        detailed_listing_sheet(book, tables["detailed_listings"], listings, areas, room_types=room_types)
     if "neighbourhoods_geojson" in tables:
-        parts.append(area_rules(tables["neighbourhoods_geojson"], areas))
+        area_sheet(book, tables["neighbourhoods_geojson"], areas)
     if "calendar" in tables:
-        parts.append(calendar_rules(tables["calendar"], listings))
+        calendar_sheet(book, tables["calendar"], listings)
     if "detailed_reviews" in tables:
-        parts.append(detailed_review_rules(tables["detailed_reviews"], listings))
-    return R.combine(parts)
+        detailed_review_sheet(book, tables["detailed_reviews"], listings)
+    return book.report()

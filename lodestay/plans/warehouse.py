@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestay.operators.enrichment import tolerant_select
@@ -109,44 +109,76 @@ class ReconciliationError(ValueError):
     """A warehouse object does not reconcile with its source."""
 
 
-def key_probe(df: DataFrame, key: str) -> DataFrame:
-    """One row: rows, distinct non-NULL keys, NULL keys, rows in repeated keys (NULLs left out)."""
-    groups = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+def key_probe(df: DataFrame, key: str, **totals) -> DataFrame:
+    """One row: rows, distinct non-NULL keys, NULL keys, rows in repeated keys (NULLs left out), and sums of ``totals``."""
+    groups = df.groupBy(F.col(key).alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(name) for name, x in totals.items()])
     known = F.col("k").isNotNull()
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.count("k").alias("distinct_count"),
         F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("null_count"),
         F.coalesce(F.sum(F.when(known & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("duplicate_key_rows"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in totals],
     )
 
 
+def _check(object_name: str, metric: str, value: Column, wanted: Column, notes: str) -> Column:
+    value, wanted = value.cast("bigint"), wanted.cast("bigint")
+    return F.struct(
+        F.lit(object_name).alias("object_name"), F.lit(metric).alias("metric"), value.alias("value"),
+        wanted.cast("string").alias("expected_value"),
+        F.when(value == wanted, "PASS").otherwise("FAIL").alias("status"), F.lit(notes).alias("notes"),
+    )
+
+
+def _non_empty(object_name: str, rows: Column) -> Column:
+    return F.struct(
+        F.lit(object_name).alias("object_name"), F.lit("row_count").alias("metric"),
+        F.least(rows, F.lit(1)).cast("bigint").alias("value"), F.lit("> 0").alias("expected_value"),
+        F.when(rows > 0, "PASS").otherwise("FAIL").alias("status"),
+        F.lit("A view must return at least one row.").alias("notes"),
+    )
+
+
+def _side_by_side(rows: dict[str, DataFrame]) -> DataFrame:
+    """One row that holds each one-row table as a struct under its name."""
+    return reduce(DataFrame.crossJoin, [df.select(F.struct("*").alias(name)) for name, df in rows.items()])
+
+
 def equality_checks(object_name: str, actual: DataFrame, expected: DataFrame, checks: Sequence[tuple]) -> DataFrame:
     """Rows (object, metric, value, expected, status, notes) from two one-row tables.
 
     ``checks`` holds ``(metric, actual column, expected column or constant, notes)``.
     """
-    # columns may share a name on the two sides, so each side travels as a struct
-    row = actual.select(F.struct("*").alias("a")).crossJoin(expected.select(F.struct("*").alias("e")))
-    cells = []
-    for metric, column, wanted, notes in checks:
-        value = F.col("a").getField(column).cast("bigint")
-        want = (F.col("e").getField(wanted) if isinstance(wanted, str) else F.lit(wanted)).cast("bigint")
-        cells.append(F.struct(
-            F.lit(object_name).alias("object_name"), F.lit(metric).alias("metric"), value.alias("value"),
-            want.cast("string").alias("expected_value"),
-            F.when(value == want, "PASS").otherwise("FAIL").alias("status"), F.lit(notes).alias("notes"),
-        ))
-    return row.select(F.inline(F.array(*cells)))
-
-
-def non_empty_check(view: DataFrame, name: str) -> DataFrame:
-    """Looks at no more than one row of the view's result."""
-    return view.select(F.lit(1).alias("x")).limit(1).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(name).alias("object_name"), F.lit("row_count").alias("metric"), F.col("n").cast("bigint").alias("value"),
-        F.lit("> 0").alias("expected_value"), F.when(F.col("n") > 0, "PASS").otherwise("FAIL").alias("status"),
-        F.lit("A view must return at least one row.").alias("notes"),
-    )
+    cells = [
+        _check(object_name, metric, F.col("a").getField(column),
+               F.col("e").getField(wanted) if isinstance(wanted, str) else F.lit(wanted), notes)
+        for metric, column, wanted, notes in checks
+    ]
+    return _side_by_side({"a": actual, "e": expected}).select(F.inline(F.array(*cells)))
+
+
+def key_probes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: a struct as ``key_probe`` gives for each of ``keys``, and of the table's rows in all.
+
+    The rows are read once: their keys, as text, are counted together as (number of the key, value).
+    """
+    cells = [F.struct(F.lit(i).alias("i"), F.col(k).cast("string").alias("k")) for i, k in enumerate(keys)]
+    groups = df.select(F.inline(F.array(*cells))).groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("k").isNotNull()
+
+    def added(i: int, x: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("i") == i, x)), F.lit(0))
+
+    return groups.agg(*[
+        F.struct(
+            added(i, F.col("n")).alias("row_count"),
+            added(i, known.cast("bigint")).alias("distinct_count"),
+            added(i, F.when(~known, F.col("n"))).alias("null_count"),
+            added(i, F.when(known & (F.col("n") > 1), F.col("n"))).alias("duplicate_key_rows"),
+        ).alias(k) for i, k in enumerate(keys)
+    ])
 
 
 def reconcile(
@@ -158,48 +190,57 @@ def reconcile(
     calendar_source: DataFrame,
     key: str = "id",
     source_key: str = "listing_id",
+    listing_dim: DataFrame | None = None,
+    area_dim: DataFrame | None = None,
 ) -> DataFrame:
-    """The seventeen checks; every expectation is computed from the sources, none is a constant."""
+    """The seventeen checks; every expectation is computed from the sources, none is a constant.
+
+    Each object is read once, for all that is asked of it. A dimension that is
+    not handed in is the projection of the master that defines it, and counted
+    with it. The views are grouped selections of the master, one row for each
+    known value, so they hold a row exactly when the master holds such a value.
+    """
     one = F.count(F.lit(1))
-    expected_listings = canonical.agg(one.alias("listings"), F.count_distinct("neighbourhood").alias("areas"))
-    dims = dim_listings(master)
-    parts = [
-        equality_checks("enriched_listing_master", key_probe(master, key), expected_listings, [
-            ("row_count", "row_count", "listings", "All canonical listings are kept."),
-            ("unique_listing_ids", "distinct_count", "listings", "Every canonical id appears once."),
-            ("null_listing_ids", "null_count", 0, "Ids are never null."),
-            ("duplicate_listing_id_rows", "duplicate_key_rows", 0, "One row per listing."),
-        ]),
-        equality_checks("dim_listings", key_probe(dims, "listing_id"), expected_listings, [
-            ("row_count", "row_count", "listings", "Canonical grain."),
-            ("unique_listing_ids", "distinct_count", "listings", "The key is unique."),
-        ]),
-        equality_checks(
-            "dim_neighbourhoods",
-            dim_neighbourhoods(master).agg(one.alias("rows")), expected_listings,
-            [("row_count", "rows", "areas", "One row per area.")],
-        ),
+    groups = ("neighbourhood", "room_type", "host_portfolio_segment")
+    rows = {
+        "master": key_probes(master, [key, *groups]),
+        "canonical": key_probes(canonical, [key, "neighbourhood"]),
+        "reviews": review_source.agg(F.count_distinct(source_key).alias("keys"), one.alias("rows")),
+        "calendar": calendar_source.agg(F.count_distinct(source_key).alias("keys"), one.alias("rows")),
+        "review_fact": key_probe(review_fact, "listing_id", events="detailed_review_count"),
+        "calendar_fact": key_probe(calendar_fact, "listing_id", days="calendar_days_observed",
+                                   complete=F.col("calendar_complete_365_day_window").cast("bigint")),
+    }
+    ids, dim, areas = f"master.{key}", f"master.{key}", F.col("master.neighbourhood.distinct_count")
+    if listing_dim is not None:
+        rows["dim"], dim = key_probe(listing_dim, "listing_id"), "dim"
+    if area_dim is not None:
+        rows["areas"], areas = area_dim.agg(one.alias("rows")), F.col("areas.rows")
+    listings, nothing = F.col(f"canonical.{key}.row_count"), F.lit(0)
+    name, facts = "enriched_listing_master", ("fact_review_activity", "fact_calendar_activity")
+    cells = [
+        _check(name, "row_count", F.col(f"{ids}.row_count"), listings, "All canonical listings are kept."),
+        _check(name, "unique_listing_ids", F.col(f"{ids}.distinct_count"), listings, "Every canonical id appears once."),
+        _check(name, "null_listing_ids", F.col(f"{ids}.null_count"), nothing, "Ids are never null."),
+        _check(name, "duplicate_listing_id_rows", F.col(f"{ids}.duplicate_key_rows"), nothing, "One row per listing."),
+        _check("dim_listings", "row_count", F.col(f"{dim}.row_count"), listings, "Canonical grain."),
+        _check("dim_listings", "unique_listing_ids", F.col(f"{dim}.distinct_count"), listings, "The key is unique."),
+        _check("dim_neighbourhoods", "row_count", areas, F.col("canonical.neighbourhood.distinct_count"), "One row per area."),
+        _check(facts[0], "row_count", F.col("review_fact.row_count"), F.col("reviews.keys"), "One row per reviewed listing."),
+        _check(facts[0], "total_detailed_review_events", F.col("review_fact.events"), F.col("reviews.rows"),
+               "All source rows are represented."),
+        _check(facts[0], "duplicate_listing_id_rows", F.col("review_fact.duplicate_key_rows"), nothing, "One row per listing."),
+        _check(facts[1], "row_count", F.col("calendar_fact.row_count"), F.col("calendar.keys"),
+               "One row per listing with a calendar."),
+        _check(facts[1], "total_calendar_rows_represented", F.col("calendar_fact.days"), F.col("calendar.rows"),
+               "All source rows are represented."),
+        _check(facts[1], "complete_365_day_windows", F.col("calendar_fact.complete"), F.col("calendar.keys"),
+               "Every window is complete."),
+        _check(facts[1], "duplicate_listing_id_rows", F.col("calendar_fact.duplicate_key_rows"), nothing,
+               "One row per listing."),
     ]
-
-    def fact(name, table, source, total, total_metric, keys_metric, extra=()):
-        counts = table.agg(F.coalesce(F.sum(total), F.lit(0)).alias("total"), *[c for c, *_ in extra])
-        actual = key_probe(table, "listing_id").crossJoin(counts)  # one row each
-        expected = source.agg(F.count_distinct(source_key).alias("keys"), one.alias("rows"))
-        return equality_checks(name, actual, expected, [
-            ("row_count", "row_count", "keys", keys_metric),
-            (total_metric, "total", "rows", "All source rows are represented."),
-            *[(metric, metric, wanted, notes) for _, metric, wanted, notes in extra],
-            ("duplicate_listing_id_rows", "duplicate_key_rows", 0, "One row per listing."),
-        ])
-
-    parts.append(fact("fact_review_activity", review_fact, review_source, "detailed_review_count",
-                      "total_detailed_review_events", "One row per reviewed listing."))
-    complete = F.count_if("calendar_complete_365_day_window").alias("complete_365_day_windows")
-    parts.append(fact("fact_calendar_activity", calendar_fact, calendar_source, "calendar_days_observed",
-                      "total_calendar_rows_represented", "One row per listing with a calendar.",
-                      [(complete, "complete_365_day_windows", "keys", "Every window is complete.")]))
-    parts += [non_empty_check(build(master), name) for name, build in VIEWS.items()]
-    return reduce(DataFrame.unionByName, parts)
+    cells += [_non_empty(view, F.col(f"master.{group}.distinct_count")) for view, group in zip(VIEWS, groups)]
+    return _side_by_side(rows).select(F.inline(F.array(*cells)))
 
 
 def require_reconciled(report: DataFrame) -> None:

@@ -379,27 +379,27 @@ def _union(*parts: list[str]) -> str:
 _SHOWN = ["dataset_name", "rule_id", "invalid_count", "total_rows", "invalid_percentage", "status", "severity"]
 
 
-def _listing_report(spark, sf):
-    return rulebook.summary_listing_rules(M.raw_listings(spark, sf), M.areas(spark, sf), room_types=M.ROOM_TYPES)
+def _known(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
 
 
-def _detail_report(spark, sf):
-    return rulebook.detailed_listing_rules(
-        M.raw_detail(spark, sf), M.raw_listings(spark, sf), M.areas(spark, sf), room_types=M.ROOM_TYPES
-    )
+def _listing_tables(spark, sf):
+    return {"neighbourhoods": M.areas(spark, sf), "summary_listings": M.raw_listings(spark, sf),
+            "detailed_listings": M.raw_detail(spark, sf)}
 
 
-def _known(spark, sf):
-    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+def _fact_tables(spark, sf):
+    reviews = M.raw_reviews(spark, sf)
+    return {"summary_reviews": reviews.select("listing_id", "date"), "calendar": M.raw_calendar(spark, sf),
+            "detailed_reviews": reviews}
 
 
 def _fact_report(spark, sf):
-    reviews, calendar, known = M.raw_reviews(spark, sf), M.raw_calendar(spark, sf), _known(spark, sf)
-    return rules.combine([
-        rulebook.summary_review_rules(reviews.select("listing_id", "date"), known),
-        rulebook.calendar_rules(calendar, known),
-        rulebook.detailed_review_rules(reviews, known),
-    ])
+    book, facts, known = rules.RuleBook(), _fact_tables(spark, sf), _known(spark, sf)
+    rulebook.summary_review_sheet(book, facts["summary_reviews"], known)
+    rulebook.calendar_sheet(book, facts["calendar"], known)
+    rulebook.detailed_review_sheet(book, facts["detailed_reviews"], known)
+    return book.report()
 
 
 _LISTING_SQL = _listing_rules()
@@ -413,9 +413,7 @@ _N_RULES = [
 
 @register("validate_report", with_raw(_union(_N_RULES, _LISTING_SQL, _detail_rules())))
 def validate_report(spark, sf):
-    report = rules.combine([
-        rulebook.neighbourhood_rules(M.areas(spark, sf)), _listing_report(spark, sf), _detail_report(spark, sf)
-    ])
+    report = rulebook.full_report(_listing_tables(spark, sf), M.ROOM_TYPES)
     return rules.ordered_report(report).select(*_SHOWN)
 
 
@@ -501,9 +499,7 @@ _WHOLE_REPORT = _union(_N_RULES, _LISTING_SQL, _detail_rules(), _summary_review_
 
 
 def _whole_report(spark, sf):
-    return rules.combine([
-        rulebook.neighbourhood_rules(M.areas(spark, sf)), _listing_report(spark, sf), _detail_report(spark, sf), _fact_report(spark, sf)
-    ])
+    return rulebook.full_report(_listing_tables(spark, sf) | _fact_tables(spark, sf), M.ROOM_TYPES)
 
 
 @register("status_counts", with_raw(f"""SELECT s.status, COUNT(r.rule_id) AS rule_count

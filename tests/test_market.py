@@ -102,6 +102,49 @@ def test_reconciliation_error(spark):
     warehouse.require_reconciled(warehouse.equality_checks("t", actual, actual, [("rows", "n", "n", ""), ("five", "n", 5, "")]))
 
 
+def _small_market(spark):
+    master = spark.createDataFrame([("1", "A", "R", "S"), ("2", "B", "R", None), ("3", None, "R", None)],
+                                   "id string, neighbourhood string, room_type string, host_portfolio_segment string")
+    reviews = spark.createDataFrame([("1",), ("1",), ("2",)], "listing_id string")
+    fact = reviews.groupBy("listing_id").agg(F.count(F.lit(1)).alias("detailed_review_count"))
+    days = fact.select("listing_id", F.col("detailed_review_count").alias("calendar_days_observed"),
+                       F.lit(True).alias("calendar_complete_365_day_window"))
+    return master, reviews, fact, days
+
+
+def test_reconcile_passes_and_names_what_differs(spark):
+    master, reviews, fact, days = _small_market(spark)
+
+    def bad(*args, **dims):
+        return {(r.object_name, r.metric) for r in warehouse.reconcile(*args, **dims).where("status = 'FAIL'").collect()}
+
+    assert warehouse.reconcile(master, fact, days, master, reviews, reviews).count() == 17
+    assert bad(master, fact, days, master, reviews, reviews) == set()
+    dims, areas = warehouse.dim_listings(master), master.select("neighbourhood").dropna()
+    assert bad(master, fact, days, master, reviews, reviews, listing_dim=dims, area_dim=areas) == set()
+    assert bad(master, fact, days, master, reviews, reviews, listing_dim=dims.union(dims.limit(1)), area_dim=areas.limit(1)) == {
+        ("dim_listings", "row_count"), ("dim_neighbourhoods", "row_count")}
+    twice = master.union(master.where("id = '2'"))
+    assert bad(twice, fact, days, master, reviews, reviews) == {
+        ("enriched_listing_master", "row_count"), ("enriched_listing_master", "duplicate_listing_id_rows"),
+        ("dim_listings", "row_count")}
+    unknown = master.withColumn("host_portfolio_segment", F.lit(None).cast("string"))
+    assert bad(unknown, fact.where("listing_id = '1'"), days.withColumn("calendar_complete_365_day_window", F.lit(False)),
+               master, reviews, reviews) == {
+        ("vw_host_portfolio_performance", "row_count"), ("fact_review_activity", "row_count"),
+        ("fact_review_activity", "total_detailed_review_events"), ("fact_calendar_activity", "complete_365_day_windows")}
+
+
+def test_reconcile_reads_each_object_once(spark, tmp_path):
+    tables = []
+    for i, df in enumerate(_small_market(spark)):
+        df.write.parquet(str(tmp_path / str(i)))
+        tables.append(spark.read.parquet(str(tmp_path / str(i))))
+    master, reviews, fact, days = tables
+    plan = warehouse.reconcile(master, fact, days, master, reviews, reviews)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 6
+
+
 def test_correlation_skips_incomplete_pairs_and_constant_columns(spark):
     df = spark.createDataFrame([(1.0, 2.0, 7.0), (2.0, 4.0, 7.0), (3.0, None, 7.0), (None, 9.0, 7.0)], "a double, b double, c double")
     got = {(r.column_1, r.column_2): r.correlation for r in S.correlation_pairs(df, ["a", "b", "c"], 6).collect()}

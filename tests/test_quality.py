@@ -85,6 +85,66 @@ def test_gate(spark):
     assert order == ["FAIL", "WARNING", "PASS"]
 
 
+def _ledger_tables(spark):
+    items = spark.createDataFrame([("1", "A "), ("1", "B"), ("2", None), (None, "A"), (None, "C"), ("x", "  ")], "id string, area string")
+    areas = spark.createDataFrame([(" A",), ("B",), ("B",), ("D",), (None,)], "area string")
+    facts = spark.createDataFrame([(1, "d"), (1, "d"), (7, "d"), (None, None), (None, None), (2, "e")], "item bigint, day string")
+    return items, areas, facts
+
+
+def test_rule_book_counts_as_the_single_checks_do(spark):
+    items, areas, facts = _ledger_tables(spark)
+    rule = [rules.Rule(f"R{i}", "", "") for i in range(9)]
+    book = rules.RuleBook()
+    book.unique(items, "d", rule[0], "id")
+    book.no_extra_rows(items, "d", rule[1], ["id"])
+    book.no_extra_rows(facts, "d", rule[2], ["item", "day"])
+    book.reference(items, "d", rule[3], "area", areas, "area", trim=True)
+    book.reference(items, "d", rule[4], "area", areas, "area", null_is_orphan=True)
+    book.cover(items, "d", "area", areas, "area", rule[5], rule[6])
+    book.no_extra_rows(facts, "d", rule[7])
+    single = rules.combine([
+        rules.check_unique(items, "d", rule[0], ["id"]),
+        rules.check_no_extra_rows(items, "d", rule[1], ["id"]),
+        rules.check_no_extra_rows(facts, "d", rule[2], ["item", "day"]),
+        rules.check_reference(items, "d", rule[3], "area", areas, "area", trim=True),
+        rules.check_reference(items, "d", rule[4], "area", areas, "area", null_is_orphan=True),
+        rules.check_key_cover(items, "d", "area", areas, "area", rule[5], rule[6]),
+        rules.check_no_extra_rows(facts, "d", rule[7], facts.columns),
+    ])
+    assert sorted(book.report().collect()) == sorted(single.collect())
+
+
+def test_rule_book_compares_text_with_whole_numbers(spark):
+    items = spark.createDataFrame([("1",), ("007",), ("x",), (None,)], "id string")
+    facts = _ledger_tables(spark)[2]
+    book = rules.RuleBook()
+    book.reference(facts, "d", rules.Rule("A", "", ""), "item", items, "id")
+    book.reference(items, "d", rules.Rule("B", "", ""), "id", facts, "item", null_is_orphan=True)
+    got = {r.rule_id: (r.invalid_count, r.total_rows) for r in book.report().collect()}
+    assert got == {"A": (1, 6), "B": (2, 4)}  # 2 is no item; x and NULL are no facts
+
+
+def test_rule_book_of_empty_tables_passes(spark):
+    items, areas, _ = (t.limit(0) for t in _ledger_tables(spark))
+    book = rules.RuleBook()
+    book.unique(items, "d", rules.Rule("A", "", ""), "id")
+    book.cover(items, "d", "area", areas, "area", rules.Rule("B", "", ""), rules.Rule("C", "", ""))
+    assert {(r.rule_id, r.invalid_count, r.total_rows, r.status) for r in book.report().collect()} == {
+        ("A", 0, 0, "PASS"), ("B", 0, 0, "PASS"), ("C", 0, 0, "PASS")}
+
+
+def test_full_report_reads_each_table_twice(spark, tmp_path):
+    """Once for the row rules, once for all keys."""
+    tables = {}
+    for name, required in rulebook.REQUIRED.items():
+        path = str(tmp_path / name)
+        spark.createDataFrame([tuple("1" for _ in required)], ", ".join(f"{c} string" for c in required)).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    plan = rulebook.full_report(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 * len(tables)
+
+
 def test_area_rules_do_not_count_missing_geometry_twice(spark):
     features = spark.createDataFrame([("A", "Polygon", True), ("B", None, False), ("B", "Point", True), (None, None, True)],
                                      "neighbourhood string, geometry_type string, has_geometry boolean")
