@@ -7,6 +7,7 @@ import re
 import uuid
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +16,14 @@ from pyspark.sql import functions as F
 
 from lodestay.llm.common import LOWER_ASCII, map_slices, texts
 
-#: Words of items in one automaton; more items make more automata, one scan of the documents each.
-BLOCK_WORDS = 500_000
+#: Words of items in one automaton, some 900 bytes each; more items make more automata, one scan of the documents each.
+BLOCK_WORDS = 300_000
 
 #: ASCII characters that are no part of a word; all others, letters of any script included, are.
 _NO_WORD = bytes(c for c in range(0x80) if not (0x30 <= c <= 0x39 or 0x61 <= c | 0x20 <= 0x7A))
 _TO_WORDS = LOWER_ASCII.translate(bytes.maketrans(_NO_WORD, b" " * len(_NO_WORD)))
 
-SPANS = "doc_id long, text binary, spans array<int>, full array<int>, items array<string>"  # of a scan that others follow
+HITS = "key binary, block int, spans array<int>, full array<int>, items array<string>"  # of one block of items in a text
 SCHEMA = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, clean_text string"
 )
@@ -213,47 +214,87 @@ def decontaminate(
     ``row``.
     """
     spark = docs.sparkSession
-    rows = texts(docs, doc_id, text, carry).withColumns(
-        {"spans": F.lit(None).cast("array<int>"), "full": F.lit(None).cast("array<int>"),
-         "items": F.lit(None).cast("array<string>")})
+    rows = texts(docs, doc_id, text, carry)
     blocks = [
         (uuid.uuid4().hex, spark.sparkContext.broadcast(block)) for block in item_blocks(items, item_id, item_text, unnamed)
     ] or [(uuid.uuid4().hex, spark.sparkContext.broadcast([]))]
-    for block in blocks[:-1]:  # each scan adds its hits to those found so far; no rows are shuffled
-        rows = _scan(rows, block, window)
-    return _scan(rows, blocks[-1], window, one_in)
+    if len(blocks) == 1:
+        return map_slices(rows, "text", SCHEMA, _judge(window, one_in, blocks[0]))
+    # A task holds one automaton: each block has its own tasks, and hits are few and depend on the text alone.
+    keyed = rows.withColumn("key", F.unhex(F.sha2("text", 256)))
+    parts = [map_slices(keyed.select("key", "text"), "text", HITS, _find(window, i, b)) for i, b in enumerate(blocks)]
+    # copies of a text are one row for each block before they meet, so a text has no more rows than there are blocks
+    once = reduce(DataFrame.unionByName, parts).dropDuplicates(["key", "block"])
+    hits = once.groupBy("key").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "full", "items")])
+    return map_slices(keyed.join(hits, "key", "left").drop("key"), "text", SCHEMA, _judge(window, one_in))
 
 
 _AUTOMATA: dict = {}
 
 
-def _automaton(key: str, block, window: int) -> SuffixAutomaton:
-    """Built once for each worker process from the words sent to it; old ones make room."""
+def _automaton(block, window: int) -> SuffixAutomaton:
+    """Built once for each worker process from the words sent to it, until the worker gets tasks of another block."""
+    key, words_sent = block
     if key not in _AUTOMATA:
-        if len(_AUTOMATA) > 3:
-            _AUTOMATA.clear()
-        _AUTOMATA[key] = SuffixAutomaton(block.value, window)
+        _AUTOMATA.clear()
+        _AUTOMATA[key] = SuffixAutomaton(words_sent.value, window)
     return _AUTOMATA[key]
 
 
-def _scan(rows: DataFrame, block, window: int, one_in: int | None = None) -> DataFrame:
-    key, words_sent = block
+def _flat(spans: list[tuple[int, int]]) -> list[int]:
+    return [x for span in spans for x in span]
+
+
+def _paired(flat: list[int] | None) -> list[tuple[int, int]]:
+    return merged([*zip((flat or [])[::2], (flat or [])[1::2])])
+
+
+def _batch(columns: list[tuple[str, pa.DataType]], rows: list[tuple], first: pa.Array | None = None) -> pa.RecordBatch:
+    cells = list(zip(*rows)) if rows else [[] for _ in columns]
+    arrays = [pa.array(c, kind) for c, (_, kind) in zip(cells, columns)]
+    names = [name for name, _ in columns]
+    return pa.RecordBatch.from_arrays([*([first] if first is not None else []), *arrays],
+                                      [*(["doc_id"] if first is not None else []), *names])
+
+
+def _find(window: int, number: int, block):
+    """Of texts with hits of one block: the spans, those of full windows, and the items."""
+    columns = [("key", pa.binary()), ("block", pa.int32()), ("spans", pa.list_(pa.int32())),
+               ("full", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        automaton = _automaton(key, words_sent, window)
-        out: list[tuple] = []
-        before = zip(*(batch.column(c).to_pylist() for c in ("spans", "full", "items")))
-        for t, (spans, whole, names) in zip(batch.column("text").to_pylist(), before):
-            words = normal_words(t)
+        automaton, out = _automaton(block, window), []
+        for key, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
             full: list[tuple[int, int]] = []
+            found, items = automaton.hits(normal_words(t), full)
+            if found:
+                out.append((key, number, _flat(found), _flat(merged(full)), list(items)))
+        return _batch(columns, out)
+
+    return work
+
+
+def _judge(window: int, one_in: int, block=None):
+    """The verdict on each text, by the hits of ``block``, or those found before."""
+    columns = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()),
+               ("contaminated", pa.bool_()), ("clean_text", pa.string())]
+
+    def hits(batch: pa.RecordBatch) -> Iterator[tuple]:
+        all_texts = batch.column("text").to_pylist()
+        if block is None:
+            before = zip(*(batch.column(c).to_pylist() for c in ("spans", "full", "items")))
+            for t, (spans, full, items) in zip(all_texts, before):
+                yield t, normal_words(t), _paired(spans), _paired(full), set(items or ())
+            return
+        automaton = _automaton(block, window)
+        for t in all_texts:
+            words, full = normal_words(t), []
             found, items = automaton.hits(words, full)
-            full = merged([*zip((whole or [])[::2], (whole or [])[1::2]), *full])
-            if spans or names:
-                found = merged([*zip((spans or [])[::2], (spans or [])[1::2]), *found])
-                items = items | set(names or ())
-            if one_in is None:
-                out.append((t, [x for span in found for x in span], [x for span in full for x in span], list(items)))
-                continue
+            yield t, words, found, merged(full), items
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for t, words, found, full, items in hits(batch):
             hit = sum(b - a for a, b in found)
             joined = ",".join(sorted(x for x in items if x is not None)).encode()
             contaminated = hit > 0 and one_in * hit >= len(words)
@@ -261,17 +302,9 @@ def _scan(rows: DataFrame, block, window: int, one_in: int | None = None) -> Dat
             out.append((
                 len(words), hit, len(items), hashlib.sha256(joined).hexdigest(), contaminated,
                 (without(t, cut) if cut else t or b"").decode() if t is not None else None))
-        if one_in is None:
-            names = ("text", "spans", "full", "items")
-            kinds = (pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
-        else:
-            names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text")
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string())
-        columns = list(zip(*out)) if out else [[] for _ in names]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", *names])
+        return _batch(columns, out, batch.column("doc_id"))
 
-    return map_slices(rows, "text", SPANS if one_in is None else SCHEMA, work)
+    return work
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

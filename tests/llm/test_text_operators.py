@@ -291,7 +291,7 @@ def test_decontamination_by_blocks_of_items(spark, monkeypatch):
     vocabulary = [f"w{k}" for k in range(6)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 8)))) for k in range(25)] + [(3, "w1 w2"), (None, "w3"), (99, None)]
     docs = [(k, " ".join(rng.choice([*vocabulary, "W1,", "é", "--"]) for _ in range(rng.randint(0, 60)))) for k in range(60)]
-    docs += [(None, "w1 w2"), (7, None), (7, "")]
+    docs += [(None, "w1 w2"), (7, None), (7, ""), *[(100 + k, "w0 w1 w2 w3 w4 w5 " * 3) for k in range(50)]]
     item_rows = spark.createDataFrame(items, "item_id long, text string")
     doc_rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("spans", F.lit("clash"))
     normal = [(str(i), decontaminate.normal_words(t.encode())) for i, t in items if i is not None and t is not None]
@@ -302,7 +302,7 @@ def test_decontamination_by_blocks_of_items(spark, monkeypatch):
         want.append((doc_id, len(words), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(),
                      bool(hit) and 20 * len(hit) >= len(words)))
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    for block in (1 << 20, 10):
+    for block in (1 << 20, 4):  # all items in one automaton, and some twenty
         monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
         got = decontaminate.decontaminate(doc_rows, item_rows, window=4)
         assert rows_of(got, *columns) == sorted(want, key=str)
