@@ -17,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # no call site is looked up for each column expression while a plan is built; errors name fewer lines
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
