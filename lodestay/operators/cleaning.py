@@ -1,12 +1,13 @@
 """Column-policy cleaning with an audit of what it changed.
 
 A policy names columns by role; roles are intersected with the columns that
-exist. Cleaning is one projection; the audit is one aggregate over the input.
+exist. Cleaning is one projection; the audit is one aggregate over the input,
+observed while the cleaned table is written or in a scan of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions import parse
+from lodestay.operators.observed import Tally, figures_row, write_observed
 
 
 @dataclass(frozen=True)
@@ -45,23 +47,35 @@ def _start(df: DataFrame, c: str) -> Column:
     return parse.blank_to_null(c) if c in _text_columns(df) else F.col(c)
 
 
+def fraction_tally(df: DataFrame, policy: ColumnPolicy) -> Tally:
+    """Rows, and for each integer-role column its numbers and the fractions among them."""
+    names = policy.present("integers", df)
+    figures = {"rows": F.count(F.lit(1))}
+    for i in range(len(names)):
+        x = F.col(f"__x{i}")
+        figures |= {f"numbers{i}": F.count(x), f"fractions{i}": F.count_if(x != F.floor(x))}
+    return Tally(figures, {f"__x{i}": parse.number(c) for i, c in enumerate(names)})  # each parsed once
+
+
+def with_fractions(df: DataFrame, policy: ColumnPolicy, figures: Mapping) -> ColumnPolicy:
+    """``policy`` with the fractional columns that the figures of ``fraction_tally`` show."""
+    names = policy.present("integers", df)
+    return replace(policy, fractional=frozenset(
+        c for i, c in enumerate(names) if not figures[f"numbers{i}"] or figures[f"fractions{i}"]))
+
+
 def fractional_columns(df: DataFrame, policy: ColumnPolicy) -> frozenset:
     """Integer-role columns that must be stored as doubles.
 
     A column is an integer column only if it has a value and all of them are
     whole. This decides the output schema, so it runs one aggregate (one row)
     when called; ``clean`` and ``audit`` call it unless the answer is passed on
-    as ``ColumnPolicy.fractional``.
+    as ``ColumnPolicy.fractional``, which landing a table finds out on the way
+    (``fraction_tally``).
     """
-    names = policy.present("integers", df)
-    if not names:
+    if not policy.present("integers", df):
         return frozenset()
-    numbers = df.select(*[parse.number(c).alias(f"x{i}") for i, c in enumerate(names)])  # each parsed once
-    aggs = []
-    for i in range(len(names)):
-        aggs += [F.count(f"x{i}").alias(f"n{i}"), F.count_if(F.col(f"x{i}") != F.floor(f"x{i}")).alias(f"f{i}")]
-    row = numbers.agg(*aggs).first()
-    return frozenset(c for i, c in enumerate(names) if row[f"n{i}"] == 0 or row[f"f{i}"] > 0)
+    return with_fractions(df, policy, fraction_tally(df, policy).of(df).first().asDict()).fractional
 
 
 def decided(df: DataFrame, policy: ColumnPolicy) -> ColumnPolicy:
@@ -91,14 +105,17 @@ def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
 
 def clean(df: DataFrame, policy: ColumnPolicy) -> DataFrame:
     """The cleaned table: same rows, one extra column ``<price>_raw`` before the price."""
-    policy = decided(df, policy)
+    return df.select(*_projection(df, decided(df, policy)))
+
+
+def _projection(df: DataFrame, policy: ColumnPolicy) -> list[Column]:
     exprs = _cleaned(df, policy)
     out = []
     for c in df.columns:
         if c == policy.price and f"{c}_raw" not in df.columns:
             out.append(_start(df, c).alias(f"{c}_raw"))
         out.append(exprs.get(c, _start(df, c)).alias(c))
-    return df.select(*out)
+    return out
 
 
 def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
@@ -108,35 +125,55 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     actions always do.
     """
     policy = decided(df, policy)
+    tally, lines = _audited(df, policy)
+    return _audit_report(tally.of(df), lines, df, policy, dataset)
+
+
+def write_cleaned(df: DataFrame, policy: ColumnPolicy, dataset: str, path: str) -> tuple[DataFrame, int]:
+    """Write ``clean(df)`` to ``path``; returns its audit, as ``audit`` gives it, and the number of rows.
+
+    Both are counted while the rows are written: ``df`` is read once, and each value parsed once.
+    """
+    policy = decided(df, policy)
+    tally, lines = _audited(df, policy)
+    figures = write_observed(df, path, tally, _projection(df, policy))
+    return _audit_report(figures_row(df.sparkSession, figures), lines, df, policy, dataset), figures["rows"]
+
+
+def _audited(df: DataFrame, policy: ColumnPolicy) -> tuple[Tally, list[tuple]]:
+    """What an audit counts, and its lines: column, action, whether it is always shown, note."""
     exprs = _cleaned(df, policy)
     text = _text_columns(df)
     # Every value is parsed once, in a projection; the aggregate only counts.
-    seen, lines = [], []
+    seen: dict[str, Column] = {}
+    figures, lines = {"rows": F.count(F.lit(1))}, []
+
+    def flag(x: Column) -> str:
+        seen[f"__p{len(seen)}"] = x
+        return f"__p{len(seen) - 1}"
 
     def line(c: str, action: str, counter: Column, always: bool, note: str) -> None:
-        lines.append((c, action, counter, always, note))
+        figures[f"a{len(lines)}"] = counter
+        lines.append((c, action, always, note))
 
     def parsed(c: str, action: str, failure: str, note: str, value: Column | None = None) -> None:
-        i = len(seen)
         value = exprs[c] if value is None else value
-        seen.extend([_start(df, c).isNotNull().alias(f"p{i}"), value.isNotNull().alias(f"p{i + 1}")])
-        line(c, action, F.count_if(f"p{i + 1}"), True, note)
-        line(c, failure, F.count_if(F.col(f"p{i}") & ~F.col(f"p{i + 1}")), False,
+        present, good = flag(_start(df, c).isNotNull()), flag(value.isNotNull())
+        line(c, action, F.count_if(good), True, note)
+        line(c, failure, F.count_if(F.col(present) & ~F.col(good)), False,
              "Present but unparseable values became NULL.")
 
     for c in text:
-        i = len(seen)
-        seen.append((~parse.has_text(c)).alias(f"p{i}"))
-        line(c, "blank_string_to_null", F.count_if(f"p{i}"), False, "Whitespace-only text became NULL; other text is unchanged.")
+        line(c, "blank_string_to_null", F.count_if(flag(~parse.has_text(c))), False,
+             "Whitespace-only text became NULL; other text is unchanged.")
     if policy.price and policy.price in df.columns:
         parsed(policy.price, "currency_to_numeric", "unparseable_price_to_null",
                f"Missing stays NULL; the original is kept in '{policy.price}_raw'.")
     for c in policy.present("dates", df):
         parsed(c, "parse_datetime", "invalid_date_to_nat", "Values in ISO form became dates.")
     for c in policy.present("categories", df):
-        i = len(seen)
-        seen.append(F.coalesce(_start(df, c).cast("string") != exprs[c], F.lit(False)).alias(f"p{i}"))
-        line(c, "trim_category_whitespace", F.count_if(f"p{i}"), True, "Surrounding whitespace removed; labels are not remapped.")
+        trimmed = flag(F.coalesce(_start(df, c).cast("string") != exprs[c], F.lit(False)))
+        line(c, "trim_category_whitespace", F.count_if(trimmed), True, "Surrounding whitespace removed; labels are not remapped.")
     for c in policy.present("booleans", df):
         parsed(c, "normalize_boolean", "unknown_boolean_to_null", "Known spellings became true or false.")
     for c in policy.present("percents", df):
@@ -150,8 +187,10 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     for c in policy.present("floats", df):
         parsed(c, "convert_numeric", "unparseable_numeric_to_null", "Converted to nullable Float64.")
 
-    rows = F.count(F.lit(1))
-    row = df.select(*seen).agg(rows.alias("rows"), *[counter.alias(f"a{i}") for i, (_, _, counter, _, _) in enumerate(lines)])
+    return Tally(figures, seen), lines
+
+
+def _audit_report(row: DataFrame, lines: list[tuple], df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     extra = int(policy.price in df.columns and f"{policy.price}_raw" not in df.columns)
 
     def cell(column: str, action: str, affected: Column, keep: Column, note: Column) -> Column:
@@ -162,7 +201,7 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
 
     cells = [
         cell(c, action, F.col(f"a{i}"), F.lit(always) | (F.col(f"a{i}") > 0), F.lit(note))
-        for i, (c, action, _, always, note) in enumerate(lines)
+        for i, (c, action, always, note) in enumerate(lines)
     ]
     cells.append(cell("*", "row_count_preservation_check", F.lit(0), F.lit(True),
                       F.concat(F.lit("Rows kept: "), F.col("rows").cast("string"))))

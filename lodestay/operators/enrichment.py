@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import ratio
 from lodestay.operators.cleaning import GrainError, require_grain
+from lodestay.operators.observed import Tally, figures_row
 from lodestay.operators.summaries import long_metrics
 
 # Labels of the derived columns.
@@ -101,6 +103,18 @@ def derive_features(df: DataFrame) -> DataFrame:
     return df
 
 
+def require_sides(
+    canonical: DataFrame, detail: DataFrame, review_rollup: DataFrame, calendar_rollup: DataFrame, key: str = "id"
+) -> None:
+    """Raise unless every side of the master is at its grain and no rollup has a key outside the population."""
+    require_grain(canonical, "canonical listings", key)
+    for df, name in ((detail, "detailed attributes"), (review_rollup, "review rollup"),
+                     (calendar_rollup, "calendar rollup")):
+        require_grain(df, name, "listing_id")
+    require_no_orphans(review_rollup, "listing_id", canonical, key, "review rollup")
+    require_no_orphans(calendar_rollup, "listing_id", canonical, key, "calendar rollup")
+
+
 def build_master(
     canonical: DataFrame,
     detail: DataFrame,
@@ -115,12 +129,7 @@ def build_master(
     aggregate over keys); without it the plan stays lazy.
     """
     if verify:
-        require_grain(canonical, "canonical listings", key)
-        for df, name in ((detail, "detailed attributes"), (review_rollup, "review rollup"),
-                         (calendar_rollup, "calendar rollup")):
-            require_grain(df, name, "listing_id")
-        require_no_orphans(review_rollup, "listing_id", canonical, key, "review rollup")
-        require_no_orphans(calendar_rollup, "listing_id", canonical, key, "calendar rollup")
+        require_sides(canonical, detail, review_rollup, calendar_rollup, key)
     master = canonical
     for side in (detail, review_rollup, calendar_rollup):
         master = left_preserving_join(master, side, key, "listing_id")
@@ -149,42 +158,49 @@ METRIC_NOTES = {
 }
 
 
-def enrichment_metrics(
-    canonical: DataFrame, detail: DataFrame, review_rollup: DataFrame, calendar_rollup: DataFrame, master: DataFrame
-) -> DataFrame:
-    """The fifteen audit numbers of an enrichment run as (metric, value, notes)."""
+def metric_tallies(detail_columns: int, master_columns: int) -> dict[str, Tally]:
+    """What the fifteen audit numbers count, by the table that they are counted in."""
     one = F.count(F.lit(1))
 
     def total(c: str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
 
-    rows = [
-        detail.agg(
-            one.alias("detailed_listing_rows"),
-            F.max(F.lit(len(detail.columns))).alias("detailed_listing_selected_columns"),
-        ),
-        review_rollup.agg(
-            one.alias("review_aggregate_rows"),
-            total("detailed_review_count").alias("total_detailed_reviews_aggregated"),
-        ),
-        calendar_rollup.agg(
-            one.alias("calendar_aggregate_rows"),
-            total("calendar_days_observed").alias("total_calendar_rows_aggregated"),
-            F.count_if("calendar_complete_365_day_window").alias("listings_with_complete_365_day_calendar"),
-        ),
-        canonical.agg(one.alias("canonical_input_rows")),
-        master.agg(
-            F.count_if("detailed_source_available").alias("detailed_listing_matches"),
-            F.count_if(~F.col("detailed_source_available")).alias("summary_only_listings_preserved"),
-            one.alias("final_enriched_rows"),
-            F.max(F.lit(len(master.columns))).alias("final_enriched_columns"),
-            F.count("price_best_available").alias("price_best_available_non_null"),
-            F.count_if("has_review_history").alias("listings_with_review_history"),
-            F.count_if("calendar_data_available").alias("listings_with_calendar_data"),
-        ),
-    ]
-    out = None
-    for row in rows:
-        part = long_metrics(row, METRIC_NOTES)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return {
+        "detail": Tally({
+            "detailed_listing_rows": one,
+            "detailed_listing_selected_columns": F.max(F.lit(detail_columns)),
+        }),
+        "reviews": Tally({
+            "review_aggregate_rows": one,
+            "total_detailed_reviews_aggregated": total("detailed_review_count"),
+        }),
+        "calendar": Tally({
+            "calendar_aggregate_rows": one,
+            "total_calendar_rows_aggregated": total("calendar_days_observed"),
+            "listings_with_complete_365_day_calendar": F.count_if("calendar_complete_365_day_window"),
+        }),
+        "canonical": Tally({"canonical_input_rows": one}),
+        "master": Tally({
+            "detailed_listing_matches": F.count_if("detailed_source_available"),
+            "summary_only_listings_preserved": F.count_if(~F.col("detailed_source_available")),
+            "final_enriched_rows": one,
+            "final_enriched_columns": F.max(F.lit(master_columns)),
+            "price_best_available_non_null": F.count("price_best_available"),
+            "listings_with_review_history": F.count_if("has_review_history"),
+            "listings_with_calendar_data": F.count_if("calendar_data_available"),
+        }),
+    }
+
+
+def enrichment_metrics(
+    canonical: DataFrame, detail: DataFrame, review_rollup: DataFrame, calendar_rollup: DataFrame, master: DataFrame
+) -> DataFrame:
+    """The fifteen audit numbers of an enrichment run as (metric, value, notes); a scan of each table."""
+    tables = {"detail": detail, "reviews": review_rollup, "calendar": calendar_rollup, "canonical": canonical, "master": master}
+    tallies = metric_tallies(len(detail.columns), len(master.columns))
+    return reduce(DataFrame.unionByName, [long_metrics(tallies[name].of(df), METRIC_NOTES) for name, df in tables.items()])
+
+
+def observed_metrics(spark: SparkSession, figures: Mapping[str, object]) -> DataFrame:
+    """The same from figures that were counted while the tables were written (``observed.write_observed``)."""
+    return long_metrics(figures_row(spark, {name: figures[name] for name in METRIC_NOTES}), METRIC_NOTES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,16 @@ def table_profile(
     )
 
 
+def failed_table_profile(
+    spark: SparkSession, dataset: str, file_name: str, file_type: str, error: str,
+) -> DataFrame:
+    """The row of ``table_profile`` for a dataset that could not be read or profiled."""
+    shape = table_profile(spark.range(0), dataset, file_name, file_type).schema
+    known = {"dataset_name": dataset, "file_name": file_name, "file_type": file_type, "status": "FAILED", "error_message": error}
+    kept = T.StructType([T.StructField(f.name, f.dataType, True) for f in shape])
+    return spark.createDataFrame([tuple(known.get(f.name) for f in shape)], kept)
+
+
 # How values with a range travel beside those of other columns, and back: whole numbers, days and instants as longs,
 # floating point as doubles, decimals as the widest decimals. Types without a range have none.
 _CARRIED = (

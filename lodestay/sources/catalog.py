@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.functions import parse
+from lodestay.operators.observed import Tally, write_observed
 from lodestay.sources import schemas
 
 
@@ -78,8 +79,13 @@ class Catalog:
         rebalanced into even partitions before they are written, and every
         later job starts from splittable files.
         """
-        write_parquet(self.load(name).hint("rebalance"), target)
-        return self.spark.read.parquet(target)
+        return self.land_observed(name, target, lambda df: Tally({"rows": F.count(F.lit(1))}))[0]
+
+    def land_observed(self, name: str, target: str, tally: Callable[[DataFrame], Tally]) -> tuple[DataFrame, dict]:
+        """``land``, and the figures of the source's tally, counted while its rows are written."""
+        df = self.load(name)
+        figures = write_observed(df.hint("rebalance"), target, tally(df))
+        return self.spark.read.parquet(target), figures
 
 
 def read_csv(spark: SparkSession, path: str, missing_tokens: bool = False, multi_line: bool = True) -> DataFrame:

@@ -99,6 +99,46 @@ def test_gate_stops_a_bad_city(spark, tmp_path):
         refresh(spark, str(tmp_path / "raw"), "town", str(tmp_path / "out"))
 
 
+def test_a_dataset_that_fails_is_reported_with_the_others(spark, tmp_path):
+    from lodestay.plans.refresh import ProfileError
+
+    make_city(tmp_path / "raw" / "town")
+    (tmp_path / "raw" / "town" / "reviews.csv").unlink()
+    with pytest.raises(ProfileError, match="reviews.csv"):
+        refresh(spark, str(tmp_path / "raw"), "town", str(tmp_path / "out"))
+    rows = {r.dataset_name: r for r in spark.read.option("header", True).csv(f"{tmp_path}/out/reports/dataset_summary").collect()}
+    assert len(rows) == 7 and [n for n, r in rows.items() if r.status == "FAILED"] == ["summary_reviews"]
+    assert rows["summary_reviews"].error_message and rows["summary_reviews"].row_count is None
+    assert rows["calendar"].row_count == str(8 * 365) and rows["calendar"].error_message is None
+
+
+def test_observed_figures_are_those_of_a_scan(spark, tmp_path):
+    """Landing, the audit and the metrics count while they write; scans of their own give the same."""
+    from lodestay.operators import cleaning
+    from lodestay.operators.observed import Tally, write_observed
+    from lodestay.sources import schemas
+    from pyspark.sql import functions as F
+
+    make_city(tmp_path / "raw" / "town")
+    shelf = Catalog(spark, str(tmp_path / "raw"), "Town")
+    for name, policy in (("summary_listings", schemas.SUMMARY_POLICY), ("detailed_listings", schemas.DETAILED_POLICY)):
+        landed, figures = shelf.land_observed(name, str(tmp_path / "landed" / name), lambda df: cleaning.fraction_tally(df, policy))
+        known = cleaning.with_fractions(landed, policy, figures)
+        assert known.fractional == cleaning.fractional_columns(shelf.load(name), policy)
+        path = str(tmp_path / "cleaned" / name)
+        audit, rows = cleaning.write_cleaned(landed, known, name, path)
+        assert rows == figures["rows"] == landed.count()
+        assert sorted(map(tuple, audit.collect())) == sorted(map(tuple, cleaning.audit(landed, known, name).collect()))
+        stored, wanted = spark.read.parquet(path), cleaning.clean(landed, known)
+        assert stored.columns == wanted.columns and stored.exceptAll(wanted).isEmpty() and wanted.exceptAll(stored).isEmpty()
+    tally = Tally({"rows": F.count(F.lit(1)), "twos": F.count_if("two")}, {"two": F.col("id") % 2 == 0})
+    assert write_observed(spark.range(9).where("id > 3"), str(tmp_path / "some"), tally) == {"rows": 5, "twos": 3}
+    assert spark.read.parquet(str(tmp_path / "some")).columns == ["id"]
+    for empty in (spark.range(9).where("id > 30"), spark.range(9).where("false"), spark.createDataFrame([], "id long")):
+        assert write_observed(empty, str(tmp_path / "none"), tally) == {"rows": 0, "twos": 0}
+        assert spark.read.schema("id long").parquet(str(tmp_path / "none")).count() == 0
+
+
 def test_catalog_and_areas(spark, tmp_path):
     make_city(tmp_path / "raw" / "town")
     shelf = Catalog(spark, str(tmp_path / "raw"), "Town")
