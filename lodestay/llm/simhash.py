@@ -13,8 +13,10 @@ point differ by no more than the points do, and since the levels' bits are
 disjoint these gaps add up: a pair that differs in one bit of the third lies in
 one shard, or in two whose ways differ by one on one level. So every
 fingerprint is at home in one shard of each tree and visits those across such
-boundaries. Inside a shard a further tree, on the other bits, prunes in the
-same way with what is left of the radius, and leaves are compared exactly.
+boundaries. A shard that many fingerprints share is split once more by trees on
+the other bits, in the same way: a pair that meets in the shard differs in at
+most one bit of some third of those. Inside a shard a further tree prunes with
+what is left of the radius, and leaves are compared exactly.
 """
 
 from __future__ import annotations
@@ -35,8 +37,11 @@ SEED = 42
 BITS = 64
 #: Points compared with points at a time inside a shard.
 TILE = 1 << 21
-#: Points of a shard, or visitors to it, that one task handles; more are dealt to several tasks.
+#: Points of a shard, with visitors to it, that are handled at a time; a larger shard is split by deeper trees, and
+#: what these leave together is dealt to several tasks, slice by slice.
 SHARD_POINTS = 20_000
+#: Rows of a partition, about, where the session's number of partitions would make larger ones.
+PARTITION_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -48,11 +53,15 @@ class TreeSpec:
     level_bits: int = 3
     vantage: int = 0x9E3779B97F4A7C15
 
-    def thirds(self) -> list[list[int]]:
-        """For each tree the masks of its levels."""
+    def levels(self, below: int | None = None) -> list[list[int]]:
+        """For each tree the masks of its levels; ``below`` a shard of that tree: of the trees on the other bits."""
         edges = [BITS * t // self.trees for t in range(self.trees + 1)]
+        bits = list(range(BITS))
+        if below is not None:
+            bits = bits[:edges[below]] + bits[edges[below + 1]:]
+        edges = [len(bits) * t // self.trees for t in range(self.trees + 1)]
         return [
-            [((1 << min(self.level_bits, b - k)) - 1) << k for k in range(a, b, self.level_bits)]
+            [sum(1 << bit for bit in bits[k:min(k + self.level_bits, b)]) for k in range(a, b, self.level_bits)]
             for a, b in zip(edges, edges[1:])
         ]
 
@@ -96,8 +105,8 @@ def ways(prints: np.ndarray, masks: list[int], vantage: int) -> np.ndarray:
     return np.stack([np.bitwise_count(turned & np.uint64(m)) for m in masks], axis=1).astype(np.int64)
 
 
-def visits(prints: np.ndarray, spec: TreeSpec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, shard, at home?) of every print in every tree.
+def visits(prints: np.ndarray, spec: TreeSpec, below: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shard, at home?) of every print in every tree, or in every tree below a shard of tree ``below``.
 
     Of two shards whose ways differ, points of the one with the smaller sum of
     distances visit the other: a link across a boundary is looked for once.
@@ -106,7 +115,7 @@ def visits(prints: np.ndarray, spec: TreeSpec) -> tuple[np.ndarray, np.ndarray,
         raise ValueError("more trees are needed, so that a link differs in one bit at most in some tree")
     rows, shards, home = [], [], []
     every = np.arange(len(prints))
-    for tree, masks in enumerate(spec.thirds()):
+    for tree, masks in enumerate(spec.levels(below)):
         way = ways(prints, masks, spec.vantage)
         digits = (spec.level_bits + 1) ** np.arange(len(masks), dtype=np.int64)
         shard = (way @ digits) * spec.trees + tree
@@ -139,11 +148,13 @@ class Links:
                 self.label = up
 
 
-def link_shard(prints: np.ndarray, home: np.ndarray, radius: int, own_pairs: bool = True) -> np.ndarray:
-    """For each point the place of the first point of its group; groups hold every link between two points at
-    home (if ``own_pairs``) and between one at home and a visitor."""
+def link_shard(
+    prints: np.ndarray, home: np.ndarray, radius: int, sides: list[tuple[np.ndarray, np.ndarray]] | None = None,
+) -> np.ndarray:
+    """For each point the place of the first point of its group; groups hold every link between the two ``sides`` of
+    a pair, as places: by default those at home and all."""
     links = Links(len(prints))
-    at_home, others = np.flatnonzero(home), np.flatnonzero(~home)
+    sides = [(np.flatnonzero(home), np.arange(len(prints)))] if sides is None else sides
     blocks = [0xFF << k for k in range(0, BITS, 8)]
 
     def search(a: np.ndarray, b: np.ndarray, budget: np.ndarray, depth: int) -> None:
@@ -167,85 +178,119 @@ def link_shard(prints: np.ndarray, home: np.ndarray, radius: int, own_pairs: boo
             some = left >= 0
             search(a[far_a == shell], b[some], left[some], depth + 1)
 
-    both = np.concatenate([at_home, others]) if own_pairs else others
-    search(at_home, both, np.full(len(both), radius), 0)
+    for a, b in sides:
+        search(a, b, np.full(len(b), radius), 0)
     return links.label
 
 
+#: Roles of a point: at home in the shard of the upper tree, at home in the one of the deeper tree. A point of a shard
+#: that is not split has both or none. A pair is wanted if one of the two is at home above, and one below.
+ABOVE, BELOW = 1, 2
+#: Where a shard is dealt in slices, the side of a pair that a copy of the point stands for; otherwise both.
+LEFT, RIGHT = 4, 8
+
+
 def shard_links(points: DataFrame, spec: TreeSpec) -> DataFrame:
     """(a, b): ids of linked points, a spanning forest of each shard's links. ``points``: distinct print, id."""
+    prints = points.select("print", "id")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_prints = batch.column("print").to_numpy().view(np.uint64)
+            for k in range(0, len(all_prints), 1 << 14):
+                _, shard, home = visits(all_prints[k:k + (1 << 14)], spec)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(home)], ["shard", "home"])
+
+    # the shards of the upper trees are bounded by the trees, not by the rows
+    counts = prints.mapInArrow(count, "shard long, home boolean").groupBy("shard").agg(
+        F.count_if("home").alias("at_home"), F.count("*").alias("n"))
+    many = (F.col("n") > SHARD_POINTS) & (F.col("at_home") > 0)
+    seen = counts.agg(
+        F.sum("n").alias("n"), F.sum(F.when(many, F.col("n"))).alias("n_many"),
+        F.collect_list(F.when(many, F.col("shard"))).alias("large")).first()
+    large = np.array(sorted(seen.large), np.int64)
+    deeper = 1 + max(len(masks) for masks in spec.levels(0))  # shards of a deeper tree that a point is in, at most
+    rows = (seen.n or 0) + (seen.n_many or 0) * spec.trees * deeper
+    n_parts = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = batch.column("print").to_numpy().view(np.uint64)
-            for k in range(0, len(prints), 1 << 14):
-                row, shard, home = visits(prints[k:k + (1 << 14)], spec)
+            all_prints = batch.column("print").to_numpy().view(np.uint64)
+            for k in range(0, len(all_prints), 1 << 14):
+                part = all_prints[k:k + (1 << 14)]
+                row, shard, home = visits(part, spec)
+                odd = np.isin(shard, large)
+                dealt = [(row[~odd], shard[~odd], np.full(int((~odd).sum()), -1), np.where(home[~odd], ABOVE | BELOW, 0))]
+                for tree in range(spec.trees) if odd.any() else []:
+                    at = np.flatnonzero(odd & (shard % spec.trees == tree))
+                    again, sub, own = visits(part[row[at]], spec, below=tree)
+                    at = at[again]
+                    dealt.append((row[at], shard[at], sub, np.where(home[at], ABOVE, 0) | np.where(own, BELOW, 0)))
+                row, shard, sub, role = (np.concatenate(x) for x in zip(*dealt))
                 at = pa.array(row + k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), pa.array(home), batch.column("print").take(at), batch.column("id").take(at)],
-                    ["shard", "home", "print", "id"])
-
-    dealt = points.select("print", "id").mapInArrow(deal, "shard long, home boolean, print long, id long")
-    # shards with more points than a task should hold: their number is bounded by the tree, not by the rows
-    counts = dealt.groupBy("shard").agg(
-        F.count_if("home").alias("at_home"), F.count_if(~F.col("home")).alias("visiting"))
-    large = {
-        r.shard: (-(-r.at_home // SHARD_POINTS), -(-(r.at_home + r.visiting) // SHARD_POINTS))
-        for r in counts.where(f"at_home + visiting > {SHARD_POINTS} and at_home > 0").collect()
-    }
-    n_parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Large shards: slices of those at home meet slices of all points of the shard."""
-        for batch in batches:
-            shard, home = batch.column("shard").to_numpy(), batch.column("home").to_numpy(zero_copy_only=False)
-            prints = batch.column("print").to_numpy()
-            task = np.stack([shard, np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)], axis=1)
-            odd = np.isin(shard, list(large)) if large else np.zeros(len(shard), bool)
-            rows, tasks, roles = [np.flatnonzero(~odd)], [task[~odd]], [np.where(home[~odd], 2, 0)]
-            for i in np.flatnonzero(odd):
-                n_home, n_all = large[shard[i]]
-                mixed = hash((int(prints[i]), 7)) & 0x7FFFFFFF
-                pairs = []
-                if home[i]:
-                    pairs += [(mixed % n_home, j, 1) for j in range(n_all)]
-                pairs += [(i2, (mixed // 31) % n_all, 0) for i2 in range(n_home)]
-                rows.append(np.full(len(pairs), i))
-                tasks.append(np.array([(shard[i], x, y) for x, y, _ in pairs]))
-                roles.append(np.array([r for _, _, r in pairs]))
-            at = pa.array(np.concatenate(rows))
-            tasks = np.concatenate(tasks)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.ascontiguousarray(tasks[:, k])) for k in range(3)),
-                 pa.array(np.concatenate(roles).astype(np.int32)), batch.column("print").take(at), batch.column("id").take(at)],
-                ["shard", "x", "y", "role", "print", "id"])
-
-    schema = "shard long, x long, y long, role int, print long, id long"
-    tasks = dealt.mapInArrow(split, schema).repartition(n_parts, "shard", "x", "y").sortWithinPartitions("shard", "x", "y")
+                    [pa.array(shard), pa.array(sub), pa.array((role | LEFT | RIGHT).astype(np.int32)),
+                     batch.column("print").take(at), batch.column("id").take(at)],
+                    ["shard", "sub", "role", "print", "id"])
+
+    schema = "shard long, sub long, role int, print long, id long"
+    tasks = prints.mapInArrow(deal, schema).select("shard", "sub", F.lit(0).alias("x"), F.lit(0).alias("y"), "role", "print", "id")
+    if len(large):
+        tasks = _sliced(tasks)
+    tasks = tasks.repartition(n_parts, "shard", "sub", "x", "y").sortWithinPartitions("shard", "sub", "x", "y")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches):
-            role = group[:, 3]
-            if (role > 0).any() and len(group) > 1:
-                label = link_shard(group[:, 4].view(np.uint64), role > 0, spec.radius, own_pairs=not (role == 1).any())
-                joined = np.flatnonzero(label != np.arange(len(label)))
-                a, b = group[joined, 5], group[label[joined], 5]
-                differ = a != b
-                if differ.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(a[differ]), pa.array(b[differ])], ["a", "b"])
+            role, ids = group[:, 4], group[:, 6]
+            left, right, kind = role & LEFT > 0, role & RIGHT > 0, role & (ABOVE | BELOW)
+            sides = [(np.flatnonzero(left & (kind == (ABOVE | BELOW))), np.flatnonzero(right)),
+                     (np.flatnonzero(left & (kind == ABOVE)), np.flatnonzero(right & (kind == BELOW)))]
+            label = link_shard(group[:, 5].view(np.uint64), left, spec.radius, sides)
+            joined = np.flatnonzero(label != np.arange(len(label)))
+            a, b = ids[joined], ids[label[joined]]
+            differ = a != b
+            if differ.any():
+                yield pa.RecordBatch.from_arrays([pa.array(a[differ]), pa.array(b[differ])], ["a", "b"])
 
     return tasks.mapInArrow(link, "a long, b long")
 
 
+def _sliced(tasks: DataFrame) -> DataFrame:
+    """``tasks`` with shards that are large even below a deeper tree in slices: each of those at home above meets each
+    of all points. Such shards may be many, so they are joined and not collected."""
+    above = (F.col("role").bitwiseAND(F.lit(ABOVE))) > 0
+    sizes = tasks.where("sub >= 0").groupBy("shard", "sub").agg(
+        F.count_if(above).alias("n_left"), F.count("*").alias("n")).where(f"n > {SHARD_POINTS} and n_left > 0").select(
+        F.col("shard").alias("of_shard"), F.col("sub").alias("of_sub"),
+        F.ceil(F.col("n_left") / SHARD_POINTS).cast("int").alias("n_x"), F.ceil(F.col("n") / SHARD_POINTS).cast("int").alias("n_y"))
+    found = tasks.join(sizes, (F.col("shard") == F.col("of_shard")) & (F.col("sub") == F.col("of_sub")), "left")
+    kind = F.col("role").bitwiseAND(F.lit(ABOVE | BELOW))
+
+    def copies(own: str, own_n: str, other: str, other_n: str, side: int):
+        """A copy of the point in its own slice for each slice of the other side."""
+        mine = F.pmod(F.xxhash64("print", F.lit(side)), F.col(own_n)).cast("int").alias(own)
+        parts = {own: mine, "role": kind.bitwiseOR(F.lit(side)).alias("role")}
+        return F.transform(F.sequence(F.lit(0), F.col(other_n) - 1), lambda k: F.struct(
+            *({**parts, other: k.alias(other)}[c] for c in ("x", "y", "role"))))
+
+    both = F.concat(
+        F.when(above, copies("x", "n_x", "y", "n_y", LEFT)).otherwise(F.array()),
+        copies("y", "n_y", "x", "n_x", RIGHT))
+    whole = F.array(F.struct("x", "y", "role"))
+    return found.select("shard", "sub", "print", "id", F.inline(F.when(F.col("n_x").isNull(), whole).otherwise(both))).select(
+        "shard", "sub", "x", "y", "role", "print", "id")
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Rows of one task after another, from batches sorted by the first three columns."""
+    """Rows of one task after another, from batches sorted by the first four columns."""
     held: list[np.ndarray] = []
     for batch in batches:
         rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
         if not len(rows):
             continue
-        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        cuts = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
         parts = np.split(rows, cuts)
-        if held and (held[-1][-1, :3] != parts[0][0, :3]).any():
+        if held and (held[-1][-1, :4] != parts[0][0, :4]).any():
             yield np.concatenate(held)
             held = []
         held.append(parts[0])

@@ -66,6 +66,35 @@ def test_trees_find_every_link(spark, monkeypatch, shard_points):
     assert {i: got.get(i, i) for i in ids} == brute_components(list(zip(ids, found)))
 
 
+def test_a_large_shard_is_split_by_deeper_trees(spark, monkeypatch):
+    """Prints that agree in a third of the bits share a shard of ten times its size; no group of a task holds more."""
+    monkeypatch.setattr(simhash, "SHARD_POINTS", 60)
+    spec = simhash.TreeSpec()
+    rng = random.Random(10)
+    low = rng.getrandbits(21)
+    found = sorted({p >> 21 << 21 | low ^ (1 << rng.randrange(21) if rng.random() < 0.3 else 0) for p in near_prints(rng, 600)})
+    prints = np.array(found, np.uint64)
+    _, shard, _ = simhash.visits(prints, spec)
+    assert np.bincount(np.unique(shard, return_inverse=True)[1]).max() >= 10 * simhash.SHARD_POINTS * 0.7
+    ids = list(range(len(found)))
+    rows = [(int(p), i) for p, i in zip(prints.view(np.int64), ids)]
+    links = simhash.shard_links(spark.createDataFrame(rows, "print long, id long").repartition(3), spec)
+    got = {r.node: r.component for r in components(links).collect()}
+    assert {i: got.get(i, i) for i in ids} == brute_components(list(zip(ids, found)))
+    # every link meets in a deeper shard, with one of the two at home
+    for tree in range(spec.trees):
+        row, sub, own = simhash.visits(prints, spec, below=tree)
+        homes = {(int(r), int(s)) for r, s in zip(row[own], sub[own])}
+        shards = {}
+        for r, s in zip(row.tolist(), sub.tolist()):
+            shards.setdefault(r, set()).add(s)
+        edges = [0, 21, 42, 64]
+        keep = np.uint64((1 << 64) - 1 ^ ((1 << edges[tree + 1]) - (1 << edges[tree])))
+        for i in range(0, len(prints), 7):
+            for j in np.flatnonzero(np.bitwise_count((prints ^ prints[i]) & keep) <= 4).tolist():
+                assert any((i, s) in homes or (j, s) in homes for s in shards[i] & shards[j])
+
+
 def test_inner_tree_compares_what_brute_force_does(monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 50)
     rng = random.Random(9)
