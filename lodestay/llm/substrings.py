@@ -36,6 +36,10 @@ from lodestay.llm.common import Memo, map_slices, ranges, stored, texts, words_o
 SHARD_BYTES = 1 << 20
 #: Documents one task streams through an automaton; a shard with more is dealt to several tasks.
 DOCS_PER_TASK = 2000
+#: Partitions of the streaming step, at most, unless the session asks for more; a partition takes its tasks one by one.
+MOST_PARTITIONS = 20_000
+#: A text is joined by broadcast with its first document if it is more than one in this many of all rows.
+HOT_SHARE = 2000
 #: Words of a passage in one piece. Neighbouring pieces share all words but one of a window.
 PIECE_WORDS = 2000
 
@@ -285,7 +289,9 @@ def located(texts_: DataFrame, routes: DataFrame, pieces: DataFrame, spec: Passa
         "d", "k", "shard", F.pmod(F.xxhash64("d", "k"), F.col("n")).cast("int").alias("task"))
     of_docs = texts_.join(dealt, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select(
         "shard", "task", F.lit(1).alias("kind"), "doc_id", "sha", "text")
-    n_parts = int(texts_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # twice as many partitions as tasks, so that few tasks share one
+    n_tasks = tasks.agg(F.sum("n")).first()[0] or 0
+    n_parts = max(int(texts_.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * n_tasks, MOST_PARTITIONS))
     rows = of_pieces.union(of_docs).repartition(n_parts, "shard", "task").sortWithinPartitions("shard", "task", "kind")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,6 +335,21 @@ def without_spans(found: DataFrame) -> DataFrame:
     return map_slices(found, "text", "first long, key binary, removed long, rest string", work)
 
 
+def with_firsts(slim: DataFrame) -> DataFrame:
+    """``slim`` and ``first0``, the smallest doc_id that has a row's text (null if none has an id).
+
+    A text that very many rows hold would bring them all to one task of a join by digest. Of all rows, fewer than
+    ``HOT_SHARE`` texts can each hold more than one in ``HOT_SHARE``; these few are broadcast, and only rows of the
+    others are shuffled.
+    """
+    firsts = slim.groupBy("sha").agg(F.min("doc_id").alias("first0"), F.count("*").alias("n")).withColumnRenamed("sha", "key0")
+    bound = slim.count() // HOT_SHARE
+    hot = F.broadcast(firsts.where(F.col("n") > max(bound, 1)).drop("n"))
+    same = F.col("sha") == F.col("key0")
+    cold = slim.join(hot, same, "left_anti").join(firsts.drop("n"), same, "left")
+    return slim.join(hot, same).select(*slim.columns, "first0").union(cold.select(*slim.columns, "first0"))
+
+
 def repeated_passages(
     docs: DataFrame, spec: PassageSpec = PassageSpec(), doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
@@ -371,14 +392,13 @@ def repeated_passages(
 
     slim_texts = texts_.select("doc_id", "sha", "text")
     spans = located(slim_texts, routes, pieces, spec).groupBy("doc_id", "sha").agg(
-        F.flatten(F.collect_list("spans")).alias("spans")).select(F.col("doc_id").alias("d"), F.col("sha").alias("k"), "spans")
-    # rows that repeat a text under one doc_id have come along until here
+        F.flatten(F.collect_set("spans")).alias("spans")).select(F.col("doc_id").alias("d"), F.col("sha").alias("k"), "spans")
+    # rows that repeat a text under one doc_id have come along until here, with equal spans
     changed = without_spans(slim_texts.join(spans, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select(
         "doc_id", "sha", "text", "spans")).dropDuplicates(["first", "key"])
 
     copy = (F.col("doc_id") > F.col("first0")) & (F.col("n_words") >= spec.window)
-    judged = slim.join(firsts.select(F.col("key").alias("key0"), F.col("first").alias("first0")), F.col("sha") == F.col("key0"), "left")
-    judged = judged.join(changed, (F.col("doc_id") == F.col("first")) & (F.col("sha") == F.col("key")), "left")
+    judged = with_firsts(slim).join(changed, (F.col("doc_id") == F.col("first")) & (F.col("sha") == F.col("key")), "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return judged.select(
         "doc_id", "n_words",
