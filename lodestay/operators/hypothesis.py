@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestay.functions.numeric import join_on_keys, rounded
-from lodestay.operators.ordering import counted, positions, value_counts
+from lodestay.operators.ordering import all_read, between_ends, counted, median_ends, positions, value_counts
 from lodestay.operators.summaries import group_summary, known
 
 ALPHA = 0.05
@@ -95,12 +95,24 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
     Asymptotic with tie correction and continuity correction, as is usual for
     anything but a handful of untied values.
     """
+    return _rank_test(population, first, second)
+
+
+def _rank_test(population: DataFrame, first: str, second: str, medians: bool = False) -> DataFrame:
+    """The row of ``mann_whitney``, with ``group_1_median`` and ``group_2_median`` from the same counts if asked for."""
     in_first = F.col("group") == first
     rows = population.where(F.col("group").isin(first, second)).select(
         F.col("value"), in_first.alias("in_first")
     )
     counts = value_counts(rows, [], "value", {"__n1": F.count_if("in_first")})
     placed = positions(counted(counts, ["__n1"]), ["__n1"])
+    ends = {}
+    if medians:
+        known_rows = all_read(counts, ["__n1"]).where(F.col("__n") > 0)  # rows without a value are in no rank
+        totals = known_rows.agg(F.sum("__n1").alias("__all1"), F.sum(F.col("__n") - F.col("__n1")).alias("__all2"))
+        placed = placed.crossJoin(F.broadcast(totals))  # one row
+        ends = median_ends("group_1_median", "__n1_before", "__n1", "__all1") | median_ends(
+            "group_2_median", "(__before - __n1_before)", "(__n - __n1)", "__all2")
     n = F.col("__n")
     # Twice a tie-averaged rank is a whole number: sums of these are exact in any order, whatever their size.
     twice_rank = (F.col("__before") * 2 + n + 1).cast("decimal(19,0)") * F.col("__n1").cast("decimal(19,0)")
@@ -110,6 +122,7 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
         F.sum("__n1").cast("double").alias("n1"),
         (F.sum(twice_rank) / 2).cast("decimal(38,1)").cast("double").alias("r1"),
         F.sum(cubed).alias("ties"),
+        *[c.alias(k) for k, c in ends.items()],
     ).withColumn("n2", F.col("n") - F.col("n1"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
     pairs = F.col("n1") * F.col("n2")
@@ -127,6 +140,7 @@ def mann_whitney(population: DataFrame, first: str, second: str) -> DataFrame:
             "z",
             two_sided_p(F.col("z")).alias("p_value"),
             (F.try_divide(2.0 * F.col("u"), pairs) - 1.0).alias("effect_size_rank_biserial"),
+            *[between_ends(k).alias(k) for k in ("group_1_median", "group_2_median") if medians],
         )
     )
 
@@ -141,15 +155,9 @@ def hypothesis_row(
     alpha: float = ALPHA,
 ) -> DataFrame:
     """One fifteen-column result row: sizes, medians, U, p, effect, decision, conclusion."""
-    test = mann_whitney(population, first, second)
-    medians = group_summary(
-        population, ["group"], {"n": known("value")}, {"median": ("value", 0.5, None)}
-    ).agg(
-        F.max(F.when(F.col("group") == first, F.col("median"))).alias("group_1_median"),
-        F.max(F.when(F.col("group") == second, F.col("median"))).alias("group_2_median"),
-    )
+    test = _rank_test(population, first, second, medians=True)
     reject = F.col("p_value") < alpha  # NULL where a group has no rows: no decision then
-    return test.crossJoin(medians).select(  # one row each
+    return test.select(
         F.lit(name).alias("hypothesis"),
         F.lit(question).alias("business_question"),
         F.lit("Mann-Whitney U").alias("test"),

@@ -128,22 +128,39 @@ def _inside(values: DataFrame, held: DataFrame, keys: Sequence[str], level: int)
 def positions(values: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """All values of one group with ``__before``, the number of rows with a smaller value.
 
-    Rows before a prefix are running totals inside the prefix one round
-    shorter, so a total orders at most 2 ** max(LEVELS) rows at every depth.
+    ``carried`` are counts of a part of the rows, each with the number of such
+    rows before (``<name>_before``). Rows before a prefix are running totals
+    inside the prefix one round shorter, so a total orders at most
+    2 ** max(LEVELS) rows at every depth. The joins match NULLs too: from a
+    plain equality Spark would infer that the prefix is known and ask so below
+    the shuffle of ``value_counts``, in some branches, which then were shuffles
+    over scans of their own.
     """
-    before = None
-    for level in range(1, len(LEVELS)):
-        sums = values.select(_N, prefix(level).alias(_P), prefix(level - 1).alias("__outer")) if level > 1 else values.select(
-            _N, prefix(level).alias(_P), F.lit(0).alias("__outer"))
-        sums = sums.groupBy("__outer", _P).agg(F.sum(_N).alias(_N))
-        _, upto = _running(["__outer"])
-        sums = sums.withColumn("__before", F.sum(_N).over(upto) - F.col(_N))
-        if before is not None:
-            sums = sums.join(before, "__outer").withColumn("__before", F.col("__before") + F.col("__base"))
-        before = sums.select(F.col(_P).alias("__outer"), F.col("__before").alias("__base"))
-    placed = values.select(_V, _N, *carried, prefix(len(LEVELS)).alias(_P), prefix(len(LEVELS) - 1).alias("__outer")).join(before, "__outer")
+    before, names = None, {_N: "__before", **{c: f"{c}_before" for c in carried}}
     _, upto = _running(["__outer"])
-    return placed.withColumn("__before", F.col("__base") + F.sum(_N).over(upto) - F.col(_N)).select(_V, _N, *carried, "__before")
+
+    def running(sums: DataFrame, base: bool) -> DataFrame:
+        return sums.withColumns({
+            name: F.sum(c).over(upto) - F.col(c) + (F.col(f"__base_{c}") if base else F.lit(0)) for c, name in names.items()})
+
+    for level in range(1, len(LEVELS)):
+        outer = prefix(level - 1) if level > 1 else F.lit(0)
+        sums = values.select(*names, prefix(level).alias(_P), outer.alias("__outer"))
+        sums = sums.groupBy("__outer", _P).agg(*[F.sum(c).alias(c) for c in names])
+        sums = running(sums if before is None else join_on_keys(sums, before, ["__outer"], "inner"), before is not None)
+        before = sums.select(F.col(_P).alias("__outer"), *[F.col(name).alias(f"__base_{c}") for c, name in names.items()])
+    placed = values.select(_V, *names, prefix(len(LEVELS)).alias(_P), prefix(len(LEVELS) - 1).alias("__outer"))
+    return running(join_on_keys(placed, before, ["__outer"], "inner"), True).select(_V, *names, *names.values())
+
+
+def median_ends(group: str, before: str, count: str, total: str) -> dict[str, Column]:
+    """Aggregates over ``positions`` with the group's ``total`` beside them; ``between_ends`` makes a median of them."""
+    low, high = _wanted(0.5, total)
+    ends = {f"{group}__lo": low, f"{group}__hi": high}
+    return {
+        **{k: F.expr(f"max(CASE WHEN {_holds(at, before, count)} THEN {_V} END)") for k, at in ends.items()},
+        f"{group}__at": F.expr(f"max(CAST({total} - 1 AS DOUBLE) * 0.5D)"),
+    }
 
 
 def _interpolated(held: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple[int | None, float]]) -> DataFrame:
@@ -158,12 +175,17 @@ def _interpolated(held: DataFrame, by: Sequence[str], wanted: Mapping[str, tuple
     ends = held.groupBy(*by).agg(*picks)
     out = []
     for name in wanted:
-        lo, hi, part = f"`{name}__lo`", f"`{name}__hi`", f"(`{name}__at` - floor(`{name}__at`))"
-        # the weighted form SQL engines use; equal ends need no arithmetic
-        out.append(F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {part}) + {hi} * {part} END").alias(name))
+        out.append(between_ends(name).alias(name))
     return ends.select(*by, *out)
 
 
+def between_ends(name: str) -> Column:
+    """The linear interpolation between ``<name>__lo`` and ``<name>__hi`` at the position ``<name>__at``."""
+    lo, hi, part = f"`{name}__lo`", f"`{name}__hi`", f"(`{name}__at` - floor(`{name}__at`))"
+    # the weighted form SQL engines use; equal ends need no arithmetic
+    return F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {part}) + {hi} * {part} END")
+
+
 def quantiles_of_counts(
     counts: DataFrame, by: Sequence[str], wanted: Mapping[str, float], extra: Sequence[str] = (),
 ) -> DataFrame:
