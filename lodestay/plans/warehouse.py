@@ -46,7 +46,20 @@ def dim_neighbourhoods(master: DataFrame) -> DataFrame:
     return keyed.select("neighbourhood_key", *groups.columns)
 
 
-def _performance(master: DataFrame, group: str, *extra: str) -> DataFrame:
+# What the three performance views are grouped by, and the measures that not all of them have.
+VIEW_GROUPS = {
+    "vw_neighbourhood_performance": "neighbourhood",
+    "vw_room_type_performance": "room_type",
+    "vw_host_portfolio_performance": "host_portfolio_segment",
+}
+VIEW_EXTRAS = {
+    "vw_neighbourhood_performance": ("total_review_events", "avg_reviews_per_listing", "avg_availability_rate"),
+    "vw_room_type_performance": ("total_review_events",),
+    "vw_host_portfolio_performance": ("avg_reviews_per_listing",),
+}
+
+
+def _performance(df: DataFrame, by: Sequence[str], extra: Sequence[str]) -> DataFrame:
     """The measures the three performance views share, plus the ones asked for."""
     aggs = {
         "listing_count": row_count(),
@@ -61,23 +74,25 @@ def _performance(master: DataFrame, group: str, *extra: str) -> DataFrame:
     names = ["listing_count", "listings_with_price", "avg_price", "avg_review_score", *extra,
              "avg_unavailability_rate_proxy"]
     out = group_summary(
-        master, [group], {n: aggs[n] for n in names}, {"median_price": (PRICE, 0.5, 2)}, drop_null_groups=True
+        df, by, {n: aggs[n] for n in names}, {"median_price": (PRICE, 0.5, 2)}, drop_null_groups=True
     )
-    return out.select(group, "listing_count", "listings_with_price", "avg_price", "median_price", *names[3:])
+    return out.select(*by, "listing_count", "listings_with_price", "avg_price", "median_price", *names[3:])
+
+
+def _view(master: DataFrame, name: str) -> DataFrame:
+    return _performance(master, [VIEW_GROUPS[name]], VIEW_EXTRAS[name])
 
 
 def neighbourhood_performance(master: DataFrame) -> DataFrame:
-    return _performance(
-        master, "neighbourhood", "total_review_events", "avg_reviews_per_listing", "avg_availability_rate"
-    )
+    return _view(master, "vw_neighbourhood_performance")
 
 
 def room_type_performance(master: DataFrame) -> DataFrame:
-    return _performance(master, "room_type", "total_review_events")
+    return _view(master, "vw_room_type_performance")
 
 
 def host_portfolio_performance(master: DataFrame) -> DataFrame:
-    return _performance(master, "host_portfolio_segment", "avg_reviews_per_listing")
+    return _view(master, "vw_host_portfolio_performance")
 
 
 VIEWS = {
@@ -88,9 +103,24 @@ VIEWS = {
 
 
 def view_readouts(master: DataFrame) -> DataFrame:
-    """The rows of all three views under their names; a column that a view lacks is NULL there."""
-    parts = [build(master).select(F.lit(name).alias("view_name"), "*") for name, build in VIEWS.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    """The rows of all three views under their names; a column that a view lacks is NULL there.
+
+    The master is made and read once: a listing counts in its group of each view.
+    """
+    places = F.array(*[
+        F.struct(F.lit(name).alias("view_name"), F.col(group).alias("group")) for name, group in VIEW_GROUPS.items()
+    ])
+    extras = sorted({e for names in VIEW_EXTRAS.values() for e in names})
+    dealt = master.select("*", F.explode(places).alias("__place")).select("*", "__place.view_name", "__place.group")
+    out = _performance(dealt, ["view_name", "group"], VIEW_EXTRAS["vw_neighbourhood_performance"])
+
+    def only(column: str, *names: str) -> Column:
+        return F.when(F.col("view_name").isin(*names), F.col(column))
+
+    groups = {group: only("group", name) for name, group in VIEW_GROUPS.items()}
+    measures = {e: only(e, *[name for name, has in VIEW_EXTRAS.items() if e in has]) for e in extras}
+    shown = ["view_name", "neighbourhood", *out.columns[2:], "room_type", "host_portfolio_segment"]
+    return out.select(*[({**groups, **measures}.get(c, F.col(c))).alias(c) for c in shown])
 
 
 def register_views(master: DataFrame) -> None:

@@ -1,13 +1,10 @@
 """Work that must be done once, however many figures a query shows: scans in plans, and code that Spark can compile."""
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
 from lodestay.operators import hypothesis
 from lodestay.plans import warehouse
-from lodestay.suite import market
 
 
 @pytest.fixture
@@ -35,3 +32,27 @@ def test_a_group_without_rows_has_no_median(spark):
     population = spark.createDataFrame([("a", 1.0), ("a", 5.0)], "group string, value double")
     r = hypothesis.hypothesis_row(population, "a", "b", "H", "?", "groups").first()
     assert (r.group_1_n, r.group_1_median, r.group_2_n, r.group_2_median, r.decision) == (2, 3.0, 0, None, None)
+
+
+def _listing_master(spark, path):
+    rows = [("A", "R", "S", 10.0, 4.0, 3, 0.5, 0.25), ("A", "R", None, 20.0, None, 0, 0.1, 0.75),
+            ("B", "R", "S", None, 5.0, 2, None, None), (None, "Q", "S", 40.0, 3.0, 1, 0.2, 0.5)]
+    spark.createDataFrame(rows, "neighbourhood string, room_type string, host_portfolio_segment string, "
+                          "price_best_available double, review_scores_rating double, detailed_review_count long, "
+                          "availability_rate_observed double, unavailability_rate_proxy double").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_all_view_readouts_come_from_one_scan(static, tmp_path):
+    master = _listing_master(static, str(tmp_path / "master"))
+    out = warehouse.view_readouts(master)
+    assert scans(out) == 1
+    got = {tuple(r) for r in out.collect()}
+    for name, build in warehouse.VIEWS.items():
+        view = build(master)
+        missing = [c for c in out.columns if c not in view.columns and c != "view_name"]
+        whole = view.select(F.lit(name).alias("view_name"), "*", *[F.lit(None).alias(c) for c in missing])
+        mine = {tuple(r) for r in whole.select(*out.columns).collect()}
+        assert mine <= got
+        got -= mine
+    assert not got
