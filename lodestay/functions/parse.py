@@ -20,17 +20,19 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Characters taken out of amounts and percentages.
+MONEY, PERCENT = "$,", "%"
+
 # Characters that count as surrounding whitespace.
 WHITESPACE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Letters with which a cast would accept more than a plain number: type
-# suffixes (1.5d), nan, inf, hexadecimal floats. They are made unparseable.
-_LETTERS, _BLOCKED = "aAdDfFpP", "________"
+# A number has a digit and none of the letters with which a cast would accept more than a plain number: type suffixes
+# (1.5d), nan, inf, hexadecimal floats. Text that cannot be one is not tried, as a failed cast costs much more.
+_NUMERAL = "^[^aAdDfFpP0-9]*[0-9][^aAdDfFpP]*$"
 _NOT_WHITE = "[^" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]"
-_DIGITS = "^-?[0-9]{1,18}$"
 _DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.Z+-]*)?\s*$"
 
 
@@ -69,32 +71,60 @@ def missing_token_to_null(c: str) -> Column:
     return F.expr(f"CASE WHEN {named(c)} NOT IN ({', '.join(map(literal, MISSING_TOKENS))}) THEN {named(c)} END")
 
 
-def _number_text(c: str, dropped: str = "") -> str:
-    """Finite double of the text with the ``dropped`` characters taken out (NaN sorts above infinity)."""
-    plain = f"try_cast(translate(CAST({named(c)} AS STRING), {literal(_LETTERS + dropped)}, {literal(_BLOCKED)}) AS DOUBLE)"
-    return f"CASE WHEN abs({plain}) < CAST('Infinity' AS DOUBLE) THEN {plain} END"
+# Spark runs the code of a stage in methods, and those of more than 8,000 bytes are never compiled to machine code. A
+# value that an expression names several times is written out as often, so the parsers name each once or twice, and a
+# table of many columns is cleaned in two projections: the doubles (``plain``), then what is made of them.
+
+def _plain_text(c: str, dropped: str = "") -> str:
+    text = f"CAST({named(c)} AS STRING)"
+    kept = f"translate({text}, {literal(dropped)}, '')" if dropped else text
+    return f"CASE WHEN {text} RLIKE {literal(_NUMERAL)} THEN try_cast({kept} AS DOUBLE) END"
+
+
+def _finite_text(x: str) -> str:
+    return f"CASE WHEN abs({x}) < CAST('Infinity' AS DOUBLE) THEN {x} END"
+
+
+def _whole_text(x: str, c: str) -> str:
+    return f"CASE WHEN {x} = floor({x}) THEN coalesce(try_cast(CAST({named(c)} AS STRING) AS BIGINT), floor({x})) END"
+
+
+def plain(c: str, dropped: str = "") -> Column:
+    """The double of the text with the ``dropped`` characters taken out, infinite where it overflows."""
+    return F.expr(_plain_text(c, dropped))
+
+
+def finite(x: str) -> Column:
+    """The finite values of a column of doubles."""
+    return F.expr(_finite_text(named(x)))
+
+
+def whole(x: str, c: str) -> Column:
+    """``whole_number(c)`` where column ``x`` is ``plain(c)``."""
+    return F.expr(_whole_text(named(x), c))
 
 
 def number(c: str) -> Column:
     """Text or numeric column -> finite double, NULL when not a number."""
-    return F.expr(_number_text(c))
+    return F.expr(_finite_text(_plain_text(c)))
 
 
 def currency(c: str) -> Column:
     """``$1,250.00`` -> 1250.0."""
-    return F.expr(_number_text(c, "$,"))
+    return F.expr(_finite_text(_plain_text(c, MONEY)))
 
 
 def percent(c: str) -> Column:
     """``95%`` -> 95.0 (points on a 0-100 scale)."""
-    return F.expr(_number_text(c, "%"))
+    return F.expr(_finite_text(_plain_text(c, PERCENT)))
 
 
 def boolean(c: str) -> Column:
     """Known spellings only; anything else is NULL, never a guess."""
     word = f"lower(trim(BOTH {literal(WHITESPACE)} FROM CAST({named(c)} AS STRING)))"
-    yes, no = (", ".join(map(literal, words)) for words in (TRUE_WORDS, FALSE_WORDS))
-    return F.expr(f"CASE WHEN {word} IN ({yes}) THEN TRUE WHEN {word} IN ({no}) THEN FALSE END")
+    known = ((TRUE_WORDS, "TRUE"), (FALSE_WORDS, "FALSE"))
+    meanings = ", ".join(f"{literal(w)}, {meaning}" for words, meaning in known for w in words)
+    return F.expr(f"try_element_at(map({meanings}), {word})")
 
 
 def date(c: str) -> Column:
@@ -106,15 +136,11 @@ def date(c: str) -> Column:
 def whole_number(c: str) -> Column:
     """Text such as ``12`` or ``12.0`` -> 12; a fraction or overflow is NULL.
 
-    Plain digits are cast directly, so identifiers beyond 2**53 keep every
-    digit; only other spellings go through a double. Beyond 2**53 a double is
-    not exact, so longer numerals get a cast of their own, tried on these only.
+    Plain numerals are cast directly, so identifiers beyond 2**53, where a
+    double is not exact, keep every digit; only other spellings, which that
+    cast refuses, get their value from the double.
     """
-    text, x = f"CAST({named(c)} AS STRING)", _number_text(c)
-    return F.expr(
-        f"CASE WHEN {text} RLIKE {literal(_DIGITS)} THEN CAST({text} AS BIGINT) ELSE coalesce("
-        f"CASE WHEN abs({x}) >= {2.0 ** 53!r}D THEN try_cast({text} AS BIGINT) END, "
-        f"CASE WHEN ({x}) = floor({x}) THEN try_cast(({x}) AS BIGINT) END) END")
+    return F.expr(_whole_text(_plain_text(c), c))
 
 
 def yes_no_label(c: str | Column) -> Column:

@@ -83,11 +83,23 @@ def decided(df: DataFrame, policy: ColumnPolicy) -> ColumnPolicy:
     return policy if policy.fractional is not None else replace(policy, fractional=fractional_columns(df, policy))
 
 
+def _number(c: str) -> str:
+    return f"__number_{c}"
+
+
+def _with_numbers(df: DataFrame, policy: ColumnPolicy) -> DataFrame:
+    """``df`` with the double of every column with a numeric role, each parsed once (see ``parse.plain``)."""
+    dropped = {policy.price: parse.MONEY} if policy.price and policy.price in df.columns else {}
+    dropped |= {c: parse.PERCENT for c in policy.present("percents", df)}
+    dropped |= {c: "" for role in ("integers", "floats") for c in policy.present(role, df)}
+    return df.withColumns({_number(c): parse.plain(c, x) for c, x in dropped.items()})
+
+
 def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
-    """Cleaned expression of every column that has a role (blank text parses to NULL by itself)."""
+    """Cleaned expression, over ``_with_numbers``, of every column that has a role (blank text parses to NULL by itself)."""
     out: dict[str, Column] = {}
     if policy.price and policy.price in df.columns:
-        out[policy.price] = parse.currency(policy.price)
+        out[policy.price] = parse.finite(_number(policy.price))
     for c in policy.present("dates", df):
         out[c] = parse.date(c)
     for c in policy.present("categories", df):
@@ -95,17 +107,18 @@ def _cleaned(df: DataFrame, policy: ColumnPolicy) -> dict[str, Column]:
     for c in policy.present("booleans", df):
         out[c] = parse.boolean(c)
     for c in policy.present("percents", df):
-        out[c] = parse.percent(c)
+        out[c] = parse.finite(_number(c))
     for c in policy.present("integers", df):
-        out[c] = parse.number(c) if c in policy.fractional else parse.whole_number(c)
+        out[c] = parse.finite(_number(c)) if c in policy.fractional else parse.whole(_number(c), c)
     for c in policy.present("floats", df):
-        out[c] = parse.number(c)
+        out[c] = parse.finite(_number(c))
     return out
 
 
 def clean(df: DataFrame, policy: ColumnPolicy) -> DataFrame:
     """The cleaned table: same rows, one extra column ``<price>_raw`` before the price."""
-    return df.select(*_projection(df, decided(df, policy)))
+    policy = decided(df, policy)
+    return _with_numbers(df, policy).select(*_projection(df, policy))
 
 
 def _projection(df: DataFrame, policy: ColumnPolicy) -> list[Column]:
@@ -126,7 +139,7 @@ def audit(df: DataFrame, policy: ColumnPolicy, dataset: str) -> DataFrame:
     """
     policy = decided(df, policy)
     tally, lines = _audited(df, policy)
-    return _audit_report(tally.of(df), lines, df, policy, dataset)
+    return _audit_report(tally.of(_with_numbers(df, policy)), lines, df, policy, dataset)
 
 
 def write_cleaned(df: DataFrame, policy: ColumnPolicy, dataset: str, path: str) -> tuple[DataFrame, int]:
@@ -136,7 +149,7 @@ def write_cleaned(df: DataFrame, policy: ColumnPolicy, dataset: str, path: str)
     """
     policy = decided(df, policy)
     tally, lines = _audited(df, policy)
-    figures = write_observed(df, path, tally, _projection(df, policy))
+    figures = write_observed(_with_numbers(df, policy), path, tally, _projection(df, policy))
     return _audit_report(figures_row(df.sparkSession, figures), lines, df, policy, dataset), figures["rows"]
 
 
@@ -181,7 +194,7 @@ def _audited(df: DataFrame, policy: ColumnPolicy) -> tuple[Tally, list[tuple]]:
     for c in policy.present("integers", df):
         kind = "Float64" if c in policy.fractional else "Int64"
         # an integer column holds no fraction, so what is a number converts (or is out of range)
-        x = parse.number(c)
+        x = parse.finite(_number(c))
         value = x if c in policy.fractional else F.when(F.abs(x) < 2.0**63, x)
         parsed(c, "convert_numeric", "unparseable_numeric_to_null", f"Converted to nullable {kind}.", value)
     for c in policy.present("floats", df):

@@ -1,10 +1,13 @@
 """Work that must be done once, however many figures a query shows: scans in plans, and code that Spark can compile."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lodestay.operators import hypothesis
 from lodestay.plans import warehouse
+from lodestay.suite import market
 
 
 @pytest.fixture
@@ -56,3 +59,12 @@ def test_all_view_readouts_come_from_one_scan(static, tmp_path):
         assert mine <= got
         got -= mine
     assert not got
+
+
+@pytest.mark.parametrize("cleaned", [market.canonical, market.detail])
+def test_cleaning_stays_within_what_is_compiled(static, sf, cleaned):
+    plan = cleaned(static, sf)._jdf.queryExecution().executedPlan()
+    debug = static._jvm.org.apache.spark.sql.execution.debug
+    text = getattr(getattr(debug, "package$"), "MODULE$").codegenString(plan)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", text)]
+    assert sizes and 0 < min(sizes) and max(sizes) <= 8000  # HotSpot leaves larger methods to its interpreter
