@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,13 +18,16 @@ from pyspark.sql import functions as F
 from lodestay.functions.numeric import rounded
 from lodestay.operators.ordering import exact_quantiles
 from lodestay.operators.summaries import at_or_below_quantile
-from lodestay.session import durable
+from lodestay.session import durable, written
 
 SEED = 42
 TEST_PERCENT = 20
 MINIMUM_CATEGORY_ROWS = 10
 MISSING_CATEGORY = "Missing"
 RARE_CATEGORY = "__rare__"
+SCORED_VALUES = 1 << 17  # of the rows that walk down a tree together
+SCORED_WIDTH = 1024  # features of the vectors that are sent to Python in batches
+LOOKUP_BYTES = 8 << 20  # of a category table that is sent to all tasks
 
 # The default target, features and the columns that would leak the target.
 TARGET = "price_best_available"
@@ -118,6 +124,7 @@ class FittedFeatures:
     deviations: dict
     categories: DataFrame | None  # None with hashed buckets, which need no table
     encoder: PipelineModel | None = None
+    small: bool = False  # the category table has been measured and is at most LOOKUP_BYTES
     names: list = field(default_factory=list)
 
     def prepare(self, df: DataFrame) -> DataFrame:
@@ -130,6 +137,8 @@ class FittedFeatures:
             side = self.categories.where(F.col("feature") == c).select(
                 F.col("category").alias(f"__cat_{c}"), F.col("encoded_as").alias(f"__enc_{c}")
             )
+            if self.small:  # its plan shows no size, and a shuffle of all rows by few categories would be uneven
+                side = F.broadcast(side)
             df = df.join(side, F.col(c) == F.col(f"__cat_{c}"), "left").drop(f"__cat_{c}")
         return df.withColumns({f"__enc_{c}": F.coalesce(f"__enc_{c}", F.lit("__unseen__")) for c in spec.categorical})
 
@@ -161,8 +170,11 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
         fitted = FittedFeatures(spec, medians, means, deviations, None)
         return _hashed(fitted, train)
     categories = durable(rare_category_map(train, spec.categorical))
-    fitted = FittedFeatures(spec, medians, means, deviations, categories)
-    encoded = categories.select("feature", "encoded_as").distinct().count()
+    row_bytes = F.octet_length("feature") + F.octet_length("category") + F.octet_length("encoded_as") + 64
+    size = categories.agg(F.sum(row_bytes).alias("n")).first().n or 0
+    fitted = FittedFeatures(spec, medians, means, deviations, categories, small=size <= LOOKUP_BYTES)
+    kept = categories.select("feature", "encoded_as").distinct()
+    encoded = kept.count()
     if encoded > spec.max_encoded_categories:
         raise ValueError(
             f"{encoded} categories with {MINIMUM_CATEGORY_ROWS} rows or more; one-hot encoding takes up to "
@@ -172,7 +184,7 @@ def fit_features(train: DataFrame, spec: ModelSpec) -> FittedFeatures:
         outputCols=[f"__idx_{c}" for c in spec.categorical],
         handleInvalid="keep",
         stringOrderType="alphabetAsc",
-    )
+    ).fit(kept.select(*[F.when(F.col("feature") == c, F.col("encoded_as")).alias(f"__enc_{c}") for c in spec.categorical]))
     # The last slot is the one kept for unseen values: dropping it encodes them as all zeros.
     onehot = OneHotEncoder(
         inputCols=[f"__idx_{c}" for c in spec.categorical],
@@ -245,6 +257,69 @@ def fit_forest(train: DataFrame, spec: ModelSpec) -> object:
     ).fit(few)
 
 
+_NODE = re.compile(r"(?:If \(feature (\d+) (?:<= (\S+)|in \{([^}]*)\})\)|Predict: (\S+))$")
+
+
+def listed_tree(text: str) -> tuple[np.ndarray, ...] | None:
+    """The nodes of ``toDebugString``: feature, cut, two children each, value. Features at or below the cut go to the
+    first child, a leaf's children are itself. None if a split is neither at a value nor of 0 and 1."""
+    feature, cut, child, value, above = [], [], [], [], []
+    for line in map(str.strip, text.splitlines()[1:]):
+        if not line or line.startswith("Else"):
+            continue
+        found = _NODE.match(line)
+        if not found or found[3] not in (None, "0.0", "1.0"):
+            return None
+        column, bound, inside, predicted = found.groups()
+        at = len(feature)
+        if above:  # the nodes come depth first
+            child[above.pop()] = at
+        if predicted is not None:
+            node = (0, np.inf, (at, at), float(predicted))
+        else:
+            node = (int(column), float(bound or 0.5), (-1, -1), 0.0)
+            above += [2 * at, 2 * at + 1] if inside == "1.0" else [2 * at + 1, 2 * at]
+        feature.append(node[0])
+        cut.append(node[1])
+        child.extend(node[2])
+        value.append(node[3])
+    return np.array(feature), np.array(cut), np.array(child), np.array(value)
+
+
+def forest_scores(forest) -> Callable[[Column], Column] | None:
+    """The forest's prediction as a function of a feature vector, the same doubles as its own.
+
+    Spark walks all trees for one row after another, each step a jump to another part of memory. Here a batch of rows
+    walks down one tree at a time. None if the forest has splits that ``listed_tree`` does not
+    hold, or so many features that a batch of dense vectors is large.
+    """
+    trees, width = [listed_tree(t.toDebugString) for t in forest.trees], forest.numFeatures
+    if width > SCORED_WIDTH or any(t is None for t in trees):
+        return None
+
+    def walked(tree, flat, starts):
+        feature, cut, child, value = tree
+        at, then = None, np.zeros(len(starts), np.int64)
+        while at is None or not np.array_equal(at, then):
+            at = then
+            then = child[2 * at + np.logical_not(flat[starts + feature[at]] <= cut[at])]
+        return value[at]
+
+    @F.pandas_udf("double")
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        step = max(1, SCORED_VALUES // width)
+        for vectors in parts:
+            out = np.zeros(len(vectors))
+            for i in range(0, len(vectors), step):
+                flat = np.concatenate(vectors.iloc[i:i + step].tolist())
+                starts = np.arange(0, len(flat), width)
+                for tree in trees:
+                    out[i:i + step] += walked(tree, flat, starts)
+            yield pd.Series(out / len(trees))
+
+    return lambda features: scored(vector_to_array(features))
+
+
 def original_scale(c: str) -> Column:
     """Back from log1p, never negative."""
     return F.greatest(F.expm1(F.col(c)), F.lit(0.0))
@@ -272,7 +347,7 @@ class PriceExperiment:
 
 @dataclass
 class Prepared:
-    """Split rows, what was learnt from the training rows, and these as vectors."""
+    """Split rows, what was learnt from the training rows, and these as vectors (made as they are read)."""
 
     frame: DataFrame
     test: DataFrame
@@ -283,13 +358,10 @@ class Prepared:
 
 def prepare_price_experiment(df: DataFrame, spec: ModelSpec) -> Prepared:
     frame = with_split(modelling_frame(df, spec), spec.key, spec.seed).withColumn("label", F.log1p(spec.target))
-    frame = durable(frame)  # read many times while fitting
+    frame = written(frame)  # read many times while fitting, a few columns at a time
     train, test = frame.where(~F.col("is_test")), frame.where("is_test")
     features = fit_features(train, spec)
-    # every ridge iteration passes over these rows, so they are spread over all cores once, but not in crumbs
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, train.count() // 5_000))
-    ready = durable(features.transform(train).select(spec.key, "features", "label").repartition(parts))
+    ready = features.transform(train).select(spec.key, "features", "label")
     return Prepared(frame, test, train, features, ready)
 
 
@@ -302,10 +374,12 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
     spec = spec or ModelSpec()
     p = prepare_price_experiment(df, spec)
     baseline = exact_quantiles(p.train, [], {"median": ("label", 0.5)}).first()
-    ridge, forest = fit_ridge(p.ready, spec), fit_forest(p.ready, spec)
-    scored = p.features.transform(p.test)
-    scored = ridge.setPredictionCol("__ridge").transform(scored)
-    scored = forest.setPredictionCol("__forest").transform(scored)
+    ready = p.ready.persist()  # read by the solver and by the forest
+    ridge, forest = fit_ridge(ready, spec), fit_forest(ready, spec)
+    ready.unpersist()
+    scored = ridge.setPredictionCol("__ridge").transform(p.features.transform(p.test))
+    scores = forest_scores(forest)
+    scored = scored.withColumn("__forest", scores(F.col("features"))) if scores else forest.setPredictionCol("__forest").transform(scored)
     predictions = scored.select(
         spec.key,
         F.col(spec.target).alias("actual_price"),
@@ -318,7 +392,7 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
         predictions,
         compare_models(predictions, "actual_price", models),
         feature_importance(df.sparkSession, p.features.names, forest),
-        p.features, ridge, forest, [x for x in (p.frame, p.ready, p.features.categories) if x is not None],
+        p.features, ridge, forest, [x for x in (p.frame, p.features.categories) if x is not None],
     )
 
 

@@ -324,3 +324,36 @@ def test_declared_fractions_are_those_of_the_data(spark, sf):
 
     assert cleaning.fractional_columns(M.raw_listings(spark, sf), schemas.SUMMARY_POLICY) == M.LISTING_POLICY.fractional
     assert cleaning.fractional_columns(M.raw_detail(spark, sf), schemas.DETAILED_POLICY) == M.DETAIL_POLICY.fractional
+
+
+def fitted_rows(spark, spec):
+    frame = modelling.modelling_frame(model_rows(spark), spec).withColumn("label", F.log1p("y"))
+    fitted = modelling.fit_features(frame, spec)
+    return frame, fitted, fitted.transform(frame).select("id", "features", "label")
+
+
+def test_batches_score_as_the_forest_does(spark):
+    _, _, ready = fitted_rows(spark, SPEC)
+    forest = modelling.fit_forest(ready, replace(SPEC, trees=7, depth=9, minimum_leaf=1))
+    text = forest.toDebugString
+    assert "in {" in text and "<=" in text  # both kinds of splits
+    both = forest.setPredictionCol("its").transform(ready).withColumn("ours", modelling.forest_scores(forest)("features"))
+    rows = both.select("its", "ours").collect()
+    assert len({r.its for r in rows}) > 10 and all(r.its == r.ours for r in rows)
+
+
+def test_listed_trees_send_values_down_as_spark_does():
+    lines = ["header", "  If (feature 1 in {1.0})", "   Predict: 1.5", "  Else (feature 1 not in {1.0})", "   If (feature 0 <= -2.0E-3)",
+             "    Predict: 2.5", "   Else (feature 0 > -2.0E-3)", "    Predict: -3.0"]
+    feature, cut, child, value = modelling.listed_tree("\n".join(lines))
+    assert (feature.tolist(), child.tolist(), value.tolist()) == ([1, 0, 0, 0, 0], [2, 1, 1, 1, 3, 4, 3, 3, 4, 4], [0, 1.5, 0, 2.5, -3])
+    assert cut.tolist() == [0.5, np.inf, -0.002, np.inf, np.inf]
+    assert modelling.listed_tree("header\n  If (feature 1 in {1.0,2.0})") is None
+
+
+def test_categories_are_looked_up_without_a_shuffle_of_the_rows(spark):
+    frame, fitted, _ = fitted_rows(spark, SPEC)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    plan = fitted.prepare(frame)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
