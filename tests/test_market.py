@@ -11,6 +11,7 @@ from lodestay.operators import enrichment, facets, modelling, reconciliation, ro
 from lodestay.operators import summaries as S
 from lodestay.operators.cleaning import GrainError
 from lodestay.plans import warehouse
+from lodestay.session import durable
 from lodestay.suite import analysis_queries
 
 
@@ -357,3 +358,18 @@ def test_categories_are_looked_up_without_a_shuffle_of_the_rows(spark):
     plan = fitted.prepare(frame)._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_ridge_is_solved_in_a_few_passes(spark):
+    _, fitted, ready = fitted_rows(spark, SPEC)
+    ready = durable(ready)
+    spark.sparkContext.setJobGroup("solve", "ridge")
+    model = modelling.solve_ridge(ready, SPEC, len(fitted.names))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("solve"))
+    spark.sparkContext.setJobGroup("other", "")
+    rows = ready.collect()
+    x, y = np.array([r.features.toArray() for r in rows]), np.array([r.label for r in rows])
+    xc, yc = x - x.mean(0), y - y.mean()
+    expected = np.linalg.solve(xc.T @ xc + SPEC.alpha * np.eye(x.shape[1]), xc.T @ yc)
+    assert np.allclose(model.coefficients.toArray(), expected, atol=1e-9) and 0 < jobs <= 6
+    assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ expected)
