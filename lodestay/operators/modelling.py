@@ -256,10 +256,20 @@ def solve_ridge(train: DataFrame, spec: ModelSpec, size: int) -> object:
     ).fit(train)
 
 
+def sample_order(spec: ModelSpec) -> Column:
+    return F.xxhash64(F.lit(spec.seed), F.col(spec.key).cast("string"))
+
+
 def forest_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
     """The ``forest_rows`` training rows with the smallest key hashes: the same whatever the partitions."""
-    order = F.xxhash64(F.lit(spec.seed), F.col(spec.key).cast("string"))
-    return train.orderBy(order, F.col(spec.key)).limit(spec.forest_rows)
+    return train.orderBy(sample_order(spec), F.col(spec.key)).limit(spec.forest_rows)
+
+
+def around_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
+    """The rows of ``forest_sample`` and any others with the hash of its last one. That hash is found from the keys, and
+    the rows by a filter, so that no vectors need to be made of the rest."""
+    last = forest_sample(train.select(spec.key), spec).agg(F.max(sample_order(spec)).alias("hash")).first().hash
+    return train if last is None else train.where(sample_order(spec) <= last)
 
 
 def fit_forest(train: DataFrame, spec: ModelSpec) -> object:
@@ -416,7 +426,8 @@ def forest_importance(df: DataFrame, spec: ModelSpec | None = None) -> DataFrame
     """The importance table alone, without the other models."""
     spec = spec or ModelSpec()
     p = prepare_price_experiment(df, spec)
-    return feature_importance(df.sparkSession, p.features.names, fit_forest(p.ready, spec))
+    few = p.features.transform(around_sample(p.train, spec)).select(spec.key, "features", "label")
+    return feature_importance(df.sparkSession, p.features.names, fit_forest(few, spec))
 
 
 def score(predictions: DataFrame, actual: str, predicted: str, model: str) -> DataFrame:

@@ -373,3 +373,16 @@ def test_ridge_is_solved_in_a_few_passes(spark):
     expected = np.linalg.solve(xc.T @ xc + SPEC.alpha * np.eye(x.shape[1]), xc.T @ yc)
     assert np.allclose(model.coefficients.toArray(), expected, atol=1e-9) and 0 < jobs <= 6
     assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ expected)
+
+
+def test_the_importance_makes_vectors_of_the_sample_alone(spark, monkeypatch):
+    spec = replace(SPEC, forest_rows=40)
+    frame, fitted, ready = fitted_rows(spark, spec)
+    near = modelling.around_sample(frame, spec)
+    assert near.count() == 40 < frame.count()
+    few = fitted.transform(near).select("id", "features", "label")
+    assert modelling.fit_forest(few, spec).toDebugString.split("\n")[1:] == modelling.fit_forest(ready, spec).toDebugString.split("\n")[1:]
+    fit, seen = modelling.fit_forest, []
+    monkeypatch.setattr(modelling, "fit_forest", lambda train, spec: seen.append(train.count()) or fit(train, spec))
+    modelling.forest_importance(model_rows(spark), spec)
+    assert seen == [40]
