@@ -10,10 +10,13 @@ in the documents.
    documents are confirmed, and belong to the smallest document. Runs of them
    in that document are passages.
 4. Passages are dealt to shards of bounded size, and each document goes to the
-   shards that share an anchor with it. A task compiles an automaton of its
-   shard's phrases (one in every ``stride`` words of a passage, so that every
-   window holds one), streams its documents through it, and extends each hit
-   word by word: what is removed has been compared as text.
+   shards whose passages hold the core of one of its windows (all words but a
+   few, cut off by the place of the anchor), with the words of those windows
+   only. If passages of several shards hold a core, as around a passage that
+   very many documents have, the windows themselves tell which. A task compiles an automaton of its shard's phrases (one in every
+   ``stride`` words of a passage, so that every window holds one), streams its
+   documents' parts through it, and extends each hit word by word: what is
+   removed has been compared as text.
 """
 
 from __future__ import annotations
@@ -21,16 +24,17 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import groupby, islice, repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestay.llm.common import Memo, map_slices, ranges, stored, texts, words_of
+from lodestay.llm.common import map_slices, ranges, stored, texts, words_of
 
 #: Text of passages in one shard, about; an automaton of it takes some tens of megabytes.
 SHARD_BYTES = 1 << 20
@@ -42,6 +46,16 @@ MOST_PARTITIONS = 20_000
 HOT_SHARE = 2000
 #: Words of a passage in one piece. Neighbouring pieces share all words but one of a window.
 PIECE_WORDS = 2000
+#: Cores that the windows with one anchor have, at most, and one more: with more, cores are longer and less common.
+SLACKS = 6
+#: Windows in one row of ``cores``, at most.
+RUN_WINDOWS = 256
+#: Bytes of texts that go through an automaton together, about.
+TOGETHER_BYTES = 1 << 18
+#: Hits of one text, and places in passages that they stand for, compared at a time, about.
+HITS_AT_ONCE = 1 << 16
+#: Bytes of a word from which on its code comes from XXH64, one word at a time.
+LONG_WORD = 64
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -57,19 +71,58 @@ class PassageSpec:
     def stride(self) -> int:
         return self.window - self.phrase + 1
 
+    @property
+    def slack(self) -> int:
+        """Consecutive windows with one anchor that can have one core; a core has all words of a window but these
+        (and one)."""
+        return (self.stride + SLACKS - 1) // SLACKS
+
+
+def split_words(texts_: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, flat, as Arrow splits them at the six ASCII white spaces, and the number of each text."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts_.cast(pa.string()), "").cast(pa.large_string()))
+    words = split.flatten()
+    some = pc.not_equal(pc.binary_length(words), 0)  # ends of a text that begins or ends with white space
+    filled = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))]).astype(np.int64)
+    offsets = split.offsets.to_numpy()
+    return words.filter(some), np.diff(filled[offsets - offsets[0]])
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+#: A mask of the first k bytes of eight, little end first.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 
-@lru_cache(maxsize=1)
-def _word_codes() -> Memo:
-    def learn(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        codes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        return codes.view(np.int64), np.ones(len(words), np.int64)
-    return Memo(learn, dtype=np.int64)
+def word_codes(words: pa.LargeStringArray) -> np.ndarray:
+    """A 64-bit code of each word, from its length and its bytes, eight at a time for all words together."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    edges = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[edges[0]:edges[-1]]
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from each place on
+    starts, sizes = edges[:-1] - edges[0], np.diff(edges)
+    codes = _mixed(sizes.astype(np.uint64) * _BASES[0] ^ eights[starts] & _FIRST_BYTES[np.minimum(sizes, 8)])
+    done, more = 8, np.flatnonzero((sizes > 8) & (sizes < LONG_WORD))
+    while len(more):
+        next_ = eights[starts[more] + done] & _FIRST_BYTES[np.minimum(sizes[more] - done, 8)]
+        codes[more] = _mixed(codes[more] * _BASES[1] ^ next_)
+        done += 8
+        more = more[sizes[more] > done]
+    for k in np.flatnonzero(sizes >= LONG_WORD):
+        codes[k] = xxhash.xxh64_intdigest(data[starts[k]:starts[k] + sizes[k]].tobytes())
+    return codes
 
 
 def codes_of(texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit code of every word of all texts, flat, and the number of words of each."""
-    codes, lengths = _word_codes().of_words(texts_)
-    return codes.view(np.uint64), lengths
+    words, lengths = split_words(texts_)
+    return word_codes(words), lengths
 
 
 def gram_hashes(codes: np.ndarray, n: int, base: np.uint64 = _BASES[0]) -> np.ndarray:
@@ -91,9 +144,7 @@ def gram_hashes(codes: np.ndarray, n: int, base: np.uint64 = _BASES[0]) -> np.nd
         with np.errstate(over="ignore"):
             power = power * power
         width *= 2
-    out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(31))
+    return _mixed(out)
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -128,6 +179,27 @@ def anchor_places(phrases: np.ndarray, least: np.ndarray, spec: PassageSpec) ->
     return np.flatnonzero((most == phrases) & (most > 0))
 
 
+def window_runs(
+    codes: np.ndarray, phrases: np.ndarray, least: np.ndarray, at: np.ndarray, spec: PassageSpec,
+) -> tuple[np.ndarray, np.ndarray]:
+    """For the windows that begin at the places ``at``: which are the first of a run of consecutive windows with one
+    core, and the hashes of the runs' cores.
+
+    The first place of a window's anchor, modulo ``slack``, is how far behind the window's begin its core begins. That
+    depends on the window's words alone, so equal windows have equal cores.
+    """
+    places = anchor_places(phrases, least, spec)
+    k, others = np.searchsorted(places, at), np.arange(len(at))
+    while len(others):
+        others = others[phrases[places[k[others]]] != least[at[others]]]
+        k[others] += 1
+    begins = at + (places[k] - at) % spec.slack
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) > 1) | (np.diff(begins) != 0) | (at[1:] % RUN_WINDOWS == 0)
+    first = np.flatnonzero(new)
+    return first, gram_hashes(codes, spec.window - spec.slack + 1)[begins[first]].view(np.int64)
+
+
 def _lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
@@ -136,16 +208,20 @@ def _lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
 def sketch(docs: DataFrame, spec: PassageSpec) -> DataFrame:
     """doc_id, n_words, SHA-256 of the words joined by blanks, and the distinct anchors of the text."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes, lengths = codes_of(batch.column("text"))
-        phrases, least = window_anchors(codes, lengths, spec)
+        words, lengths = split_words(batch.column("text"))
+        phrases, least = window_anchors(word_codes(words), lengths, spec)
         at = anchor_places(phrases, least, spec)
-        doc = np.repeat(np.arange(len(lengths)), lengths)[at]
-        pairs = np.unique(np.stack([doc.astype(np.uint64), phrases[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.uint64)
-        counts = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(lengths))
+        doc, found = np.repeat(np.arange(len(lengths)), lengths)[at], phrases[at]
+        order = np.lexsort((found, doc))
+        doc, found = doc[order], found[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (found[1:] != found[:-1])
+        edges = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+        lines = pc.binary_join(pa.ListArray.from_arrays(edges, words), pa.scalar(" ", pa.large_string())).cast(pa.large_binary())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(lengths, pa.int64()),
-             pa.array([hashlib.sha256(b" ".join(words_of(t))).digest() for t in batch.column("text").to_pylist()], pa.binary()),
-             _lists(np.ascontiguousarray(pairs[:, 1]).view(np.int64), counts, pa.int64())],
+             pa.array([hashlib.sha256(line).digest() for line in lines.to_pylist()], pa.binary()),
+             _lists(found[new].view(np.int64), np.bincount(doc[new], minlength=len(lengths)), pa.int64())],
             ["doc_id", "n_words", "sha", "anchors"])
 
     return map_slices(docs, "text", "doc_id long, n_words long, sha binary, anchors array<long>", work)
@@ -192,33 +268,74 @@ def _with_anchor(least: np.ndarray, lengths: np.ndarray, hits: pa.Array) -> np.n
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def cores(texts_: DataFrame, spec: PassageSpec) -> DataFrame:
+    """(h, same, d, k, starts, windows): the core of a run of windows whose anchor is among the text's ``hits``, a hash
+    of the run, the text's doc_id and digest, the numbers of the first words of all such runs in the text, and the
+    first hash of each window."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codes, lengths = codes_of(batch.column("text"))
+        phrases, least = window_anchors(codes, lengths, spec)
+        some = _with_anchor(least, lengths, batch.column("hits"))
+        first, found = window_runs(codes, phrases, least, some, spec)
+        hashes = gram_hashes(codes, spec.window)[some]
+        n = np.diff(np.append(first, len(some)))
+        same = _mixed(hashes[first] * _BASES[0] ^ _mixed(hashes[first + n - 1] * _BASES[1] ^ n.astype(np.uint64))).view(np.int64)
+        ends = np.cumsum(lengths)
+        doc = np.searchsorted(ends, some[first], side="right")
+        starts = (some[first] - (ends - lengths)[doc]).astype(np.int32)
+        order = np.lexsort((starts, same, found, doc))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([np.diff(x[order]) != 0 for x in (same, found, doc)], axis=0)
+        one = order[new]
+        rows = pa.array(doc[one])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found[one]), pa.array(same[one]), batch.column("doc_id").take(rows), batch.column("sha").take(rows),
+             _lists(starts[order], np.diff(np.append(np.flatnonzero(new), len(order))), pa.int32()),
+             _lists(hashes[ranges(first[one], n[one])].view(np.int64), n[one], pa.int64())],
+            ["h", "same", "d", "k", "starts", "windows"])
+
+    return map_slices(
+        texts_, "text", "h long, same long, d long, k binary, starts array<int>, windows array<long>", work)
+
+
 def passages(owned: DataFrame, spec: PassageSpec) -> DataFrame:
-    """Runs of confirmed windows in their owner, in pieces: owner, its home, text, and the piece's own anchors.
+    """Runs of confirmed windows in their owner, in pieces: owner, its home, text, and of each run of windows
+    with one core the core and the first hashes of the windows.
 
     ``owned``: doc_id, home, text, and ``confirmed``, first hashes of the windows that belong to the document.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owners, homes, pieces, anchors = [], [], [], []
-        for owner, home, t, confirmed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "home", "text", "confirmed"))):
+        owners, homes, pieces, held, hashes, counts = [], [], [], [], [], []
+        all_codes, lengths = codes_of(batch.column("text"))
+        ends = np.cumsum(lengths)
+        for k, (owner, home, t) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "home", "text")))):
             words = words_of(t)
-            codes, _ = codes_of(pa.array([t], pa.binary()))
+            codes = all_codes[ends[k] - lengths[k]:ends[k]]
             found = gram_hashes(codes, spec.window).view(np.int64)
-            places = np.flatnonzero(np.isin(found, np.array(confirmed, np.int64)))
+            places = np.flatnonzero(np.isin(found, batch.column("confirmed")[k].values.to_numpy()))
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else []:
                 step = PIECE_WORDS - spec.window + 1
                 for a in range(int(run[0]), int(run[-1]) + 1, step):
                     b = min(a + PIECE_WORDS, int(run[-1]) + spec.window)
-                    phrases, least = window_anchors(codes[a:b], np.array([b - a]), spec)
                     owners.append(owner)
                     homes.append(home)
                     pieces.append(b" ".join(words[a:b]))
-                    anchors.append(np.unique(phrases[anchor_places(phrases, least, spec)]).view(np.int64))
-        flat = np.concatenate([*anchors, np.zeros(0, np.int64)])
+                    phrases, least = window_anchors(codes[a:b], np.array([b - a]), spec)
+                    size = b - a - spec.window + 1
+                    first, of_runs = window_runs(codes[a:b], phrases, least, np.arange(size), spec)
+                    held.append(of_runs)
+                    hashes.append(found[a:a + size])
+                    counts.append(np.diff(np.append(first, size)))
+        none, of_pieces = np.zeros(0, np.int64), np.array([len(x) for x in held], np.int64)
+        of_runs = _lists(np.concatenate([*hashes, none]), np.concatenate([*counts, none]), pa.int64())
+        edges = pa.array(np.concatenate([[0], np.cumsum(of_pieces)]), pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array(owners, pa.int64()), pa.array(homes, pa.int64()), pa.array(pieces, pa.binary()),
-             _lists(flat, np.array([len(x) for x in anchors], np.int64), pa.int64())], ["owner", "home", "text", "anchors"])
+             _lists(np.concatenate([*held, none]), of_pieces, pa.int64()), pa.ListArray.from_arrays(edges, of_runs)],
+            ["owner", "home", "text", "cores", "windows"])
 
-    return map_slices(owned, "text", "owner long, home long, text binary, anchors array<long>", work)
+    return map_slices(
+        owned, "text", "owner long, home long, text binary, cores array<long>, windows array<array<long>>", work)
 
 
 def sharded(pieces: DataFrame) -> DataFrame:
@@ -229,7 +346,47 @@ def sharded(pieces: DataFrame) -> DataFrame:
     parts = sizes.select(F.col("home").alias("of_home"), F.ceil(F.col("bytes") / SHARD_BYTES).alias("parts"))
     part = F.pmod(F.xxhash64("owner", "text"), F.col("parts"))
     return pieces.join(parts, F.col("home") == F.col("of_home")).select(
-        "owner", "text", "anchors", F.pmod(F.xxhash64("home", part), F.lit(n_shards)).alias("shard"))
+        "owner", "text", "cores", "windows", F.pmod(F.xxhash64("home", part), F.lit(n_shards)).alias("shard"))
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, at: str) -> DataFrame:
+    """``rows`` joined with ``table`` where ``key`` equals ``at``. Keys of more than one in ``HOT_SHARE`` of all rows
+    are few, and theirs is broadcast."""
+    bound = rows.count() // HOT_SHARE
+    hot = F.broadcast(rows.groupBy(key).agg(F.count("*").alias("n_")).where(F.col("n_") > max(bound, 1)).select(
+        F.col(key).alias("hot_")))
+    same = F.col(key) == F.col(at)
+    of_hot = table.join(hot, F.col(at) == F.col("hot_"), "left_semi")
+    cold = rows.join(hot, F.col(key) == F.col("hot_"), "left_anti").join(table, same)
+    return rows.join(F.broadcast(of_hot), same).union(cold)
+
+
+def routed(runs: DataFrame, pieces: DataFrame, spec: PassageSpec) -> DataFrame:
+    """(d, k, shard, ranges): the shards with a passage of a smaller document that a text's windows can be in, and where
+    the words of those windows begin and end. ``runs``: of ``cores``."""
+    in_shard = pieces.select("shard", "owner", F.explode("cores").alias("r"))
+    of_core = stored(in_shard.groupBy("r").agg(
+        F.min("owner").alias("owner"), F.min("shard").alias("s"), F.max("shard").alias("t")), "of_core")
+    several = F.col("s") != F.col("t")
+    met = stored(looked_up(runs, "h", of_core, "r").where(F.col("owner") < F.col("d")).select(
+        "d", "k", "h", "same", "starts", F.size("windows").alias("size"), "s", "t",
+        F.when(several, F.col("windows")).alias("windows")), "met")
+    in_one = met.where(~several).select("d", "k", F.col("s").alias("shard"), F.transform("starts", lambda x: F.struct(
+        x.alias("a"), (x + F.col("size") + spec.window - 1).alias("b"))).alias("ranges"))
+    # cores in several shards: by the windows of each different run, each of which has one owner
+    common = of_core.where(several).select(F.col("r").alias("c"))
+    of_window = stored(pieces.select("shard", "owner", F.explode(F.arrays_zip("cores", "windows")).alias("x")).join(
+        common, F.col("x.cores") == F.col("c"), "left_semi").select("shard", "owner", F.explode("x.windows").alias("v")).groupBy(
+        "v", "shard").agg(F.min("owner").alias("of")), "of_window")
+    met_several = met.where(several)
+    single = stored(met_several.groupBy("h", "same").agg(F.first("windows").alias("windows")).select(
+        "h", "same", F.posexplode("windows").alias("n", "w")), "single")
+    places = stored(looked_up(single, "w", of_window, "v").groupBy(F.col("h").alias("h2"), F.col("same").alias("same2"), "shard").agg(
+        F.min("of").alias("of"), F.min("n").alias("low"), F.max("n").alias("high")), "places")
+    in_several = looked_up(met_several, "same", places, "same2").where(
+        (F.col("h") == F.col("h2")) & (F.col("of") < F.col("d"))).select("d", "k", "shard", F.transform("starts", lambda x: F.struct(
+            (x + F.col("low")).alias("a"), (x + F.col("high") + spec.window).alias("b"))).alias("ranges"))
+    return in_one.union(in_several).groupBy("d", "k", "shard").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 class Automaton:
@@ -237,58 +394,131 @@ class Automaton:
 
     def __init__(self, found: list[tuple[int, bytes]], spec: PassageSpec):
         self.spec = spec
-        self.passages = [(owner, text.split()) for owner, text in found]
-        at: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, words) in enumerate(self.passages):
+        self.reach = spec.stride - 1  # a window that holds a hit goes no more words beyond it
+        self.numbers: dict[bytes, int] = {}
+        at: dict[str, list[int]] = {}
+        numbers, owners = [], []
+        for owner, text in found:
+            words, begin = text.split(), len(numbers) + self.reach
+            numbers += [-2] * self.reach  # equal to no word of a text
+            numbers += [self.numbers.setdefault(w, len(self.numbers)) for w in words]
+            owners += [owner] * (len(numbers) - len(owners))
             for offset in range(0, len(words) - spec.phrase + 1, spec.stride):
                 phrase = b" ".join(words[offset:offset + spec.phrase]).decode()
-                at.setdefault(f" {phrase} ", []).append((k, offset))
+                at.setdefault(f" {phrase} ", []).append(begin + offset)
+        self.passages = np.array(numbers + [-2] * self.reach, np.int32)
+        self.counts = np.array([len(where) for where in at.values()], np.int64)
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.places = np.array([place for where in at.values() for place in where], np.int64)
+        self.owners = np.array(owners, np.int64)[self.places] if at else np.zeros(0, np.int64)
         self.automaton = ahocorasick.Automaton()
-        for phrase, where in at.items():
-            self.automaton.add_word(phrase, where)
+        for k, phrase in enumerate(at):
+            self.automaton.add_word(phrase, k)
         self.any = bool(at)
         if self.any:
             self.automaton.make_automaton()
 
-    def spans(self, doc_id: int, text: bytes) -> list[tuple[int, int]]:
-        """Spans of words of ``text`` that a window or more of a smaller document's passage covers."""
-        if not self.any:
-            return []
-        line, words = f" {text.decode()} ", text.split()
+    def spans(self, doc_ids: list[int], texts_: list[bytes]) -> list[list[int]]:
+        """For each text, words joined by a blank, begin and end of each span of words that windows of smaller
+        documents' passages cover."""
+        out: list[list[int]] = [[] for _ in texts_]
+        joined = b" \n ".join(texts_)  # no word of a text has a line break
+        line = f" {joined.decode()} "
+        hits = self.automaton.iter(line) if self.any else iter(())
+        part = list(islice(hits, HITS_AT_ONCE))
+        if not part:
+            return out
         ends = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)  # the blank after word k is k + 1
-        out: list[tuple[int, int]] = []
-        done: dict[tuple[int, int], int] = {}  # for a passage and a shift, up to where it has been compared
-        size = self.spec.phrase
-        for end, where in self.automaton.iter(line):
-            start = int(np.searchsorted(ends, end)) - size
-            for k, offset in where:
-                owner, passage = self.passages[k]
-                if owner >= doc_id or done.get((k, start - offset), -1) >= start + size:
-                    continue
-                a, p = start, offset
-                while a > 0 and p > 0 and words[a - 1] == passage[p - 1]:
-                    a, p = a - 1, p - 1
-                b, p = start + size, offset + size
-                while b < len(words) and p < len(passage) and words[b] == passage[p]:
-                    b, p = b + 1, p + 1
-                done[k, start - offset] = b
-                if b - a >= self.spec.window:
-                    out.append((a, b))
+        words = joined.split(b" ")
+        begins = np.cumsum([0, *(text.count(b" ") + 2 for text in texts_)])
+        ids = np.repeat(np.array(doc_ids, np.int64), np.diff(begins))
+        codes = np.full(len(words) + 2 * self.reach, -1, np.int32)
+        codes[self.reach:self.reach + len(words)] = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int32, len(words))
+        gone = np.zeros(len(words), bool)
+        while part:
+            end, phrase = np.array(part, np.int64).T
+            start = np.searchsorted(ends, end) - self.spec.phrase
+            turn = np.cumsum(self.counts[phrase]) // HITS_AT_ONCE
+            cuts = np.flatnonzero(np.diff(turn)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(part)]):
+                low, high = max(start[a] - self.reach, 0), start[b - 1] + self.spec.phrase + self.reach
+                self._mark(gone[low:high], codes[low:high + 2 * self.reach], start[a:b] - low, phrase[a:b], ids[start[a:b]])
+            part = list(islice(hits, HITS_AT_ONCE))
+        edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2)
+        which = np.searchsorted(begins, edges[:, 0], side="right") - 1
+        for k, (a, b) in zip(which.tolist(), (edges - begins[which][:, None]).tolist()):
+            out[k] += (a, b)
         return out
 
+    def _mark(self, gone: np.ndarray, codes: np.ndarray, start: np.ndarray, phrase: np.ndarray, ids: np.ndarray) -> None:
+        """Mark the words of the windows that hold one of the hits and are a passage's too, compared word by word.
+        ``codes`` has ``reach`` more words on both sides than ``gone``."""
+        size, reach = self.spec.phrase, self.reach
+        # every window holds a hit of its own, so one whose windows are gone to the last word finds nothing new
+        before = np.concatenate([[0], np.cumsum(gone)])
+        low, high = np.maximum(start - reach, 0), np.minimum(start + size + reach, len(gone))
+        new = before[high] - before[low] < high - low
+        start, phrase, ids = start[new], phrase[new], ids[new]
+        which = ranges(self.begins[phrase], self.counts[phrase])
+        start = np.repeat(start, self.counts[phrase])
+        smaller = self.owners[which] < np.repeat(ids, self.counts[phrase])
+        place, start = self.places[which[smaller]], start[smaller]
+        half = (reach + 1) // 2  # a window goes so far beyond the hit on one side at least
+        if half:
+            far = (codes[start + reach - half] == self.passages[place - half]) | (
+                codes[start + reach + size + half - 1] == self.passages[place + size + half - 1])
+            place, start = place[far], start[far]
+        beside, at_once = np.arange(reach), 1 + HITS_AT_ONCE // self.spec.window
+        for k in range(0, len(start), at_once):
+            some = slice(k, k + at_once)
+            left, right = (
+                np.logical_and.accumulate(
+                    codes[start[some, None] + reach + step] == self.passages[place[some, None] + step], axis=1).sum(axis=1)
+                for step in (-1 - beside, size + beside))
+            whole = left + size + right >= self.spec.window
+            edges = np.bincount(start[some][whole] - left[whole], minlength=len(gone) + 1)
+            edges -= np.bincount(start[some][whole] + size + right[whole], minlength=len(gone) + 1)
+            gone |= np.cumsum(edges)[:-1] > 0
+
+
+def parts(texts_: DataFrame, dealt: DataFrame) -> DataFrame:
+    """(shard, task, kind, doc_id, sha, first, text): what ``dealt`` (d, k, shard, task, ranges) sends of each text to
+    a task, and the number of the part's first word."""
+    sent = dealt.groupBy("d", "k").agg(F.collect_list(F.struct("shard", "task", "ranges")).alias("sent"))
+    joined = texts_.join(sent, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select("doc_id", "sha", "text", "sent")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for doc_id, sha, text, sent in zip(*(c.to_pylist() for c in batch.columns)):
+            words = text.split()
+            for to in sent:
+                gone_to = np.array([(r["a"], r["b"]) for r in to["ranges"]], np.int64)
+                gone_to = gone_to[np.argsort(gone_to[:, 0], kind="stable")]
+                upto = np.maximum.accumulate(gone_to[:, 1])
+                cuts = np.flatnonzero(gone_to[1:, 0] > upto[:-1]) + 1
+                for a, b in zip(gone_to[[0, *cuts], 0].tolist(), upto[[*(cuts - 1), -1]].tolist()):
+                    out.append((to["shard"], to["task"], doc_id, sha, a, b" ".join(words[a:b])))
+        columns = list(zip(*out)) or [()] * 6
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds)], ["shard", "task", "doc_id", "sha", "first", "text"])
+
+    found = map_slices(joined, "text", "shard long, task int, doc_id long, sha binary, first int, text binary", work)
+    return found.select("shard", "task", F.lit(1).alias("kind"), "doc_id", "sha", "first", "text")
+
 
 def located(texts_: DataFrame, routes: DataFrame, pieces: DataFrame, spec: PassageSpec) -> DataFrame:
-    """(doc_id, sha, spans): documents streamed through the automata of the shards that ``routes`` names (d, k, shard)."""
+    """(doc_id, sha, spans): documents whose parts are streamed through the automata of the shards that ``routes`` names
+    (d, k, shard, and the parts as ``ranges`` of words)."""
     tasks = routes.groupBy("shard").agg(F.ceil(F.count("*") / DOCS_PER_TASK).cast("int").alias("n")).select(
         F.col("shard").alias("s"), "n")
     none = F.lit(None)
     of_pieces = pieces.join(tasks, F.col("shard") == F.col("s")).select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("task"), F.lit(0).alias("kind"),
-        F.col("owner").alias("doc_id"), none.cast("binary").alias("sha"), "text")
+        F.col("owner").alias("doc_id"), none.cast("binary").alias("sha"), F.lit(0).alias("first"), "text")
     dealt = routes.join(tasks, F.col("shard") == F.col("s")).select(
-        "d", "k", "shard", F.pmod(F.xxhash64("d", "k"), F.col("n")).cast("int").alias("task"))
-    of_docs = texts_.join(dealt, (F.col("doc_id") == F.col("d")) & (F.col("sha") == F.col("k"))).select(
-        "shard", "task", F.lit(1).alias("kind"), "doc_id", "sha", "text")
+        "d", "k", "shard", F.pmod(F.xxhash64("d", "k"), F.col("n")).cast("int").alias("task"), "ranges")
+    of_docs = parts(texts_, dealt)
     # twice as many partitions as tasks, so that few tasks share one
     n_tasks = tasks.agg(F.sum("n")).first()[0] or 0
     n_parts = max(int(texts_.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * n_tasks, MOST_PARTITIONS))
@@ -298,18 +528,21 @@ def located(texts_: DataFrame, routes: DataFrame, pieces: DataFrame, spec: Passa
         now, found, automaton = None, [], None
         for batch in batches:
             ids, shas, spans = [], [], []
-            for shard, task, kind, doc_id, sha, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for (shard, task, kind), rows in groupby(zip(*(c.to_pylist() for c in batch.columns)), lambda row: row[:3]):
+                _, _, _, doc_ids, digests, firsts, parts_ = zip(*rows)
                 if (shard, task) != now:
                     now, found, automaton = (shard, task), [], None
                 if kind == 0:
-                    found.append((doc_id, text))
+                    found += zip(doc_ids, parts_)
                     continue
                 automaton = automaton or Automaton(found, spec)
-                hit = automaton.spans(doc_id, text)
-                if hit:
-                    ids.append(doc_id)
-                    shas.append(sha)
-                    spans.append([x for span in hit for x in span])
+                cuts = np.flatnonzero(np.diff(np.cumsum([len(x) for x in parts_]) // TOGETHER_BYTES)) + 1
+                for a, b in zip([0, *cuts], [*cuts, len(parts_)]):
+                    for k, hit in enumerate(automaton.spans(doc_ids[a:b], parts_[a:b]), a):
+                        if hit:
+                            ids.append(doc_ids[k])
+                            shas.append(digests[k])
+                            spans.append([firsts[k] + x for x in hit])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(shas, pa.binary()), pa.array(spans, pa.list_(pa.int32()))],
                 ["doc_id", "sha", "spans"])
@@ -385,10 +618,7 @@ def repeated_passages(
     found = texts_.join(owned, F.col("doc_id") == F.col("owner")).select("doc_id", "home", "text", "confirmed")
     pieces = stored(sharded(stored(passages(found, spec), "passages")), "shards")
 
-    in_shard = pieces.select("shard", "owner", F.explode("anchors").alias("r")).groupBy("shard", "r").agg(F.min("owner").alias("owner"))
-    routes = stored(texts_.select("doc_id", "sha", F.explode("hits").alias("h")).join(
-        in_shard, (F.col("h") == F.col("r")) & (F.col("owner") < F.col("doc_id"))).select(
-        F.col("doc_id").alias("d"), F.col("sha").alias("k"), "shard").distinct(), "routes")
+    routes = stored(routed(stored(cores(texts_, spec), "cores"), pieces, spec), "routes")
 
     slim_texts = texts_.select("doc_id", "sha", "text")
     spans = located(slim_texts, routes, pieces, spec).groupBy("doc_id", "sha").agg(

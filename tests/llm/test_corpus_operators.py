@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -201,6 +202,59 @@ def test_passages_of_an_empty_table(spark):
     assert substrings.without_repeated_passages(docs).count() == 0
 
 
+def test_texts_go_only_where_their_windows_are(spark, monkeypatch):
+    """Pairs of texts with a passage of their own, around one that all have: a text meets the pieces of the first text
+    and those of its pair, not those of all pairs."""
+    monkeypatch.setattr(substrings, "SHARD_BYTES", 300)
+    rng = random.Random(7)
+    common = [f"c{k}" for k in range(20)]
+    rows = []
+    for pair in range(40):
+        own = [[f"p{pair}x{rng.randrange(10 ** 6)}" for _ in range(15)] for _ in range(2)]
+        rows += [(2 * pair + half, " ".join([*own[0], *common, *own[1], f"end{half}"])) for half in range(2)]
+    sent, located = [], substrings.located
+
+    def spy(texts_, routes, pieces, spec):
+        sent.append((routes.count(), pieces.select("shard").distinct().count()))
+        return located(texts_, routes, pieces, spec)
+
+    monkeypatch.setattr(substrings, "located", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.repeated_passages(docs, substrings.PassageSpec(window=12, phrase=5))
+    assert sorted((tuple(r)[:4] for r in got.collect()), key=str) == brute_passages(rows, 12)
+    [(routes, shards)] = sent
+    assert shards > 10 and routes <= 4 * len(rows)
+
+
+def test_spans_in_small_portions(monkeypatch):
+    rng = random.Random(3)
+    spec = substrings.PassageSpec(window=9, phrase=4)
+    passages = [(rng.randrange(20), " ".join(rng.choice(["a", "b", "é", "long" * 20]) for _ in range(rng.randint(9, 40))).encode())
+                for _ in range(30)]
+    texts = [(rng.randrange(25), b" ".join(rng.choice(passages)[1][:rng.randint(1, 60)].decode(errors="ignore").strip().encode() or b"x"
+                                           for _ in range(rng.randint(1, 4)))) for _ in range(60)]
+    want = []
+    for i, text in texts:
+        words, gone = text.split(), set()
+        held = {tuple(p.split()[k:k + 9]) for owner, p in passages if owner < i for k in range(len(p.split()) - 8)}
+        for k in range(len(words) - 8):
+            gone |= set(range(k, k + 9)) if tuple(words[k:k + 9]) in held else set()
+        want.append(gone)
+    assert any(want)
+    automaton = substrings.Automaton(passages, spec)
+    for portion in (1, 7, 1 << 16):
+        monkeypatch.setattr(substrings, "HITS_AT_ONCE", portion)
+        got = automaton.spans([i for i, _ in texts], [t for _, t in texts])
+        assert [{w for a, b in zip(x[::2], x[1::2]) for w in range(a, b)} for x in got] == want
+
+
+def test_word_codes():
+    words = [b"a", b"a\0", b"\0", b"abcdefgh", b"abcdefghi", b"h" * 63, b"h" * 64, b"h" * 65, "é中".encode(), b"h" * 200]
+    flat, lengths = substrings.codes_of(pa.array([b" ".join(words), None, b" ", b"\n ".join(words[::-1]) + b"\t"], pa.binary()))
+    assert lengths.tolist() == [10, 0, 0, 10] and len(set(flat.tolist())) == 10
+    assert flat[:10].tolist() == flat[:9:-1].tolist()
+
+
 def test_text_without_passages(spark):
     words = [f"w{k}" for k in range(60)]
     rows = [(1, "  " + "  ".join(words)), (2, "x " + " ".join(words) + " y"), (3, " ".join(words)), (4, "few\n\nwords")]
