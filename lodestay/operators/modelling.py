@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -11,11 +12,12 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestay.functions.numeric import rounded
+from lodestay.operators.forest import Forest, grow_forest
 from lodestay.operators.ordering import exact_quantiles
 from lodestay.operators.summaries import at_or_below_quantile
 from lodestay.session import durable, written
@@ -28,6 +30,8 @@ RARE_CATEGORY = "__rare__"
 NORMAL_EQUATIONS = 4096  # features up to which Spark solves them
 SCORED_VALUES = 1 << 17  # of the rows that walk down a tree together
 SCORED_WIDTH = 1024  # features of the vectors that are sent to Python in batches
+SCORED_NODES = 1 << 17  # of a forest that is sent to all tasks; a larger one scores where its trees are
+ALL_ROWS = sys.maxsize
 LOOKUP_BYTES = 8 << 20  # of a category table that is sent to all tasks
 
 # The default target, features and the columns that would leak the target.
@@ -61,7 +65,7 @@ class ModelSpec:
     depth: int = 18
     minimum_leaf: int = 3
     max_bins: int = 64  # values a continuous feature is cut into by the forest
-    forest_rows: int = 2_000  # labelled rows the forest is grown on, a sample by key hash; all else uses all rows
+    forest_rows: int = ALL_ROWS  # labelled rows the forest is grown on: all, unless a caller wants a sample by key hash
     histogram_mb: int = 512  # node statistics a task gathers in one pass of the forest
     ridge_iterations: int = 1000  # of the iterative solver; an error if it has not converged by then
     ridge_tolerance: float = 1e-10
@@ -261,26 +265,26 @@ def sample_order(spec: ModelSpec) -> Column:
 
 
 def forest_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
-    """The ``forest_rows`` training rows with the smallest key hashes: the same whatever the partitions."""
+    """All training rows, or the ``forest_rows`` with the smallest key hashes: the same whatever the partitions."""
+    if spec.forest_rows >= ALL_ROWS:
+        return train
     return train.orderBy(sample_order(spec), F.col(spec.key)).limit(spec.forest_rows)
 
 
 def around_sample(train: DataFrame, spec: ModelSpec) -> DataFrame:
     """The rows of ``forest_sample`` and any others with the hash of its last one. That hash is found from the keys, and
     the rows by a filter, so that no vectors need to be made of the rest."""
+    if spec.forest_rows >= ALL_ROWS:
+        return train
     last = forest_sample(train.select(spec.key), spec).agg(F.max(sample_order(spec)).alias("hash")).first().hash
     return train if last is None else train.where(sample_order(spec) <= last)
 
 
-def fit_forest(train: DataFrame, spec: ModelSpec) -> object:
-    """A forest on ``forest_sample``. The rows are few and the node statistics many, so that these, gathered in every
-    task that holds rows, are kept to few tasks; row to node assignments are cached and checkpointed."""
-    few = durable(forest_sample(train, spec).select("features", "label").repartition(max(1, spec.forest_rows // 1000)))
-    return RandomForestRegressor(
-        featuresCol="features", labelCol="label", numTrees=spec.trees, maxDepth=spec.depth,
-        minInstancesPerNode=spec.minimum_leaf, maxBins=spec.max_bins, featureSubsetStrategy="all", seed=spec.seed,
-        maxMemoryInMB=spec.histogram_mb, cacheNodeIds=True, checkpointInterval=10,
-    ).fit(few)
+def fit_forest(train: DataFrame, spec: ModelSpec) -> Forest:
+    """A forest on ``forest_sample``, which is all rows by default, with cuts from the values of all these rows."""
+    rows = forest_sample(train, spec)
+    return grow_forest(
+        rows, sample_order(spec), spec.trees, spec.depth, spec.minimum_leaf, spec.max_bins, spec.histogram_mb)
 
 
 _NODE = re.compile(r"(?:If \(feature (\d+) (?:<= (\S+)|in \{([^}]*)\})\)|Predict: (\S+))$")
@@ -313,12 +317,13 @@ def listed_tree(text: str) -> tuple[np.ndarray, ...] | None:
 
 
 def forest_scores(forest) -> Callable[[Column], Column] | None:
-    """The forest's prediction as a function of a feature vector, the same doubles as its own.
+    """The prediction of a small forest as a function of a feature vector, the same doubles as its own.
 
-    Spark walks all trees for one row after another, each step a jump to another part of memory. Here a batch of rows
-    walks down one tree at a time. None if the forest has splits that ``listed_tree`` does not
+    A batch of rows walks down one tree at a time. None if the forest is large, has splits that ``listed_tree`` does not
     hold, or so many features that a batch of dense vectors is large.
     """
+    if forest.nodes > SCORED_NODES:
+        return None
     trees, width = [listed_tree(t.toDebugString) for t in forest.trees], forest.numFeatures
     if width > SCORED_WIDTH or any(t is None for t in trees):
         return None
@@ -394,8 +399,7 @@ def prepare_price_experiment(df: DataFrame, spec: ModelSpec) -> Prepared:
 def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceExperiment:
     """Split, fit the three models on log1p(target), score all test rows on the original scale.
 
-    Medians, deviations, categories, the ridge model and the baseline come from all training rows, the forest from
-    a documented sample (``ModelSpec.forest_rows``).
+    Medians, deviations, categories, the models and the baseline come from all training rows.
     """
     spec = spec or ModelSpec()
     p = prepare_price_experiment(df, spec)
@@ -404,6 +408,7 @@ def run_price_experiment(df: DataFrame, spec: ModelSpec | None = None) -> PriceE
     ridge, forest = solve_ridge(ready, spec, len(p.features.names)), fit_forest(ready, spec)
     ready.unpersist()
     scored = ridge.setPredictionCol("__ridge").transform(p.features.transform(p.test))
+    scored = scored.select(spec.key, spec.target, "features", "__ridge")
     scores = forest_scores(forest)
     scored = scored.withColumn("__forest", scores(F.col("features"))) if scores else forest.setPredictionCol("__forest").transform(scored)
     predictions = scored.select(
@@ -426,8 +431,10 @@ def forest_importance(df: DataFrame, spec: ModelSpec | None = None) -> DataFrame
     """The importance table alone, without the other models."""
     spec = spec or ModelSpec()
     p = prepare_price_experiment(df, spec)
-    few = p.features.transform(around_sample(p.train, spec)).select(spec.key, "features", "label")
-    return feature_importance(df.sparkSession, p.features.names, fit_forest(few, spec))
+    rows = p.features.transform(around_sample(p.train, spec)).select(spec.key, "features", "label").persist()
+    forest = fit_forest(rows, spec)
+    rows.unpersist()
+    return feature_importance(df.sparkSession, p.features.names, forest)
 
 
 def score(predictions: DataFrame, actual: str, predicted: str, model: str) -> DataFrame:

@@ -69,6 +69,11 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[st
     return known.groupBy(*by, _V).agg(*aggs)
 
 
+def value_sums(df: DataFrame, by: Sequence[str], value: str, rows: str) -> DataFrame:
+    """``value_counts`` of values that come with a number of ``rows`` each."""
+    return df.groupBy(*by, F.col(value).alias(_V)).agg(F.sum(rows).alias(_N))
+
+
 def all_read(counts: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """``counts`` as every branch over it has to begin.
 
@@ -93,6 +98,15 @@ def _holds(position: str, start: str, count: str) -> str:
     return f"({position} >= {start} AND {position} < {start} + {count})"
 
 
+def _any_holds(probabilities: Sequence[float], ends: int = 2) -> str:
+    """Whether a value holds one of the positions of the quantiles (the lower ones only, with one end)."""
+    if len(probabilities) * ends <= 64:
+        return " OR ".join(_holds(at, "__before", _N) for p in probabilities for at in _wanted(p)[:ends])
+    at = [f"{end}(CAST(__total - 1 AS DOUBLE) * p)" for end in ("floor", "ceil")[:ends]]
+    listed = ", ".join(f"{float(p)!r}D" for p in probabilities)  # a chain of as many conditions does not compile
+    return f"exists(array({listed}), p -> {' OR '.join(_holds(x, '__before', _N) for x in at)})"
+
+
 def _running(keys: Sequence[str]) -> tuple[Window, Window]:
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     return whole, whole.orderBy(_P).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -101,7 +115,7 @@ def _running(keys: Sequence[str]) -> tuple[Window, Window]:
 def selected(values: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """The values of each group that hold a position of one of the quantiles, with rows before and rows in all."""
     held, keys = None, list(keys)
-    wanted = " OR ".join(_holds(at, "__before", _N) for p in probabilities for at in _wanted(p))
+    wanted = _any_holds(probabilities)
     for level in range(1, len(LEVELS) + 1):
         figures = [F.sum(_N).alias(_N), F.max(_V).alias(_V)]  # at the last level one value
         if held is None:
@@ -194,6 +208,11 @@ def quantiles_of_counts(
     return _interpolated(held, by, {k: (None, p) for k, p in wanted.items()})
 
 
+def quantile_values(counts: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(by, value): the values that hold the lower position of each quantile, from ``value_counts``."""
+    return selected(counted(counts), by, probabilities).where(_any_holds(probabilities, 1)).select(*by, F.col(_V).alias("value"))
+
+
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],
