@@ -265,12 +265,38 @@ def _sorted(node, lines, size) -> tuple[np.ndarray, np.ndarray]:
     return keys >> shift, keys & ((1 << shift) - 1)
 
 
-def _best_splits(codes, slots, node, weight, product, node_weight, node_total, layout: Layout, minimum: int) -> _Best:
+class _Smaller:
+    """Figures of the children of split nodes: those of the smaller ones from their rows, the others are what is left of
+    the parent's."""
+
+    def __init__(self, figures, rows, parents, parent, small):
+        self.figures, self.rows = figures, rows  # by column, of all nodes of the level above; of the smaller children
+        self.parents, self.parent, self.small = parents, parent, small[:, None]  # split nodes; number and side of the children
+
+    def of(self, c: int, size: int) -> tuple[np.ndarray, np.ndarray] | None:
+        if self.figures[c] is None:
+            return None
+        codes, slots, node, weight, product = self.rows
+        own = _sums(node, [codes[c]] if c < len(codes) else slots, size, len(self.parents), weight, product)
+        return tuple(
+            np.where(self.small, mine[self.parent], whole[self.parents[self.parent]] - mine[self.parent])
+            for mine, whole in zip(own, self.figures[c]))
+
+
+def _best_splits(codes, slots, node, weight, product, node_weight, node_total, layout: Layout, minimum: int,
+                 known: _Smaller | None) -> tuple[_Best, list]:
+    """The best splits, and the figures by node and code where they were made."""
     best, k, n = _Best(node_weight, node_total, minimum), len(node_weight), len(node)
     before, before_total = np.cumsum(node_weight) - node_weight, np.cumsum(node_total) - node_total
+    figures: list = [None] * (len(codes) + 1)
+
+    def made(c, lines, size):
+        figures[c] = known and known.of(c, size) or _sums(node, lines, size, k, weight, product)
+        return figures[c]
+
     for c, size in enumerate(layout.bins):
         if k * size <= n:
-            best.offer_number(c, *_sums(node, [codes[c]], size, k, weight, product))
+            best.offer_number(c, *made(c, [codes[c]], size))
             continue
         keys, rows = _sorted(node, [codes[c]], size)  # few rows a node: their codes in order instead of all codes
         ends = np.flatnonzero(keys[1:] != keys[:-1])
@@ -281,7 +307,7 @@ def _best_splits(codes, slots, node, weight, product, node_weight, node_total, l
     if len(slots):
         size, m = len(layout.flags) + 1, len(layout.numbers)
         if k * size <= slots.size:
-            counts, sums = _sums(node, slots, size, k, weight, product)
+            counts, sums = made(m, slots, size)
             best.offer_flags(m, counts[:, :-1], sums[:, :-1])
         else:
             keys, rows = _sorted(node, slots, size)
@@ -289,10 +315,18 @@ def _best_splits(codes, slots, node, weight, product, node_weight, node_total, l
             at = keys[ends]
             nodes, flag = at // size, at % size
             right, right_total = (np.diff(np.cumsum(x[rows])[ends], prepend=0.0) for x in (weight, product))
-            known = flag < size - 1
-            nodes = nodes[known]
-            best.offer_runs(nodes, m + flag[known], 0, node_weight[nodes] - right[known], node_total[nodes] - right_total[known])
-    return best
+            some = flag < size - 1
+            nodes = nodes[some]
+            best.offer_runs(nodes, m + flag[some], 0, node_weight[nodes] - right[some], node_total[nodes] - right_total[some])
+    return best, figures
+
+
+def _taken(lines: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``lines[:, rows]``, a line at a time, which is faster."""
+    out = np.empty((len(lines), len(rows)), lines.dtype)
+    for line, to in zip(lines, out):
+        np.take(line, rows, out=to, mode="clip")
+    return out
 
 
 class _Grower:
@@ -318,8 +352,8 @@ class _Grower:
         return (weight >= 2 * self.minimum) if level < self.depth else np.zeros(len(weight), bool)
 
     def _levels(self, codes, slots, node, weight, product, node_weight, node_total, level) -> None:
-        """``node`` numbers the nodes that can be split, and rows of others are left out."""
-        m = len(self.layout.numbers)
+        """``node`` numbers the nodes that can be split; rows of others are left out or have no weight."""
+        m, known = len(self.layout.numbers), None
         while len(node_weight):
             open_ = np.flatnonzero(self._open(node_weight, level))
             if len(node) > 2 * UNIT_ROWS and len(open_) > 8:
@@ -328,14 +362,15 @@ class _Grower:
                     order = _sorted(np.zeros(len(node), np.int64), [node], 0)[1]
                     for rows, first, (a, b) in units:
                         mine = order[rows]
-                        self._levels(codes[:, mine], slots[:, mine], node[mine] - first, weight[mine], product[mine],
+                        self._levels(_taken(codes, mine), _taken(slots, mine), node[mine] - first, weight[mine], product[mine],
                                      node_weight[a:b], node_total[a:b], level)
                     return
             column, cut = np.full(len(node_weight), -1, np.int32), np.zeros(len(node_weight), np.uint16)
             if not len(open_):
                 self.levels[level].append((column, cut, node_total / node_weight))
                 return
-            best = _best_splits(codes, slots, node, weight, product, node_weight[open_], node_total[open_], self.layout, self.minimum)
+            best, figures = _best_splits(
+                codes, slots, node, weight, product, node_weight[open_], node_total[open_], self.layout, self.minimum, known)
             split = best.score > 0
             at = open_[split]
             column[at], cut[at] = best.column[split], best.cut[split]
@@ -353,7 +388,8 @@ class _Grower:
                 for line in slots:
                     hit |= line == wanted
                 goes = np.where(by_flag[node], hit, goes)
-            child = 2 * (np.cumsum(split) - 1)[node] + goes
+            rank = (np.cumsum(split) - 1)[node]
+            child = 2 * rank + goes
             left, left_total = best.left[split], best.left_total[split]
             node_weight = np.stack([left, node_weight[at] - left], 1).ravel()
             node_total = np.stack([left_total, node_total[at] - left_total], 1).ravel()
@@ -361,13 +397,23 @@ class _Grower:
             if not len(node_weight):
                 return
             next_open = self._open(node_weight, level)
-            keep = split[node] & next_open[child]
+            goes_on = split[node]
+            keep = goes_on & next_open[child]
+            known = None
+            if any(f is not None for f in figures):
+                small_left, both = left <= best.weight[split] - left, next_open.reshape(-1, 2).any(1)
+                mine = np.flatnonzero(goes_on & both[rank] & (goes != small_left[rank]))
+                children = np.flatnonzero(next_open)
+                known = _Smaller(
+                    figures, (_taken(codes, mine), _taken(slots, mine), rank[mine], weight[mine], product[mine]), np.flatnonzero(split),
+                    children // 2, (children % 2 == 0) == small_left[children // 2])
             child = (np.cumsum(next_open) - 1)[child]
-            if keep.all():
-                node = child
+            if keep.mean() > 0.8:  # a few rows of nodes that are done stay, without weight
+                node, weight, product = np.where(keep, child, 0), weight * keep, product * keep
             else:
-                node, weight, product = child[keep], weight[keep], product[keep]
-                codes, slots = codes[:, keep], slots[:, keep]
+                rows = np.flatnonzero(keep)
+                node, weight, product = child[rows], weight[rows], product[rows]
+                codes, slots = _taken(codes, rows), _taken(slots, rows)
 
     @staticmethod
     def _units(node, open_, k) -> list:
