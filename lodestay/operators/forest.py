@@ -7,7 +7,8 @@ about 10,000 rows. Here instead:
    ``max_bins``, else after the values that hold the quantiles. A row becomes a code a feature, features of 0 and 1 a bit.
 2. every tree draws each row 0, 1, 2, ... times (Poisson with mean 1) by a hash of row and tree.
 3. nodes of more than ``LOCAL_ROWS`` rows are split from figures gathered over all blocks, a level at a time.
-4. the rows of each other node go to one task, which grows the tree from there on, a level at a time for all its nodes.
+4. each other node has a task, which reads all blocks, keeps the node's rows and grows the tree from there on, a level at
+   a time for all its nodes.
 5. trees stay in Spark, as rows of their parts, and rows are scored by pairs of a part and a block of codes.
 
 Labels are whole numbers of 30 bits while a forest grows, so that all sums are exact: neither partitions nor the order of
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -26,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector, Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestay.operators.ordering import quantile_values, value_sums
@@ -34,8 +36,9 @@ from lodestay.session import durable, written
 
 LABEL_BITS = 30
 VALUE_BITS = 40  # of a leaf's value below the greatest label; 4,096 trees sum up exactly
-LOCAL_ROWS = 1 << 20  # drawn rows from which one task grows a part of a tree
+LOCAL_ROWS = 1 << 23  # drawn rows from which one task grows parts of a tree; sums of labels stay below 2^53
 LOCAL_BYTES = 1 << 28  # of their codes
+BATCH_BYTES = 1 << 24  # of blocks that a task is handed at a time
 BLOCK_ROWS = 1 << 16  # training rows in a block
 BLOCK_BYTES = 1 << 24  # of codes in a block that is scored
 WALKED_BYTES = 1 << 22  # of codes that walk down a part together
@@ -338,31 +341,38 @@ class _Grower:
         self.levels: list[list] = [[] for _ in range(depth + 1)]
         self.gains = np.zeros(len(layout.numbers) + len(layout.flags))
 
-    def grown(self, codes, slots, weight, label, level: int) -> tuple[np.ndarray, ...]:
-        """(column or -1, cut, values of the leaves)."""
-        weight = weight.astype(np.float64)
-        product = weight * label
-        whole, total = np.array([weight.sum()]), np.array([product.sum()])
-        rows = np.full(len(weight), bool(self._open(whole, level)[0]))
-        self._levels(codes[:, rows], slots[:, rows], np.zeros(rows.sum(), np.int64), weight[rows], product[rows], whole, total, level)
+    def grown(self, rows: list, level: int) -> tuple[np.ndarray, ...]:
+        """(column or -1, cut, values of the leaves) from codes, slots, weights and labels, a list that is emptied so that
+        they are let go as soon as they can be."""
+        codes, slots, weight, label = rows
+        rows.clear()
+        product = weight * label.astype(np.float64)
+        whole, total = np.array([weight.sum(dtype=np.float64)]), np.array([product.sum()])
+        if not self._open(whole, level)[0]:
+            codes, slots, weight, product = codes[:, :0], slots[:, :0], weight[:0], product[:0]
+        rows += [codes, slots, np.zeros(len(weight), np.int64), weight, product]
+        del codes, slots, weight, label, product
+        self._levels(rows, whole, total, level)
         found = [x for level in self.levels for x in level]
         return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
 
     def _open(self, weight, level) -> np.ndarray:
         return (weight >= 2 * self.minimum) if level < self.depth else np.zeros(len(weight), bool)
 
-    def _levels(self, codes, slots, node, weight, product, node_weight, node_total, level) -> None:
+    def _levels(self, rows: list, node_weight, node_total, level) -> None:
         """``node`` numbers the nodes that can be split; rows of others are left out or have no weight."""
+        codes, slots, node, weight, product = rows
+        rows.clear()
         m, known = len(self.layout.numbers), None
         while len(node_weight):
             open_ = np.flatnonzero(self._open(node_weight, level))
             if len(node) > 2 * UNIT_ROWS and len(open_) > 8:
                 units = self._units(node, open_, len(node_weight))
                 if len(units) > 1:
-                    order = _sorted(np.zeros(len(node), np.int64), [node], 0)[1]
-                    for rows, first, (a, b) in units:
-                        mine = order[rows]
-                        self._levels(_taken(codes, mine), _taken(slots, mine), node[mine] - first, weight[mine], product[mine],
+                    known, order = None, _sorted(np.zeros(len(node), np.int64), [node], 0)[1]
+                    for part, first, (a, b) in units:
+                        mine = order[part]
+                        self._levels([_taken(codes, mine), _taken(slots, mine), node[mine] - first, weight[mine], product[mine]],
                                      node_weight[a:b], node_total[a:b], level)
                     return
             column, cut = np.full(len(node_weight), -1, np.int32), np.zeros(len(node_weight), np.uint16)
@@ -411,9 +421,11 @@ class _Grower:
             if keep.mean() > 0.8:  # a few rows of nodes that are done stay, without weight
                 node, weight, product = np.where(keep, child, 0), weight * keep, product * keep
             else:
-                rows = np.flatnonzero(keep)
-                node, weight, product = child[rows], weight[rows], product[rows]
-                codes, slots = _taken(codes, rows), _taken(slots, rows)
+                mine = np.flatnonzero(keep)
+                node, weight, product = child[mine], weight[mine], product[mine]
+                codes = _taken(codes, mine)
+                slots = _taken(slots, mine)
+            del child, rank, goes, goes_on, keep
 
     @staticmethod
     def _units(node, open_, k) -> list:
@@ -490,51 +502,80 @@ def _read_blocks(batches, layout: Layout) -> Iterator[tuple]:
             yield n, hashes, labels, codes, np.frombuffer(cells[3], layout.slot).reshape(-1, n)
 
 
-def _dealt(blocks: DataFrame, plan: _Plan) -> DataFrame:
-    """The rows of each lower part of each tree."""
-    def dealt(batches):
-        for n, hashes, labels, codes, slots in _read_blocks(batches, plan.layout):
-            for tree in range(plan.trees):
-                times = drawn(hashes, tree)
-                at = plan.places(tree, codes, slots, n) if tree in plan.upper else np.ones(n, np.int64)
-                for position in np.unique(at):
-                    if (tree, int(position)) in plan.ended:
-                        continue
-                    rows = np.flatnonzero((times > 0) & (at == position))
-                    if len(rows):
-                        cells = [times[rows], labels[rows], codes[:, rows], slots[:, rows]]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([tree], pa.int32()), pa.array([position], pa.int64()), pa.array([len(rows)], pa.int32()),
-                             *[pa.array([x.tobytes()], pa.binary()) for x in cells]],
-                            ["tree", "position", "n", "times", "labels", "codes", "slots"])
-
-    return blocks.mapInArrow(dealt, "tree int, position bigint, n int, times binary, labels binary, codes binary, slots binary")
+PART = "tree int, position bigint, nodes bigint, columns binary, cuts binary, values binary, gains array<double>"
 
 
-PART = "tree int, position bigint, nodes bigint, columns binary, cuts binary, values binary, gains array<double>"
+def _narrow(layout: Layout) -> type:
+    return np.int16 if len(layout.features) < 1 << 15 else np.int32
 
 
-def _parts(dealt: DataFrame, plan: _Plan, value) -> DataFrame:
+def _parts(blocks: DataFrame, plan: _Plan, groups: Sequence[tuple[int, list[int]]], value) -> DataFrame:
+    """The lower parts of the trees, (tree, positions) a group. Each group has a task, which reads all blocks and keeps
+    what the tree drew of its positions; nothing is shuffled or written for it."""
     layout = plan.layout
-    narrow = np.int16 if len(layout.features) < 1 << 15 else np.int32
-
-    def grown(key, table):  # Spark reads type hints here and takes no names of types
-        tree, position = (k.as_py() for k in key)
-        sizes, cells = table.column("n").to_pylist(), [table.column(c).to_pylist() for c in ("times", "labels", "codes", "slots")]
-        times, labels = np.frombuffer(b"".join(cells[0]), np.uint8), np.frombuffer(b"".join(cells[1]), np.int32)
-        codes = np.hstack([np.frombuffer(x, layout.item).reshape(len(layout.numbers), n) for x, n in zip(cells[2], sizes)])
-        lines = [np.frombuffer(x, layout.slot).reshape(-1, n) for x, n in zip(cells[3], sizes)]
-        most = max(map(len, lines))
-        slots = np.hstack([np.vstack([x, np.full((most - len(x), x.shape[1]), len(layout.flags), layout.slot)]) for x in lines])
-        del table, cells, lines
+
+    def grown(batches):
+        held: dict = {}
+        for batch in batches:
+            which = batch.column(5).to_pylist()
+            for group, (n, hashes, labels, codes, slots) in zip(which, _read_blocks([batch], layout)):
+                tree, positions = groups[group]
+                times = drawn(hashes, tree)
+                at = plan.places(tree, codes, slots, n) if tree in plan.upper else np.ones(n, np.int64)
+                for position in positions:
+                    rows = np.flatnonzero((times > 0) & (at == position))
+                    if len(rows):
+                        cells = times[rows], labels[rows], _taken(codes, rows), _taken(slots, rows)
+                        held.setdefault((tree, position), []).append(cells)
+        for tree, position in sorted(held):
+            yield part(tree, position, held.pop((tree, position)))
+
+    def part(tree, position, cells):
+        times, labels = (np.concatenate([c[i] for c in cells]) for i in (0, 1))
+        codes, most = np.hstack([c[2] for c in cells]), max(len(c[3]) for c in cells)
+        slots = np.full((most, len(times)), len(layout.flags), layout.slot)
+        start = 0
+        for c in cells:
+            slots[:len(c[3]), start:start + len(c[0])] = c[3]
+            start += len(c[0])
+        del c
+        cells.clear()
+        cells += [codes, slots, times, labels]
+        del codes, slots, times, labels
         grower = _Grower(layout, plan.depth, plan.minimum)
-        columns, cuts, means = grower.grown(codes, slots, times, labels, position.bit_length() - 1)
-        return pa.table({
-            "tree": pa.array([tree], pa.int32()), "position": pa.array([position], pa.int64()), "nodes": pa.array([len(columns)], pa.int64()),
-            "columns": [columns.astype(narrow).tobytes()], "cuts": [cuts.tobytes()], "values": [value(means).tobytes()],
-            "gains": pa.array([grower.gains.tolist()], pa.list_(pa.float64()))})
+        columns, cuts, means = grower.grown(cells, position.bit_length() - 1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([tree], pa.int32()), pa.array([position], pa.int64()), pa.array([len(columns)], pa.int64()),
+             *[pa.array([x.tobytes()], pa.binary()) for x in (columns.astype(_narrow(layout)), cuts, value(means))],
+             pa.array([grower.gains.tolist()], pa.list_(pa.float64()))],
+            ["tree", "position", "nodes", "columns", "cuts", "values", "gains"])
+
+    numbers = blocks.sparkSession.range(0, len(groups), 1, len(groups)).select(F.col("id").cast("int").alias("group"))
+    return blocks.coalesce(1).hint("shuffle_replicate_nl").crossJoin(numbers).mapInArrow(grown, PART)
+
+
+def _groups(parts: dict, local_rows: int) -> list[tuple[int, list[int]]]:
+    """Neighbouring parts, (tree, position) -> weight, of a tree that one task can hold."""
+    out, size = [], 0
+    for (tree, position), weight in sorted(parts.items()):
+        if not out or out[-1][0] != tree or size + weight > local_rows:
+            out.append((tree, []))
+            size = 0
+        out[-1][1].append(position)
+        size += weight
+    return out
 
-    return dealt.groupBy("tree", "position").applyInArrow(grown, PART)
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Blocks are large rows; by default a task would hold a quarter of a GB of them at once, twice."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _upper_splits(blocks: DataFrame, plan: _Plan, wanted: dict) -> DataFrame:
@@ -617,49 +658,47 @@ def grow_forest(train: DataFrame, key: Column, trees: int, depth: int, minimum:
     gains = np.zeros((trees, len(layout.features)))
     local_rows = max(1, min(local_rows, LOCAL_BYTES // max(1, layout.width)))
     most = max(1, (megabytes << 20) // (16 * (sum(layout.bins) + len(layout.flags) + 2)))  # nodes in a pass
-    level, large = 0, [(t, 1) for t in range(trees)] if n > local_rows else []
+    lower = {(t, 1): n for t in range(trees)}  # what tasks grow alone, with its weight
+    level, large = 0, list(lower) if n > local_rows else []
     while large and level < depth:
         found = []
         for i in range(0, len(large), most):
             wanted: dict = {}
             for tree, position in large[i:i + most]:
                 wanted.setdefault(tree, []).append(position)
-            found += _upper_splits(blocks, plan, wanted).collect()
+            with _small_batches(spark):
+                found += _upper_splits(blocks, plan, wanted).collect()
         large, level = [], level + 1
         for r in sorted(found, key=lambda r: (r.tree, r.position)):
             if r.weight <= local_rows:  # a root whose draws were few
                 continue
+            lower.pop((r.tree, r.position))
             if not r.score > 0:
                 plan.ended[r.tree, r.position] = r.total / r.weight
                 continue
             plan.upper.setdefault(r.tree, {})[r.position] = (r.split_column, r.cut)
             gains[r.tree, r.split_column] += r.score / r.weight
             for side, weight, total in ((0, r.left, r.left_total), (1, r.weight - r.left, r.total - r.left_total)):
+                child = r.tree, 2 * r.position + side
+                if weight > local_rows and level == depth:
+                    plan.ended[child] = total / weight
+                    continue
+                lower[child] = weight
                 if weight > local_rows:
-                    large.append((r.tree, 2 * r.position + side))
-                    if level == depth:
-                        plan.ended[large[-1]] = total / weight
-    dealt = _dealt(blocks, plan)
-    groups = trees + sum(len(x) for x in plan.upper.values())
-    parts = _parts(dealt.repartition(min(groups, 4096), "tree", "position"), plan, value)
+                    large.append(child)
+    parts = _parts(blocks, plan, _groups(lower, local_rows), value)
     if plan.ended:
-        leaf = np.array([-1], np.int16 if len(layout.features) < 1 << 15 else np.int32).tobytes()
+        leaf = np.array([-1], _narrow(layout)).tobytes()
         parts = parts.union(spark.createDataFrame(
             [(t, p, 1, leaf, bytes(2), value([x]).tobytes(), [0.0] * len(layout.features)) for (t, p), x in plan.ended.items()], PART))
-    parts = written(parts)
-    known = parts.groupBy("tree").agg(
-        F.sum("nodes").alias("nodes"), *[F.sum(F.col("gains")[c]).alias(f"g{c}") for c in range(len(layout.features))]) if len(
-        layout.features) <= 200 else parts.select("tree", "nodes", F.posexplode("gains")).groupBy("tree", "pos").agg(
-        F.sum("col").alias("gain"), F.sum("nodes").alias("nodes"))
-    counted = np.zeros(trees, np.int64)
-    for r in known.collect():
-        counted[r.tree] = r.nodes
-        if "pos" in r:
-            gains[r.tree, r.pos] += r.gain
-        else:
-            gains[r.tree] += np.array(r[2:], np.float64)
+    with _small_batches(spark):
+        parts = written(parts)
+        found = {(r.tree, r.position): r for r in parts.select("tree", "position", "nodes", "gains").collect()}
+    for (tree, _), r in sorted(found.items()):
+        gains[tree] += np.array(r.gains, np.float64)
+    nodes = sum(r.nodes for r in found.values()) + sum(len(x) for x in plan.upper.values())
     blocks.unpersist()
-    return Forest(parts, plan, size, gains, int(counted.sum()) + sum(len(x) for x in plan.upper.values()))
+    return Forest(parts, plan, size, gains, nodes)
 
 
 # ---- the forest ------------------------------------------------------------------------------
@@ -809,7 +848,8 @@ class Forest:
         pairs = parts.hint("shuffle_replicate_nl").crossJoin(blocks)  # parts stay apart from blocks: neither is small for sure
         sums = pairs.mapInArrow(walked, "block string, walks bigint, total binary")
         means = sums.groupBy("block").applyInArrow(summed, "block string, mean binary")
-        return durable(blocks.join(means, "block").select("n", "codes", "mean").mapInArrow(unpacked, f"__codes binary, `{name}` double"))
+        with _small_batches(self.parts.sparkSession):
+            return durable(blocks.join(means, "block").select("n", "codes", "mean").mapInArrow(unpacked, f"__codes binary, `{name}` double"))
 
 
 def _nodes(columns: bytes, cuts: bytes, values: bytes, layout: Layout) -> tuple[np.ndarray, ...]:

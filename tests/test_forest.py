@@ -109,7 +109,7 @@ def test_trees_equal_those_by_trying_all_cuts(monkeypatch, unit):
     assert weight.max() > 2 and abs(weight.mean() - 1) < 0.15 and (weight == 0).any()
     some = weight > 0
     grown = forest._Grower(layout, 7, 2).grown(
-        np.ascontiguousarray(layout.numeric(raw).T)[:, some], layout.slots(raw)[:, some], weight[some], label[some], 0)
+        [np.ascontiguousarray(layout.numeric(raw).T)[:, some], layout.slots(raw)[:, some], weight[some], label[some]], 0)
     nodes = forest._nodes(grown[0].astype(np.int16).tobytes(), grown[1].tobytes(), grown[2].tobytes(), layout)
     total = np.zeros(500)
     assert forest._walk(forest._Plan(layout, 1, 7, 2, {}, {}), 0, 1, nodes, raw.tobytes(), 500, total) == 500
